@@ -69,7 +69,12 @@ def last_band(value: Column, bands=REFERENCE_BANDS, inclusive: bool = True) -> C
     The same answer as `overlay_last_wins(assign_bands(...))`, as a pure
     projection for inputs that already have one row per key.
     """
-    return F.element_at(matching_bands(value, bands, inclusive), -1)["label"]
+    return last_band_struct(value, bands, inclusive)["label"]
+
+
+def last_band_struct(value: Column, bands=REFERENCE_BANDS, inclusive: bool = True) -> Column:
+    """The whole last matching band (ord, label, lo, hi); NULL when none."""
+    return F.try_element_at(matching_bands(value, bands, inclusive), F.lit(-1))
 
 
 def band_requests(bases: DataFrame, base_col: str = "base", bands=REFERENCE_BANDS) -> DataFrame:

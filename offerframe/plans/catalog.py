@@ -37,7 +37,7 @@ def _sliced_pages(spark, sf_dir) -> DataFrame:
     """Pages with their stand-in slice (label + order) -- see fixtures."""
     p = _pages(spark, sf_dir)
     v = FX.page_slice(F.col("html"))
-    last = F.element_at(B.matching_bands(v), -1)
+    last = B.last_band_struct(v)
     return p.select("page_id", "url", "html",
                     last["label"].alias("slice"), last["ord"].alias("slice_ord"))
 

@@ -32,7 +32,7 @@ def read_offer_map(spark: SparkSession, path: str, layout: str = "lines") -> Dat
     """Rows (url, size_category, offer_id, price, offer_title, location,
     is_active); fields absent in the JSON are NULL."""
     if layout == "object":
-        raw = spark.read.option("wholetext", True).text(path)
+        raw = spark.read.text(path, wholetext=True)
     else:
         raw = spark.read.text(path).filter(F.trim(F.col("value")) != "")
     parsed = raw.select(F.explode(F.from_json(F.col("value"), OFFER_MAP)).alias("url", "v"))

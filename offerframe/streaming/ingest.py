@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..operators import extract as X
 from ..operators import merge as M
-from ..operators.bands import matching_bands
+from ..operators.bands import last_band
 from ..plans import fixtures as FX
 from ..profiles import PageRules
 from ..schema import OFFER_MAP, PAGES
@@ -83,7 +83,7 @@ def _page_upsert(rules: PageRules, work_root: str, category: Callable[[Column],
 
 
 def _slice_category(html: Column) -> Column:
-    return F.element_at(matching_bands(FX.page_slice(html)), -1)["label"]
+    return last_band(FX.page_slice(html))
 
 
 def run_page_stream(spark: SparkSession, sf_dir: str, rules: PageRules,

@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import clean_html, select_text, title_text
+from ..functions.html import (Selector, clean_html, element_text, select_found,
+                              select_inner)
 from ..functions.text import split_after, website_from_url
 from ..profiles import PageRules
 from ..schema import ACTIVE_NO, NOT_FOUND, OFFER_COLUMNS, UNKNOWN
@@ -41,65 +42,74 @@ def route(url: Column, rules: PageRules) -> Column:
     return out if out is not None else F.lit(None).cast("string")
 
 
-def field_value(clean: Column, site: Column, rules: PageRules, name: str) -> Column:
-    """The field by the routed profile's rule; `Not found` when
-    the element (or the split piece) is absent."""
+def _by_site(site: Column, rules: PageRules, name: str, make) -> Column:
+    """CASE over the routed site: the value `make(rule)` of that site's rule
+    for field `name` (NULL when the site has none)."""
     out = None
     for p in rules.profiles:
         rule = next((f for f in p.fields if f.name == name), None)
-        if rule is None:
-            expr = F.lit(NOT_FOUND)
-        else:
-            expr = select_text(clean, rule.selector)
-            if rule.post_split is not None:
-                expr = split_after(expr, rule.post_split)
-            expr = F.coalesce(expr, F.lit(NOT_FOUND))
-        cond = site == p.site
-        out = F.when(cond, expr) if out is None else out.when(cond, expr)
-    return out if out is not None else F.lit(NOT_FOUND)
+        expr = make(rule) if rule is not None else F.lit(None).cast("string")
+        out = F.when(site == p.site, expr) if out is None else out.when(site == p.site, expr)
+    return out if out is not None else F.lit(None).cast("string")
 
 
 def parse_pages(pages: DataFrame, rules: PageRules, category: Column | None = None,
                 keep=("page_id",), html_col: str = "html") -> DataFrame:
     """(keep..., url, category, website, offer_id, price, offer_title,
-    location, active, status, reason)."""
+    location, active, status, reason).
+
+    Staged projections: each regex over the page runs once per row, and a
+    field's regex runs only for the site the URL routes to and only on a
+    live page (CollapseProject keeps a costly column that is used twice in
+    its own projection instead of inlining it twice).
+    """
     category = category if category is not None else F.lit(UNKNOWN)
-    staged = pages.select(
+    keep = list(keep)
+    s1 = pages.select(
         *keep, "url", category.alias("category"),
         clean_html(F.col(html_col)).alias("_clean"),
-        (F.col(html_col).isNull() | (F.trim(F.col(html_col)) == "")).alias("_empty"),
-    )
-    staged = staged.select(
-        *keep, "url", "category", "_clean", "_empty",
+        (F.col(html_col).isNull() | (F.trim(F.col(html_col)) == "")).alias("_empty"))
+    s2 = s1.select(
+        "*",
         website_from_url(F.col("url"), rules.tld_token).alias("website"),
-        title_text(F.col("_clean")).alias("_title"),
-        is_expired(F.col("_clean"), rules.expired).alias("_expired"),
-        route(F.col("url"), rules).alias("_site"),
-    )
-    state = page_state(is_dead(F.col("_title"), rules.dead_title_markers), F.col("_expired"))
-    staged = staged.withColumn("status", state)
-
+        select_inner(F.col("_clean"), Selector("title")).alias("_title_raw"),
+        select_found(F.col("_clean"), rules.expired).alias("_expired"),
+        route(F.col("url"), rules).alias("_site"))
+    s3 = s2.select("*", element_text(F.col("_title_raw")).alias("_title")).drop("_title_raw")
+    status = page_state(is_dead(F.col("_title"), rules.dead_title_markers), F.col("_expired"))
     reason = (F.when(F.col("_empty"), F.lit(EMPTY_PAGE))
                .when(F.col("website").isNull(), F.lit(NO_WEBSITE))
-               .when(F.col("status") != "live", F.lit(None).cast("string"))
+               .when(F.col("_state") != "live", F.lit(None).cast("string"))
                .when(F.col("_site").isNull(), F.lit(UNKNOWN_SITE)))
-    staged = staged.withColumn("reason", reason)
-    live = (F.col("status") == "live") & F.col("reason").isNull()
-    ok = F.col("reason").isNull()
-
-    cols = [*keep, "url", F.when(ok, F.col("category")).alias("category"),
-            F.when(ok, F.col("website")).alias("website")]
-    for name in FIELDS:
-        value = F.when(live, field_value(F.col("_clean"), F.col("_site"), rules, name)) \
-                 .when(ok, F.lit(UNKNOWN))
-        cols.append(value.alias(name))
-    active_expr = F.when(ok & ~live, F.lit(ACTIVE_NO))
+    s3 = s3.withColumn("_state", status).withColumn("reason", reason)
+    s3 = (s3.withColumn("_ok", F.col("reason").isNull())
+            .withColumn("_live", (F.col("_state") == "live") & F.col("_ok")))
+
+    site, live = F.col("_site"), F.col("_live")
+    s4 = s3.select("*", *[
+        F.when(live, _by_site(site, rules, n, lambda r: select_inner(F.col("_clean"), r.selector)))
+         .alias(f"_raw_{n}") for n in FIELDS]).drop("_clean")
+    s5 = s4.select("*", *[element_text(F.col(f"_raw_{n}")).alias(f"_txt_{n}") for n in FIELDS])
+    s5 = s5.drop(*[f"_raw_{n}" for n in FIELDS])
+
+    def piece(n):
+        txt = F.col(f"_txt_{n}")
+        return _by_site(site, rules, n,
+                        lambda r: split_after(txt, r.post_split) if r.post_split else txt)
+
+    ok = F.col("_ok")
+    active = F.when(ok & ~live, F.lit(ACTIVE_NO))
     for p in rules.profiles:
-        active_expr = active_expr.when(live & (F.col("_site") == p.site), F.lit(p.active_text))
-    cols.append(active_expr.alias("active"))
-    cols.append(F.when(ok, F.col("status")).otherwise(F.lit("quarantine")).alias("status"))
-    cols.append("reason")
-    return staged.select(*cols)
+        active = active.when(live & (site == p.site), F.lit(p.active_text))
+    return s5.select(
+        *keep, "url",
+        F.when(ok, F.col("category")).alias("category"),
+        F.when(ok, F.col("website")).alias("website"),
+        *[F.when(live, F.coalesce(piece(n), F.lit(NOT_FOUND))).when(ok, F.lit(UNKNOWN)).alias(n)
+          for n in FIELDS],
+        active.alias("active"),
+        F.when(ok, F.col("_state")).otherwise(F.lit("quarantine")).alias("status"),
+        "reason")
 
 
 def offers_only(parsed: DataFrame) -> DataFrame:

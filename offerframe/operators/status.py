@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import Selector, clean_html, select_found, title_text
+from ..functions.html import Selector, clean_html, element_text, select_found, select_inner
 from ..profiles import PageRules
 
 
@@ -35,10 +35,10 @@ def classify_pages(pages: DataFrame, rules: PageRules, keep=("page_id", "url"),
                    html_col: str = "html") -> DataFrame:
     """P1-P3 over pages: (keep..., title, is_dead, is_expired, status)."""
     cleaned = pages.select(*keep, clean_html(F.col(html_col)).alias("_clean"))
-    flagged = cleaned.select(
+    staged = cleaned.select(
         *keep,
-        title_text(F.col("_clean")).alias("title"),
-        is_expired(F.col("_clean"), rules.expired).alias("is_expired"),
-    )
+        select_inner(F.col("_clean"), Selector("title")).alias("_title_raw"),
+        is_expired(F.col("_clean"), rules.expired).alias("is_expired"))
+    flagged = staged.select(*keep, element_text(F.col("_title_raw")).alias("title"), "is_expired")
     flagged = flagged.withColumn("is_dead", is_dead(F.col("title"), rules.dead_title_markers))
     return flagged.withColumn("status", page_state(F.col("is_dead"), F.col("is_expired")))

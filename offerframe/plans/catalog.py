@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codecs import get_bool, put_bool
-from ..functions.html import Selector, clean_html, select_text
+from ..functions.html import Selector, clean_html, with_texts
 from ..functions.text import base_of_url, website_from_url
 from ..operators import bands as B
 from ..operators import extract as X
@@ -95,8 +95,8 @@ def page_website(spark, sf_dir):
 
 
 def page_heading(spark, sf_dir):
-    p = _pages(spark, sf_dir)
-    return p.select("page_id", select_text(clean_html(F.col("html")), Selector("h1")).alias("heading"))
+    cleaned = _pages(spark, sf_dir).select("page_id", clean_html(F.col("html")).alias("_clean"))
+    return with_texts(cleaned, "_clean", {"heading": Selector("h1")}).drop("_clean")
 
 
 def page_status(spark, sf_dir):

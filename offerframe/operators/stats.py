@@ -81,23 +81,27 @@ def boxplot(df: DataFrame, group_col: str, value_col: str, tiebreak: str,
     """A4: box-plot data per group.
 
     n, q1, median, q3, iqr, whiskers (extreme values inside the 1.5 IQR
-    fences), outlier counts below/above.  The per-group quartile table has
-    one row per group; AQE broadcasts it when it is small.
+    fences), outlier counts below/above.  The quartile table (one row per
+    group) is joined to the values once -- AQE broadcasts it when small --
+    and a single partial aggregate yields everything else.
     """
     q = exact_quantiles(df, group_col, value_col, tiebreak, num_partitions=num_partitions)
-    q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    fences = q.select(group_col,
-                      (F.col("q1") - WHISKER * F.col("iqr")).alias("_lo_fence"),
-                      (F.col("q3") + WHISKER * F.col("iqr")).alias("_hi_fence"))
     v = F.col(value_col)
-    data = df.select(group_col, value_col).filter(v.isNotNull())
-    w = (data.join(fences, group_col, "inner").groupBy(group_col).agg(
-        F.min(F.when(v >= F.col("_lo_fence"), v)).alias("lower_whisker"),
-        F.max(F.when(v <= F.col("_hi_fence"), v)).alias("upper_whisker"),
-        F.count(F.when(v < F.col("_lo_fence"), 1)).alias("n_outliers_low"),
-        F.count(F.when(v > F.col("_hi_fence"), 1)).alias("n_outliers_high"),
-    ))
-    out = q.join(w, group_col, "inner")
+    data = df.select(group_col, value_col).filter(v.isNotNull() & F.col(group_col).isNotNull())
+    iqr = F.col("q3") - F.col("q1")
+    lo_fence, hi_fence = F.col("q1") - WHISKER * iqr, F.col("q3") + WHISKER * iqr
+    # Null-safe equality: no `isnotnull` constraint is inferred and pushed
+    # through the quantile plan (that inference tripped AQE re-planning).
+    q = q.withColumnRenamed(group_col, "_qg")
+    joined = data.join(q, data[group_col].eqNullSafe(q["_qg"]), "inner").drop("_qg")
+    out = joined.groupBy(group_col).agg(
+        F.first("n").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
+        F.first("q3").alias("q3"),
+        F.min(F.when(v >= lo_fence, v)).alias("lower_whisker"),
+        F.max(F.when(v <= hi_fence, v)).alias("upper_whisker"),
+        F.count(F.when(v < lo_fence, 1)).alias("n_outliers_low"),
+        F.count(F.when(v > hi_fence, 1)).alias("n_outliers_high"),
+    ).withColumn("iqr", F.col("q3") - F.col("q1"))
     cols = [group_col, "n"]
     for c in ("q1", "median", "q3", "iqr", "lower_whisker", "upper_whisker"):
         cols.append(F.round(F.col(c), digits).alias(c) if digits is not None else F.col(c))

@@ -31,33 +31,43 @@ def bands_frame(spark: SparkSession, bands=REFERENCE_BANDS) -> DataFrame:
     return spark.createDataFrame([(b.ord, b.label, b.lo, b.hi) for b in bands], BAND_TYPE)
 
 
-def _band_array(bands) -> Column:
+def _check(bands) -> list[Band]:
     if len(bands) > MAX_BANDS:
         raise ValueError(f"{len(bands)} bands; at most {MAX_BANDS} are supported")
-    return F.array(*[
-        F.struct(F.lit(b.ord).cast("int").alias("ord"), F.lit(b.label).alias("label"),
-                 F.lit(b.lo).cast("int").alias("lo"), F.lit(b.hi).cast("int").alias("hi"))
-        for b in sorted(bands, key=lambda b: b.ord)
-    ])
+    return sorted(bands, key=lambda b: b.ord)
+
+
+def _struct(b: Band) -> Column:
+    return F.struct(F.lit(b.ord).cast("int").alias("ord"), F.lit(b.label).alias("label"),
+                    F.lit(b.lo).cast("int").alias("lo"), F.lit(b.hi).cast("int").alias("hi"))
+
+
+def holds(value: Column, b: Band, inclusive: bool = True) -> Column:
+    """Whether band `b` contains `value` (open ends when a bound is NULL)."""
+    cond = F.lit(True)
+    if b.lo is not None:
+        cond = cond & (value >= F.lit(b.lo))
+    if b.hi is not None:
+        cond = cond & ((value <= F.lit(b.hi)) if inclusive else (value < F.lit(b.hi)))
+    return value.isNotNull() & cond
 
 
 def matching_bands(value: Column, bands=REFERENCE_BANDS, inclusive: bool = True) -> Column:
     """Array of the bands whose range holds `value`, in band order."""
-    def holds(b):
-        if inclusive:
-            lo_ok = b["lo"].isNull() | (value >= b["lo"])
-            hi_ok = b["hi"].isNull() | (value <= b["hi"])
-        else:
-            lo_ok = b["lo"].isNull() | (value >= b["lo"])
-            hi_ok = b["hi"].isNull() | (value < b["hi"])
-        return lo_ok & hi_ok
-    return F.filter(_band_array(bands), holds)
+    arms = F.array(*[F.when(holds(value, b, inclusive), _struct(b)) for b in _check(bands)])
+    return F.array_compact(arms)
 
 
 def assign_bands(df: DataFrame, value: Column, bands=REFERENCE_BANDS,
                  inclusive: bool = True) -> DataFrame:
-    """L11 as rows: one row per (input row, matching band); adds ord/category."""
-    return (df.withColumn("_band", F.explode(matching_bands(value, bands, inclusive)))
+    """L11 as rows: one row per (input row, matching band); adds ord/category.
+
+    A generator over one `when` arm per band, then a null filter: plain
+    expressions, so the whole step stays in whole-stage codegen.
+    """
+    arms = F.array(*[F.when(holds(value, b, inclusive), _struct(b)) for b in _check(bands)])
+    return (df.withColumn("_band", F.explode(arms))
+            .filter(F.col("_band").isNotNull())
             .withColumn("ord", F.col("_band.ord"))
             .withColumn("category", F.col("_band.label"))
             .drop("_band"))
@@ -67,14 +77,19 @@ def last_band(value: Column, bands=REFERENCE_BANDS, inclusive: bool = True) -> C
     """L11 + L8 for one value: label of the last band holding it (or NULL).
 
     The same answer as `overlay_last_wins(assign_bands(...))`, as a pure
-    projection for inputs that already have one row per key.
+    projection (a CASE chain, last band first) for inputs that already have
+    one row per key.
     """
     return last_band_struct(value, bands, inclusive)["label"]
 
 
 def last_band_struct(value: Column, bands=REFERENCE_BANDS, inclusive: bool = True) -> Column:
     """The whole last matching band (ord, label, lo, hi); NULL when none."""
-    return F.try_element_at(matching_bands(value, bands, inclusive), F.lit(-1))
+    out = None
+    for b in reversed(_check(bands)):
+        cond = holds(value, b, inclusive)
+        out = F.when(cond, _struct(b)) if out is None else out.when(cond, _struct(b))
+    return out
 
 
 def band_requests(bases: DataFrame, base_col: str = "base", bands=REFERENCE_BANDS) -> DataFrame:

@@ -112,6 +112,17 @@ def parse_pages(pages: DataFrame, rules: PageRules, category: Column | None = No
         "reason")
 
 
+def parse_metrics() -> list[Column]:
+    """Result counts as aggregate expressions for `DataFrame.observe`."""
+    status, reason = F.col("status"), F.col("reason")
+    return [F.count(F.lit(1)).alias("pages"),
+            F.count(F.when(reason.isNull(), 1)).alias("offers"),
+            F.count(F.when(status == "live", 1)).alias("live"),
+            F.count(F.when(status == "dead", 1)).alias("dead"),
+            F.count(F.when(status == "expired", 1)).alias("expired"),
+            F.count(F.when(reason.isNotNull(), 1)).alias("quarantined")]
+
+
 def offers_only(parsed: DataFrame) -> DataFrame:
     """Good records in table order (read from a written parsed frame)."""
     return parsed.filter(F.col("reason").isNull()).select(*OFFER_COLUMNS)

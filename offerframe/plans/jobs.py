@@ -7,7 +7,7 @@ being recomputed or passed through the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import extract as X
@@ -55,12 +55,14 @@ def scrape_offers(spark: SparkSession, map_root: str, pages: DataFrame, rules: P
     parsed = X.offer_pages(links, pages, rules)
     cur = SN.current_version(spark, table_root) or 0
     work = f"{quarantine_root.rstrip('/')}/parsed_v{cur + 1:08d}"
-    parsed.write.mode("overwrite").parquet(work)
+    # Counts gathered while the parsed frame is written (no extra pass).
+    counts = Observation("parse_counts")
+    parsed.observe(counts, *X.parse_metrics()).write.mode("overwrite").parquet(work)
     parsed = spark.read.parquet(work)
     good = parsed.filter(F.col("reason").isNull())
     base = SN.read_snapshot(spark, table_root)
     version = SN.write_snapshot(M.upsert_overwrite(base, good, "page_id"), table_root)
-    return {"map": map_path, "version": version, "parsed": work,
+    return {"map": map_path, "version": version, "parsed": work, "counts": counts.get,
             "quarantine": X.quarantine_only(parsed)}
 
 

@@ -61,10 +61,14 @@ def ingest_offer_maps(spark: SparkSession, source_dir: str, table_root: str,
     return writer.start()
 
 
-def page_stream(spark: SparkSession, folder: str, file_glob: str | None = None) -> DataFrame:
+def page_stream(spark: SparkSession, folder: str, file_glob: str | None = None,
+                max_files: int | None = None) -> DataFrame:
+    """Stored pages as a file stream; `max_files` bounds each micro-batch."""
     reader = spark.readStream.schema(PAGES)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(folder)
 
 

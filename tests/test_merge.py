@@ -114,3 +114,12 @@ def test_latest_per_key_total_order(spark):
 def test_project_record_ignores_extra(spark):
     df = spark.createDataFrame([(U, "x", "junk")], "url string, price string, extra string")
     assert M.project_record(df).columns == OFFER_COLUMNS
+
+
+def test_m1_size_is_union_of_keys_on_tables(spark):
+    from offerframe.plans import fixtures as FX
+    sf = "/root/testdata/sf0.001"
+    b, u = FX.merge_base(spark, sf), FX.record_updates(spark, sf)
+    out = M.upsert_overwrite(b, u, "seq")
+    keys = b.select("url").union(u.select("url")).distinct().count()
+    assert out.count() == keys == out.select("url").distinct().count()

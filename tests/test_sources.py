@@ -2,7 +2,6 @@
 
 import json
 import os
-import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -93,8 +92,9 @@ def test_scrape_offers_job(spark, tmp_root):
                              os.path.join(tmp_root, "table"), os.path.join(tmp_root, "q"))
     table = {r.url: r for r in SN.read_snapshot(spark, os.path.join(tmp_root, "table")).collect()}
     assert list(table) == [base + "a.html"] and table[base + "a.html"].offer_title == "Flat"
+    c = out["counts"]
+    assert (c["pages"], c["offers"], c["quarantined"]) == (3, 1, 2)
     reasons = sorted(r.reason for r in out["quarantine"].collect())
     assert reasons == ["page missing", "unknown site"]
     res = jobs.analyse(SN.read_snapshot(spark, os.path.join(tmp_root, "table")))
     assert res["category_counts"].first().n_offers == 1
-    time.sleep(0)

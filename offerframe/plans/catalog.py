@@ -23,6 +23,7 @@ from ..operators import quality as Q
 from ..operators import stats as A
 from ..operators import status as S
 from ..profiles import SYNTHETIC_LINK_RULES, SYNTHETIC_PAGE_RULES
+from ..sources.pages import read_pages
 from . import fixtures as FX
 
 PAGE_RULES = SYNTHETIC_PAGE_RULES
@@ -30,7 +31,7 @@ LINK_RULES = SYNTHETIC_LINK_RULES
 
 
 def _pages(spark, sf_dir) -> DataFrame:
-    return FX.table(spark, sf_dir, "pages")
+    return read_pages(spark, f"{sf_dir.rstrip('/')}/pages.parquet")
 
 
 def _sliced_pages(spark, sf_dir) -> DataFrame:

@@ -7,8 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 from ..schema import PAGES
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PAGES).parquet(path)
+def read_pages(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:
+    """Stored pages; see `spread_small_scan`."""
+    pages = spark.read.schema(PAGES).parquet(path)
+    return spread_small_scan(pages) if spread else pages
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Page parsing is CPU-bound regex work.  A scan of a few large row
+    groups yields fewer splits than cores, leaving cores idle; only then
+    are the rows dealt round-robin over the cores.  A big input already has
+    more splits than cores and is returned untouched (no shuffle)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def pages_for_links(pages: DataFrame, links: DataFrame) -> DataFrame:

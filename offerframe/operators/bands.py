@@ -37,9 +37,15 @@ def _check(bands) -> list[Band]:
     return sorted(bands, key=lambda b: b.ord)
 
 
+def _sql_int(v: int | None) -> str:
+    return "CAST(NULL AS INT)" if v is None else f"CAST({int(v)} AS INT)"
+
+
 def _struct(b: Band) -> Column:
-    return F.struct(F.lit(b.ord).cast("int").alias("ord"), F.lit(b.label).alias("label"),
-                    F.lit(b.lo).cast("int").alias("lo"), F.lit(b.hi).cast("int").alias("hi"))
+    """The band as a struct literal (one expression, built in one call)."""
+    label = b.label.replace("'", "''")
+    return F.expr(f"named_struct('ord', {_sql_int(b.ord)}, 'label', '{label}', "
+                  f"'lo', {_sql_int(b.lo)}, 'hi', {_sql_int(b.hi)})")
 
 
 def holds(value: Column, b: Band, inclusive: bool = True) -> Column:

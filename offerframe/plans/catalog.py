@@ -23,7 +23,7 @@ from ..operators import quality as Q
 from ..operators import stats as A
 from ..operators import status as S
 from ..profiles import SYNTHETIC_LINK_RULES, SYNTHETIC_PAGE_RULES
-from ..sources.pages import read_pages
+from ..sources.pages import spread_small_scan
 from . import fixtures as FX
 
 PAGE_RULES = SYNTHETIC_PAGE_RULES
@@ -31,7 +31,7 @@ LINK_RULES = SYNTHETIC_LINK_RULES
 
 
 def _pages(spark, sf_dir) -> DataFrame:
-    return read_pages(spark, f"{sf_dir.rstrip('/')}/pages.parquet")
+    return spread_small_scan(FX.table(spark, sf_dir, "pages"))
 
 
 def _sliced_pages(spark, sf_dir) -> DataFrame:

@@ -10,6 +10,9 @@ Merge inputs split `part` by size, not by key, so that all three kinds of
 keys exist: base = sizes 1-30, update round 1 = sizes 20-50, round 2 =
 sizes 40-50 (a later re-scrape, sequence 2).  Together they cover the
 whole table.
+
+Per-row value choices are single SQL expressions (`F.expr`): one call to
+build instead of dozens of Column calls.
 """
 
 from __future__ import annotations
@@ -22,38 +25,42 @@ from ..functions.text import website_from_url
 from ..operators.bands import last_band
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A read-only input table, resolved once per session (file listing and
+    footer read happen once, like registering it in a catalog; no data is
+    cached)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
+
+
+def part_url(key: str = "p_partkey", host_www: bool = True) -> Column:
+    """Offer URL of a part key column."""
+    prefix = "https://www." if host_www else "https://"
+    return F.expr(f"concat('{prefix}', CASE WHEN {key} % 2 = 0 THEN 'sitea' ELSE 'siteb' END, "
+                  f"'.pl/d/', CAST({key} AS STRING), '.html')")
 
 
-def part_url(key: Column, host_www: bool = True) -> Column:
-    site = F.when(key % 2 == 0, F.lit("sitea")).otherwise(F.lit("siteb"))
-    prefix = F.lit("https://www.") if host_www else F.lit("https://")
-    return F.concat(prefix, site, F.lit(".pl/d/"), key.cast("string"), F.lit(".html"))
+PRICE_TEXT = """CASE p_partkey % 17 WHEN 0 THEN 'Unknown' WHEN 1 THEN 'Not found' WHEN 2 THEN '1d'
+    WHEN 3 THEN '1_000' WHEN 4 THEN 'nan' WHEN 5 THEN ''
+    WHEN 6 THEN concat(' ', CAST(p_retailprice AS STRING), ' ')
+    ELSE CAST(p_retailprice AS STRING) END"""
 
+ACTIVE_TEXT = """CASE p_partkey % 7 WHEN 0 THEN 'Unknown' WHEN 1 THEN 'No' WHEN 2 THEN 'Yes'
+    WHEN 3 THEN 'True' WHEN 4 THEN '1' WHEN 5 THEN '0' ELSE 'No data' END"""
 
-def _price_text(key: Column, price: Column) -> Column:
-    text = price.cast("string")
-    m = key % 17
-    return (F.when(m == 0, F.lit("Unknown"))
-             .when(m == 1, F.lit("Not found"))
-             .when(m == 2, F.lit("1d"))
-             .when(m == 3, F.lit("1_000"))
-             .when(m == 4, F.lit("nan"))
-             .when(m == 5, F.lit(""))
-             .when(m == 6, F.concat(F.lit(" "), text, F.lit(" ")))
-             .otherwise(text))
+OFFER_ID_TEXT = "CASE WHEN p_partkey % 13 = 0 THEN 'Unknown' ELSE CAST(p_partkey AS STRING) END"
+TITLE_TEXT = "CASE WHEN p_partkey % 19 = 0 THEN concat('O' || chr(39), p_name) ELSE p_name END"
+LOCATION_TEXT = "CASE WHEN p_partkey % 11 = 0 THEN 'Unknown' ELSE n_name END"
 
 
-def _active_text(key: Column) -> Column:
-    m = key % 7
-    return (F.when(m == 0, F.lit("Unknown"))
-             .when(m == 1, F.lit("No"))
-             .when(m == 2, F.lit("Yes"))
-             .when(m == 3, F.lit("True"))
-             .when(m == 4, F.lit("1"))
-             .when(m == 5, F.lit("0"))
-             .otherwise(F.lit("No data")))
+def _with_url(df: DataFrame, host_www: bool = True) -> DataFrame:
+    return df.select(part_url("p_partkey", host_www).alias("url"), "*")
 
 
 def offers_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,20 +68,17 @@ def offers_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     (+ p_size for the merge splits)."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    k = F.col("p_partkey")
-    joined = part.join(nation, (k % 25) == nation["n_nationkey"], "left")
-    url = part_url(k)
+    joined = _with_url(part.join(nation, F.expr("p_partkey % 25") == nation["n_nationkey"], "left"))
     return joined.select(
-        url.alias("url"),
+        "url",
         last_band(F.col("p_size") * 5).alias("category"),
-        website_from_url(url).alias("website"),
-        F.when(k % 13 == 0, F.lit("Unknown")).otherwise(k.cast("string")).alias("offer_id"),
-        _price_text(k, F.col("p_retailprice")).alias("price"),
-        F.when(k % 19 == 0, F.concat(F.lit("O'"), F.col("p_name")))
-         .otherwise(F.col("p_name")).alias("offer_title"),
-        F.when(k % 11 == 0, F.lit("Unknown")).otherwise(F.col("n_name")).alias("location"),
-        _active_text(k).alias("active"),
-        F.col("p_size"),
+        website_from_url(F.col("url")).alias("website"),
+        F.expr(OFFER_ID_TEXT).alias("offer_id"),
+        F.expr(PRICE_TEXT).alias("price"),
+        F.expr(TITLE_TEXT).alias("offer_title"),
+        F.expr(LOCATION_TEXT).alias("location"),
+        F.expr(ACTIVE_TEXT).alias("active"),
+        "p_size",
     )
 
 
@@ -91,28 +95,26 @@ def record_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed records from two scrape rounds (M1 input), with `seq`.
     Round 2 has no `location` (NULL = absent -> `No data` under M6)."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_type", "p_brand")
-    k = F.col("p_partkey")
-    r1 = part.filter(F.col("p_size") >= 20).select(
-        part_url(k).alias("url"),
+    r1 = _with_url(part.filter(F.col("p_size") >= 20)).select(
+        "url",
         last_band(F.col("p_size") * 5).alias("category"),
-        website_from_url(part_url(k)).alias("website"),
-        k.cast("string").alias("offer_id"),
-        (k * 10 + F.col("p_size")).cast("string").alias("price"),
+        website_from_url(F.col("url")).alias("website"),
+        F.expr("CAST(p_partkey AS STRING)").alias("offer_id"),
+        F.expr("CAST(p_partkey * 10 + p_size AS STRING)").alias("price"),
         F.col("p_name").alias("offer_title"),
         F.col("p_brand").alias("location"),
         F.lit("Yes").alias("active"),
         F.lit(1).alias("seq"),
     )
-    r2 = part.filter(F.col("p_size") >= 40).select(
-        part_url(k).alias("url"),
+    r2 = _with_url(part.filter(F.col("p_size") >= 40)).select(
+        "url",
         last_band(F.col("p_size") * 5).alias("category"),
-        website_from_url(part_url(k)).alias("website"),
-        k.cast("string").alias("offer_id"),
-        (k * 10 + F.col("p_size") + 1).cast("string").alias("price"),
+        website_from_url(F.col("url")).alias("website"),
+        F.expr("CAST(p_partkey AS STRING)").alias("offer_id"),
+        F.expr("CAST(p_partkey * 10 + p_size + 1 AS STRING)").alias("price"),
         F.upper(F.col("p_name")).alias("offer_title"),
         F.lit(None).cast("string").alias("location"),
-        F.when(F.col("p_type").isin("PROMO", "LARGE"), F.lit("No")).otherwise(F.lit("True"))
-         .alias("active"),
+        F.expr("CASE WHEN p_type IN ('PROMO', 'LARGE') THEN 'No' ELSE 'True' END").alias("active"),
         F.lit(2).alias("seq"),
     )
     return r1.unionByName(r2)
@@ -123,27 +125,26 @@ def map_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     sometimes absent; round 2 re-lists sizes 40-50, and size 50 under a
     host without `www.` (kept out of the table)."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_type")
-    k = F.col("p_partkey")
-    size = F.col("p_size")
-    r1 = part.filter(size >= 20).select(
-        part_url(k).alias("url"),
-        last_band(size * 5).alias("size_category"),
-        k.cast("string").alias("offer_id"),
-        F.when(size >= 25, (k * 10 + size).cast("string")).alias("price"),
+    r1 = part.filter(F.col("p_size") >= 20).select(
+        part_url("p_partkey").alias("url"),
+        last_band(F.col("p_size") * 5).alias("size_category"),
+        F.expr("CAST(p_partkey AS STRING)").alias("offer_id"),
+        F.expr("CASE WHEN p_size >= 25 THEN CAST(p_partkey * 10 + p_size AS STRING) END").alias("price"),
         F.col("p_name").alias("offer_title"),
         F.lit(None).cast("string").alias("location"),
-        F.when(F.col("p_type") == "SMALL", F.lit(None).cast("boolean"))
-         .otherwise(F.col("p_type") != "PROMO").alias("is_active"),
+        F.expr("CASE WHEN p_type = 'SMALL' THEN CAST(NULL AS BOOLEAN) ELSE p_type <> 'PROMO' END")
+         .alias("is_active"),
         F.lit(1).alias("seq"),
     )
-    r2 = part.filter(size >= 40).select(
-        F.when(size == 50, part_url(k, host_www=False)).otherwise(part_url(k)).alias("url"),
-        last_band(size * 5).alias("size_category"),
+    r2 = part.filter(F.col("p_size") >= 40).select(
+        F.when(F.col("p_size") == 50, part_url("p_partkey", host_www=False))
+         .otherwise(part_url("p_partkey")).alias("url"),
+        last_band(F.col("p_size") * 5).alias("size_category"),
         F.lit(None).cast("string").alias("offer_id"),
-        (k * 10 + size + 1).cast("string").alias("price"),
+        F.expr("CAST(p_partkey * 10 + p_size + 1 AS STRING)").alias("price"),
         F.upper(F.col("p_name")).alias("offer_title"),
         F.col("p_type").alias("location"),
-        (F.col("p_type") != "LARGE").alias("is_active"),
+        F.expr("p_type <> 'LARGE'").alias("is_active"),
         F.lit(2).alias("seq"),
     )
     return r1.unionByName(r2)
@@ -151,17 +152,16 @@ def map_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def status_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_type")
-    k = F.col("p_partkey")
     return part.filter((F.col("p_size") >= 25) & (F.col("p_size") <= 45)).select(
-        part_url(k).alias("url"),
-        F.when(F.col("p_type") == "PROMO", F.lit("No")).otherwise(F.lit("Yes")).alias("status"),
+        part_url("p_partkey").alias("url"),
+        F.expr("CASE WHEN p_type = 'PROMO' THEN 'No' ELSE 'Yes' END").alias("status"),
     )
 
 
 def lookup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part a line item refers to, as offer URLs."""
     li = table(spark, sf_dir, "lineitem").select("l_partkey")
-    return li.select(part_url(F.col("l_partkey")).alias("url"))
+    return li.select(part_url("l_partkey").alias("url"))
 
 
 def page_slice(html: Column) -> Column:

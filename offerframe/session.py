@@ -23,6 +23,9 @@ _SQL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Python call-site capture costs several JVM round trips per Column call
+    # while plans are built; it only decorates error messages.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -33,7 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     footer read happen once, like registering it in a catalog; no data is
     cached)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    try:
+        owner = spark.sparkContext.applicationId
+    except Exception:  # sessions without a local context (Spark Connect)
+        owner = str(id(spark))
+    key = (owner, path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]

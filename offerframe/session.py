@@ -69,18 +69,25 @@ def checkpoint_root(spark: SparkSession) -> str:
     context).  Only when neither is set -- a local test run -- a fresh
     scratch folder is created and registered, so later calls agree.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        try:
-            conf_dir = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # not set
-            conf_dir = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: only the SQL conf is visible
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+    conf_dir = None
+    try:
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:
+        conf_dir = None
+    if not conf_dir and sc is not None:
+        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="offerframe-ckpt-")
+    if sc is None:
+        return conf_dir
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 

@@ -18,10 +18,12 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     groups yields fewer splits than cores, leaving cores idle; only then
     are the rows dealt round-robin over the cores.  A big input already has
     more splits than cores and is returned untouched (no shuffle)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no local context (Spark Connect): leave the scan as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def pages_for_links(pages: DataFrame, links: DataFrame) -> DataFrame:

@@ -77,15 +77,18 @@ def approx_quartiles(df: DataFrame, group_col: str, value_col: str,
 
 
 def boxplot(df: DataFrame, group_col: str, value_col: str, tiebreak: str,
-            digits: int | None = 4, num_partitions: int | None = None) -> DataFrame:
+            digits: int | None = 4, num_partitions: int | None = None,
+            exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """A4: box-plot data per group.
 
     n, q1, median, q3, iqr, whiskers (extreme values inside the 1.5 IQR
     fences), outlier counts below/above.  The quartile table (one row per
     group) is joined to the values once -- AQE broadcasts it when small --
-    and a single partial aggregate yields everything else.
+    and a single partial aggregate yields everything else.  `exact=False`
+    takes the quartiles from the bounded-memory sketch instead of ranking.
     """
-    q = exact_quantiles(df, group_col, value_col, tiebreak, num_partitions=num_partitions)
+    q = (exact_quantiles(df, group_col, value_col, tiebreak, num_partitions=num_partitions)
+         if exact else approx_quartiles(df, group_col, value_col, accuracy))
     v = F.col(value_col)
     data = df.select(group_col, value_col).filter(v.isNotNull() & F.col(group_col).isNotNull())
     iqr = F.col("q3") - F.col("q1")

@@ -78,3 +78,12 @@ def test_completeness(spark):
     rows = {r.website: r for r in Q.completeness(df).collect()}
     assert rows["s"].category_complete == 0.5 and rows["s"].offer_title_complete == 1.0
     assert rows[None].n_offers == 2 and rows[None].location_complete == 0.5
+
+
+def test_approx_boxplot_close_to_exact(spark):
+    rows = [(i, "g", float(i % 97)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, g string, x double")
+    ex = A.boxplot(df, "g", "x", "id").first()
+    ap = A.boxplot(df, "g", "x", "id", exact=False).first()
+    assert ex.n == ap.n == 2000
+    assert abs(ex.median - ap.median) <= 1.0 and abs(ex.q1 - ap.q1) <= 1.0

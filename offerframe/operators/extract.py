@@ -17,8 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import (Selector, clean_html, element_text, select_found,
-                              select_inner)
+from ..functions.html import Selector, clean_html, element_text, select_inner
 from ..functions.text import split_after, website_from_url
 from ..profiles import PageRules
 from ..schema import ACTIVE_NO, NOT_FOUND, OFFER_COLUMNS, UNKNOWN
@@ -73,7 +72,7 @@ def parse_pages(pages: DataFrame, rules: PageRules, category: Column | None = No
         "*",
         website_from_url(F.col("url"), rules.tld_token).alias("website"),
         select_inner(F.col("_clean"), Selector("title")).alias("_title_raw"),
-        select_found(F.col("_clean"), rules.expired).alias("_expired"),
+        is_expired(F.col("_clean"), rules.expired).alias("_expired"),
         route(F.col("url"), rules).alias("_site"))
     s3 = s2.select("*", element_text(F.col("_title_raw")).alias("_title")).drop("_title_raw")
     status = page_state(is_dead(F.col("_title"), rules.dead_title_markers), F.col("_expired"))

@@ -14,6 +14,13 @@ spread over many partitions, and numbered in three steps:
 
 The order keys must be total (end with a unique column) so ties cannot
 make the numbering depend on fetch order.
+
+The placed rows (with partition id and position) are written once to the
+shared checkpoint folder and both steps read that copy.  This is required,
+not an optimisation: the range partitioner draws its sample with a seed
+taken from the RDD id, so two executions of the same plan can cut the key
+range differently, and statistics from one run would not fit rows placed
+by another.  The copy also cuts the lineage (executor loss re-reads files).
 """
 
 from __future__ import annotations
@@ -21,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 
 def rank_within(df: DataFrame, group_cols: list[str], order_cols: list[Column | str],
                 num_partitions: int | None = None, rank_col: str = "rank",
@@ -38,7 +47,10 @@ def rank_within(df: DataFrame, group_cols: list[str], order_cols: list[Column |
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     placed = placed.withColumn(
-        "_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
+        "_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)).drop("_mid")
+    path = shared_dir(spark, "rank")
+    placed.write.parquet(path)
+    placed = spark.read.parquet(path)
 
     stats = placed.groupBy("_pid", *group_cols).agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
@@ -58,4 +70,4 @@ def rank_within(df: DataFrame, group_cols: list[str], order_cols: list[Column |
         cond = cond & F.col(g).eqNullSafe(F.col(r))
     out = (placed.join(stats, on=cond, how="inner")
            .withColumn(rank_col, F.col("_offset") + F.col("_pos") - F.col("_first") + 1))
-    return out.drop("_pid", "_spid", "_mid", "_pos", "_first", "_offset", *renamed.values())
+    return out.drop("_pid", "_spid", "_pos", "_first", "_offset", *renamed.values())

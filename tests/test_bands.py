@@ -79,3 +79,17 @@ def test_order_in_band(spark):
                                 ("v1", "B", 5.0)], "url string, category string, p double")
     out = {r.url: r.rank_in_band for r in B.order_in_band(df, "category", F.col("p"), "url").collect()}
     assert out == {"u0": 1, "u3": 2, "u1": 3, "u2": 4, "v1": 1}
+
+
+def test_rank_within_stable_on_large_single_partition(spark):
+    # Regression: more rows than the range partitioner samples, one input
+    # partition -- the sample (and the cut points) differ between two
+    # executions, so the placed rows must be materialised once.
+    df = spark.range(0, 20000).coalesce(1).select(
+        "id", (F.col("id") % 10).cast("string").alias("g"),
+        ((F.col("id") * 7919) % 997).cast("double").alias("x"))
+    w = Window.partitionBy("g").orderBy("x", "id")
+    want = df.withColumn("rank", F.row_number().over(w))
+    got = rank_within(df, ["g"], ["x", "id"], num_partitions=8)
+    assert got.count() == 20000
+    assert got.select("id", "g", "x", "rank").exceptAll(want).count() == 0

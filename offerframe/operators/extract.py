@@ -21,6 +21,7 @@ from ..functions.html import Selector, clean_html, element_text, select_inner
 from ..functions.text import split_after, website_from_url
 from ..profiles import PageRules
 from ..schema import ACTIVE_NO, NOT_FOUND, OFFER_COLUMNS, UNKNOWN
+from .merge import latest_per_key
 from .status import is_dead, is_expired, page_state
 
 FIELDS = ("offer_id", "price", "offer_title", "location")
@@ -135,9 +136,14 @@ def offer_pages(links: DataFrame, pages: DataFrame, rules: PageRules) -> DataFra
     """P12 driven by a link map (url, category): parse every page first
     (narrow output, no `html` in any shuffle), then join the narrow records
     to the link map on url.  Links without a stored page are quarantined as
-    `page missing`; pages that are not in the map are not returned."""
+    `page missing`; pages that are not in the map are not returned; of a
+    URL stored several times the latest page (greatest `page_id`) counts."""
     parsed = parse_pages(pages.select("page_id", "url", "html"), rules, keep=("page_id",))
-    parsed = parsed.withColumnRenamed("category", "_unused").drop("_unused")
+    parsed = parsed.drop("category")
+    # One record per URL (the latest stored page) before the join: a URL
+    # stored many times is collapsed map-side, so the join is one-to-one.
+    parsed = latest_per_key(parsed, "url", "page_id",
+                            columns=[c for c in parsed.columns if c != "url"])
     joined = links.select("url", F.col("category").alias("_cat")).join(parsed, "url", "left")
     missing = F.col("page_id").isNull()
     ok = F.col("reason").isNull() & ~missing

@@ -127,3 +127,10 @@ def test_plan_cleans_once(spark):
     out = X.parse_pages(p, SYNTHETIC_PAGE_RULES)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_replace(html") == 1
+
+
+def test_offer_pages_latest_stored_version_wins(spark):
+    links = spark.createDataFrame([(BASE + "a.html", "25-40")], "url string, category string")
+    rows = [(i, BASE + "a.html", live_base(i, price=f"{i} zł")) for i in range(1, 30)]
+    out = X.offer_pages(links, pages(spark, rows), REFERENCE_PAGE_RULES).collect()
+    assert len(out) == 1 and out[0].page_id == 29 and out[0].price == "29 zł"

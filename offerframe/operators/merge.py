@@ -31,16 +31,7 @@ MAP_FIELDS = ("offer_id", "price", "offer_title", "location")
 def project_record(df: DataFrame, columns=OFFER_COLUMNS, missing: str = NO_DATA) -> DataFrame:
     """M6: keep the accepted columns; absent (or NULL) values -> `No data`;
     extra columns are ignored.  `url` is never defaulted."""
-    present = set(df.columns)
-    out = []
-    for c in columns:
-        if c == "url":
-            out.append(F.col("url"))
-        elif c in present:
-            out.append(F.coalesce(F.col(c).cast("string"), F.lit(missing)).alias(c))
-        else:
-            out.append(F.lit(missing).alias(c))
-    return df.select(*out)
+    return df.select(*[_projected(df, c, missing) for c in columns])
 
 
 def value_or_default(value: Column, default: str) -> Column:
@@ -102,9 +93,9 @@ def _map_updates(updates: DataFrame, seq) -> DataFrame:
     upd = updates.select(*present, *[F.lit(None).cast("string" if c != "is_active" else "boolean")
                                       .alias(c) for c in missing],
                          *[F.col(s) for s in _as_list(seq)])
-    if seq:
-        upd = latest_per_key(upd, "url", seq, columns=cols[1:])
-    return upd
+    # One row per url: the latest by `seq`; without a sequence a repeated
+    # url still yields one row (the greatest record), never a duplicate.
+    return latest_per_key(upd, "url", seq or cols[1:], columns=cols[1:])
 
 
 def _insert_values(u: str = "u") -> dict[str, Column]:

@@ -110,6 +110,20 @@ def band_requests(bases: DataFrame, base_col: str = "base", bands=REFERENCE_BAND
                     F.concat(F.col("base"), F.col("_r.suffix")).alias("request_url")))
 
 
+def band_of_request(url: Column, bands=REFERENCE_BANDS) -> Column:
+    """Inverse of L10: the band (struct) whose area bounds a search request
+    URL carries (`...from%5D=<lo>` / `...to%5D=<hi>`); NULL when none fits.
+    Lets stored result pages carry their slice in their own URL."""
+    lo = F.regexp_extract(url, r"filter_float_m:from%5D=([0-9]+)", 1)
+    hi = F.regexp_extract(url, r"filter_float_m:to%5D=([0-9]+)", 1)
+    out = None
+    for b in _check(bands):
+        cond = (lo == F.lit("" if b.lo is None else str(b.lo))) & \
+               (hi == F.lit("" if b.hi is None else str(b.hi)))
+        out = F.when(cond, _struct(b)) if out is None else out.when(cond, _struct(b))
+    return out
+
+
 def order_in_band(df: DataFrame, category_col: str, price: Column, key_col: str,
                   num_partitions: int | None = None) -> DataFrame:
     """Position of each row inside its band, price ascending (NULL

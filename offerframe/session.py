@@ -23,6 +23,9 @@ _SQL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+# Static settings: only effective when the session is first built.
+_STATIC_CONF = {
     # Python call-site capture costs several JVM round trips per Column call
     # while plans are built; it only decorates error messages.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -35,7 +38,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false")
-    for key, value in _SQL_CONF.items():
+    for key, value in {**_SQL_CONF, **_STATIC_CONF}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -55,7 +58,7 @@ def local_session(cores: int = 8, memory: str = "8g") -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.default.parallelism", str(cores))
     )
-    for key, value in _SQL_CONF.items():
+    for key, value in {**_SQL_CONF, **_STATIC_CONF}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -179,6 +179,12 @@ def status_unmatched(base: DataFrame, updates: DataFrame) -> DataFrame:
     return updates.select("url").distinct().join(base.select("url"), "url", "left_anti")
 
 
+def lookup_one(base: DataFrame, url: str, key: str = "url") -> DataFrame:
+    """M5 for a single key: an equality filter, pushed into the Parquet scan
+    (with url-sorted snapshot files most row groups are skipped)."""
+    return base.filter(F.col(key) == F.lit(url))
+
+
 def key_lookup(base: DataFrame, keys: DataFrame, key: str = "url") -> DataFrame:
     """M5: the rows for a key set (semi join); a single key is a plain
     filter, which Parquet pushes down."""

@@ -123,3 +123,14 @@ def test_m1_size_is_union_of_keys_on_tables(spark):
     out = M.upsert_overwrite(b, u, "seq")
     keys = b.select("url").union(u.select("url")).distinct().count()
     assert out.count() == keys == out.select("url").distinct().count()
+
+
+def test_m5_single_key_is_pushed_down(spark, tmp_root):
+    from offerframe.plans import fixtures as FX
+    from offerframe.sources import snapshots as SN
+    SN.write_snapshot(FX.merge_base(spark, "/root/testdata/sf0.001"), tmp_root)
+    url = "https://www.sitea.pl/d/2.html"
+    df = M.lookup_one(SN.read_snapshot(spark, tmp_root), url)
+    assert [r.url for r in df.collect()] == [url]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert f"EqualTo(url,{url})" in plan

@@ -73,7 +73,8 @@ def upsert_overwrite(base: DataFrame, updates: DataFrame, seq: list[str] | str,
     """M1 (+M6): last update per key wins and replaces every column; new keys
     are inserted.  One full outer join, each side shuffled once on `url`."""
     seq_cols = _as_list(seq)
-    rec = updates.select(*[_projected(updates, c) for c in OFFER_COLUMNS], *seq_cols)
+    rec = (updates.filter(F.col(key).isNotNull())   # `url` is NOT NULL in the table
+           .select(*[_projected(updates, c) for c in OFFER_COLUMNS], *seq_cols))
     u = latest_per_key(rec, key, seq_cols, columns=VALUE_COLUMNS).alias("u")
     b = base.select(*OFFER_COLUMNS).alias("b")
     j = b.join(u, F.col(f"b.{key}") == F.col(f"u.{key}"), "full_outer")
@@ -90,9 +91,10 @@ def _map_updates(updates: DataFrame, seq) -> DataFrame:
     cols = ["url", "size_category", *MAP_FIELDS, "is_active"]
     present = [c for c in cols if c in updates.columns]
     missing = [c for c in cols if c not in updates.columns]
-    upd = updates.select(*present, *[F.lit(None).cast("string" if c != "is_active" else "boolean")
-                                      .alias(c) for c in missing],
-                         *[F.col(s) for s in _as_list(seq)])
+    upd = updates.filter(F.col("url").isNotNull()).select(
+        *present, *[F.lit(None).cast("string" if c != "is_active" else "boolean").alias(c)
+                    for c in missing],
+        *[F.col(s) for s in _as_list(seq)])
     # One row per url: the latest by `seq`; without a sequence a repeated
     # url still yields one row (the greatest record), never a duplicate.
     return latest_per_key(upd, "url", seq or cols[1:], columns=cols[1:])
@@ -164,7 +166,8 @@ def status_update(base: DataFrame, updates: DataFrame, seq: list[str] | str | No
                   status_col: str = "status") -> DataFrame:
     """M4: `active` := status for keys in the table; the rest are reported
     by `status_unmatched`.  Adds `updated` (boolean)."""
-    upd = updates.select("url", F.col(status_col).alias("_status"), *_as_list(seq))
+    upd = (updates.filter(F.col("url").isNotNull())
+           .select("url", F.col(status_col).alias("_status"), *_as_list(seq)))
     upd = latest_per_key(upd, "url", seq, ["_status"]) if seq else \
         upd.groupBy("url").agg(F.max("_status").alias("_status"))
     j = base.select(*OFFER_COLUMNS).join(upd, "url", "left")

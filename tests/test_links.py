@@ -76,3 +76,10 @@ def test_discover_links_job(spark, tmp_root):
     assert [x.url for x in lst.collect()] == sorted(x.url for x in lst.collect())
     m = {x.url: x.size_category for x in OM.read_offer_map(spark, out["offers"]).collect()}
     assert m["https://www.olx.pl/d/oferta/a.html"] == "40-50"  # later slice wins
+
+
+def test_null_html_and_url_yield_no_links(spark):
+    pages = spark.createDataFrame([(1, None, "<a href='/x.html'>x</a>"), (2, "https://h/p", None)],
+                                  "page_id long, url string, html string")
+    links = L.absolute_links(L.extract_anchors(pages), REFERENCE_LINK_RULES).collect()
+    assert [r.link for r in links] == ["https://www.olx.pl/x.html"]

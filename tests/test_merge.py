@@ -134,3 +134,11 @@ def test_m5_single_key_is_pushed_down(spark, tmp_root):
     assert [r.url for r in df.collect()] == [url]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert f"EqualTo(url,{url})" in plan
+
+
+def test_null_keys_in_updates_are_ignored(spark):
+    upd = spark.createDataFrame([(None, "1", 1), (U + "1.html", "2", 1)], "url string, price string, seq int")
+    out = M.upsert_overwrite(base(spark), upd, "seq").collect()
+    assert all(r.url is not None for r in out) and len(out) == 3
+    mu = spark.createDataFrame([(None, "-25")], "url string, size_category string")
+    assert all(r.url is not None for r in M.merge_fill_unknown(base(spark), mu).collect())

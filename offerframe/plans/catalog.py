@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.codecs import get_bool, put_bool
+from ..functions.codecs import get_bool, put_bool, snapshot_stamp
 from ..functions.html import Selector, clean_html, with_texts
 from ..functions.text import base_of_url, website_from_url
 from ..operators import bands as B
@@ -232,6 +232,30 @@ def offer_map_roundtrip(spark, sf_dir):
     return offers.select("url", F.col("size_category").alias("category"))
 
 
+def parse_counts(spark, sf_dir):
+    """Result counts of the extraction over all pages, one row."""
+    return page_offers(spark, sf_dir).agg(*X.parse_metrics())
+
+
+def event_minute_stamps(spark, sf_dir):
+    """L14 over a real time column: events per `YYYYMMDDHHMM` stamp."""
+    ev = FX.table(spark, sf_dir, "events").select("ts")
+    return ev.groupBy(snapshot_stamp(F.col("ts")).alias("stamp")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def offer_map_load(spark, sf_dir):
+    """S2 + S4 + M2: the link map written as an offer map, then loaded into
+    an empty table with the fill-unknown merge."""
+    from ..sources import offermap as OM
+    from ..sources import snapshots as SN
+    from ..session import shared_dir
+    from . import jobs
+    root = shared_dir(spark, "offer-map-load")
+    path = OM.write_offer_map(links_overlay(spark, sf_dir), f"{root}/maps", "202401010000")
+    jobs.load_offer_map(spark, path, f"{root}/table")
+    return SN.read_snapshot(spark, f"{root}/table")
+
+
 def stream_offers(spark, sf_dir):
     from ..streaming import ingest
     return ingest.run_page_stream(spark, sf_dir, PAGE_RULES)
@@ -272,4 +296,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "link_list_roundtrip": link_list_roundtrip,
     "offer_map_roundtrip": offer_map_roundtrip,
     "stream_offers": stream_offers,
+    "parse_counts": parse_counts,
+    "event_minute_stamps": event_minute_stamps,
+    "offer_map_load": offer_map_load,
 }

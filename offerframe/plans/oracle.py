@@ -368,6 +368,18 @@ FROM ov GROUP BY ROLLUP (website)""",
     "link_list_roundtrip": f"SELECT DISTINCT link AS url FROM ({LINKS_ABSOLUTE})",
     "offer_map_roundtrip": f"WITH {BANDS_CTE}, sp AS ({SLICED_PAGES}) "
                            f"SELECT url, arg_max(category, ord) AS category FROM ({SLICE_LINKS}) GROUP BY url",
+    "parse_counts": f"""WITH {BANDS_CTE}, sp AS ({SLICED_PAGES}), po AS ({PAGE_OFFERS})
+SELECT count(*) AS pages, count(*) FILTER (WHERE reason IS NULL) AS offers,
+       count(*) FILTER (WHERE status = 'live') AS live, count(*) FILTER (WHERE status = 'dead') AS dead,
+       count(*) FILTER (WHERE status = 'expired') AS expired,
+       count(*) FILTER (WHERE reason IS NOT NULL) AS quarantined
+FROM po""",
+    "event_minute_stamps": "SELECT strftime(ts, '%Y%m%d%H%M') AS stamp, count(*) AS n FROM events GROUP BY 1",
+    "offer_map_load": f"""WITH {BANDS_CTE}, sp AS ({SLICED_PAGES}),
+m AS (SELECT url, arg_max(category, ord) AS category FROM ({SLICE_LINKS}) GROUP BY url)
+SELECT url, category, {website('url', '.pl')} AS website, 'Unknown' AS offer_id, 'Unknown' AS price,
+       'Unknown' AS offer_title, 'Unknown' AS location, '1' AS active
+FROM m WHERE {website('url', '.pl')} IS NOT NULL""",
     "stream_offers": f"""WITH {BANDS_CTE}, sp AS ({SLICED_PAGES}), po AS ({PAGE_OFFERS})
 SELECT {', '.join(ALL_COLS)} FROM (
   SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id DESC) AS rn FROM po WHERE reason IS NULL)

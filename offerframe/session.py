@@ -69,8 +69,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
     Read from the session first (`spark.checkpoint.dir` or one set on the
-    context).  Only when neither is set -- a local test run -- a fresh
-    scratch folder is created and registered, so later calls agree.
+    context).  Only when neither is set and the master is local (tests) a
+    fresh scratch folder is created and registered, so later calls agree;
+    on a cluster an unset folder is an error, never a machine-local path.
     """
     try:
         sc = spark.sparkContext
@@ -88,6 +89,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not conf_dir and sc is not None:
         conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        try:
+            master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        except Exception:
+            master = ""
+        if not master.startswith("local"):
+            # A machine-local folder is invisible to other executors.
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         conf_dir = tempfile.mkdtemp(prefix="offerframe-ckpt-")
     if sc is None:
         return conf_dir

@@ -31,13 +31,10 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 
-def rank_within(df: DataFrame, group_cols: list[str], order_cols: list[Column | str],
-                num_partitions: int | None = None, rank_col: str = "rank",
-                size_col: str | None = None) -> DataFrame:
-    """Add `rank_col` = 1-based row number inside each group by `order_cols`.
-
-    `size_col`, when given, also gets the group's row count.
-    """
+def place(df: DataFrame, group_cols: list[str], order_cols: list[Column | str],
+          num_partitions: int | None = None) -> DataFrame:
+    """Range-partition on (group, order), note each row's partition and its
+    position inside the sorted partition, write once, read back."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
@@ -50,8 +47,12 @@ def rank_within(df: DataFrame, group_cols: list[str], order_cols: list[Column |
         "_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)).drop("_mid")
     path = shared_dir(spark, "rank")
     placed.write.parquet(path)
-    placed = spark.read.parquet(path)
+    return spark.read.parquet(path)
 
+
+def number_placed(placed: DataFrame, group_cols: list[str], rank_col: str = "rank",
+                  size_col: str | None = None) -> DataFrame:
+    """Row numbers for rows written by `place` (offsets from a small table)."""
     stats = placed.groupBy("_pid", *group_cols).agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
     before = (Window.partitionBy(*group_cols).orderBy("_pid")
@@ -71,3 +72,14 @@ def rank_within(df: DataFrame, group_cols: list[str], order_cols: list[Column |
     out = (placed.join(stats, on=cond, how="inner")
            .withColumn(rank_col, F.col("_offset") + F.col("_pos") - F.col("_first") + 1))
     return out.drop("_pid", "_spid", "_pos", "_first", "_offset", *renamed.values())
+
+
+def rank_within(df: DataFrame, group_cols: list[str], order_cols: list[Column | str],
+                num_partitions: int | None = None, rank_col: str = "rank",
+                size_col: str | None = None) -> DataFrame:
+    """Add `rank_col` = 1-based row number inside each group by `order_cols`.
+
+    `size_col`, when given, also gets the group's row count.
+    """
+    placed = place(df, group_cols, order_cols, num_partitions)
+    return number_placed(placed, group_cols, rank_col, size_col)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import strict_number
-from .rank import rank_within
+from .rank import number_placed, place
 
 QUARTILES = (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
 WHISKER = 1.5
@@ -41,9 +41,15 @@ def numeric_only(df: DataFrame, col: str = "price_numeric") -> DataFrame:
 def exact_quantiles(df: DataFrame, group_col: str, value_col: str, tiebreak: str,
                     probs=QUARTILES, num_partitions: int | None = None) -> DataFrame:
     """Exact, interpolated quantiles per group: (group, n, <name>...)."""
+    return _quantiles_and_values(df, group_col, value_col, tiebreak, probs, num_partitions)[0]
+
+
+def _quantiles_and_values(df, group_col, value_col, tiebreak, probs, num_partitions):
+    """Quantile table plus the written (group, value) rows it came from, so
+    a second pass reads that narrow copy instead of the source again."""
     base = df.select(group_col, value_col, tiebreak).filter(F.col(value_col).isNotNull())
-    ranked = rank_within(base, [group_col], [F.col(value_col), F.col(tiebreak)],
-                         num_partitions=num_partitions, rank_col="_r", size_col="_n")
+    placed = place(base, [group_col], [F.col(value_col), F.col(tiebreak)], num_partitions)
+    ranked = number_placed(placed, [group_col], rank_col="_r", size_col="_n")
     # position p*(n-1) (0-based) -> 1-based ranks lo = floor+1, hi = ceil+1
     pos = {name: F.lit(p) * (F.col("_n") - 1) for name, p in probs}
     lo = {name: F.floor(e) + 1 for name, e in pos.items()}
@@ -63,7 +69,7 @@ def exact_quantiles(df: DataFrame, group_col: str, value_col: str, tiebreak: str
     for name, _ in probs:
         a, b, d = F.col(f"_{name}_lo"), F.col(f"_{name}_hi"), F.col(f"_{name}_frac")
         out.append((a + d * (b - a)).alias(name))
-    return g.select(*out)
+    return g.select(*out), placed.select(group_col, value_col)
 
 
 def approx_quartiles(df: DataFrame, group_col: str, value_col: str,
@@ -87,10 +93,14 @@ def boxplot(df: DataFrame, group_col: str, value_col: str, tiebreak: str,
     and a single partial aggregate yields everything else.  `exact=False`
     takes the quartiles from the bounded-memory sketch instead of ranking.
     """
-    q = (exact_quantiles(df, group_col, value_col, tiebreak, num_partitions=num_partitions)
-         if exact else approx_quartiles(df, group_col, value_col, accuracy))
     v = F.col(value_col)
-    data = df.select(group_col, value_col).filter(v.isNotNull() & F.col(group_col).isNotNull())
+    if exact:
+        q, data = _quantiles_and_values(df, group_col, value_col, tiebreak, QUARTILES,
+                                        num_partitions)
+    else:
+        q = approx_quartiles(df, group_col, value_col, accuracy)
+        data = df.select(group_col, value_col).filter(v.isNotNull())
+    data = data.filter(F.col(group_col).isNotNull())
     iqr = F.col("q3") - F.col("q1")
     lo_fence, hi_fence = F.col("q1") - WHISKER * iqr, F.col("q3") + WHISKER * iqr
     # Null-safe equality: no `isnotnull` constraint is inferred and pushed

@@ -232,6 +232,16 @@ def offer_map_roundtrip(spark, sf_dir):
     return offers.select("url", F.col("size_category").alias("category"))
 
 
+def offers_from_map(spark, sf_dir):
+    """S10 + P12: a link map (the stored pages' own URLs plus the links
+    found in their anchors, last slice wins) driving the offer job: found
+    pages parsed, the rest quarantined as `page missing`."""
+    sp = _sliced_pages(spark, sf_dir)
+    own = sp.select("url", F.col("slice").alias("category"), F.col("slice_ord").alias("ord"))
+    link_map = L.overlay_last_wins(own.unionByName(_slice_links(spark, sf_dir)))
+    return X.offer_pages(link_map, _pages(spark, sf_dir), PAGE_RULES)
+
+
 def parse_counts(spark, sf_dir):
     """Result counts of the extraction over all pages, one row."""
     return page_offers(spark, sf_dir).agg(*X.parse_metrics())
@@ -292,6 +302,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "offer_map_roundtrip": offer_map_roundtrip,
     "stream_offers": stream_offers,
     "parse_counts": parse_counts,
+    "offers_from_map": offers_from_map,
     "event_minute_stamps": event_minute_stamps,
     "offer_map_load": offer_map_load,
 }

@@ -374,6 +374,19 @@ SELECT count(*) AS pages, count(*) FILTER (WHERE reason IS NULL) AS offers,
        count(*) FILTER (WHERE status = 'expired') AS expired,
        count(*) FILTER (WHERE reason IS NOT NULL) AS quarantined
 FROM po""",
+    "offers_from_map": f"""WITH {BANDS_CTE}, sp AS ({SLICED_PAGES}), po AS ({PAGE_OFFERS}),
+pl AS (SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id DESC) AS rn FROM po) WHERE rn = 1),
+lm AS (SELECT url, arg_max(category, ord) AS category FROM (
+  SELECT url, slice AS category, slice_ord AS ord FROM sp
+  UNION ALL SELECT url, category, ord FROM ({SLICE_LINKS})) GROUP BY url)
+SELECT pl.page_id, lm.url,
+       CASE WHEN pl.page_id IS NOT NULL AND pl.reason IS NULL THEN coalesce(lm.category, 'Unknown') END AS category,
+       {', '.join(f"CASE WHEN pl.page_id IS NOT NULL THEN pl.{c} END AS {c}"
+                  for c in ('website', 'offer_id', 'price', 'offer_title', 'location', 'active'))},
+       CASE WHEN pl.page_id IS NULL THEN 'quarantine' ELSE pl.status END AS status,
+       CASE WHEN pl.page_id IS NULL THEN 'page missing' ELSE pl.reason END AS reason
+FROM lm LEFT JOIN pl ON lm.url = pl.url""",
     "event_minute_stamps": "SELECT strftime(ts, '%Y%m%d%H%M') AS stamp, count(*) AS n FROM events GROUP BY 1",
     "offer_map_load": f"""WITH {BANDS_CTE}, sp AS ({SLICED_PAGES}),
 m AS (SELECT url, arg_max(category, ord) AS category FROM ({SLICE_LINKS}) GROUP BY url)

@@ -1,7 +1,7 @@
 """Command line: the original tool's entry points as Spark jobs.
 
-    spark-submit -m offerframe discover --pages P --out DIR
-    python -m offerframe scrape   --maps DIR --pages P --table DIR --quarantine DIR
+    python -m offerframe discover --pages P --out DIR
+    python -m offerframe extract  --maps DIR --pages P --table DIR --quarantine DIR
     python -m offerframe load     --map PATH --table DIR [--policy fill_unknown|conditional]
     python -m offerframe analyse  --table DIR --out DIR
     python -m offerframe ingest   --source DIR --table DIR --checkpoint DIR [--continuous]
@@ -9,7 +9,9 @@
 `--pages` is a Parquet table (page_id, url, html).  For `discover` the pages
 are stored search-result pages; each one's size slice is read from its own
 request URL (the inverse of the request builder).  Site rules default to
-the original tool's values (offerframe.profiles).
+the original tool's values (offerframe.profiles).  On a cluster the
+session comes from the environment (e.g. `PYSPARK_SUBMIT_ARGS` or a
+`spark-submit` wrapper importing `offerframe.__main__.main`).
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ def main(argv: list[str] | None = None) -> dict:
     d.add_argument("--pages", required=True)
     d.add_argument("--out", required=True)
     d.add_argument("--stamp", default=None)
-    s = sub.add_parser("scrape", help="newest offer map + stored pages -> offers table")
+    s = sub.add_parser("extract", help="newest offer map + stored pages -> offers table")
     s.add_argument("--maps", required=True)
     s.add_argument("--pages", required=True)
     s.add_argument("--table", required=True)
@@ -70,9 +72,9 @@ def main(argv: list[str] | None = None) -> dict:
         out = jobs.discover_links(sliced, REFERENCE_LINK_RULES, args.out, args.stamp or _stamp())
         check = out["reconcile"].first().asDict()
         result = {"links": out["links"], "offers": out["offers"], "reconcile": check}
-    elif args.cmd == "scrape":
+    elif args.cmd == "extract":
         pages = PG.read_pages(spark, args.pages)
-        out = jobs.scrape_offers(spark, args.maps, pages, REFERENCE_PAGE_RULES,
+        out = jobs.extract_offers(spark, args.maps, pages, REFERENCE_PAGE_RULES,
                                  args.table, args.quarantine)
         result = {"map": out["map"], "version": out["version"], "counts": out["counts"]}
     elif args.cmd == "load":

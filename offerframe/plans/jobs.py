@@ -43,7 +43,7 @@ def discover_links(result_pages: DataFrame, rules: LinkRules, out_root: str, sta
     return {"links": list_path, "offers": map_path, "reconcile": check}
 
 
-def scrape_offers(spark: SparkSession, map_root: str, pages: DataFrame, rules: PageRules,
+def extract_offers(spark: SparkSession, map_root: str, pages: DataFrame, rules: PageRules,
                   table_root: str, quarantine_root: str) -> dict:
     """Entry B on stored pages: newest offer map -> parse pages -> upsert.
 

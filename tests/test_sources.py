@@ -78,7 +78,7 @@ def test_stamp(spark):
     assert df.select(snapshot_stamp(F.col("t")).alias("s")).first().s == "202403050709"
 
 
-def test_scrape_offers_job(spark, tmp_root):
+def test_extract_offers_job(spark, tmp_root):
     base = "https://www.olx.pl/d/"
     html = ('<html><head><title>T</title></head><body><div data-cy="ad_title"><h4>Flat</h4></div>'
             '<div data-testid="ad-price-container"><h3>10</h3></div></body></html>')
@@ -88,7 +88,7 @@ def test_scrape_offers_job(spark, tmp_root):
     links = spark.createDataFrame([(base + "a.html", "25-40"), ("https://www.other.pl/b.html", "-25"),
                                    (base + "gone.html", "-25")], "url string, category string")
     OM.write_offer_map(links, maps, "202401010000")
-    out = jobs.scrape_offers(spark, maps, pages, REFERENCE_PAGE_RULES,
+    out = jobs.extract_offers(spark, maps, pages, REFERENCE_PAGE_RULES,
                              os.path.join(tmp_root, "table"), os.path.join(tmp_root, "q"))
     table = {r.url: r for r in SN.read_snapshot(spark, os.path.join(tmp_root, "table")).collect()}
     assert list(table) == [base + "a.html"] and table[base + "a.html"].offer_title == "Flat"

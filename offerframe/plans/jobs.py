@@ -43,12 +43,28 @@ def discover_links(result_pages: DataFrame, rules: LinkRules, out_root: str, sta
     return {"links": list_path, "offers": map_path, "reconcile": check}
 
 
+def _read_table(spark, table_root, bucketed):
+    if bucketed:
+        return SN.read_bucketed(spark, table_root, bucketed[0])
+    return SN.read_snapshot(spark, table_root)
+
+
+def _write_table(df, table_root, bucketed):
+    if bucketed:
+        return SN.write_bucketed(df, table_root, bucketed[0], bucketed[1])
+    return SN.write_snapshot(df, table_root)
+
+
 def extract_offers(spark: SparkSession, map_root: str, pages: DataFrame, rules: PageRules,
-                  table_root: str, quarantine_root: str) -> dict:
+                   table_root: str, quarantine_root: str,
+                   bucketed: tuple[str, int] | None = None) -> dict:
     """Entry B on stored pages: newest offer map -> parse pages -> upsert.
 
     The parsed frame is written before it is split into offers and
     quarantine (a filter on extracted fields would repeat the cleaning).
+    `bucketed=(name, buckets)` keeps table versions bucketed by url (see
+    `sources.snapshots.write_bucketed`): the upsert then leaves the table
+    where it lies and shuffles only the new records.
     """
     map_path, offer_map = OM.read_newest_offer_map(spark, map_root)
     links = offer_map.select("url", F.col("size_category").alias("category"))
@@ -60,19 +76,23 @@ def extract_offers(spark: SparkSession, map_root: str, pages: DataFrame, rules:
     parsed.observe(counts, *X.parse_metrics()).write.mode("overwrite").parquet(work)
     parsed = spark.read.parquet(work)
     good = parsed.filter(F.col("reason").isNull())
-    base = SN.read_snapshot(spark, table_root)
-    version = SN.write_snapshot(M.upsert_overwrite(base, good, "page_id"), table_root)
+    base = _read_table(spark, table_root, bucketed)
+    version = _write_table(M.upsert_overwrite(base, good, "page_id"), table_root, bucketed)
     return {"map": map_path, "version": version, "parsed": work, "counts": counts.get,
             "quarantine": X.quarantine_only(parsed)}
 
 
 def load_offer_map(spark: SparkSession, map_path: str, table_root: str,
-                   policy: str = "fill_unknown", layout: str = "lines") -> int:
-    """Read an offer map and merge it into the table (M2 or M3)."""
+                   policy: str = "fill_unknown", layout: str = "lines",
+                   bucketed: tuple[str, int] | None = None) -> int:
+    """Read an offer map and merge it into the table (M2 or M3).
+
+    `bucketed=(name, buckets)` keeps versions as catalog tables bucketed by
+    url, so the merge shuffles only the offer map, not the table."""
     updates = OM.read_offer_map(spark, map_path, layout)
-    base = SN.read_snapshot(spark, table_root)
+    base = _read_table(spark, table_root, bucketed)
     merge = M.merge_fill_unknown if policy == "fill_unknown" else M.merge_conditional
-    return SN.write_snapshot(merge(base, updates).drop("change"), table_root)
+    return _write_table(merge(base, updates).drop("change"), table_root, bucketed)
 
 
 def analyse(offers: DataFrame) -> dict[str, DataFrame]:

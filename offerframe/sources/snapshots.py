@@ -77,3 +77,39 @@ def read_snapshot(spark: SparkSession, root: str, version: int | None = None) ->
 
 def empty_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], OFFERS)
+
+
+# --- bucketed versions: co-located merges ------------------------------------
+# With a catalog (a metastore on a cluster, the session catalog in tests) a
+# version can be saved bucketed and sorted by `url`.  A later merge then
+# reads the base already hash-partitioned by `url`: only the (much smaller)
+# update side is shuffled, the base is joined where it lies.
+
+
+def bucketed_name(name: str, version: int) -> str:
+    return f"{name}_{version_name(version)}"
+
+
+def write_bucketed(df: DataFrame, root: str, name: str, buckets: int,
+                   version: int | None = None) -> int:
+    """Write `df` as the next version of catalog table `name`, bucketed by
+    url into `buckets` (match `spark.sql.shuffle.partitions`), data under
+    `root`; moves the pointer like `write_snapshot`."""
+    spark = df.sparkSession
+    root = root.rstrip("/")
+    if version is None:
+        cur = current_version(spark, root)
+        version = 1 if cur is None else cur + 1
+    (conform(df).write.mode("overwrite").bucketBy(buckets, "url").sortBy("url")
+     .option("path", f"{root}/{version_name(version)}")
+     .saveAsTable(bucketed_name(name, version)))
+    fs.write_small_text(spark, f"{root}/{POINTER}", str(version))
+    return version
+
+
+def read_bucketed(spark: SparkSession, root: str, name: str,
+                  version: int | None = None) -> DataFrame:
+    version = version if version is not None else current_version(spark, root.rstrip("/"))
+    if version is None:
+        return empty_table(spark)
+    return spark.table(bucketed_name(name, version))

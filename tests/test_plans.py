@@ -76,3 +76,21 @@ def test_rank_never_windows_over_raw_rows(spark):
     for n in nodes(physical(df)):
         if n.nodeName() == "Window":
             assert "_cnt" in n.toString(), n.toString()[:300]
+
+
+def test_bucketed_base_is_not_shuffled_in_a_merge(spark, tmp_root):
+    from offerframe.operators import merge as M
+    from offerframe.plans import fixtures as FX
+    from offerframe.sources import snapshots as SN
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = FX.merge_base(spark, "/root/testdata/sf0.01")
+    SN.write_bucketed(base, tmp_root, "offers_test", buckets)
+    table = SN.read_bucketed(spark, tmp_root, "offers_test")
+    out = M.upsert_overwrite(table, FX.record_updates(spark, "/root/testdata/sf0.01"), "seq")
+    assert out.count() == 2000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    scan_lines = [ln for ln in plan.splitlines() if "offers_test" in ln and "Scan" in ln]
+    assert scan_lines and "SelectedBucketsCount" in scan_lines[0]
+    # exchanges only on the update side: none directly above the bucketed scan
+    exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning(url" in ln]
+    assert len(exchanges) == 1, plan

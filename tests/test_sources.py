@@ -98,3 +98,14 @@ def test_extract_offers_job(spark, tmp_root):
     assert reasons == ["page missing", "unknown site"]
     res = jobs.analyse(SN.read_snapshot(spark, os.path.join(tmp_root, "table")))
     assert res["category_counts"].first().n_offers == 1
+
+
+def test_load_offer_map_bucketed(spark, tmp_root):
+    links = spark.createDataFrame([("https://www.olx.pl/d/a.html", "-25"), ("https://www.olx.pl/d/b.html", "150-")],
+                                  "url string, category string")
+    p = OM.write_offer_map(links, os.path.join(tmp_root, "maps"), "202401010000")
+    table = os.path.join(tmp_root, "table")
+    assert jobs.load_offer_map(spark, p, table, bucketed=("offers_load_test", 8)) == 1
+    assert jobs.load_offer_map(spark, p, table, bucketed=("offers_load_test", 8)) == 2
+    rows = SN.read_bucketed(spark, table, "offers_load_test").collect()
+    assert sorted(r.url for r in rows) == ["https://www.olx.pl/d/a.html", "https://www.olx.pl/d/b.html"]

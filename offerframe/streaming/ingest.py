@@ -30,11 +30,24 @@ from ..session import shared_dir
 from ..sources import snapshots as SN
 
 
-def _batch_writer(table_root: str, merge: Callable[[DataFrame, DataFrame], DataFrame]):
+def _batch_writer(table_root: str, merge: Callable[[DataFrame, DataFrame], DataFrame],
+                  bucketed: tuple[str, int] | None = None):
+    """Version k+1 = merge(version k, batch k); with `bucketed=(name, n)`
+    versions are catalog tables bucketed by url, so a merge shuffles only
+    the micro-batch."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        base = SN.read_snapshot(spark, table_root, batch_id) if batch_id > 0 else SN.empty_table(spark)
-        SN.write_snapshot(merge(base, batch), table_root, version=batch_id + 1)
+        if batch_id == 0:
+            base = SN.empty_table(spark)
+        elif bucketed:
+            base = SN.read_bucketed(spark, table_root, bucketed[0], batch_id)
+        else:
+            base = SN.read_snapshot(spark, table_root, batch_id)
+        merged = merge(base, batch)
+        if bucketed:
+            SN.write_bucketed(merged, table_root, bucketed[0], bucketed[1], version=batch_id + 1)
+        else:
+            SN.write_snapshot(merged, table_root, version=batch_id + 1)
     return write
 
 
@@ -48,14 +61,15 @@ def offer_map_stream(spark: SparkSession, source_dir: str) -> DataFrame:
 
 
 def ingest_offer_maps(spark: SparkSession, source_dir: str, table_root: str,
-                      checkpoint: str, policy: str = "fill_unknown", once: bool = True):
+                      checkpoint: str, policy: str = "fill_unknown", once: bool = True,
+                      bucketed: tuple[str, int] | None = None):
     """Merge every offer-map file arriving in `source_dir` into the table."""
     merges = {
         "fill_unknown": lambda base, b: M.merge_fill_unknown(base, b).drop("change"),
         "conditional": lambda base, b: M.merge_conditional(base, b).drop("change"),
     }
     stream = offer_map_stream(spark, source_dir)
-    writer = (stream.writeStream.foreachBatch(_batch_writer(table_root, merges[policy]))
+    writer = (stream.writeStream.foreachBatch(_batch_writer(table_root, merges[policy], bucketed))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="30 seconds")
     return writer.start()

@@ -47,3 +47,20 @@ def test_stream_equals_batch_and_restart(spark, tmp_root):
     q.awaitTermination()
     assert SN.current_version(spark, table) == before
     assert sorted(SN.read_snapshot(spark, table).collect()) == streamed
+
+
+def test_stream_bucketed_versions(spark, tmp_root):
+    src = os.path.join(tmp_root, "incoming")
+    os.makedirs(src)
+    u = "https://www.olx.pl/d/"
+    p = _write_map(spark, os.path.join(tmp_root, "staging"), "202401010000",
+                   [(u + "1.html", "-25"), (u + "2.html", "25-40")])
+    for f in os.listdir(p):
+        if f.startswith("part-"):
+            shutil.copy(os.path.join(p, f), os.path.join(src, f))
+    table = os.path.join(tmp_root, "table")
+    q = ingest.ingest_offer_maps(spark, src, table, os.path.join(tmp_root, "ckpt"),
+                                 bucketed=("offers_stream_test", 8))
+    q.awaitTermination()
+    rows = SN.read_bucketed(spark, table, "offers_stream_test").collect()
+    assert sorted(r.url for r in rows) == [u + "1.html", u + "2.html"]

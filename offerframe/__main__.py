@@ -61,8 +61,16 @@ def main(argv: list[str] | None = None) -> dict:
     ing.add_argument("--checkpoint", required=True)
     ing.add_argument("--policy", default="fill_unknown", choices=["fill_unknown", "conditional"])
     ing.add_argument("--continuous", action="store_true")
+    for p in (s, ld, ing):
+        p.add_argument("--table-name", default=None,
+                       help="keep versions as catalog tables bucketed by url")
+        p.add_argument("--buckets", type=int, default=None)
     args = ap.parse_args(argv)
     spark = get_session()
+    bucketed = None
+    if getattr(args, "table_name", None):
+        bucketed = (args.table_name,
+                    args.buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     if args.cmd == "discover":
         pages = PG.read_pages(spark, args.pages)
@@ -75,10 +83,11 @@ def main(argv: list[str] | None = None) -> dict:
     elif args.cmd == "extract":
         pages = PG.read_pages(spark, args.pages)
         out = jobs.extract_offers(spark, args.maps, pages, REFERENCE_PAGE_RULES,
-                                 args.table, args.quarantine)
+                                  args.table, args.quarantine, bucketed=bucketed)
         result = {"map": out["map"], "version": out["version"], "counts": out["counts"]}
     elif args.cmd == "load":
-        version = jobs.load_offer_map(spark, args.map, args.table, args.policy, args.layout)
+        version = jobs.load_offer_map(spark, args.map, args.table, args.policy, args.layout,
+                                      bucketed=bucketed)
         result = {"version": version}
     elif args.cmd == "analyse":
         frames = jobs.analyse(SN.read_snapshot(spark, args.table))
@@ -87,7 +96,8 @@ def main(argv: list[str] | None = None) -> dict:
         result = {"written": sorted(frames)}
     else:
         q = ingest.ingest_offer_maps(spark, args.source, args.table, args.checkpoint,
-                                     policy=args.policy, once=not args.continuous)
+                                     policy=args.policy, once=not args.continuous,
+                                     bucketed=bucketed)
         q.awaitTermination()
         result = {"version": SN.current_version(spark, args.table)}
     print(json.dumps(result, default=str))

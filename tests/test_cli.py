@@ -44,3 +44,13 @@ def test_cli_flow(spark, tmp_root):
     assert rows["https://www.olx.pl/d/oferta/b.html"].category == b2.label  # later slice wins
     a = main(["analyse", "--table", table, "--out", os.path.join(tmp_root, "analysis")])
     assert "price_boxplot" in a["written"]
+
+
+def test_cli_load_bucketed(spark, tmp_root):
+    from offerframe.sources import offermap as OM
+    links = spark.createDataFrame([("https://www.olx.pl/d/x.html", "-25")], "url string, category string")
+    path = OM.write_offer_map(links, os.path.join(tmp_root, "maps"), "202401010000")
+    table = os.path.join(tmp_root, "table")
+    r = main(["load", "--map", path, "--table", table, "--table-name", "offers_cli_test", "--buckets", "4"])
+    assert r["version"] == 1
+    assert SN.read_bucketed(spark, table, "offers_cli_test").count() == 1

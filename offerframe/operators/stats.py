@@ -132,3 +132,22 @@ def plot_gate(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
         F.min("_n").alias("min_group_size"),
         F.coalesce(F.min("_n") > 1, F.lit(False)).alias("enough_data"),
     )
+
+
+def outlier_rows(df: DataFrame, group_col: str, value_col: str, tiebreak: str,
+                 keep: tuple[str, ...] = (), num_partitions: int | None = None) -> DataFrame:
+    """A4, the points of the box plot: every row outside its group's 1.5 IQR
+    fences, with `side` (low/high).  A DataFrame, not a per-group list, so a
+    group with many outliers is never gathered in one place; the fence table
+    (one row per group) is joined to the rows."""
+    q = exact_quantiles(df, group_col, value_col, tiebreak, num_partitions=num_partitions)
+    iqr = F.col("q3") - F.col("q1")
+    fences = q.select(F.col(group_col).alias("_fg"),
+                      (F.col("q1") - WHISKER * iqr).alias("_lo"),
+                      (F.col("q3") + WHISKER * iqr).alias("_hi"))
+    v = F.col(value_col)
+    rows = df.select(group_col, value_col, tiebreak, *keep).filter(v.isNotNull())
+    joined = rows.join(fences, rows[group_col].eqNullSafe(fences["_fg"]), "inner")
+    side = F.when(v < F.col("_lo"), F.lit("low")).when(v > F.col("_hi"), F.lit("high"))
+    return (joined.withColumn("side", side).filter(F.col("side").isNotNull())
+            .select(group_col, tiebreak, *keep, value_col, "side"))

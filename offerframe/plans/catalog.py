@@ -206,6 +206,11 @@ def event_value_boxplot(spark, sf_dir):
     return A.boxplot(ev, "event_type", "value", tiebreak="event_id")
 
 
+def event_value_outliers(spark, sf_dir):
+    ev = FX.table(spark, sf_dir, "events").select("event_type", "value", "event_id")
+    return A.outlier_rows(ev, "event_type", "value", tiebreak="event_id")
+
+
 def completeness(spark, sf_dir):
     return Q.completeness(FX.offers_view(spark, sf_dir))
 
@@ -296,6 +301,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_boxplot": price_boxplot,
     "price_gate": price_gate,
     "event_value_boxplot": event_value_boxplot,
+    "event_value_outliers": event_value_outliers,
     "completeness": completeness,
     "snapshot_roundtrip": snapshot_roundtrip,
     "link_list_roundtrip": link_list_roundtrip,

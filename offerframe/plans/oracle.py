@@ -358,6 +358,13 @@ WHERE rn = 1""",
 , s AS (SELECT category, count(*) AS n FROM ovn WHERE price_numeric IS NOT NULL GROUP BY category)
 SELECT count(*) AS n_groups, min(n) AS min_group_size, coalesce(min(n) > 1, FALSE) AS enough_data FROM s""",
     "event_value_boxplot": "WITH e AS (SELECT * FROM events)" + _boxplot("e", "event_type", "value"),
+    "event_value_outliers": """
+WITH q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
+           FROM events WHERE value IS NOT NULL GROUP BY event_type)
+SELECT e.event_type, e.event_id, e.value,
+       CASE WHEN e.value < q.q1 - 1.5 * (q.q3 - q.q1) THEN 'low' ELSE 'high' END AS side
+FROM events e JOIN q ON e.event_type IS NOT DISTINCT FROM q.event_type
+WHERE e.value < q.q1 - 1.5 * (q.q3 - q.q1) OR e.value > q.q3 + 1.5 * (q.q3 - q.q1)""",
     "completeness": f"""
 WITH {BANDS_CTE}, ov AS ({OFFERS_VIEW})
 SELECT website, count(*) AS n_offers,

@@ -87,3 +87,10 @@ def test_approx_boxplot_close_to_exact(spark):
     ap = A.boxplot(df, "g", "x", "id", exact=False).first()
     assert ex.n == ap.n == 2000
     assert abs(ex.median - ap.median) <= 1.0 and abs(ex.q1 - ap.q1) <= 1.0
+
+
+def test_outlier_rows_match_fences(spark):
+    vals = [1, 2, 3, 4, 5, 6, 7, 8, 100, -50]
+    df = spark.createDataFrame([(i, "g", float(v)) for i, v in enumerate(vals)], "id long, g string, x double")
+    got = sorted((r.x, r.side) for r in A.outlier_rows(df, "g", "x", "id").collect())
+    assert got == [(-50.0, "low"), (100.0, "high")]

@@ -121,7 +121,11 @@ def _close_tag(tag: str) -> str:
 
 
 def selector_pattern(sel: Selector) -> str:
-    """Regex whose group 1 is the inner markup of the selected element."""
+    """Regex whose group 1 is the inner markup of the selected element.
+
+    For text-prefix selectors this single-regex form (used by the SQL
+    oracle) repeats a group; Spark evaluates those selectors with
+    `_prefixed` instead (see there)."""
     lead = "(?:[ \\t\\r\\n]|<[^>]*>)*"
     if sel.child is None:
         skip = ""
@@ -141,18 +145,47 @@ def selector_pattern(sel: Selector) -> str:
             f"{body}{_close_tag(sel.child)}")
 
 
+def _bodies(clean: Column, sel: Selector) -> Column:
+    """Inner markup of every element of the selector's shape, in page order
+    (the text prefix is not checked here)."""
+    if sel.child is None:
+        pat = f"(?is){_open_tag(sel.tag, sel.attrs)}(.*?){_close_tag(sel.tag)}"
+        return F.regexp_extract_all(clean, F.lit(pat), F.lit(1))
+    rest = F.regexp_extract(clean, f"(?is){_open_tag(sel.tag, sel.attrs)}(.*)", 1)
+    pat = f"(?is){_open_tag(sel.child)}(.*?){_close_tag(sel.child)}"
+    return F.regexp_extract_all(rest, F.lit(pat), F.lit(1))
+
+
+def _prefixed(clean: Column, sel: Selector) -> Column:
+    """Bodies whose element text starts with the selector's text prefix.
+
+    Done with an array filter rather than a regex: the regex form needs a
+    repeated group to skip leading tags and spaces, and Java regex recurses
+    once per repetition -- a junk page with tens of thousands of spaces
+    there would overflow the stack and fail the task on every retry.
+    """
+    prefix = sel.text_prefix
+    return F.filter(_bodies(clean, sel),
+                    lambda b: F.coalesce(element_text(b), F.lit("")).startswith(prefix))
+
+
 def select_inner(clean: Column, sel: Selector) -> Column:
     """Inner markup of the first element the selector matches ('' if none).
 
     One scan of the (large) cleaned page.  Keep the result in its own
     column before deriving text from it: `element_text` refers to its input
     twice, and a column reference is what stops the scan being repeated.
+    With a text prefix, `nth` counts the elements whose text has it.
     """
+    if sel.text_prefix is not None:
+        return F.coalesce(F.try_element_at(_prefixed(clean, sel), F.lit(sel.nth)), F.lit(""))
     return F.regexp_extract(clean, sel.pattern(), 1)
 
 
 def select_found(clean: Column, sel: Selector) -> Column:
     """Whether the selector matches at all."""
+    if sel.text_prefix is not None:
+        return F.size(_prefixed(clean, sel)) >= sel.nth
     return clean.rlike(sel.pattern())
 
 

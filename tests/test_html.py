@@ -70,3 +70,18 @@ def test_unclosed_script_kept_as_text(spark):
 
 def test_missing_element_is_null(spark):
     assert one(spark, "<p>x</p>", lambda c: select_text(c, Selector("h1"))) is None
+
+
+def test_prefix_selector_survives_huge_whitespace_runs(spark):
+    # A repeated regex group would recurse once per space and overflow.
+    html = "<p>x</p><p>" + " " * 50000 + "ID: 7</p>"
+    assert one(spark, html, lambda c: select_text(clean_html(c), Selector("p", text_prefix="ID"))) == "ID: 7"
+    html2 = "<p>x</p><p>" + "<br>" * 20000 + "ID: 8</p>"
+    assert one(spark, html2, lambda c: select_text(clean_html(c), Selector("p", text_prefix="ID"))) == "ID: 8"
+
+
+def test_prefix_selector_under_an_anchor(spark):
+    html = '<div id="a"><span>no</span><span>ID: 1</span></div><span>ID: 2</span>'
+    sel = Selector("div", (("id", "a"),), child="span", text_prefix="ID")
+    assert one(spark, html, lambda c: select_text(c, sel)) == "ID: 1"
+    assert one(spark, "<p>none</p>", lambda c: select_found(c, Selector("p", text_prefix="ID"))) is False

@@ -49,3 +49,17 @@ def newest_offer_map_path(spark: SparkSession, root: str) -> str:
 def read_newest_offer_map(spark: SparkSession, root: str, layout: str = "lines") -> tuple[str, DataFrame]:
     path = newest_offer_map_path(spark, root)
     return path, read_offer_map(spark, path, layout)
+
+
+def offer_map_rejects(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
+    """Input that `read_offer_map` cannot use -- lines (or legacy files) that
+    are not a JSON object of the offer-map shape -- with the raw text, so
+    nothing is lost silently."""
+    if layout == "object":
+        raw = spark.read.text(path, wholetext=True)
+    else:
+        raw = spark.read.text(path).filter(F.trim(F.col("value")) != "")
+    parsed = F.from_json(F.col("value"), OFFER_MAP)
+    return (raw.select(F.col("value").alias("raw"), parsed.alias("_m"))
+            .filter(F.col("_m").isNull())
+            .select("raw", F.lit("not an offer-map object").alias("reason")))

@@ -109,3 +109,15 @@ def test_load_offer_map_bucketed(spark, tmp_root):
     assert jobs.load_offer_map(spark, p, table, bucketed=("offers_load_test", 8)) == 2
     rows = SN.read_bucketed(spark, table, "offers_load_test").collect()
     assert sorted(r.url for r in rows) == ["https://www.olx.pl/d/a.html", "https://www.olx.pl/d/b.html"]
+
+
+def test_offer_map_rejects_keep_bad_lines(spark, tmp_root):
+    path = os.path.join(tmp_root, "offers_bad")
+    os.makedirs(path)
+    with open(os.path.join(path, "part-0.txt"), "w") as f:
+        f.write('{"https://www.olx.pl/a.html": {"size_category": "-25"}}\n')
+        f.write('not json at all\n')
+        f.write('\n')
+    assert [r.url for r in OM.read_offer_map(spark, path).collect()] == ["https://www.olx.pl/a.html"]
+    bad = OM.offer_map_rejects(spark, path).collect()
+    assert [r.raw for r in bad] == ["not json at all"]

@@ -52,12 +52,16 @@ def _batch_writer(table_root: str, merge: Callable[[DataFrame, DataFrame], DataF
 
 
 def offer_map_stream(spark: SparkSession, source_dir: str) -> DataFrame:
-    """Offer-map files (JSON Lines, one entry per line) as a stream of rows."""
+    """Offer-map files (JSON Lines, one entry per line) as a stream of
+    (raw line, parsed map); the map is NULL for an unusable line."""
     raw = spark.readStream.format("text").load(source_dir)
-    parsed = raw.filter(F.trim(F.col("value")) != "").select(
-        F.explode(F.from_json(F.col("value"), OFFER_MAP)).alias("url", "v"),
-        F.col("value").alias("_line"))
-    return parsed.select("url", "v.*")
+    return raw.filter(F.trim(F.col("value")) != "").select(
+        F.col("value").alias("_line"), F.from_json(F.col("value"), OFFER_MAP).alias("_m"))
+
+
+def _entries(lines: DataFrame) -> DataFrame:
+    return (lines.filter(F.col("_m").isNotNull())
+            .select(F.explode(F.col("_m")).alias("url", "v")).select("url", "v.*"))
 
 
 def ingest_offer_maps(spark: SparkSession, source_dir: str, table_root: str,
@@ -69,7 +73,17 @@ def ingest_offer_maps(spark: SparkSession, source_dir: str, table_root: str,
         "conditional": lambda base, b: M.merge_conditional(base, b).drop("change"),
     }
     stream = offer_map_stream(spark, source_dir)
-    writer = (stream.writeStream.foreachBatch(_batch_writer(table_root, merges[policy], bucketed))
+    write_table = _batch_writer(table_root, merges[policy], bucketed)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # Unusable lines are kept next to the table (per batch id, so a
+        # replayed batch rewrites the same file), never dropped silently.
+        (batch.filter(F.col("_m").isNull())
+         .select(F.col("_line").alias("raw"))
+         .write.mode("overwrite").parquet(f"{table_root.rstrip('/')}/_rejects/batch_id={batch_id}"))
+        write_table(_entries(batch), batch_id)
+
+    writer = (stream.writeStream.foreachBatch(write)
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="30 seconds")
     return writer.start()

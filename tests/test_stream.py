@@ -64,3 +64,17 @@ def test_stream_bucketed_versions(spark, tmp_root):
     q.awaitTermination()
     rows = SN.read_bucketed(spark, table, "offers_stream_test").collect()
     assert sorted(r.url for r in rows) == [u + "1.html", u + "2.html"]
+
+
+def test_stream_keeps_unusable_lines(spark, tmp_root):
+    src = os.path.join(tmp_root, "incoming")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write('{"https://www.olx.pl/d/1.html": {"size_category": "-25"}}\n')
+        f.write('{broken\n')
+    table = os.path.join(tmp_root, "table")
+    q = ingest.ingest_offer_maps(spark, src, table, os.path.join(tmp_root, "ckpt"))
+    q.awaitTermination()
+    assert [r.url for r in SN.read_snapshot(spark, table).collect()] == ["https://www.olx.pl/d/1.html"]
+    bad = spark.read.parquet(os.path.join(table, "_rejects")).collect()
+    assert [r.raw for r in bad] == ["{broken"]

@@ -39,3 +39,29 @@ def test_rank_within_equals_row_number(spark, rows, parts):
         df, ["g"], [F.col("x").asc_nulls_last(), F.col("id")], num_partitions=parts)
         .select("id", "g", "x", "rank").collect())
     assert got == want
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(0, 30), max_size=25, unique=True),
+       st.lists(st.tuples(st.integers(0, 40), st.integers(0, 1000)), max_size=60, unique_by=lambda t: t[1]))
+def test_upsert_is_last_write_per_key(spark, base_keys, updates):
+    from offerframe.operators import merge as M
+    url = "https://www.olx.pl/d/{}.html".format
+    base = spark.createDataFrame(
+        [(url(k), "-25", "olx", str(k), "base", "t", "l", "Unknown") for k in base_keys],
+        "url string, category string, website string, offer_id string, price string, "
+        "offer_title string, location string, active string")
+    upd = spark.createDataFrame([(url(k), f"p{seq}", seq) for k, seq in updates],
+                                "url string, price string, seq int")
+    out = {r.url: r for r in M.upsert_overwrite(base, upd, "seq").collect()}
+    want_keys = {url(k) for k in base_keys} | {url(k) for k, _ in updates}
+    assert set(out) == want_keys
+    last = {}
+    for k, seq in updates:
+        if url(k) not in last or seq > last[url(k)]:
+            last[url(k)] = seq
+    for u, r in out.items():
+        if u in last:
+            assert r.price == f"p{last[u]}" and r.offer_title == "No data"
+        else:
+            assert r.price == "base" and r.offer_title == "t"

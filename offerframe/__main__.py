@@ -79,7 +79,10 @@ def main(argv: list[str] | None = None) -> dict:
                               band["ord"].alias("slice_ord")).filter(F.col("slice").isNotNull())
         out = jobs.discover_links(sliced, REFERENCE_LINK_RULES, args.out, args.stamp or _stamp())
         check = out["reconcile"].first().asDict()
-        result = {"links": out["links"], "offers": out["offers"], "reconcile": check}
+        # pages whose URL is not a slice request are not result pages; say how many
+        unsliced = pages.select("url").filter(band.isNull()).count()
+        result = {"links": out["links"], "offers": out["offers"], "reconcile": check,
+                  "pages_without_slice": unsliced}
     elif args.cmd == "extract":
         pages = PG.read_pages(spark, args.pages)
         out = jobs.extract_offers(spark, args.maps, pages, REFERENCE_PAGE_RULES,

@@ -37,6 +37,7 @@ def test_cli_flow(spark, tmp_root):
 
     d = main(["discover", "--pages", rp, "--out", maps, "--stamp", "202401010000"])
     assert d["reconcile"]["n_links"] == 2 and d["reconcile"]["links_without_key"] == 0
+    assert d["pages_without_slice"] == 0
     s = main(["extract", "--maps", maps, "--pages", op, "--table", table,
               "--quarantine", os.path.join(tmp_root, "q")])
     assert s["counts"]["offers"] == 2

@@ -119,12 +119,13 @@ def _slice_category(html: Column) -> Column:
 
 
 def run_page_stream(spark: SparkSession, sf_dir: str, rules: PageRules,
-                    category: Callable[[Column], Column] = _slice_category) -> DataFrame:
+                    category: Callable[[Column], Column] = _slice_category,
+                    max_files: int | None = None) -> DataFrame:
     """Pages flow in as a file stream, are parsed and upserted batch by
     batch; returns the final table once the stream has drained."""
     root = shared_dir(spark, "page-stream")
     table_root, checkpoint = f"{root}/table", f"{root}/checkpoint"
-    stream = page_stream(spark, sf_dir.rstrip("/"), file_glob="pages.parquet")
+    stream = page_stream(spark, sf_dir.rstrip("/"), file_glob="pages.parquet", max_files=max_files)
     query = (stream.writeStream
              .foreachBatch(_batch_writer(table_root, _page_upsert(rules, f"{root}/work", category)))
              .option("checkpointLocation", checkpoint)

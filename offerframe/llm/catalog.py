@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .common import fold_of, table
 from .quality import score_quality
+from .trie_dedup import exact_groups
 from .toxicity import score_toxicity
 
 
@@ -30,9 +31,27 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Owner of every document's group of equal texts (white space ignored)."""
+    return (exact_groups(table(spark, sf_dir, "documents"))
+            .select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
+    "op6_exact_dedup": op6_exact_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_exact_dedup": r"""
+        WITH t AS (
+            SELECT doc_id, length(coalesce(text, '')) AS points,
+                   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+            FROM documents)
+        SELECT doc_id, first_value(doc_id) OVER w AS keep_id,
+               count(*) OVER (PARTITION BY text_sha256) AS group_size,
+               row_number() OVER w = 1 AS kept, text_sha256
+        FROM t WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
+}

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +19,24 @@ from ..session import shared_dir
 SLICE_BYTES = 1 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, so that they need no installation of it."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        _SHIPPED.add(sc.applicationId)
+        root = Path(__file__).resolve().parents[1]
+        name = Path(tempfile.mkdtemp(prefix="offerframe-code-"), f"{root.name}.zip")
+        with zipfile.ZipFile(name, "w") as out:
+            for file in sorted(root.rglob("*.py")):
+                out.write(file, file.relative_to(root.parent))
+        sc.addPyFile(str(name))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fold_of, table
+from .packing import pack
 from .quality import score_quality
 from .trie_dedup import exact_groups
 from .toxicity import score_toxicity
@@ -37,9 +38,15 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token pieces of every document packed into sequences of at most 4096."""
+    return pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
+    "op5_packing": op5_packing,
     "op6_exact_dedup": op6_exact_dedup,
 }
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fold_of, table
+from .jaccard import near_duplicates
 from .packing import pack
 from .quality import score_quality
 from .trie_dedup import exact_groups
@@ -43,11 +44,17 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document: Jaccard of 5-word shingles of 0.8 or more."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
     "op5_packing": op5_packing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_jaccard_join": op7_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {

@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
+from . import mixing
 from .common import fold_of, table
 from .jaccard import near_duplicates
 from .packing import pack
@@ -49,15 +52,28 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents selected, epoch by epoch, so that domains, languages and sources meet their weights."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline over `documents`."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
     "op5_packing": op5_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_mixing": op8_mixing,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {
+    "op8_mixing": mixing.oracle_sql(mixing.Params()),
     "op6_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, length(coalesce(text, '')) AS points,

@@ -173,17 +173,40 @@ def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, p: Params,
 def score_quality(docs: DataFrame, labels: DataFrame, usable: Column | None = None, params: Params = Params(),
                   id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """(doc_id, score) for every row of `docs`; `usable` says which labels may be learned from."""
+    score = _scorer(docs, labels, usable, params, id_col, text_col, label_col)
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score(batch.column("text")))], schema=_SCORED)
+
+    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float, usable: Column | None = None,
+                 params: Params = Params(), id_col: str = "doc_id", text_col: str = "text",
+                 label_col: str = "quality") -> DataFrame:
+    """The rows of `docs`, all columns, that score at least `threshold`."""
+    score = _scorer(docs, labels, usable, params, id_col, text_col, label_col)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(score(batch.column(at)) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _scorer(docs, labels, usable, params, id_col, text_col, label_col):
+    """Train, and return a function from a column of texts to scores, fit for the executors."""
     usable = F.lit(True) if usable is None else usable
     fold, bias = train(training_rows(docs, labels, usable, params, id_col, text_col, label_col), params)
     model = docs.sparkSession.sparkContext.broadcast((fold, bias))
 
-    def run(batches):
+    def score(column) -> np.ndarray:
         fold, bias = model.value
-        for batch in batches:
-            ids = batch.column("doc_id")
-            scores = np.zeros(batch.num_rows)
-            for a, b, data, offs in text_slices(batch.column("text")):
-                scores[a:b] = score_slice(data, offs, fold, bias, params)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(scores)], schema=_SCORED)
+        out = np.zeros(len(column))
+        for a, b, data, offs in text_slices(column):
+            out[a:b] = score_slice(data, offs, fold, bias, params)
+        return out
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+    return score

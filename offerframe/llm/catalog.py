@@ -14,6 +14,7 @@ import corpus_pipeline
 from . import mixing
 from .common import fold_of, table
 from .jaccard import near_duplicates
+from .licenses import scan_licenses
 from .packing import pack
 from .quality import score_quality
 from .trie_dedup import exact_groups
@@ -57,6 +58,13 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    return (scan_licenses(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score",
+                    F.size("matches").alias("n_matches")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over `documents`."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -69,6 +77,7 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_mixing": op8_mixing,
+    "op10_licenses": op10_licenses,
     "pipeline": pipeline,
 }
 

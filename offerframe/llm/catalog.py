@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import mixing
+from . import chat, mixing
 from .common import fold_of, table
 from .jaccard import near_duplicates
 from .licenses import scan_licenses
@@ -58,6 +58,19 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+PLANTED_TURN = "\\### Assistant: </turn> ok"
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -7, formatted and read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PLANTED_TURN).alias("text"))
+    formatted = chat.format_conversations(turns.unionByName(planted))
+    return chat.read_back(formatted).drop("n_ids")
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices of every document."""
     return (scan_licenses(table(spark, sf_dir, "documents"))
@@ -77,11 +90,26 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_mixing": op8_mixing,
+    "op9_chat_format": op9_chat_format,
     "op10_licenses": op10_licenses,
     "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {
+    "op9_chat_format": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, sha256(text))) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, sha256(text)) FILTER (WHERE role = 'assistant'), ''))
+                   AS loss_sha256,
+               sum(length(regexp_replace(text, '(\\|###|</)', '\\\1', 'g')) + 9 + CASE role
+                   WHEN 'user' THEN 10 WHEN 'assistant' THEN 15 WHEN 'system' THEN 12
+                   ELSE 19 + length(regexp_replace(role, '(\\|###|</)', '\\\1', 'g')) END)::BIGINT AS formatted_chars
+        FROM t GROUP BY conv_id""",
     "op8_mixing": mixing.oracle_sql(mixing.Params()),
     "op6_exact_dedup": r"""
         WITH t AS (

@@ -17,6 +17,7 @@ from .jaccard import near_duplicates
 from .licenses import scan_licenses
 from .packing import pack
 from .quality import score_quality
+from .warczip import through_archives
 from .trie_dedup import exact_groups
 from .toxicity import score_toxicity
 
@@ -43,6 +44,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
 
 
+def op3_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record in ZIP archives, read back by byte ranges."""
+    return through_archives(table(spark, sf_dir, "pages"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token pieces of every document packed into sequences of at most 4096."""
     return pack(table(spark, sf_dir, "documents"))
@@ -86,6 +92,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
+    "op3_warc_zip": op3_warc_zip,
     "op5_packing": op5_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_jaccard_join": op7_jaccard_join,

@@ -13,6 +13,7 @@ import corpus_pipeline
 
 from . import chat, mixing
 from .common import fold_of, table
+from .embed_dedup import embedding_duplicates
 from .jaccard import near_duplicates
 from .licenses import scan_licenses
 from .packing import pack
@@ -49,6 +50,11 @@ def op3_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return through_archives(table(spark, sf_dir, "pages"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every embedding: cosine of 0.95 or more."""
+    return embedding_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token pieces of every document packed into sequences of at most 4096."""
     return pack(table(spark, sf_dir, "documents"))
@@ -93,6 +99,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
     "op3_warc_zip": op3_warc_zip,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_packing": op5_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_jaccard_join": op7_jaccard_join,

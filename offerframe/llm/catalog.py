@@ -120,9 +120,9 @@ ORACLE: dict[str, str] = {
                coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, sha256(text)) FILTER (WHERE role = 'assistant'), ''))
                    AS loss_sha256,
-               sum(length(regexp_replace(text, '(\\|###|</)', '\\\1', 'g')) + 9 + CASE role
+               sum(length(regexp_replace(text, '(\\|#|</)', '\\\1', 'g')) + 9 + CASE role
                    WHEN 'user' THEN 10 WHEN 'assistant' THEN 15 WHEN 'system' THEN 12
-                   ELSE 19 + length(regexp_replace(role, '(\\|###|</)', '\\\1', 'g')) END)::BIGINT AS formatted_chars
+                   ELSE 19 + length(regexp_replace(role, '(\\|#|</)', '\\\1', 'g')) END)::BIGINT AS formatted_chars
         FROM t GROUP BY conv_id""",
     "op8_mixing": mixing.oracle_sql(mixing.Params()),
     "op6_exact_dedup": r"""

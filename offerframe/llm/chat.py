@@ -10,8 +10,8 @@ prefix sum is the mask.
 
 Template (as text):  `### User:\\n` text ` </turn>\\n`, likewise `### Assistant:`
 and `### System:`; any other role is `### Role:\\n` role ` </role>\\n` text
-` </turn>\\n`.  Escaping puts a backslash before every backslash and before
-`###` and `</` in a text; removing one backslash before any character reverses it.
+` </turn>\\n`.  Escaping puts a backslash before every backslash, `#` and
+`</` in a text; removing one backslash before any character reverses it.
 
 Turns are encoded where their rows are read; only ids are shuffled, by
 conversation, and a task streams over its sorted turns: a conversation of any
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 MARKERS = ("### User:\n", "### Assistant:\n", "### System:\n", "### Role:\n", " </role>\n", " </turn>\n")
 USER, ASSISTANT, SYSTEM, ROLE, ROLE_END, TURN_END = range(6)
 _KNOWN = {"user": USER, "assistant": ASSISTANT, "system": SYSTEM}
-_ESCAPE = re.compile(r"\\|###|</")
+_ESCAPE = re.compile(r"\\|#|</")
 _UNESCAPE = re.compile(r"\\(.)", re.DOTALL)
 
 

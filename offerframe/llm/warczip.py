@@ -204,7 +204,8 @@ def directory(ranges: Ranges) -> dict[str, tuple[int, int]]:
     tail_size = min(ranges.size, 22 + 20 + 65535)
     tail = ranges.read(ranges.size - tail_size, tail_size)
     end = tail.rfind(_END)
-    while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
+    ends = lambda at: at + 22 <= len(tail) and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] == len(tail)
+    while end >= 0 and not ends(end):
         end = tail.rfind(_END, 0, end)  # those bytes were part of a comment
     if end < 0:
         raise ValueError("no end record")

@@ -1,0 +1,41 @@
+"""Small awkward inputs for the operators of offerframe.llm."""
+
+from pyspark.sql import functions as F
+
+LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(60_000))
+
+# (doc_id, text, lang, source)
+AWKWARD = [
+    (1, "alpha beta gamma delta epsilon zeta eta theta", "en", "src0"),
+    (2, "alpha beta gamma delta epsilon zeta eta theta", "en", "src0"),
+    (2, "alpha beta gamma delta epsilon zeta eta theta", "en", "src0"),
+    (3, "alpha  beta\tgamma\ndelta epsilon zeta eta theta", None, "src1"),
+    (4, "", "de", None),
+    (5, None, "de", "src2"),
+    (6, " \t\n ", "fr", "plain"),
+    (7, LONG, "en", "src3"),
+    (8, LONG + " end", "en", "src3"),
+    (9, "one two", "es", "src1"),
+    (10, "ONE two", "es", "src1"),
+    (11, "Ünïcödé ß 漢字   x", "de", "src1"),
+    (12, "The MIT License and the Apache License.\nAll rights reserved", "en", "src1"),
+    (None, "text without an id", "en", "src1"),
+    (None, None, None, None),
+]
+
+
+def documents(spark, rows=AWKWARD):
+    """Documents with extra columns whose names clash with what operators return."""
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    return (df.withColumn("score", F.lit("x")).withColumn("predicted", F.lit("x")).withColumn("rank", F.lit("x"))
+            .withColumn("key", F.lit("x")).withColumn("row", F.lit("x")).withColumn("component_id", F.lit("x"))
+            .withColumn("kept", F.lit("x")).withColumn("n_tokens", F.lit("x")).withColumn("domain", F.lit("x"))
+            .withColumn("a", F.lit("x")).withColumn("block", F.lit("x")).withColumn("length", F.lit("x")))
+
+
+def empty(spark):
+    return documents(spark).limit(0)
+
+
+def rows(df, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=lambda t: tuple((x is None, str(x)) for x in t))

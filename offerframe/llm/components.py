@@ -77,8 +77,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = written(large.distinct(), "links")
         # Small star: its smaller neighbours, and the vertex itself, link to the smallest of them.
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(low, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .unionByName(low.select("a", F.col("m").alias("b"))))
+        ends = F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
+                                 F.struct(F.col("a").alias("a"), F.col("m").alias("b"))))
+        small = large.join(low, "a").select(ends.alias("e")).select("e.a", "e.b")
         now = written(small.where(F.col("a") != F.col("b")).distinct(), "links")
     roots = now.select(F.col("b").alias("id")).distinct()
     return (now.select(F.col("a").alias("id"), F.col("b").alias("component_id"))

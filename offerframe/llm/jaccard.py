@@ -416,7 +416,7 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), id_col: str = "d
     mixed = (stars.join(member("a"), "a", "left").join(member("b"), "b", "left")
              .where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("key").distinct())
     rows = stars.join(mixed, "key", "left_semi")
-    rows = rows.select("key", F.col("a").alias("doc_id")).unionByName(rows.select("key", F.col("b").alias("doc_id"))).distinct()
+    rows = rows.select("key", F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     # Two documents have met in step 2; and of shingles with the same documents one is enough.
     alike = (rows.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.bit_xor(F.xxhash64("doc_id")).alias("x1"),
                                      F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("x2")).where("docs > 2"))

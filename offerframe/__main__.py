@@ -51,7 +51,7 @@ def main(argv: list[str] | None = None) -> dict:
     ld.add_argument("--map", required=True)
     ld.add_argument("--table", required=True)
     ld.add_argument("--policy", default="fill_unknown", choices=["fill_unknown", "conditional"])
-    ld.add_argument("--layout", default="lines", choices=["lines", "object"])
+    ld.add_argument("--layout", default=None, choices=["lines", "object"], help="found from the file if not given")
     an = sub.add_parser("analyse", help="counts, price box plots, completeness")
     an.add_argument("--table", required=True)
     an.add_argument("--out", required=True)
@@ -61,6 +61,11 @@ def main(argv: list[str] | None = None) -> dict:
     ing.add_argument("--checkpoint", required=True)
     ing.add_argument("--policy", default="fill_unknown", choices=["fill_unknown", "conditional"])
     ing.add_argument("--continuous", action="store_true")
+    ip = sub.add_parser("ingest-pages", help="stream stored pages into the table, with quarantine")
+    ip.add_argument("--source", required=True)
+    ip.add_argument("--table", required=True)
+    ip.add_argument("--checkpoint", required=True)
+    ip.add_argument("--continuous", action="store_true")
     for p in (s, ld, ing):
         p.add_argument("--table-name", default=None,
                        help="keep versions as catalog tables bucketed by url")
@@ -79,24 +84,32 @@ def main(argv: list[str] | None = None) -> dict:
                               band["ord"].alias("slice_ord")).filter(F.col("slice").isNotNull())
         out = jobs.discover_links(sliced, REFERENCE_LINK_RULES, args.out, args.stamp or _stamp())
         check = out["reconcile"].first().asDict()
-        # pages whose URL is not a slice request are not result pages; say how many
-        unsliced = pages.select("url").filter(band.isNull()).count()
+        # pages whose URL is not a slice request are not result pages: kept by URL
+        rejects = f"{args.out.rstrip('/')}/_rejects/discover_{out['stamp']}"
+        (pages.filter(band.isNull()).select("page_id", "url", F.lit("url is no slice request").alias("reason"))
+         .write.mode("overwrite").parquet(rejects))
         result = {"links": out["links"], "offers": out["offers"], "reconcile": check,
-                  "pages_without_slice": unsliced}
+                  "pages_without_slice": spark.read.parquet(rejects).count(), "rejects": rejects}
     elif args.cmd == "extract":
         pages = PG.read_pages(spark, args.pages)
         out = jobs.extract_offers(spark, args.maps, pages, REFERENCE_PAGE_RULES,
                                   args.table, args.quarantine, bucketed=bucketed)
-        result = {"map": out["map"], "version": out["version"], "counts": out["counts"]}
+        result = {"map": out["map"], "version": out["version"], "counts": out["counts"], "parsed": out["parsed"]}
     elif args.cmd == "load":
         version = jobs.load_offer_map(spark, args.map, args.table, args.policy, args.layout,
                                       bucketed=bucketed)
-        result = {"version": version}
+        rejects = jobs.rejects_path(args.table, version)
+        result = {"version": version, "rejects": rejects, "rejected": spark.read.parquet(rejects).count()}
     elif args.cmd == "analyse":
         frames = jobs.analyse(SN.read_snapshot(spark, args.table))
         for name, df in frames.items():
             df.write.mode("overwrite").json(f"{args.out.rstrip('/')}/{name}")
         result = {"written": sorted(frames)}
+    elif args.cmd == "ingest-pages":
+        q = ingest.ingest_pages(spark, args.source, args.table, args.checkpoint, REFERENCE_PAGE_RULES,
+                                once=not args.continuous)
+        q.awaitTermination()
+        result = {"version": SN.current_version(spark, args.table), "rejects": ingest.rejects_root(args.table)}
     else:
         q = ingest.ingest_offer_maps(spark, args.source, args.table, args.checkpoint,
                                      policy=args.policy, once=not args.continuous,

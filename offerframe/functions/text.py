@@ -17,10 +17,11 @@ def website_from_url(url: Column, tld_token: str = DEFAULT_TLD_TOKEN) -> Column:
     """Text before the first `tld_token`, then the piece after the first `www.`.
 
     Literal splits (`split_part`), so `.` needs no escaping.  A URL without
-    `www.` gives NULL (the caller quarantines it) instead of an error.
+    `www.`, or without the token, gives NULL (the caller quarantines it)
+    instead of an error or of half the path.
     """
     head = F.split_part(url, F.lit(tld_token), F.lit(1))
-    return F.nullif(F.split_part(head, F.lit(WWW_TOKEN), F.lit(2)), F.lit(""))
+    return F.when(url.contains(tld_token), F.nullif(F.split_part(head, F.lit(WWW_TOKEN), F.lit(2)), F.lit("")))
 
 
 def split_after(text: Column, delimiter: str) -> Column:

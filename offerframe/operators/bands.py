@@ -16,8 +16,6 @@ from pyspark.sql import types as T
 from ..profiles import REFERENCE_BANDS, Band, band_request_suffix
 from .rank import rank_within
 
-MAX_BANDS = 1000  # the band list rides along with every row
-
 BAND_TYPE = T.StructType([
     T.StructField("ord", T.IntegerType()),
     T.StructField("label", T.StringType()),
@@ -32,8 +30,6 @@ def bands_frame(spark: SparkSession, bands=REFERENCE_BANDS) -> DataFrame:
 
 
 def _check(bands) -> list[Band]:
-    if len(bands) > MAX_BANDS:
-        raise ValueError(f"{len(bands)} bands; at most {MAX_BANDS} are supported")
     return sorted(bands, key=lambda b: b.ord)
 
 

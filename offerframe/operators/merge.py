@@ -11,9 +11,14 @@ snapshot (see `sources.snapshots`).  All merges key on `url`:
 * M4 `status_update`     -- set `active` for known keys, report the rest;
 * M5 `key_lookup`        -- rows for a set of keys.
 
-Updates are first reduced to one row per key with `max_by` on an explicit
-sequence (a partial aggregate: a key updated a million times is collapsed
-map-side before the shuffle).  The joins are then one-to-one on `url`.
+Updates are first reduced to one row per key by an explicit sequence with
+`max_by` / `min_by` (a partial aggregate: a key updated a million times is
+collapsed map-side before the shuffle).  The joins are then one-to-one on
+`url`.  The reduction gives what merging the updates one by one would give, so
+a stream's result does not depend on how its records fall into batches: under
+M1 the last record stays; under M2 the first one (it inserts the key or fills
+the status, later ones find it decided); under M3 the first one's fields with
+the last one's status.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codecs import put_bool
-from ..functions.text import website_from_url
+from ..functions.text import DEFAULT_TLD_TOKEN, website_from_url
 from ..schema import NO_DATA, OFFER_COLUMNS, UNKNOWN, VALUE_COLUMNS
 
 MAP_FIELDS = ("offer_id", "price", "offer_title", "location")
@@ -85,9 +90,10 @@ def upsert_overwrite(base: DataFrame, updates: DataFrame, seq: list[str] | str,
           for c in VALUE_COLUMNS])
 
 
-def _map_updates(updates: DataFrame, seq) -> DataFrame:
-    """Offer-map rows -> one per url, fields renamed once (size_category ->
-    category, is_active -> active flag)."""
+def _map_updates(updates: DataFrame, seq, last_status: bool = False) -> DataFrame:
+    """Offer-map rows -> one per url: its first record by `seq`, with
+    `last_status` the `is_active` of its last one.  Without a sequence the
+    whole record orders, so a repeated url still gives one row."""
     cols = ["url", "size_category", *MAP_FIELDS, "is_active"]
     present = [c for c in cols if c in updates.columns]
     missing = [c for c in cols if c not in updates.columns]
@@ -95,28 +101,31 @@ def _map_updates(updates: DataFrame, seq) -> DataFrame:
         *present, *[F.lit(None).cast("string" if c != "is_active" else "boolean").alias(c)
                     for c in missing],
         *[F.col(s) for s in _as_list(seq)])
-    # One row per url: the latest by `seq`; without a sequence a repeated
-    # url still yields one row (the greatest record), never a duplicate.
-    return latest_per_key(upd, "url", seq or cols[1:], columns=cols[1:])
+    order = F.struct(*[F.col(c) for c in (_as_list(seq) or cols[1:])])
+    first = F.min_by(F.struct(*[F.col(c) for c in cols[1:]]), order).alias("_first")
+    status = F.max_by(F.struct("is_active"), order).alias("_last")
+    rows = upd.groupBy("url").agg(first, status)
+    picked = [F.col(f"_first.{c}").alias(c) for c in cols[1:-1]]
+    return rows.select("url", *picked, F.col(("_last" if last_status else "_first") + ".is_active").alias("is_active"))
 
 
-def _insert_values(u: str = "u") -> dict[str, Column]:
+def _insert_values(tld_token: str, u: str = "u") -> dict[str, Column]:
     """Column values for a key that is new to the table (M2/M3 insert path)."""
     return {
         "category": value_or_default(F.col(f"{u}.size_category"), UNKNOWN),
-        "website": website_from_url(F.col(f"{u}.url")),
+        "website": website_from_url(F.col(f"{u}.url"), tld_token),
         **{c: value_or_default(F.col(f"{u}.{c}"), UNKNOWN) for c in MAP_FIELDS},
         "active": put_bool(F.coalesce(F.col(f"{u}.is_active"), F.lit(True))).cast("string"),
     }
 
 
-def _merge(base: DataFrame, updates: DataFrame, seq, when_matched) -> DataFrame:
+def _merge(base: DataFrame, updates: DataFrame, seq, when_matched, tld_token: str, last_status: bool = False) -> DataFrame:
     b = base.select(*OFFER_COLUMNS).alias("b")
-    u = _map_updates(updates, seq).alias("u")
+    u = _map_updates(updates, seq, last_status).alias("u")
     j = b.join(u, F.col("b.url") == F.col("u.url"), "full_outer")
     in_b = F.col("b.url").isNotNull()
     in_u = F.col("u.url").isNotNull()
-    ins = _insert_values("u")
+    ins = _insert_values(tld_token)
     cols = [F.coalesce(F.col("b.url"), F.col("u.url")).alias("url")]
     for c in VALUE_COLUMNS:
         matched = when_matched(c, ins)
@@ -127,21 +136,24 @@ def _merge(base: DataFrame, updates: DataFrame, seq, when_matched) -> DataFrame:
                .when(in_b, F.lit("kept"))
                .otherwise(F.lit("inserted")))
     out = j.select(*cols, change.alias("change"))
-    # `website` is NOT NULL in the table: a new key without `www.` stays out.
+    # `website` is NOT NULL in the table: a new key without one stays out and
+    # is reported by `merge_rejects`.
     return out.filter(F.col("website").isNotNull())
 
 
-def merge_fill_unknown(base: DataFrame, updates: DataFrame, seq=None) -> DataFrame:
+def merge_fill_unknown(base: DataFrame, updates: DataFrame, seq=None,
+                       tld_token: str = DEFAULT_TLD_TOKEN) -> DataFrame:
     """M2: insert new keys with defaults; a known key whose `active` is
     still `Unknown` gets the update's flag (1/0, absent = 1); else unchanged."""
     def matched(c, ins):
         if c == "active":
             return F.when(F.col("b.active") == UNKNOWN, ins["active"]).otherwise(F.col("b.active"))
         return F.col(f"b.{c}")
-    return _merge(base, updates, seq, matched)
+    return _merge(base, updates, seq, matched, tld_token)
 
 
-def merge_conditional(base: DataFrame, updates: DataFrame, seq=None) -> DataFrame:
+def merge_conditional(base: DataFrame, updates: DataFrame, seq=None,
+                      tld_token: str = DEFAULT_TLD_TOKEN) -> DataFrame:
     """M3: a known key still `Unknown` takes every column of the update; a
     key already decided takes the update's `active` only."""
     def matched(c, ins):
@@ -151,14 +163,15 @@ def merge_conditional(base: DataFrame, updates: DataFrame, seq=None) -> DataFram
         if c == "website":
             return F.coalesce(F.when(undecided, ins["website"]), F.col("b.website"))
         return F.when(undecided, ins[c]).otherwise(F.col(f"b.{c}"))
-    return _merge(base, updates, seq, matched)
+    return _merge(base, updates, seq, matched, tld_token, last_status=True)
 
 
-def merge_rejects(base: DataFrame, updates: DataFrame, seq=None) -> DataFrame:
-    """New keys that M2/M3 keep out of the table (no `www.` in the URL)."""
+def merge_rejects(base: DataFrame, updates: DataFrame, seq=None,
+                  tld_token: str = DEFAULT_TLD_TOKEN) -> DataFrame:
+    """New keys that M2/M3 keep out of the table (no website in the URL)."""
     u = _map_updates(updates, seq)
     new = u.join(base.select("url"), "url", "left_anti")
-    return (new.filter(website_from_url(F.col("url")).isNull())
+    return (new.filter(website_from_url(F.col("url"), tld_token).isNull())
             .select("url", F.lit("no www. in url").alias("reason")))
 
 

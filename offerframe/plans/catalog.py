@@ -27,7 +27,6 @@ from ..session import shared_dir
 from ..sources import linkfiles as LF
 from ..sources import offermap as OM
 from ..sources import snapshots as SN
-from ..sources.pages import spread_small_scan
 from ..streaming import ingest
 from . import fixtures as FX
 from . import jobs
@@ -37,7 +36,7 @@ LINK_RULES = SYNTHETIC_LINK_RULES
 
 
 def _pages(spark, sf_dir) -> DataFrame:
-    return spread_small_scan(FX.table(spark, sf_dir, "pages"))
+    return FX.table(spark, sf_dir, "pages")
 
 
 def _sliced_pages(spark, sf_dir) -> DataFrame:
@@ -152,15 +151,15 @@ def merge_rejects(spark, sf_dir):
 
 
 def status_update(spark, sf_dir):
-    return M.status_update(FX.merge_base(spark, sf_dir), FX.status_updates(spark, sf_dir))
+    return M.status_update(FX.whole_base(spark, sf_dir), FX.status_updates(spark, sf_dir))
 
 
 def status_unmatched(spark, sf_dir):
-    return M.status_unmatched(FX.merge_base(spark, sf_dir), FX.status_updates(spark, sf_dir))
+    return M.status_unmatched(FX.whole_base(spark, sf_dir), FX.status_updates(spark, sf_dir))
 
 
 def key_lookup(spark, sf_dir):
-    return M.key_lookup(FX.merge_base(spark, sf_dir), FX.lookup_keys(spark, sf_dir))
+    return M.key_lookup(FX.whole_base(spark, sf_dir), FX.lookup_keys(spark, sf_dir))
 
 
 def bool_codec(spark, sf_dir):
@@ -260,15 +259,38 @@ def event_minute_stamps(spark, sf_dir):
 
 def offer_map_load(spark, sf_dir):
     """S2 + S4 + M2: the link map written as an offer map, then loaded into
-    an empty table with the fill-unknown merge."""
+    an empty table with the fill-unknown merge: kept and rejected rows."""
     root = shared_dir(spark, "offer-map-load")
     path = OM.write_offer_map(links_overlay(spark, sf_dir), f"{root}/maps", "202401010000")
-    jobs.load_offer_map(spark, path, f"{root}/table")
-    return SN.read_snapshot(spark, f"{root}/table")
+    version = jobs.load_offer_map(spark, path, f"{root}/table", tld_token=PAGE_RULES.tld_token)
+    kept = SN.read_snapshot(spark, f"{root}/table").withColumn("reason", F.lit(None).cast("string"))
+    rejected = spark.read.parquet(jobs.rejects_path(f"{root}/table", version)).select("url", "reason")
+    return kept.unionByName(rejected, allowMissingColumns=True)
+
+
+def _page_files(spark, sf_dir) -> str:
+    """The stored pages as several files, so that a stream takes several
+    batches; pages with an even id come a second time, as an older copy
+    with another title in the first file."""
+    pages = FX.table(spark, sf_dir, "pages")
+    folder = f"{shared_dir(spark, 'page-files')}/in"
+    old = pages.filter(F.col("page_id") % 2 == 0).withColumn(
+        "html", F.regexp_replace("html", "(?i)<h1[^>]*>", "<h1>Old "))
+    old.write.parquet(f"{folder}/1")
+    for k in (0, 1):
+        pages.filter(F.pmod(F.xxhash64("page_id"), F.lit(2)) == k).write.parquet(f"{folder}/{2 + k}")
+    return folder
 
 
 def stream_offers(spark, sf_dir):
-    return ingest.run_page_stream(spark, sf_dir, PAGE_RULES)
+    """M9 over repeated urls, one file at a time: at least three batches."""
+    return ingest.run_page_stream(spark, f"{_page_files(spark, sf_dir)}/*", PAGE_RULES, file_glob="*.parquet",
+                                  max_files=1)[0]
+
+
+def stream_quarantine(spark, sf_dir):
+    """The pages that gave no offer in the stream, with the reason."""
+    return ingest.run_page_stream(spark, sf_dir, PAGE_RULES)[1]
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -307,6 +329,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "link_list_roundtrip": link_list_roundtrip,
     "offer_map_roundtrip": offer_map_roundtrip,
     "stream_offers": stream_offers,
+    "stream_quarantine": stream_quarantine,
     "parse_counts": parse_counts,
     "offers_from_map": offers_from_map,
     "event_minute_stamps": event_minute_stamps,

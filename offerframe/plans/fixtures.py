@@ -95,6 +95,11 @@ def merge_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offers_view(spark, sf_dir).filter(F.col("p_size") <= 30).drop("p_size")
 
 
+def whole_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The offers of all parts (base of status updates and lookups)."""
+    return offers_view(spark, sf_dir).drop("p_size")
+
+
 def record_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed records from two scrape rounds (M1 input), with `seq`.
     Round 2 has no `location` (NULL = absent -> `No data` under M6)."""
@@ -155,10 +160,13 @@ def map_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def status_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One update per part; those of the `STANDARD` parts name a host without
+    `www.`, so no offer has their URL.  NULL status (size 1) updates nothing."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_type")
-    return part.filter((F.col("p_size") >= 25) & (F.col("p_size") <= 45)).select(
-        part_url("p_partkey").alias("url"),
-        F.expr("CASE WHEN p_type = 'PROMO' THEN 'No' ELSE 'Yes' END").alias("status"),
+    return part.select(
+        F.when(F.col("p_type") == "STANDARD", part_url("p_partkey", host_www=False))
+         .otherwise(part_url("p_partkey")).alias("url"),
+        F.expr("CASE WHEN p_size = 1 THEN NULL WHEN p_type = 'PROMO' THEN 'No' ELSE 'Yes' END").alias("status"),
     )
 
 

@@ -7,9 +7,12 @@ being recomputed or passed through the driver.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import DEFAULT_TLD_TOKEN
 from ..operators import extract as X
 from ..operators import links as L
 from ..operators import merge as M
@@ -40,7 +43,7 @@ def discover_links(result_pages: DataFrame, rules: LinkRules, out_root: str, sta
     list_path = LF.write_link_list(links, root, stamp, link_col="link")
     map_path = OM.write_offer_map(L.overlay_last_wins(tagged), root, stamp)
     check = L.reconcile(LF.read_link_list(spark, list_path), OM.read_offer_map(spark, map_path))
-    return {"links": list_path, "offers": map_path, "reconcile": check}
+    return {"links": list_path, "offers": map_path, "reconcile": check, "stamp": stamp}
 
 
 def _read_table(spark, table_root, bucketed):
@@ -69,8 +72,7 @@ def extract_offers(spark: SparkSession, map_root: str, pages: DataFrame, rules:
     map_path, offer_map = OM.read_newest_offer_map(spark, map_root)
     links = offer_map.select("url", F.col("size_category").alias("category"))
     parsed = X.offer_pages(links, pages, rules)
-    cur = SN.current_version(spark, table_root) or 0
-    work = f"{quarantine_root.rstrip('/')}/parsed_v{cur + 1:08d}"
+    work = f"{quarantine_root.rstrip('/')}/parsed_{uuid.uuid4().hex[:12]}"
     # Counts gathered while the parsed frame is written (no extra pass).
     counts = Observation("parse_counts")
     parsed.observe(counts, *X.parse_metrics()).write.mode("overwrite").parquet(work)
@@ -82,17 +84,29 @@ def extract_offers(spark: SparkSession, map_root: str, pages: DataFrame, rules:
             "quarantine": X.quarantine_only(parsed)}
 
 
+def rejects_path(table_root: str, version: int) -> str:
+    """Where the rows kept out of a version are, with their reasons."""
+    return f"{table_root.rstrip('/')}/_rejects/load/{SN.version_name(version)}"
+
+
 def load_offer_map(spark: SparkSession, map_path: str, table_root: str,
-                   policy: str = "fill_unknown", layout: str = "lines",
-                   bucketed: tuple[str, int] | None = None) -> int:
+                   policy: str = "fill_unknown", layout: str | None = None,
+                   bucketed: tuple[str, int] | None = None, tld_token: str = DEFAULT_TLD_TOKEN) -> int:
     """Read an offer map and merge it into the table (M2 or M3).
 
+    Input the table cannot take -- lines that are no map, new urls without a
+    website -- is written to `rejects_path` (raw, url, reason).
     `bucketed=(name, buckets)` keeps versions as catalog tables bucketed by
     url, so the merge shuffles only the offer map, not the table."""
+    layout = layout or OM.layout_of(spark, map_path)
     updates = OM.read_offer_map(spark, map_path, layout)
     base = _read_table(spark, table_root, bucketed)
     merge = M.merge_fill_unknown if policy == "fill_unknown" else M.merge_conditional
-    return _write_table(merge(base, updates).drop("change"), table_root, bucketed)
+    version = _write_table(merge(base, updates, tld_token=tld_token).drop("change"), table_root, bucketed)
+    lines = OM.offer_map_rejects(spark, map_path, layout).select("raw", F.lit(None).cast("string").alias("url"), "reason")
+    keys = M.merge_rejects(base, updates, tld_token=tld_token).select(F.lit(None).cast("string").alias("raw"), "url", "reason")
+    lines.unionByName(keys).write.mode("overwrite").parquet(rejects_path(table_root, version))
+    return version
 
 
 def analyse(offers: DataFrame) -> dict[str, DataFrame]:

@@ -45,7 +45,8 @@ def select_found(cl: str, sel: Selector) -> str:
 
 
 def website(url: str, token: str) -> str:
-    return f"nullif(split_part(split_part({url}, {lit(token)}, 1), 'www.', 2), '')"
+    return (f"(CASE WHEN contains({url}, {lit(token)}) THEN "
+            f"nullif(split_part(split_part({url}, {lit(token)}, 1), 'www.', 2), '') END)")
 
 
 def strict_number(col: str) -> str:
@@ -190,6 +191,8 @@ ALL_COLS = ("url",) + COLS
 
 BASE = f"SELECT {', '.join(ALL_COLS)} FROM ov WHERE p_size <= 30"
 
+WHOLE_BASE = f"SELECT {', '.join(ALL_COLS)} FROM ov"
+
 RECORD_UPDATES = f"""
 SELECT {_url('p_partkey')} AS url, {last_label('p_size * 5')} AS category,
        {website(_url('p_partkey'), '.pl')} AS website, CAST(p_partkey AS VARCHAR) AS offer_id,
@@ -216,12 +219,16 @@ SELECT CASE WHEN p_size = 50 THEN {_url('p_partkey', www=False)} ELSE {_url('p_p
        CAST(p_partkey * 10 + p_size + 1 AS VARCHAR), upper(p_name), p_type, p_type <> 'LARGE', 2
 FROM part WHERE p_size >= 40"""
 
-MAP_LATEST = ("SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seq DESC) AS rn "
-              "FROM mu) WHERE rn = 1")
+MAP_FIRST = ("SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seq) AS rn "
+             "FROM mu) WHERE rn = 1")
+MAP_FIRST_LAST = ("SELECT f.* REPLACE (l.is_active AS is_active) FROM (" + MAP_FIRST + ") f JOIN ("
+                  "SELECT url, is_active FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seq DESC) AS rn "
+                  "FROM mu) WHERE rn = 1) l ON f.url = l.url")
 
 STATUS_UPDATES = f"""
-SELECT {_url('p_partkey')} AS url, CASE WHEN p_type = 'PROMO' THEN 'No' ELSE 'Yes' END AS status
-FROM part WHERE p_size >= 25 AND p_size <= 45"""
+SELECT CASE WHEN p_type = 'STANDARD' THEN {_url('p_partkey', www=False)} ELSE {_url('p_partkey')} END AS url,
+       CASE WHEN p_size = 1 THEN NULL WHEN p_type = 'PROMO' THEN 'No' ELSE 'Yes' END AS status
+FROM part"""
 
 _ins = {
     "category": "coalesce(u.size_category, 'Unknown')",
@@ -234,7 +241,7 @@ _ins = {
 }
 
 
-def _merge_sql(matched: dict[str, str]) -> str:
+def _merge_sql(matched: dict[str, str], reduced: str) -> str:
     cols = ["coalesce(b.url, u.url) AS url"]
     for c in COLS:
         cols.append(f"CASE WHEN b.url IS NOT NULL AND u.url IS NOT NULL THEN {matched[c]} "
@@ -242,7 +249,7 @@ def _merge_sql(matched: dict[str, str]) -> str:
     cols.append("CASE WHEN b.url IS NOT NULL AND u.url IS NOT NULL THEN 'matched' "
                 "WHEN b.url IS NOT NULL THEN 'kept' ELSE 'inserted' END AS change")
     return (f"WITH {BANDS_CTE}, ov AS ({OFFERS_VIEW}), b0 AS ({BASE}), mu AS ({MAP_UPDATES}), "
-            f"ml AS ({MAP_LATEST}) SELECT * FROM (SELECT {', '.join(cols)} "
+            f"ml AS ({reduced}) SELECT * FROM (SELECT {', '.join(cols)} "
             f"FROM b0 b FULL OUTER JOIN ml u ON b.url = u.url) WHERE website IS NOT NULL")
 
 
@@ -320,24 +327,24 @@ FROM ovn""",
 WITH {BANDS_CTE}, ov AS ({OFFERS_VIEW}), b0 AS ({BASE}), ru AS ({RECORD_UPDATES}),
 rl AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seq DESC) AS rn FROM ru) WHERE rn = 1)
 SELECT {_upsert_cols} FROM b0 b FULL OUTER JOIN rl u ON b.url = u.url""",
-    "merge_fill_unknown": _merge_sql(_fill_matched),
-    "merge_conditional": _merge_sql(_cond_matched),
+    "merge_fill_unknown": _merge_sql(_fill_matched, MAP_FIRST),
+    "merge_conditional": _merge_sql(_cond_matched, MAP_FIRST_LAST),
     "merge_rejects": f"""
-WITH {BANDS_CTE}, ov AS ({OFFERS_VIEW}), b0 AS ({BASE}), mu AS ({MAP_UPDATES}), ml AS ({MAP_LATEST})
+WITH {BANDS_CTE}, ov AS ({OFFERS_VIEW}), b0 AS ({BASE}), mu AS ({MAP_UPDATES}), ml AS ({MAP_FIRST})
 SELECT url, 'no www. in url' AS reason FROM ml
 WHERE url NOT IN (SELECT url FROM b0) AND {website('url', '.pl')} IS NULL""",
     "status_update": f"""
-WITH {BANDS_CTE}, ov AS ({OFFERS_VIEW}), b0 AS ({BASE}),
+WITH {BANDS_CTE}, ov AS ({OFFERS_VIEW}), b0 AS ({WHOLE_BASE}),
 su AS (SELECT url, max(status) AS status FROM ({STATUS_UPDATES}) GROUP BY url)
 SELECT b.url, b.category, b.website, b.offer_id, b.price, b.offer_title, b.location,
        CASE WHEN su.status IS NOT NULL THEN su.status ELSE b.active END AS active,
        su.status IS NOT NULL AS updated
 FROM b0 b LEFT JOIN su ON b.url = su.url""",
     "status_unmatched": f"""
-WITH {BANDS_CTE}, ov AS ({OFFERS_VIEW}), b0 AS ({BASE})
+WITH {BANDS_CTE}, ov AS ({OFFERS_VIEW}), b0 AS ({WHOLE_BASE})
 SELECT DISTINCT url FROM ({STATUS_UPDATES}) WHERE url NOT IN (SELECT url FROM b0)""",
     "key_lookup": f"""
-WITH {BANDS_CTE}, ov AS ({OFFERS_VIEW}), b0 AS ({BASE})
+WITH {BANDS_CTE}, ov AS ({OFFERS_VIEW}), b0 AS ({WHOLE_BASE})
 SELECT * FROM b0 WHERE url IN (SELECT {_url('l_partkey')} FROM lineitem)""",
     "bool_codec": """
 SELECT doc_id, quality, toxic, coalesce(quality <> 0, TRUE) AS quality_flag,
@@ -397,9 +404,14 @@ FROM lm LEFT JOIN pl ON lm.url = pl.url""",
     "event_minute_stamps": "SELECT strftime(ts, '%Y%m%d%H%M') AS stamp, count(*) AS n FROM events GROUP BY 1",
     "offer_map_load": f"""WITH {BANDS_CTE}, sp AS ({SLICED_PAGES}),
 m AS (SELECT url, arg_max(category, ord) AS category FROM ({SLICE_LINKS}) GROUP BY url)
-SELECT url, category, {website('url', '.pl')} AS website, 'Unknown' AS offer_id, 'Unknown' AS price,
-       'Unknown' AS offer_title, 'Unknown' AS location, '1' AS active
-FROM m WHERE {website('url', '.pl')} IS NOT NULL""",
+SELECT url, category, {website('url', _R.tld_token)} AS website, 'Unknown' AS offer_id, 'Unknown' AS price,
+       'Unknown' AS offer_title, 'Unknown' AS location, '1' AS active, NULL AS reason
+FROM m WHERE {website('url', _R.tld_token)} IS NOT NULL
+UNION ALL
+SELECT url, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'no www. in url'
+FROM m WHERE {website('url', _R.tld_token)} IS NULL""",
+    "stream_quarantine": f"""WITH {BANDS_CTE}, sp AS ({SLICED_PAGES}), po AS ({PAGE_OFFERS})
+SELECT page_id, url, reason FROM po WHERE reason IS NOT NULL""",
     "stream_offers": f"""WITH {BANDS_CTE}, sp AS ({SLICED_PAGES}), po AS ({PAGE_OFFERS})
 SELECT {', '.join(ALL_COLS)} FROM (
   SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id DESC) AS rn FROM po WHERE reason IS NULL)

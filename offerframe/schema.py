@@ -44,7 +44,7 @@ OFFER_MAP_VALUE = T.StructType([
     T.StructField("price", T.StringType()),
     T.StructField("offer_title", T.StringType()),
     T.StructField("location", T.StringType()),
-    T.StructField("is_active", T.BooleanType()),
+    T.StructField("is_active", T.StringType()),  # true/false or 1/0
 ])
 OFFER_MAP = T.MapType(T.StringType(), OFFER_MAP_VALUE)
 

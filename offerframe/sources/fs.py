@@ -43,17 +43,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def write_small_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a tiny file (a pointer) atomically: temp name, then rename."""
+def create_small_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a tiny file.  Fails if it exists: of two writers one wins."""
     fs, hpath = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    stream = fs.create(tmp, True)
+    stream = fs.create(hpath, False)
     stream.write(bytearray(text.encode("utf-8")))
     stream.close()
-    if fs.exists(hpath):
-        fs.delete(hpath, False)
-    fs.rename(tmp, hpath)
 
 
 def read_small_text(spark: SparkSession, path: str) -> str | None:

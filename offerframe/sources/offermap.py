@@ -28,15 +28,36 @@ def write_offer_map(links: DataFrame, root: str, stamp: str, url_col: str = "url
     return path
 
 
-def read_offer_map(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
+FLAG = ("CASE WHEN lower(trim({0})) IN ('true', '1') THEN true "
+        "WHEN lower(trim({0})) IN ('false', '0') THEN false END")  # a flag in any of its spellings
+
+
+def layout_of(spark: SparkSession, path: str) -> str:
+    """`lines` when the first filled line is an offer map of its own, else
+    `object` (one JSON object over many lines, read whole in one task: such a
+    file is one crawl; convert large ones once with `read` and `write`)."""
+    first = spark.read.text(path).filter(F.trim(F.col("value")) != "").limit(1)
+    row = first.select(F.from_json("value", OFFER_MAP).isNotNull().alias("ok")).first()
+    return "lines" if row is None or row["ok"] else "object"
+
+
+def _raw(spark: SparkSession, path: str, layout: str | None) -> DataFrame:
+    if (layout or layout_of(spark, path)) == "object":
+        return spark.read.text(path, wholetext=True)
+    return spark.read.text(path).filter(F.trim(F.col("value")) != "")
+
+
+def entries(maps: DataFrame, map_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Map column -> rows (url, size_category, ..., is_active boolean)."""
+    rows = maps.select(*keep, F.explode(F.col(map_col)).alias("url", "v")).select(*keep, "url", "v.*")
+    return rows.withColumn("is_active", F.expr(FLAG.format("is_active")))
+
+
+def read_offer_map(spark: SparkSession, path: str, layout: str | None = None) -> DataFrame:
     """Rows (url, size_category, offer_id, price, offer_title, location,
-    is_active); fields absent in the JSON are NULL."""
-    if layout == "object":
-        raw = spark.read.text(path, wholetext=True)
-    else:
-        raw = spark.read.text(path).filter(F.trim(F.col("value")) != "")
-    parsed = raw.select(F.explode(F.from_json(F.col("value"), OFFER_MAP)).alias("url", "v"))
-    return parsed.select("url", "v.*")
+    is_active); fields absent in the JSON are NULL.  The layout is found from
+    the content unless it is given."""
+    return entries(_raw(spark, path, layout).select(F.from_json(F.col("value"), OFFER_MAP).alias("_m")), "_m")
 
 
 def newest_offer_map_path(spark: SparkSession, root: str) -> str:
@@ -46,20 +67,16 @@ def newest_offer_map_path(spark: SparkSession, root: str) -> str:
     return fs.newest(entries).path
 
 
-def read_newest_offer_map(spark: SparkSession, root: str, layout: str = "lines") -> tuple[str, DataFrame]:
+def read_newest_offer_map(spark: SparkSession, root: str, layout: str | None = None) -> tuple[str, DataFrame]:
     path = newest_offer_map_path(spark, root)
     return path, read_offer_map(spark, path, layout)
 
 
-def offer_map_rejects(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
-    """Input that `read_offer_map` cannot use -- lines (or legacy files) that
+def offer_map_rejects(spark: SparkSession, path: str, layout: str | None = None) -> DataFrame:
+    """Input that `read_offer_map` cannot use -- lines (or whole files) that
     are not a JSON object of the offer-map shape -- with the raw text, so
     nothing is lost silently."""
-    if layout == "object":
-        raw = spark.read.text(path, wholetext=True)
-    else:
-        raw = spark.read.text(path).filter(F.trim(F.col("value")) != "")
     parsed = F.from_json(F.col("value"), OFFER_MAP)
-    return (raw.select(F.col("value").alias("raw"), parsed.alias("_m"))
+    return (_raw(spark, path, layout).select(F.col("value").alias("raw"), parsed.alias("_m"))
             .filter(F.col("_m").isNull())
             .select("raw", F.lit("not an offer-map object").alias("reason")))

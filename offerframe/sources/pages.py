@@ -7,23 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from ..schema import PAGES
 
 
-def read_pages(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:
-    """Stored pages; see `spread_small_scan`."""
-    pages = spark.read.schema(PAGES).parquet(path)
-    return spread_small_scan(pages) if spread else pages
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Page parsing is CPU-bound regex work.  A scan of a few large row
-    groups yields fewer splits than cores, leaving cores idle; only then
-    are the rows dealt round-robin over the cores.  A big input already has
-    more splits than cores and is returned untouched (no shuffle)."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no local context (Spark Connect): leave the scan as is
-        return df
-    return df.repartition(cores) if splits < cores else df
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Stored pages, as many tasks as the scan has splits.  Parsing is CPU
+    work: for more tasks lower `spark.sql.files.maxPartitionBytes` or store
+    smaller row groups; pages are never dealt out anew."""
+    return spark.read.schema(PAGES).parquet(path)
 
 
 def pages_for_links(pages: DataFrame, links: DataFrame) -> DataFrame:

@@ -2,30 +2,70 @@
 
 Parquet cannot be overwritten while it is read, and MERGE needs a table
 format this build does not ship, so every change writes a new version
-`v00000001, v00000002, ...` under the table root and then moves a small
-pointer file `_CURRENT`.  Readers follow the pointer, so a half-written
-version is never seen; a replayed streaming batch rewrites the same
-version number with the same content.
+`v00000001, v00000002, ...` under the table root and, once it is complete,
+creates a small file `_versions/v0000000N` for it.  Nothing is ever replaced:
+a version whose folder exists is not written again, the current version is the
+greatest one that has its file, and readers never see a half-written one.  Of
+two writers of one version the second fails (its write of the folder, or of
+the file) and can merge again into the new current version.
+
+The file holds the version's note: a stream puts its batch there, so a batch
+replayed after a failure is found to be applied already.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import OFFER_COLUMNS, OFFER_DEFAULTS, OFFERS
 from . import fs
 
-POINTER = "_CURRENT"
+VERSIONS = "_versions"
 
 
 def version_name(n: int) -> str:
     return f"v{n:08d}"
 
 
+def finished_versions(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the complete versions, ascending."""
+    return sorted(int(e.name[1:]) for e in fs.list_entries(spark, f"{root.rstrip('/')}/{VERSIONS}")
+                  if re.fullmatch(r"v[0-9]{8}", e.name))
+
+
 def current_version(spark: SparkSession, root: str) -> int | None:
-    text = fs.read_small_text(spark, f"{root.rstrip('/')}/{POINTER}")
-    return int(text.strip()) if text else None
+    """The greatest complete version; None for a table that was never written."""
+    done = finished_versions(spark, root)
+    return done[-1] if done else None
+
+
+def version_with_note(spark: SparkSession, root: str, note: str) -> int | None:
+    """The version that carries `note`, newest first (a stream looks for its batch)."""
+    for n in reversed(finished_versions(spark, root)):
+        if fs.read_small_text(spark, f"{root.rstrip('/')}/{VERSIONS}/{version_name(n)}") == note:
+            return n
+    return None
+
+
+def _next_version(spark: SparkSession, root: str) -> int:
+    """The first number above every version folder, complete or left by a failed write."""
+    taken = [int(e.name[1:]) for e in fs.list_entries(spark, root) if re.fullmatch(r"v[0-9]{8}", e.name)]
+    return max([0, *taken, *finished_versions(spark, root)]) + 1
+
+
+def _finish(spark: SparkSession, root: str, version: int, note: str) -> int:
+    fs.create_small_text(spark, f"{root}/{VERSIONS}/{version_name(version)}", note)
+    return version
+
+
+def nonconforming(df: DataFrame) -> DataFrame:
+    """Rows the table cannot hold, with the reason: they belong in a rejects output."""
+    return (df.filter(F.col("url").isNull() | F.col("website").isNull())
+            .select(F.col("url").cast("string").alias("url"),
+                    F.when(F.col("url").isNull(), F.lit("no url")).otherwise(F.lit("no www. in url")).alias("reason")))
 
 
 def conform(df: DataFrame) -> DataFrame:
@@ -46,22 +86,18 @@ def duplicate_keys(df: DataFrame, key: str = "url") -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
-def write_snapshot(df: DataFrame, root: str, version: int | None = None,
-                   check_keys: bool = False) -> int:
-    """Write `df` as the next version (or the given one) and point to it."""
+def write_snapshot(df: DataFrame, root: str, check_keys: bool = False, note: str = "") -> int:
+    """Write `df` as the next version; returns its number."""
     spark = df.sparkSession
     root = root.rstrip("/")
-    if version is None:
-        cur = current_version(spark, root)
-        version = 1 if cur is None else cur + 1
+    version = _next_version(spark, root)
     out = conform(df)
     if check_keys and duplicate_keys(out).limit(1).count() > 0:
         raise ValueError("offers snapshot would hold a url twice")
     # Sorted by url inside each file (a local sort, no extra shuffle): row
     # group min/max statistics then let a key lookup skip most of a file.
-    out.sortWithinPartitions("url").write.mode("overwrite").parquet(f"{root}/{version_name(version)}")
-    fs.write_small_text(spark, f"{root}/{POINTER}", str(version))
-    return version
+    out.sortWithinPartitions("url").write.mode("errorifexists").parquet(f"{root}/{version_name(version)}")
+    return _finish(spark, root, version, note)
 
 
 def read_snapshot(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
@@ -90,21 +126,17 @@ def bucketed_name(name: str, version: int) -> str:
     return f"{name}_{version_name(version)}"
 
 
-def write_bucketed(df: DataFrame, root: str, name: str, buckets: int,
-                   version: int | None = None) -> int:
+def write_bucketed(df: DataFrame, root: str, name: str, buckets: int, note: str = "") -> int:
     """Write `df` as the next version of catalog table `name`, bucketed by
     url into `buckets` (match `spark.sql.shuffle.partitions`), data under
-    `root`; moves the pointer like `write_snapshot`."""
+    `root`; finished like `write_snapshot`."""
     spark = df.sparkSession
     root = root.rstrip("/")
-    if version is None:
-        cur = current_version(spark, root)
-        version = 1 if cur is None else cur + 1
-    (conform(df).write.mode("overwrite").bucketBy(buckets, "url").sortBy("url")
+    version = _next_version(spark, root)
+    (conform(df).write.mode("errorifexists").bucketBy(buckets, "url").sortBy("url")
      .option("path", f"{root}/{version_name(version)}")
      .saveAsTable(bucketed_name(name, version)))
-    fs.write_small_text(spark, f"{root}/{POINTER}", str(version))
-    return version
+    return _finish(spark, root, version, note)
 
 
 def read_bucketed(spark: SparkSession, root: str, name: str,

@@ -3,23 +3,32 @@
 The original hands records from scrapers to one writer through queues.
 Here a file stream replaces the queues and `foreachBatch` runs the merge:
 
-    new files -> micro-batch -> merge with version k -> write version k+1
-
-The stream owns its table root; version numbers follow batch ids, so a
-batch replayed after a failure rewrites the same version from the same
-input (idempotent), and the checkpoint records what was consumed, so a
-restart adds nothing twice.  `trigger(availableNow=True)` drains what is
-there and stops -- the batch equivalent -- while a processing-time trigger
-keeps it running.
+    new files -> micro-batch -> merge with the current version -> next version
+
+A batch builds on the table as it is, whoever wrote it last.  Each version
+notes the stream (its checkpoint) and batch it came from; a batch replayed
+after a failure is found in the notes and not applied twice, and the
+checkpoint records what was consumed, so a restart adds nothing.
+
+Records are applied in one order -- modification time and path of the file,
+then place in the file -- inside a batch as across batches, so the result does
+not depend on how files fall into batches.  `trigger(availableNow=True)`
+drains what is there and stops -- the batch equivalent -- while a
+processing-time trigger keeps it running.
+
+Nothing is dropped: what the table cannot take is written, with its reason,
+below `_rejects/` next to the table, per stream and batch.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import DEFAULT_TLD_TOKEN
 from ..operators import extract as X
 from ..operators import merge as M
 from ..operators.bands import last_band
@@ -27,111 +36,139 @@ from ..plans import fixtures as FX
 from ..profiles import PageRules
 from ..schema import OFFER_MAP, PAGES
 from ..session import shared_dir
+from ..sources import offermap as OM
 from ..sources import snapshots as SN
 
 
-def _batch_writer(table_root: str, merge: Callable[[DataFrame, DataFrame], DataFrame],
+def stream_name(checkpoint: str) -> str:
+    """Short name of a stream: its checkpoint folder, hashed."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
+def rejects_root(table_root: str) -> str:
+    return f"{table_root.rstrip('/')}/_rejects/stream"
+
+
+def _batch_writer(table_root: str, checkpoint: str, merge: Callable[[DataFrame, DataFrame, str], tuple],
                   bucketed: tuple[str, int] | None = None):
-    """Version k+1 = merge(version k, batch k); with `bucketed=(name, n)`
-    versions are catalog tables bucketed by url, so a merge shuffles only
-    the micro-batch."""
+    """`merge(base, batch, work)` -> (next version, rejects); applied once per batch.
+
+    With `bucketed=(name, n)` versions are catalog tables bucketed by url, so a
+    merge shuffles only the micro-batch."""
+    stream = stream_name(checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch_id == 0:
-            base = SN.empty_table(spark)
-        elif bucketed:
-            base = SN.read_bucketed(spark, table_root, bucketed[0], batch_id)
-        else:
-            base = SN.read_snapshot(spark, table_root, batch_id)
-        merged = merge(base, batch)
+        note = f"{stream}/{batch_id}"
+        if SN.version_with_note(spark, table_root, note) is not None:
+            return
+        base = SN.read_bucketed(spark, table_root, bucketed[0]) if bucketed else SN.read_snapshot(spark, table_root)
+        place = f"stream={stream}/batch_id={batch_id}"
+        merged, rejects = merge(base, batch, f"{table_root.rstrip('/')}/_work/{place}")
+        # Rejects first: a batch that has its version has them too.
+        rejects.write.mode("overwrite").parquet(f"{rejects_root(table_root)}/{place}")
         if bucketed:
-            SN.write_bucketed(merged, table_root, bucketed[0], bucketed[1], version=batch_id + 1)
+            SN.write_bucketed(merged, table_root, bucketed[0], bucketed[1], note=note)
         else:
-            SN.write_snapshot(merged, table_root, version=batch_id + 1)
+            SN.write_snapshot(merged, table_root, note=note)
     return write
 
 
-def offer_map_stream(spark: SparkSession, source_dir: str) -> DataFrame:
+# Place of a record in the stream: file time, file, part of the file, place in the part.
+_ORDER = ("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start")
+
+
+def offer_map_stream(spark: SparkSession, source_dir: str, max_files: int | None = None) -> DataFrame:
     """Offer-map files (JSON Lines, one entry per line) as a stream of
-    (raw line, parsed map); the map is NULL for an unusable line."""
-    raw = spark.readStream.format("text").load(source_dir)
-    return raw.filter(F.trim(F.col("value")) != "").select(
-        F.col("value").alias("_line"), F.from_json(F.col("value"), OFFER_MAP).alias("_m"))
+    (raw line, its file's place); `max_files` bounds each micro-batch."""
+    reader = spark.readStream.format("text")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    raw = reader.load(source_dir)
+    return raw.filter(F.trim(F.col("value")) != "").select(F.col("value").alias("raw"), F.struct(*_ORDER).alias("file"))
 
 
-def _entries(lines: DataFrame) -> DataFrame:
-    return (lines.filter(F.col("_m").isNotNull())
-            .select(F.explode(F.col("_m")).alias("url", "v")).select("url", "v.*"))
+def _map_merge(policy: str, tld_token: str):
+    merge = {"fill_unknown": M.merge_fill_unknown, "conditional": M.merge_conditional}[policy]
 
+    def run(base: DataFrame, batch: DataFrame, work: str) -> tuple:
+        # Written first: the line's place in its file must be the same for every use.
+        batch.withColumn("line", F.monotonically_increasing_id()).write.mode("overwrite").parquet(work)
+        lines = batch.sparkSession.read.parquet(work).select(
+            "raw", F.struct("file", "line").alias("seq"), F.from_json("raw", OFFER_MAP).alias("_m"))
+        updates = OM.entries(lines.filter(F.col("_m").isNotNull()), "_m", keep=("seq",))
+        bad = (lines.filter(F.col("_m").isNull())
+               .select("raw", F.lit(None).cast("string").alias("url"), F.lit("not an offer-map object").alias("reason")))
+        kept_out = (M.merge_rejects(base, updates, "seq", tld_token)
+                    .select(F.lit(None).cast("string").alias("raw"), "url", "reason"))
+        return merge(base, updates, "seq", tld_token).drop("change"), bad.unionByName(kept_out)
 
-def ingest_offer_maps(spark: SparkSession, source_dir: str, table_root: str,
-                      checkpoint: str, policy: str = "fill_unknown", once: bool = True,
-                      bucketed: tuple[str, int] | None = None):
-    """Merge every offer-map file arriving in `source_dir` into the table."""
-    merges = {
-        "fill_unknown": lambda base, b: M.merge_fill_unknown(base, b).drop("change"),
-        "conditional": lambda base, b: M.merge_conditional(base, b).drop("change"),
-    }
-    stream = offer_map_stream(spark, source_dir)
-    write_table = _batch_writer(table_root, merges[policy], bucketed)
+    return run
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        # Unusable lines are kept next to the table (per batch id, so a
-        # replayed batch rewrites the same file), never dropped silently.
-        (batch.filter(F.col("_m").isNull())
-         .select(F.col("_line").alias("raw"))
-         .write.mode("overwrite").parquet(f"{table_root.rstrip('/')}/_rejects/batch_id={batch_id}"))
-        write_table(_entries(batch), batch_id)
-
-    writer = (stream.writeStream.foreachBatch(write)
-              .option("checkpointLocation", checkpoint))
+
+def _start(stream: DataFrame, write, checkpoint: str, once: bool):
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="30 seconds")
     return writer.start()
 
 
+def ingest_offer_maps(spark: SparkSession, source_dir: str, table_root: str,
+                      checkpoint: str, policy: str = "fill_unknown", once: bool = True,
+                      bucketed: tuple[str, int] | None = None, tld_token: str = DEFAULT_TLD_TOKEN,
+                      max_files: int | None = None):
+    """Merge every offer-map file arriving in `source_dir` into the table."""
+    write = _batch_writer(table_root, checkpoint, _map_merge(policy, tld_token), bucketed)
+    return _start(offer_map_stream(spark, source_dir, max_files), write, checkpoint, once)
+
+
 def page_stream(spark: SparkSession, folder: str, file_glob: str | None = None,
                 max_files: int | None = None) -> DataFrame:
-    """Stored pages as a file stream; `max_files` bounds each micro-batch."""
+    """Stored pages as a file stream, each with its place; `max_files` bounds each micro-batch."""
     reader = spark.readStream.schema(PAGES)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(folder)
+    return reader.parquet(folder).select("*", F.struct(F.struct(*_ORDER).alias("file"), "_metadata.row_index").alias("seq"))
 
 
-def _page_upsert(rules: PageRules, work_root: str, category: Callable[[Column], Column]):
-    def merge(base: DataFrame, batch: DataFrame) -> DataFrame:
+def _page_merge(rules: PageRules, category: Callable[[Column], Column] | None):
+    def run(base: DataFrame, batch: DataFrame, work: str) -> tuple:
         spark = batch.sparkSession
-        parsed = X.parse_pages(batch, rules, category=category(F.col("html")), keep=("page_id",))
+        tag = F.lit(None).cast("string") if category is None else category(F.col("html"))
         # Write the parsed batch before splitting it: a filter on extracted
         # fields would otherwise be pushed below the extraction and repeat
         # the HTML cleaning.
-        path = f"{work_root}/parsed-{id(batch)}-{spark.sparkContext.startTime}"
-        parsed.write.mode("overwrite").parquet(path)
-        good = spark.read.parquet(path).filter(F.col("reason").isNull())
-        return M.upsert_overwrite(base, good, "page_id")
-    return merge
+        X.parse_pages(batch, rules, category=tag, keep=("page_id", "seq")).write.mode("overwrite").parquet(work)
+        parsed = spark.read.parquet(work)
+        rejects = parsed.filter(F.col("reason").isNotNull()).select("page_id", "url", "reason")
+        return M.upsert_overwrite(base, parsed.filter(F.col("reason").isNull()), "seq"), rejects
+
+    return run
+
+
+def ingest_pages(spark: SparkSession, folder: str, table_root: str, checkpoint: str, rules: PageRules,
+                 category: Callable[[Column], Column] | None = None, once: bool = True,
+                 file_glob: str | None = None, max_files: int | None = None):
+    """Pages arriving in `folder` are parsed and upserted; pages that give no offer go to the rejects."""
+    write = _batch_writer(table_root, checkpoint, _page_merge(rules, category))
+    return _start(page_stream(spark, folder, file_glob, max_files), write, checkpoint, once)
 
 
 def _slice_category(html: Column) -> Column:
     return last_band(FX.page_slice(html))
 
 
-def run_page_stream(spark: SparkSession, sf_dir: str, rules: PageRules,
-                    category: Callable[[Column], Column] = _slice_category,
-                    max_files: int | None = None) -> DataFrame:
+def run_page_stream(spark: SparkSession, folder: str, rules: PageRules,
+                    category: Callable[[Column], Column] | None = _slice_category,
+                    file_glob: str | None = "pages.parquet", max_files: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Pages flow in as a file stream, are parsed and upserted batch by
-    batch; returns the final table once the stream has drained."""
+    batch; returns the final table and the rejects once the stream has drained."""
     root = shared_dir(spark, "page-stream")
-    table_root, checkpoint = f"{root}/table", f"{root}/checkpoint"
-    stream = page_stream(spark, sf_dir.rstrip("/"), file_glob="pages.parquet", max_files=max_files)
-    query = (stream.writeStream
-             .foreachBatch(_batch_writer(table_root, _page_upsert(rules, f"{root}/work", category)))
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True)
-             .start())
+    query = ingest_pages(spark, folder.rstrip("/"), f"{root}/table", f"{root}/checkpoint", rules, category,
+                         file_glob=file_glob, max_files=max_files)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return SN.read_snapshot(spark, table_root)
+    rejects = spark.read.schema("page_id long, url string, reason string").parquet(rejects_root(f"{root}/table"))
+    return SN.read_snapshot(spark, f"{root}/table"), rejects.select("page_id", "url", "reason")

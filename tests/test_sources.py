@@ -38,13 +38,16 @@ def test_empty_folder_raises(spark, tmp_root):
 def test_legacy_offer_map_object(spark, tmp_root):
     path = os.path.join(tmp_root, "offers_202401010000.json")
     data = {"https://www.olx.pl/a.html": {"size_category": "25-40"},
-            "https://www.otodom.pl/b": {"size_category": "150-", "is_active": False, "price": "1"}}
+            "https://www.otodom.pl/b": {"size_category": "150-", "is_active": False, "price": "1"},
+            "https://www.otodom.pl/c": {"size_category": "150-", "is_active": 0},
+            "https://www.otodom.pl/d": {"size_category": "150-", "is_active": 1}}
     with open(path, "w", encoding="utf-8") as f:
         json.dump(data, f, indent=4)
-    got = {r.url: r for r in OM.read_offer_map(spark, path, layout="object").collect()}
+    got = {r.url: r for r in OM.read_offer_map(spark, path).collect()}  # the layout is found
     assert got["https://www.olx.pl/a.html"].size_category == "25-40"
     assert got["https://www.olx.pl/a.html"].is_active is None
     assert got["https://www.otodom.pl/b"].is_active is False
+    assert got["https://www.otodom.pl/c"].is_active is False and got["https://www.otodom.pl/d"].is_active is True
     assert OM.newest_offer_map_path(spark, tmp_root).endswith(".json")
 
 
@@ -61,7 +64,28 @@ def test_snapshot_versions_and_pointer(spark, tmp_root):
     assert SN.write_snapshot(v.limit(3), tmp_root) == 2
     assert SN.read_snapshot(spark, tmp_root).count() == 3
     assert SN.read_snapshot(spark, tmp_root, 1).count() == v.count()
-    assert fs.read_small_text(spark, f"{tmp_root}/_CURRENT") == "2"
+    assert SN.finished_versions(spark, tmp_root) == [1, 2]
+
+
+def test_unfinished_version_is_neither_read_nor_overwritten(spark, tmp_root):
+    v = FX.offers_view(spark, "/root/testdata/sf0.001").drop("p_size")
+    SN.write_snapshot(v.limit(5), tmp_root)
+    v.limit(7).write.parquet(f"{tmp_root}/v00000002")  # a write that ended before it was finished
+    assert SN.current_version(spark, tmp_root) == 1
+    assert SN.read_snapshot(spark, tmp_root).count() == 5
+    assert SN.write_snapshot(v.limit(3), tmp_root) == 3
+    assert spark.read.parquet(f"{tmp_root}/v00000002").count() == 7
+
+
+def test_of_two_writers_of_one_version_one_fails(spark, tmp_root, monkeypatch):
+    v = FX.offers_view(spark, "/root/testdata/sf0.001").drop("p_size")
+    monkeypatch.setattr(SN, "_next_version", lambda *_: 1)
+    assert SN.write_snapshot(v.limit(2), tmp_root) == 1
+    with pytest.raises(Exception, match="(?i)exist"):
+        SN.write_snapshot(v.limit(3), tmp_root)
+    with pytest.raises(Exception, match="(?i)exist"):
+        fs.create_small_text(spark, f"{tmp_root}/{SN.VERSIONS}/v00000001", "")
+    assert SN.read_snapshot(spark, tmp_root).count() == 2
 
 
 def test_conform_defaults_and_required(spark):
@@ -121,3 +145,18 @@ def test_offer_map_rejects_keep_bad_lines(spark, tmp_root):
     assert [r.url for r in OM.read_offer_map(spark, path).collect()] == ["https://www.olx.pl/a.html"]
     bad = OM.offer_map_rejects(spark, path).collect()
     assert [r.raw for r in bad] == ["not json at all"]
+
+
+def test_load_keeps_rejects_and_existing_rows(spark, tmp_root):
+    table = os.path.join(tmp_root, "table")
+    path = os.path.join(tmp_root, "offers_1")
+    os.makedirs(path)
+    with open(os.path.join(path, "part-0.txt"), "w") as f:
+        f.write('{"https://www.olx.pl/a.html": {"size_category": "-25"}}\n{"https://olx.pl/b": {"size_category": "-25"}}\n'
+                '{"https://www.cheap.example.com/the/x": {"size_category": "-25"}}\nbroken\n')
+    version = jobs.load_offer_map(spark, path, table)
+    assert [r.url for r in SN.read_snapshot(spark, table).collect()] == ["https://www.olx.pl/a.html"]
+    out = spark.read.parquet(jobs.rejects_path(table, version)).collect()
+    assert sorted((r.raw or "", r.url or "", r.reason) for r in out) == [
+        ("", "https://olx.pl/b", "no www. in url"), ("", "https://www.cheap.example.com/the/x", "no www. in url"),
+        ("broken", "", "not an offer-map object")]

@@ -76,5 +76,48 @@ def test_stream_keeps_unusable_lines(spark, tmp_root):
     q = ingest.ingest_offer_maps(spark, src, table, os.path.join(tmp_root, "ckpt"))
     q.awaitTermination()
     assert [r.url for r in SN.read_snapshot(spark, table).collect()] == ["https://www.olx.pl/d/1.html"]
-    bad = spark.read.parquet(os.path.join(table, "_rejects")).collect()
+    bad = spark.read.parquet(ingest.rejects_root(table)).collect()
     assert [r.raw for r in bad] == ["{broken"]
+
+
+def _files(src, lists, first=0):
+    os.makedirs(src, exist_ok=True)
+    for i, rows in enumerate(lists, first):
+        path = os.path.join(src, f"{i:03d}.txt")
+        with open(path, "w") as f:
+            f.writelines('{"%s": {"size_category": "%s", "is_active": %s}}\n' % r for r in rows)
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+
+
+def test_ingest_on_an_existing_table_keeps_its_rows(spark, tmp_root):
+    from offerframe.plans import jobs
+
+    table, u = os.path.join(tmp_root, "table"), "https://www.olx.pl/d/"
+    p = _write_map(spark, os.path.join(tmp_root, "maps"), "202401010000", [(u + "old.html", "-25")])
+    jobs.load_offer_map(spark, p, table)
+    jobs.load_offer_map(spark, p, table)
+    src = os.path.join(tmp_root, "in")
+    _files(src, [[(u + "new.html", "-25", "true")]])
+    for ckpt in ("c1", "c2"):  # a second stream with a checkpoint of its own reads the same file
+        ingest.ingest_offer_maps(spark, src, table, os.path.join(tmp_root, ckpt)).awaitTermination()
+    assert sorted(r.url for r in SN.read_snapshot(spark, table).collect()) == [u + "new.html", u + "old.html"]
+    assert SN.finished_versions(spark, table) == [1, 2, 3, 4]
+    assert SN.read_snapshot(spark, table, 1).count() == 1
+
+
+def test_result_does_not_depend_on_batches(spark, tmp_root):
+    import random
+
+    u = "https://www.olx.pl/d/"
+    for policy in ("fill_unknown", "conditional"):
+        for seed in range(2):
+            rng = random.Random(seed)
+            lists = [[(u + f"{rng.randrange(4)}.html", rng.choice(["-25", "25-40", "150-"]), rng.choice(["true", "false", "0", "1"]))
+                      for _ in range(rng.randrange(1, 5))] for _ in range(4)]
+            got = []
+            for size in (1, 3, 10):
+                root = os.path.join(tmp_root, f"{policy}-{seed}-{size}")
+                _files(f"{root}/in", lists)
+                ingest.ingest_offer_maps(spark, f"{root}/in", f"{root}/t", f"{root}/c", policy, max_files=size).awaitTermination()
+                got.append(sorted(SN.read_snapshot(spark, f"{root}/t").collect()))
+            assert got[0] == got[1] == got[2], (policy, seed)

@@ -21,8 +21,10 @@ count sketch over all documents; it steers the work only, any order is exact.
 3. Prefix shingles whose documents are not all in one component yet are worked
    off in blocks: equal shingle and size class, and in parts of `block` rows
    against each other where a block is larger.  In a block an R-tree self-join
-   yields the pairs of different components that the bound leaves.  Verified,
-   they complete the components: every linked pair has been either joined or
+   over coarse points (sums of neighbouring groups, a bound as well) yields the
+   pairs of different components, the full points sift them, and a pair that
+   shares several blocks is reported by the first of them.  Verified, they
+   complete the components: every linked pair has been either joined or
    compared, whatever the size of a block.
 
 Defined results: a document without words (or NULL text) has an empty set and
@@ -49,10 +51,12 @@ from .components import components
 class Params:
     width: int = 5           # words of a shingle
     percent: int = 80        # Jaccard threshold, in hundredths
-    groups: int = 64         # coordinates of a point
+    groups: int = 512        # coordinates of a point
+    boxes: int = 64          # coordinates of the R-tree's boxes: sums of groups / boxes neighbouring groups
     sketch_bits: int = 20    # counters of the frequency sketch: 2**bits
     held_keys: int = 2_000_000  # prefix shingles a task holds before it passes them on
     block: int = 4096        # documents compared at once
+    listed: int = 16         # pairs of larger blocks are reported by one block only
     leaf: int = 32           # points of an R-tree leaf
 
 
@@ -88,10 +92,10 @@ def _scan(p: Params):
             for a, _, data, offs in text_slices(batch.column("text")):
                 rows = []
                 for k, s in enumerate(shingle_sets(data, offs, p.width)):
-                    point = np.minimum(np.bincount((s % groups).astype(np.int64), minlength=p.groups), 65535)
+                    point = np.minimum(np.bincount((s % groups).astype(np.int64), minlength=p.groups), 255)
                     with np.errstate(over="ignore"):
                         sig = np.array([s.sum(dtype=np.uint64), tv.mix(s).sum(dtype=np.uint64)], np.uint64).view(np.int64)
-                    rows.append((ids[a + k], len(s), int(sig[0]), int(sig[1]), point.astype("<u2").tobytes()))
+                    rows.append((ids[a + k], len(s), int(sig[0]), int(sig[1]), point.astype(np.uint8).tobytes()))
                     waiting.append((s >> shift).astype(np.int64))
                     held += len(s)
                 columns = list(zip(*rows))
@@ -205,16 +209,24 @@ def _stars(batches):
 
 # --- comparing --------------------------------------------------------------------------
 
-def bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Most shingles that rows of x and rows of y can share: summed coordinate minima."""
-    return np.minimum(x[:, None, :], y[None, :, :]).sum(-1)
+_FULL = 255         # a counter at its limit ...
+_UNBOUNDED = 1 << 24  # ... counts as any number
 
 
 def points(column) -> np.ndarray:
-    """Points as integers; a counter at its limit counts as unbounded."""
-    raw = np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(len(column), -1).astype(np.int64)
-    raw[raw == 65535] = 1 << 40
-    return raw
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
+def bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Most shingles that row i of x and row i of y can share: summed coordinate minima."""
+    least = np.minimum(x, y)
+    return least.sum(1, dtype=np.int64) + (least == _FULL).any(1) * _UNBOUNDED
+
+
+def coarse(x: np.ndarray, boxes: int) -> np.ndarray:
+    """Points with fewer coordinates: a coordinate is the sum of neighbouring ones."""
+    parts = x.reshape(len(x), boxes, -1)
+    return parts.sum(2, dtype=np.int32) + (parts == _FULL).any(2) * np.int32(_UNBOUNDED)
 
 
 class RTree:
@@ -232,11 +244,12 @@ class RTree:
             self.children = (RTree(order[:half], x, n, leaf), RTree(order[half:], x, n, leaf))
 
 
-def tree_pairs(x: np.ndarray, n: np.ndarray, comp: np.ndarray, p: Params, left: np.ndarray, right: np.ndarray):
+def tree_pairs(full: np.ndarray, n: np.ndarray, comp: np.ndarray, p: Params, left: np.ndarray, right: np.ndarray):
     """Pairs (i, j), i of `left` and j of `right`, of different components whose sizes and points allow a link."""
     if not len(left) or not len(right):
         return
     same = left is right
+    x = coarse(full, p.boxes)
     a = RTree(left, x, n, p.leaf)
     stack = [(a, a if same else RTree(right, x, n, p.leaf))]
     factor = 100 + p.percent
@@ -244,7 +257,7 @@ def tree_pairs(x: np.ndarray, n: np.ndarray, comp: np.ndarray, p: Params, left:
         u, v = stack.pop()
         if 100 * u.high < p.percent * v.low or 100 * v.high < p.percent * u.low:
             continue
-        if factor * int(np.minimum(u.top, v.top).sum()) < needed(u.low, v.low, p.percent):
+        if factor * int(np.minimum(u.top, v.top).sum(dtype=np.int64)) < needed(u.low, v.low, p.percent):
             continue
         if u.children or v.children:
             if u is v:
@@ -256,11 +269,16 @@ def tree_pairs(x: np.ndarray, n: np.ndarray, comp: np.ndarray, p: Params, left:
                 stack += [(u, c) for c in v.children]
             continue
         i, j = u.rows, v.rows
-        fits = factor * bound(x[i], x[j]) >= needed(n[i][:, None], n[j][None, :], p.percent)
-        fits &= comp[i][:, None] != comp[j][None, :]
+        fits = comp[i][:, None] != comp[j][None, :]
         fits &= 100 * np.minimum(n[i][:, None], n[j][None, :]) >= p.percent * np.maximum(n[i][:, None], n[j][None, :])
+        if not fits.any():
+            continue
+        shared = np.minimum(x[i][:, None, :], x[j][None, :, :]).sum(-1, dtype=np.int64)
+        fits &= factor * shared >= needed(n[i][:, None], n[j][None, :], p.percent)
         at, to = np.nonzero(np.triu(fits, 1) if u is v else fits)
-        yield i[at], j[to]
+        at, to = i[at], j[to]
+        keep = factor * bound(full[at], full[to]) >= needed(n[at], n[to], p.percent)
+        yield at[keep], to[keep]
 
 
 def _block_pairs(p: Params):
@@ -269,14 +287,21 @@ def _block_pairs(p: Params):
     side 0 and 1 of a block are compared with each other, side 0 also with itself when `own`."""
 
     def solve(rows):
-        doc, n, comp, side, own, x = (np.concatenate([r[k] for r in rows]) for k in range(6))
+        doc, n, comp, side, own, key, x = (np.concatenate([r[k] for r in rows]) for k in range(7))
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         found = list(tree_pairs(x, n, comp, p, left, right))
         if own[0]:
             found += list(tree_pairs(x, n, comp, p, left, left))
-        if found:
-            a, b = doc[np.concatenate([f[0] for f in found])], doc[np.concatenate([f[1] for f in found])]
-            yield np.maximum(a, b), np.minimum(a, b)
+        if not found:
+            return
+        i, j = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+        keys = [k for r in rows for k in r[7]]
+        if keys[0]:  # a block of listed shingles: the smallest common one reports the pair
+            keys = {k: frozenset(keys[k]) for k in set(i.tolist()) | set(j.tolist())}
+            first = np.array([min(keys[a] & keys[b]) == key[0] for a, b in zip(i.tolist(), j.tolist())], bool)
+            i, j = i[first], j[first]
+        if len(i):
+            yield np.maximum(doc[i], doc[j]), np.minimum(doc[i], doc[j])
 
     def run(batches):
         held, last, out, size = [], None, [], 0
@@ -289,7 +314,8 @@ def _block_pairs(p: Params):
         for batch in batches:
             block = batch.column("block").to_numpy()
             x = points(batch.column("point"))
-            cols = [batch.column(c).to_numpy() for c in ("doc_id", "n", "comp", "side", "own")] + [x]
+            cols = [batch.column(c).to_numpy() for c in ("doc_id", "n", "comp", "side", "own", "key")]
+            cols += [x, batch.column("keys").to_pylist()]
             cuts = np.concatenate([[0], np.flatnonzero(block[1:] != block[:-1]) + 1, [len(block)]])
             for f, t in zip(cuts[:-1], cuts[1:]):
                 if t == f:
@@ -346,9 +372,8 @@ def _possible(pairs: DataFrame, sizes: DataFrame, p: Params) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            x, y = points(batch.column("p_a")), points(batch.column("p_b"))
             n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
-            keep = pa.array(factor * np.minimum(x, y).sum(1) >= p.percent * n)
+            keep = pa.array(factor * bound(points(batch.column("p_a")), points(batch.column("p_b"))) >= p.percent * n)
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b", "equal")],
                                              names=["a", "b", "equal"])
 
@@ -366,7 +391,7 @@ def _links(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, p: Params) -> Da
 
 
 def _blocks(members: DataFrame, p: Params) -> DataFrame:
-    """(key, doc_id, n, comp, point) -> rows of blocks to compare.
+    """(key, keys, doc_id, n, comp, point) -> rows of blocks to compare.
 
     A document belongs to the size class of its n (steps of 100 / percent) and
     visits the next class, whose members may be that much larger.  A block over
@@ -376,7 +401,7 @@ def _blocks(members: DataFrame, p: Params) -> DataFrame:
     classed = members.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.lit(step) + F.lit(1e-9)))
     both = F.explode(F.array(F.struct(F.col("class").alias("class"), F.lit(0).alias("side")),
                              F.struct((F.col("class") + 1).alias("class"), F.lit(1).alias("side"))))
-    rows = classed.withColumn("at", both).select("key", "doc_id", "n", "comp", "point", "at.class", "at.side")
+    rows = classed.withColumn("at", both).select("key", "keys", "doc_id", "n", "comp", "point", "at.class", "at.side")
     sizes = (rows.groupBy("key", "class").agg(F.count(F.lit(1)).alias("rows"), F.sum(1 - F.col("side")).alias("home"),
                                               F.min("comp").alias("c1"), F.max("comp").alias("c2"))
              .where((F.col("home") > 0) & (F.col("c1") != F.col("c2")))
@@ -392,7 +417,7 @@ def _blocks(members: DataFrame, p: Params) -> DataFrame:
     return rows.select(
         F.xxhash64("key", "class", "meet.i", "meet.j").alias("block"), "doc_id", "n", "comp",
         F.when(across, (F.col("part") == F.col("meet.j")).cast("int")).otherwise(F.col("side")).alias("side"),
-        (~across).cast("int").alias("own"), "point")
+        (~across).cast("int").alias("own"), "point", "key", "keys")
 
 
 def near_duplicates(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -420,8 +445,13 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), id_col: str = "d
     # Two documents have met in step 2; and of shingles with the same documents one is enough.
     alike = (rows.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.bit_xor(F.xxhash64("doc_id")).alias("x1"),
                                      F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("x2")).where("docs > 2"))
-    rows = rows.join(alike.groupBy("docs", "x1", "x2").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
-    rows = (rows.join(sizes.select("doc_id", "n", "point"), "doc_id")
+    rows = written(rows.join(alike.groupBy("docs", "x1", "x2").agg(F.min("key").alias("key")).select("key", "docs"), "key"),
+                   "blocks")
+    # A document's own larger shingles, few of its prefix.
+    lists = rows.where(F.col("docs") > p.listed).groupBy("doc_id").agg(F.collect_list("key").alias("all"))
+    rows = (rows.join(lists, "doc_id", "left")
+            .select("key", "doc_id", F.when(F.col("docs") > p.listed, F.col("all")).alias("keys"))
+            .join(sizes.select("doc_id", "n", "point"), "doc_id")
             .join(groups.select(F.col("id").alias("doc_id"), F.col("component_id").alias("comp")), "doc_id", "left")
             .withColumn("comp", F.coalesce("comp", "doc_id")))
     blocks = _blocks(rows.where("n > 0"), p).repartition("block").sortWithinPartitions("block")

@@ -124,7 +124,7 @@ def test_near_duplicates_match_brute_force(spark):
     rows = _corpus()
     sets, want = _brute(rows)
     assert len(set(want.values())) < len(rows)  # there are links to find
-    for params in (jaccard.Params(), jaccard.Params(block=8, leaf=2, held_keys=50, sketch_bits=16)):
+    for params in (jaccard.Params(), jaccard.Params(block=8, leaf=2, held_keys=50, sketch_bits=16, listed=3, groups=32, boxes=4)):
         got = jaccard.near_duplicates(data.documents(spark, rows).repartition(6), params).collect()
         assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got} == {(i, len(sets[i]), want[i]) for i in sets}
 
@@ -155,13 +155,14 @@ def test_near_dedup_keeps_one_per_component(spark):
 @given(st.integers(0, 10_000))
 def test_rtree_loses_no_pair(seed):
     rng = np.random.default_rng(seed)
-    x = rng.integers(0, 4, (40, 6)) + rng.integers(0, 2, (40, 1)) * 5
-    n, comp = x.sum(1), rng.integers(0, 10, 40)
-    p = jaccard.Params(leaf=3)
+    x = (rng.integers(0, 4, (40, 6)) + rng.integers(0, 2, (40, 1)) * 5).astype(np.uint8)
+    x[rng.integers(0, 40, 2), 1] = 255  # at the counter's limit: unbounded
+    n, comp = x.sum(1, dtype=np.int64), rng.integers(0, 10, 40)
+    p = jaccard.Params(leaf=3, groups=6, boxes=2)
     every = np.arange(40)
     got = {tuple(sorted(t)) for i, j in jaccard.tree_pairs(x, n, comp, p, every, every) for t in zip(i.tolist(), j.tolist())}
     want = {(i, j) for i in range(40) for j in range(i + 1, 40) if comp[i] != comp[j]
-            and 100 * min(n[i], n[j]) >= 80 * max(n[i], n[j]) and 180 * np.minimum(x[i], x[j]).sum() >= 80 * (n[i] + n[j])}
+            and 100 * min(n[i], n[j]) >= 80 * max(n[i], n[j]) and (180 * np.minimum(x[i], x[j]).sum(dtype=np.int64) >= 80 * (n[i] + n[j]) or x[i, 1] == x[j, 1] == 255)}
     assert got == want
 
 

@@ -39,6 +39,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,11 +52,12 @@ from .components import components
 class Params:
     width: int = 5           # words of a shingle
     percent: int = 80        # Jaccard threshold, in hundredths
-    groups: int = 512        # coordinates of a point
+    groups: int = 256        # coordinates of a point
     boxes: int = 64          # coordinates of the R-tree's boxes: sums of groups / boxes neighbouring groups
     sketch_bits: int = 20    # counters of the frequency sketch: 2**bits
     held_keys: int = 2_000_000  # prefix shingles a task holds before it passes them on
     block: int = 4096        # documents compared at once
+    marks: int = 23          # documents in question are marked in a table of 2**marks bits
     listed: int = 16         # pairs of larger blocks are reported by one block only
     leaf: int = 32           # points of an R-tree leaf
 
@@ -115,22 +117,26 @@ def _scan(p: Params):
     return run
 
 
-def _add_sketches(batches):
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts")):
-            row = np.frombuffer(counts.as_py(), np.int64)
-            total[part] = total[part] + row if part in total else row
-    names = ["part", "counts"]
-    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()),
-                                      pa.array([v.tobytes() for v in total.values()], pa.binary())], names=names)
+def _merged(kind, add):
+    """Rows (part, counts) of all tasks -> one row per part."""
+    def run(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts")):
+                row = np.frombuffer(counts.as_py(), kind)
+                total[part] = add(total[part], row) if part in total else row
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()),
+                                          pa.array([v.tobytes() for v in total.values()], pa.binary())],
+                                         names=["part", "counts"])
+
+    return run
 
 
 def frequency_classes(scanned: DataFrame, p: Params) -> np.ndarray:
     """Binary logarithm of every sketch counter: 2**sketch_bits bytes, whatever the corpus."""
     parts = max(1, (1 << p.sketch_bits) // _SKETCH_PART)
     sums = (scanned.where("kind = 1").select("part", "counts").repartition(parts, "part")
-            .mapInArrow(_add_sketches, "part int, counts binary"))
+            .mapInArrow(_merged(np.int64, np.add), "part int, counts binary"))
     out = np.zeros(1 << p.sketch_bits, np.uint8)
     for r in sums.toLocalIterator():
         row = np.frombuffer(r["counts"], np.int64)
@@ -193,9 +199,14 @@ def _prefixes(p: Params, classes):
 
 
 def _stars(batches):
-    """Sorted (key, document) rows -> (key, document, smallest document of the key)."""
+    """Sorted (key, document) rows -> (key, document, smallest document of the key); links pass through."""
     last_key, low = None, None
     for batch in batches:
+        link = batch.column("b").is_valid()
+        passed = batch.filter(link)
+        if passed.num_rows:
+            yield passed
+        batch = batch.filter(pc.invert(link))
         key, doc = batch.column("key").to_numpy(), batch.column("a").to_numpy()
         if not len(key):
             continue
@@ -207,6 +218,47 @@ def _stars(batches):
             yield _keyed(key[other], doc[other], lows[other])
 
 
+# --- documents in question --------------------------------------------------------------
+
+def _slots(ids: np.ndarray, p: Params) -> np.ndarray:
+    return (tv.mix(ids.view(np.uint64)) >> np.uint64(64 - p.marks)).astype(np.int64)
+
+
+def marked(pairs: DataFrame, p: Params):
+    """A broadcast table of bits in which every document of `pairs` has its bit
+    set: 2**marks bits whatever the corpus.  It only keeps other documents'
+    texts and points out of the joins that follow; some may pass."""
+    def run(batches):
+        bits = np.zeros(1 << p.marks, bool)
+        for batch in batches:
+            for c in ("a", "b"):
+                bits[_slots(batch.column(c).to_numpy(), p)] = True
+        raw = np.packbits(bits)
+        parts = [(k, raw[at:at + _SKETCH_PART].tobytes()) for k, at in enumerate(range(0, len(raw), _SKETCH_PART))]
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int32()),
+                                          pa.array([r for _, r in parts], pa.binary())], names=["part", "counts"])
+
+    found = (pairs.select("a", "b").mapInArrow(run, "part int, counts binary")
+             .repartition(max(1, (1 << p.marks) // 8 // _SKETCH_PART), "part")
+             .mapInArrow(_merged(np.uint8, np.bitwise_or), "part int, counts binary"))
+    raw = np.zeros((1 << p.marks) // 8, np.uint8)
+    for r in found.toLocalIterator():
+        row = np.frombuffer(r["counts"], np.uint8)
+        raw[r["part"] * _SKETCH_PART:][:len(row)] = row
+    return pairs.sparkSession.sparkContext.broadcast(raw)
+
+
+def only_marked(df: DataFrame, marks, p: Params) -> DataFrame:
+    """The rows of `df` whose doc_id has its bit set (rows without an id go)."""
+    def run(batches):
+        bits = np.unpackbits(marks.value).astype(bool)
+        for batch in batches:
+            batch = batch.filter(batch.column("doc_id").is_valid())
+            yield batch.filter(pa.array(bits[_slots(batch.column("doc_id").to_numpy(), p)]))
+
+    return df.mapInArrow(run, df.schema)
+
+
 # --- comparing --------------------------------------------------------------------------
 
 _FULL = 255         # a counter at its limit ...
@@ -358,6 +410,7 @@ def _verify(p: Params):
 
 def verified(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
     """The pairs (a, b) whose whole texts reach the threshold."""
+    docs = only_marked(docs, marked(pairs, p), p)
     text = lambda c: docs.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
     both = pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "text_a", "text_b")
     return both.mapInArrow(_verify(p), "a long, b long")
@@ -365,6 +418,7 @@ def verified(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
 
 def _possible(pairs: DataFrame, sizes: DataFrame, p: Params) -> DataFrame:
     """Pairs with sizes, points and signatures, without those that sizes or points rule out."""
+    sizes = only_marked(sizes, marked(pairs, p), p)
     side = lambda c: sizes.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sig1").alias(f"s1_{c}"),
                                   F.col("sig2").alias(f"s2_{c}"), F.col("point").alias(f"p_{c}"))
     fits = (100 * F.least("n_a", "n_b") >= p.percent * F.greatest("n_a", "n_b")) & (F.col("n_a") > 0)
@@ -428,10 +482,11 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), id_col: str = "d
     scanned = written(every.mapInArrow(_scan(p), _SCAN), "shingles")
     sizes = scanned.where("kind = 0").select("doc_id", "n", "sig1", "sig2", "point")
     classes = docs.sparkSession.sparkContext.broadcast(frequency_classes(scanned, p))
-    keyed = written(known.mapInArrow(_prefixes(p, classes), _KEYED), "prefixes")
-    stars = (keyed.where("b IS NULL").select("key", "a").repartition("key").sortWithinPartitions("key", "a")
-             .mapInArrow(_stars, _KEYED))
-    stars = written(keyed.where("b IS NOT NULL").unionByName(stars), "stars")
+    # The smallest documents of a key meet in one partition; links found already pass through, spread evenly.
+    spread = F.when(F.col("b").isNull(), F.lit(0)).otherwise(F.xxhash64("a"))
+    stars = (known.mapInArrow(_prefixes(p, classes), _KEYED).repartition("key", spread)
+             .sortWithinPartitions("key", "a").mapInArrow(_stars, _KEYED))
+    stars = written(stars, "stars")
     first = written(stars.select("a", "b").distinct(), "pairs")
     links = _links(first, sizes, known, p)
     groups = written(components(links), "components")

@@ -132,13 +132,31 @@ def quarantine_only(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("reason").isNotNull()).select("url", "reason")
 
 
+# Most wanted pages (url and id, about 150 bytes each) that are sent to every task.
+WANTED_LIMIT = 500_000
+
+
+def wanted_pages(links: DataFrame, pages: DataFrame, limit: int = WANTED_LIMIT) -> DataFrame:
+    """The pages worth parsing: of each url in the map the latest stored one.
+
+    Their list comes from narrow columns.  Up to `limit` of them it is sent to
+    the scan, and nothing else is parsed; a longer one would not fit there, and
+    then all pages are parsed where they lie rather than moved: the join of the
+    parsed records in `offer_pages` gives the same result."""
+    wanted = (pages.select("url", "page_id").join(links.select("url").distinct(), "url", "left_semi")
+              .groupBy("url").agg(F.max("page_id").alias("page_id")))
+    if wanted.limit(limit + 1).count() > limit:
+        return pages
+    return pages.join(F.broadcast(wanted), ["url", "page_id"], "left_semi")
+
+
 def offer_pages(links: DataFrame, pages: DataFrame, rules: PageRules) -> DataFrame:
-    """P12 driven by a link map (url, category): parse every page first
+    """P12 driven by a link map (url, category): parse the wanted pages
     (narrow output, no `html` in any shuffle), then join the narrow records
     to the link map on url.  Links without a stored page are quarantined as
     `page missing`; pages that are not in the map are not returned; of a
     URL stored several times the latest page (greatest `page_id`) counts."""
-    parsed = parse_pages(pages.select("page_id", "url", "html"), rules, keep=("page_id",))
+    parsed = parse_pages(wanted_pages(links, pages.select("page_id", "url", "html")), rules, keep=("page_id",))
     parsed = parsed.drop("category")
     # One record per URL (the latest stored page) before the join: a URL
     # stored many times is collapsed map-side, so the join is one-to-one.

@@ -14,16 +14,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import clean_html
+from ..functions.html import clean_html, unescape
 from ..functions.text import base_of_url
 from ..profiles import LinkRules
 
-ANCHOR_PATTERN = r"""(?is)<a[ \t\r\n][^>]*href=["']([^"']*)["']"""
+_SP = r"[ \t\r\n\f]"
+# An anchor's tag up to the end of its href value: the attribute itself (not data-href), in any quoting.
+ANCHOR_PATTERN = (rf"""(?is)<a(?:{_SP}[^>]*?)?{_SP}href{_SP}*={_SP}*(?:"[^">]*"|'[^'>]*'|[^ \t\r\n\f>"']+)""")
+_BEFORE_VALUE = rf"(?is)^<a.*?{_SP}href{_SP}*={_SP}*"
 
 
 def anchor_hrefs(html: Column) -> Column:
-    """L1: every `href` of every anchor, in page order, on cleaned markup."""
-    return F.regexp_extract_all(clean_html(html), F.lit(ANCHOR_PATTERN), F.lit(1))
+    """L1: every `href` of every anchor, in page order, on cleaned markup, entities decoded."""
+    tags = F.regexp_extract_all(clean_html(html), F.lit(ANCHOR_PATTERN), F.lit(0))
+    value = lambda t: F.regexp_replace(F.regexp_replace(t, _BEFORE_VALUE, ""), "^[\"']|[\"']$", "")
+    return F.transform(tags, lambda t: unescape(value(t)))
 
 
 def extract_anchors(pages: DataFrame, keep=("page_id", "url"), html_col: str = "html") -> DataFrame:

@@ -10,7 +10,9 @@ spread over many partitions, and numbered in three steps:
 2. a small table of (partition, group) -> first position and row count,
    at most partitions x groups rows, turned into per-group offsets with a
    window that sees at most `partitions` rows per group;
-3. join the offsets back (broadcast by AQE when small) and add them up.
+3. join the offsets back and add them up.  The offsets are written first
+   and their rows counted: up to `SMALL_ROWS` they are sent to every task, so
+   the placed rows are not shuffled again; more are joined by shuffle.
 
 The order keys must be total (end with a unique column) so ties cannot
 make the numbering depend on fetch order.
@@ -31,6 +33,17 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 
+SMALL_ROWS = 500_000  # rows of a few numbers that are sent to every task
+
+
+def sent_if_small(df: DataFrame, name: str) -> DataFrame:
+    """A small table written, counted, and marked for broadcast up to `SMALL_ROWS` rows."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    return F.broadcast(out) if out.count() <= SMALL_ROWS else out
+
+
 def place(df: DataFrame, group_cols: list[str], order_cols: list[Column | str],
           num_partitions: int | None = None) -> DataFrame:
     """Range-partition on (group, order), note each row's partition and its
@@ -66,6 +79,7 @@ def number_placed(placed: DataFrame, group_cols: list[str], rank_col: str = "ran
     for g, r in renamed.items():
         stats = stats.withColumnRenamed(g, r)
 
+    stats = sent_if_small(stats, "rank-offsets")
     cond = F.col("_pid") == F.col("_spid")
     for g, r in renamed.items():
         cond = cond & F.col(g).eqNullSafe(F.col(r))

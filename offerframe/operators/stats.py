@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import strict_number
-from .rank import number_placed, place
+from .rank import number_placed, place, sent_if_small
 
 QUARTILES = (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
 WHISKER = 1.5
@@ -105,7 +105,7 @@ def boxplot(df: DataFrame, group_col: str, value_col: str, tiebreak: str,
     lo_fence, hi_fence = F.col("q1") - WHISKER * iqr, F.col("q3") + WHISKER * iqr
     # Null-safe equality: no `isnotnull` constraint is inferred and pushed
     # through the quantile plan (that inference tripped AQE re-planning).
-    q = q.withColumnRenamed(group_col, "_qg")
+    q = sent_if_small(q.withColumnRenamed(group_col, "_qg"), "fences")
     joined = data.join(q, data[group_col].eqNullSafe(q["_qg"]), "inner").drop("_qg")
     out = joined.groupBy(group_col).agg(
         F.first("n").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
@@ -141,6 +141,7 @@ def outlier_rows(df: DataFrame, group_col: str, value_col: str, tiebreak: str,
     group with many outliers is never gathered in one place; the fence table
     (one row per group) is joined to the rows."""
     q = exact_quantiles(df, group_col, value_col, tiebreak, num_partitions=num_partitions)
+    q = sent_if_small(q, "fences")
     iqr = F.col("q3") - F.col("q1")
     fences = q.select(F.col(group_col).alias("_fg"),
                       (F.col("q1") - WHISKER * iqr).alias("_lo"),

@@ -22,7 +22,7 @@ from ..operators import merge as M
 from ..operators import quality as Q
 from ..operators import stats as A
 from ..operators import status as S
-from ..profiles import SYNTHETIC_LINK_RULES, SYNTHETIC_PAGE_RULES
+from ..profiles import REFERENCE_LINK_RULES, REFERENCE_PAGE_RULES, SYNTHETIC_LINK_RULES, SYNTHETIC_PAGE_RULES
 from ..session import shared_dir
 from ..sources import linkfiles as LF
 from ..sources import offermap as OM
@@ -35,6 +35,11 @@ PAGE_RULES = SYNTHETIC_PAGE_RULES
 LINK_RULES = SYNTHETIC_LINK_RULES
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _pages(spark, sf_dir) -> DataFrame:
     return FX.table(spark, sf_dir, "pages")
 
@@ -246,6 +251,35 @@ def offers_from_map(spark, sf_dir):
     return X.offer_pages(link_map, _pages(spark, sf_dir), PAGE_RULES)
 
 
+def listing_offers(spark, sf_dir):
+    """P1-P12 with the original tool's rules over listing pages of every kind."""
+    return X.parse_pages(FX.listing_pages(spark, sf_dir), REFERENCE_PAGE_RULES, keep=("page_id",))
+
+
+def listing_links(spark, sf_dir):
+    """L1-L5 with the original tool's rules over result pages with links of every kind."""
+    anchors = L.extract_anchors(FX.result_pages(spark, sf_dir), keep=("page_id", "url"))
+    return L.absolute_links(anchors, REFERENCE_LINK_RULES, keep=("page_id",))
+
+
+def extract_job(spark, sf_dir):
+    """Entry B as a whole: newest map, stored pages (each url twice, the older
+    copy outdated), parse, upsert, new version; table and quarantine as one."""
+    root = shared_dir(spark, "extract-job")
+    pages = written(FX.listing_pages(spark, sf_dir), f"{root}/listing")
+    old = pages.select((-F.col("page_id") - 1).alias("page_id"), "url", F.lit("<html><title>404</title></html>").alias("html"))
+    stored = written(pages.unionByName(old), f"{root}/pages")
+    own = stored.where("page_id >= 0").select("url", F.concat(F.lit("c"), F.col("page_id") % 3).alias("category"))
+    gone = FX.table(spark, sf_dir, "part").select(
+        F.concat(F.lit("https://www.olx.pl/d/gone/"), F.col("p_partkey"), F.lit(".html")).alias("url"),
+        F.lit("c0").alias("category"))
+    OM.write_offer_map(own.unionByName(gone), f"{root}/maps", "202401010000")
+    out = jobs.extract_offers(spark, f"{root}/maps", stored, REFERENCE_PAGE_RULES, f"{root}/table", f"{root}/quarantine")
+    kept = SN.read_snapshot(spark, f"{root}/table").withColumn("reason", F.lit(None).cast("string"))
+    both = kept.unionByName(out["quarantine"].select("url", "reason"), allowMissingColumns=True)
+    return both
+
+
 def parse_counts(spark, sf_dir):
     """Result counts of the extraction over all pages, one row."""
     return page_offers(spark, sf_dir).agg(*X.parse_metrics())
@@ -330,6 +364,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "offer_map_roundtrip": offer_map_roundtrip,
     "stream_offers": stream_offers,
     "stream_quarantine": stream_quarantine,
+    "listing_offers": listing_offers,
+    "listing_links": listing_links,
+    "extract_job": extract_job,
     "parse_counts": parse_counts,
     "offers_from_map": offers_from_map,
     "event_minute_stamps": event_minute_stamps,

@@ -170,6 +170,58 @@ def status_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# One listing page per part, in the markup the original tool's rules expect; the
+# part's key chooses the case (see oracle.LISTING_OFFERS for what must come out).
+_LISTING_URL = """concat(CASE WHEN kind IN (1, 7, 9) THEN 'https://www.otodom.pl/pl/oferta/'
+    WHEN kind = 2 THEN 'https://www.other.pl/oferta/' WHEN kind = 3 THEN 'https://olx.pl/d/oferta/'
+    ELSE 'https://www.olx.pl/d/oferta/' END, p_partkey, '.html')"""
+
+_SIMILAR = '<section><h2>Similar</h2><h3>999 zł similar offer</h3><h4>Other flat</h4><p>Elsewhere</p></section>'
+
+_OLX = """concat('<html><head><title>', CASE WHEN kind = 4 THEN 'Archiwalne: ' ELSE '' END, p_name, '</title>',
+    '<script>var t = "<div data-cy=\\'ad_title\\'><h4>script</h4></div>";</script></head><body><div id="mainContent"><div><div>nav<br></div>',
+    '<div><div>a</div><div>b<img src="x"></div><div><div>x</div><div><div>y</div><div><div><section><div><div><p>', n_name,
+    '</p><p>district</p></div></div><div><p>map</p></div></section></div></div></div></div></div></div></div>',
+    CASE kind WHEN 5 THEN '<div data-testid="ad-inactive-msg"><div><h4>gone</h4></div></div>'
+              WHEN 8 THEN '<div data-testid="ad-inactive-msg"></div>' ELSE '' END,
+    '<div data-cy="ad_title"><div><span>top</span></div><h4>',
+    CASE WHEN kind = 10 THEN concat('<b>', p_name, '</b> &amp; &quot;', n_name, '&quot; &#243;') ELSE p_name END, '</h4></div>',
+    CASE WHEN kind = 6 THEN '<div data-testid="ad-price-container"><b>ask</b></div>'
+         ELSE concat('<div data-testid="ad-price-container"><div>price</div><h3>', p_size, ' 000 zł</h3></div>') END,
+    '<div data-testid="ad-footer-bar-section"><span>ID: ', p_partkey, '</span><span>seen</span></div>', '{similar}',
+    '</body></html>')""".replace("{similar}", _SIMILAR)
+
+_OTODOM = """concat('<html><head><title>', p_name, '</title></head><body><h1 class="t" data-cy="adPageAdTitle">', p_name, '</h1>',
+    CASE WHEN kind = 7 THEN '<!-- <strong aria-label="Cena">1 zł</strong> -->' ELSE concat(
+        '<strong aria-label="Cena">', p_size, ' 000 zł</strong><p>Date: 1</p><p> ',
+        CASE WHEN kind = 9 THEN '<span>I<!-- x -->D</span>: ' ELSE 'ID: ' END, p_partkey, '</p>',
+        '<div class="m" id="map"><div>', n_name, '</div><div>tiles</div></div>') END, '{similar}', '</body></html>')""".replace(
+    "{similar}", _SIMILAR)
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, html: one offer page per part, of both sites and every kind."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    rows = part.join(nation, F.expr("p_partkey % 25") == nation["n_nationkey"]).withColumn("kind", F.expr("p_partkey % 12"))
+    html = f"CASE WHEN kind = 11 THEN '  ' WHEN kind IN (1, 7, 9) THEN {_OTODOM} ELSE {_OLX} END"
+    return rows.select(F.col("p_partkey").alias("page_id"), F.expr(_LISTING_URL).alias("url"), F.expr(html).alias("html"))
+
+
+def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, html: one search result page per part, with links of every kind."""
+    html = """concat('<html><body><a class="x" href="/d/oferta/', k, '.html">a</a>',
+        '<a href="https://www.otodom.pl/pl/oferta/', k, '.html">b</a><a href="https://www.other.pl/', k, '.html">c</a>',
+        '<a href="https://www.olx.pl/abs-', k, '.html">d</a><a href="/d/oferta/', k, '">e</a>',
+        '<a data-href="/d/no-', k, '.html" href="/d/o', chr(39), 'hara-', k, '.html">f</a>',
+        '<a href=/d/plain-', k, '.html>g</a><a href = ', chr(39), '/d/spaced-', k, '.html', chr(39), '>h</a>',
+        '<a href="/d/q?a=1&amp;b=', k, '.html">i</a><a name="top">j</a><!-- <a href="/d/hidden.html">k</a> -->',
+        '</body></html>')"""
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("page_id"), F.lit("https://www.olx.pl/search").alias("url"),
+        F.expr(html.replace(" k,", " CAST(p_partkey AS STRING),")).alias("html"))
+
+
 def lookup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part a line item refers to, as offer URLs."""
     li = table(spark, sf_dir, "lineitem").select("l_partkey")

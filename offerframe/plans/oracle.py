@@ -1,18 +1,15 @@
 """DuckDB SQL for every registered query (the correctness oracle).
 
-Written as plain SQL over the driver's views.  Regex texts are shared with
-the Spark side on purpose (they are the definition of the selectors); the
-evaluation -- joins, grouping, windows, quantiles, merges -- is written
-independently in SQL (range joins with `arg_max`, `quantile_cont`,
-`row_number`, FULL OUTER JOIN + CASE).
+Written as plain SQL over the driver's views, with patterns of its own (only
+selectors, markers and bands, which are data, come from `profiles`).  The
+listing queries go further: their pages are built from table columns, and the
+SQL states the expected fields from those columns without looking at a page.
 """
 
 from __future__ import annotations
 
-from ..functions.html import (ANY_TAG_PATTERN, BLOCK_TAG_PATTERN, CLEAN_PATTERN,
-                              ENTITIES, SPACE_RUN_PATTERN, Selector)
+from ..functions.html import Selector
 from ..functions.numbers import FINITE_PATTERN, INFINITE_PATTERN
-from ..operators.links import ANCHOR_PATTERN
 from ..profiles import REFERENCE_BANDS, band_request_suffix
 from .catalog import LINK_RULES, PAGE_RULES
 
@@ -22,26 +19,59 @@ def lit(s: str) -> str:
 
 
 def clean(col: str) -> str:
-    return f"regexp_replace({col}, {lit(CLEAN_PATTERN)}, '', 'g')"
+    for element in ("script", "style"):
+        col = f"regexp_replace({col}, '(?is)<{element}(\\s[^>]*)?>.*?</{element}\\s*>', '', 'g')"
+    return f"regexp_replace({col}, '(?s)<!--.*?-->', '', 'g')"
+
+
+# --- fixed values: elements that break a line, character references ------------
+_BREAKING = ("br p div li ul ol h1 h2 h3 h4 h5 h6 tr td th table section article header footer nav main aside "
+             "dd dt dl blockquote pre form").split()
+_REFERENCES = {"lt": "<", "gt": ">", "quot": '"', "#39": "'", "apos": "'", "nbsp": " ", "copy": "©", "middot": "·",
+               "amp": "&"}
+
+
+def references(text: str) -> str:
+    for name, char in _REFERENCES.items():
+        text = f"replace({text}, {lit('&' + name + ';')}, {lit(char)})"
+    return text
 
 
 def element_text(frag: str) -> str:
-    t = f"regexp_replace({frag}, {lit(BLOCK_TAG_PATTERN)}, ' ', 'g')"
-    t = f"regexp_replace({t}, {lit(ANY_TAG_PATTERN)}, '', 'g')"
-    for entity, char in ENTITIES:
-        t = f"replace({t}, {lit(entity)}, {lit(char)})"
-    t = f"trim(regexp_replace({t}, {lit(SPACE_RUN_PATTERN)}, ' ', 'g'))"
-    return f"nullif({t}, '')"
+    t = f"regexp_replace({frag}, '(?i)</?({'|'.join(_BREAKING)})([\\s/][^>]*)?>', ' ', 'g')"
+    t = references(f"regexp_replace({t}, '<[^>]*>', '', 'g')")
+    return f"nullif(trim(regexp_replace({t}, '[ \\t\\r\\n\\f]+', ' ', 'g')), '')"
+
+
+def _opening(tag: str, attrs=()) -> str:
+    inside = "".join(f"[^>]*\\s{name}=[\"']{value}[\"']" for name, value in attrs)
+    return f"<{tag}{inside}[^>]*>" if attrs else f"<{tag}(?:[\\s/][^>]*)?>"
+
+
+def _elements(cl: str, sel: Selector) -> str:
+    """List of the inner markup of all elements that the selector names."""
+    pat = lit(f"(?is){_opening(sel.tag, sel.attrs)}(.*?)</{sel.tag}\\s*>")
+    if sel.child is None:
+        return f"regexp_extract_all({cl}, {pat}, 1)"
+    body = lit(f"(?is){_opening(sel.tag, sel.attrs)}(.*?)(?:</{sel.tag}\\s*>|\\z)")
+    child = lit(f"(?is){_opening(sel.child)}(.*?)</{sel.child}\\s*>")
+    return f"regexp_extract_all(regexp_extract({cl}, {body}, 1), {child}, 1)"
 
 
 def select_text(cl: str, sel: Selector) -> str:
-    pat = lit(sel.pattern())
-    whole = f"regexp_extract({cl}, {pat}, 0)"
-    return f"(CASE WHEN {whole} <> '' THEN {element_text(f'regexp_extract({whole}, {pat}, 1)')} END)"
+    return element_text(f"{_elements(cl, sel)}[{sel.nth}]")
 
 
 def select_found(cl: str, sel: Selector) -> str:
-    return f"(regexp_extract({cl}, {lit(sel.pattern())}, 0) <> '')"
+    return f"(len({_elements(cl, sel)}) >= {sel.nth})"
+
+
+def anchors(columns: str, source: str) -> str:
+    """One row per anchor with an href: the columns and `href`."""
+    value = ("regexp_extract(t, '(?is)\\shref\\s*=\\s*(?:\"[^\"]*\"|''[^'']*''|[^\\s>\"'']+)', 0)")
+    bare = f"regexp_replace(regexp_replace({value}, '(?is)^\\shref\\s*=\\s*', ''), '^[\"'']|[\"'']$', '', 'g')"
+    tags = f"SELECT {columns}, unnest(regexp_extract_all({clean('html')}, '(?is)<a\\s[^>]*>', 0)) AS t FROM {source}"
+    return f"SELECT {columns}, {references(bare)} AS href FROM ({tags}) WHERE {value} <> ''"
 
 
 def website(url: str, token: str) -> str:
@@ -78,8 +108,7 @@ def last_ord(v: str) -> str:
 
 # --- links ------------------------------------------------------------------
 
-ANCHORS = (f"SELECT page_id, url, unnest(regexp_extract_all({clean('html')}, {lit(ANCHOR_PATTERN)}, 1)) AS href "
-           f"FROM pages")
+ANCHORS = anchors("page_id, url", "pages")
 
 
 def _link_expr(href: str, page_url: str) -> str:
@@ -97,8 +126,7 @@ SLICED_PAGES = (f"SELECT page_id, url, html, {last_label('floor(length(html) / 1
 
 SLICE_LINKS = (f"SELECT link AS url, slice AS category, slice_ord AS ord FROM ("
                f"SELECT slice, slice_ord, {_link_expr('href', 'url')} AS link FROM ("
-               f"SELECT url, slice, slice_ord, unnest(regexp_extract_all({clean('html')}, {lit(ANCHOR_PATTERN)}, 1)) AS href "
-               f"FROM sp)) WHERE link IS NOT NULL")
+               f"{anchors('url, slice, slice_ord', 'sp')})) WHERE link IS NOT NULL")
 
 REQUESTS_CTE = "reqs(ord, category, suffix) AS (VALUES " + ", ".join(
     f"({b.ord}, {lit(b.label)}, {lit(band_request_suffix(b))})" for b in REFERENCE_BANDS) + ")"
@@ -161,6 +189,38 @@ SELECT page_id, url,
        reason
 FROM (SELECT *, reason IS NULL AS ok, (st = 'live' AND reason IS NULL) AS live FROM ({PAGE_REASON}))"""
 
+# --- listing pages: what the pages of fixtures.listing_pages must give -------------
+
+LISTING_OFFERS = f"""
+SELECT p_partkey AS page_id, {{url}} AS url,
+       CASE WHEN kind NOT IN (2, 3, 11) THEN 'Unknown' END AS category,
+       CASE WHEN kind IN (1, 7, 9) THEN 'otodom' WHEN kind NOT IN (2, 3, 11) THEN 'olx' END AS website,
+       CASE WHEN kind IN (0, 1, 6, 8, 9, 10) THEN CAST(p_partkey AS VARCHAR) WHEN kind = 7 THEN 'Not found'
+            WHEN kind IN (4, 5) THEN 'Unknown' END AS offer_id,
+       CASE WHEN kind IN (0, 1, 8, 9, 10) THEN CAST(p_size AS VARCHAR) || ' 000 zł' WHEN kind IN (6, 7) THEN 'Not found'
+            WHEN kind IN (4, 5) THEN 'Unknown' END AS price,
+       CASE WHEN kind = 10 THEN p_name || ' & "' || n_name || '" ó' WHEN kind IN (0, 1, 6, 7, 8, 9) THEN p_name
+            WHEN kind IN (4, 5) THEN 'Unknown' END AS offer_title,
+       CASE WHEN kind IN (0, 1, 6, 8, 9, 10) THEN n_name WHEN kind = 7 THEN 'Not found' WHEN kind IN (4, 5) THEN 'Unknown' END
+           AS location,
+       CASE WHEN kind IN (4, 5) THEN 'No' WHEN kind NOT IN (2, 3, 11) THEN 'True' END AS active,
+       CASE WHEN kind = 4 THEN 'dead' WHEN kind = 5 THEN 'expired' WHEN kind IN (2, 3, 11) THEN 'quarantine' ELSE 'live' END
+           AS status,
+       CASE kind WHEN 2 THEN 'unknown site' WHEN 3 THEN 'no www. in url' WHEN 11 THEN 'empty page' END AS reason
+FROM (SELECT *, p_partkey % 12 AS kind FROM part JOIN nation ON n_nationkey = p_partkey % 25)""".replace("{url}", """(CASE
+    WHEN kind IN (1, 7, 9) THEN 'https://www.otodom.pl/pl/oferta/' WHEN kind = 2 THEN 'https://www.other.pl/oferta/'
+    WHEN kind = 3 THEN 'https://olx.pl/d/oferta/' ELSE 'https://www.olx.pl/d/oferta/' END || p_partkey || '.html')""")
+
+LISTING_LINKS = """
+SELECT p_partkey AS page_id, unnest([
+    'https://www.olx.pl/d/oferta/' || p_partkey || '.html',
+    'https://www.otodom.pl/pl/oferta/' || p_partkey || '.html',
+    'https://www.olx.pl/d/o''hara-' || p_partkey || '.html',
+    'https://www.olx.pl/d/plain-' || p_partkey || '.html',
+    'https://www.olx.pl/d/spaced-' || p_partkey || '.html',
+    'https://www.olx.pl/d/q?a=1&b=' || p_partkey || '.html']) AS link
+FROM part"""
+
 # --- offers view and merge inputs --------------------------------------------
 
 
@@ -410,6 +470,15 @@ FROM m WHERE {website('url', _R.tld_token)} IS NOT NULL
 UNION ALL
 SELECT url, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'no www. in url'
 FROM m WHERE {website('url', _R.tld_token)} IS NULL""",
+    "listing_offers": LISTING_OFFERS,
+    "listing_links": LISTING_LINKS,
+    "extract_job": f"""
+SELECT url, CASE WHEN reason IS NULL THEN size_class END AS category, website, offer_id, price,
+       offer_title, location, active, reason
+FROM (SELECT l.*, 'c' || (page_id % 3) AS size_class FROM ({LISTING_OFFERS}) l)
+UNION ALL
+SELECT 'https://www.olx.pl/d/gone/' || p_partkey || '.html', NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'page missing'
+FROM part""",
     "stream_quarantine": f"""WITH {BANDS_CTE}, sp AS ({SLICED_PAGES}), po AS ({PAGE_OFFERS})
 SELECT page_id, url, reason FROM po WHERE reason IS NOT NULL""",
     "stream_offers": f"""WITH {BANDS_CTE}, sp AS ({SLICED_PAGES}), po AS ({PAGE_OFFERS})

@@ -100,7 +100,7 @@ REFERENCE_PARTNER = SiteProfile(
         FieldRule("offer_id", Selector("p", text_prefix="ID"), post_split="ID: "),
         FieldRule("price", Selector("strong", (("aria-label", "Cena"),))),
         FieldRule("offer_title", Selector("h1", (("data-cy", "adPageAdTitle"),))),
-        FieldRule("location", Selector("*", (("id", "map"),), child="div")),
+        FieldRule("location", Selector("*", (("id", "map"),), path=(("div", 1),))),
     ),
 )
 REFERENCE_BASE = SiteProfile(
@@ -112,9 +112,9 @@ REFERENCE_BASE = SiteProfile(
                   post_split="ID: "),
         FieldRule("price", Selector("div", (("data-testid", "ad-price-container"),), child="h3")),
         FieldRule("offer_title", Selector("div", (("data-cy", "ad_title"),), child="h4")),
-        # The original takes a long positional path below #mainContent; the
-        # profile keeps its anchor and the first paragraph under it.
-        FieldRule("location", Selector("*", (("id", "mainContent"),), child="p")),
+        FieldRule("location", Selector("*", (("id", "mainContent"),), path=(
+            ("div", 1), ("div", 2), ("div", 3), ("div", 2), ("div", 2), ("div", 1), ("section", 1), ("div", 1), ("div", 1),
+            ("p", 1)))),
     ),
 )
 REFERENCE_PAGE_RULES = PageRules(

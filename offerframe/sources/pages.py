@@ -12,9 +12,3 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     work: for more tasks lower `spark.sql.files.maxPartitionBytes` or store
     smaller row groups; pages are never dealt out anew."""
     return spark.read.schema(PAGES).parquet(path)
-
-
-def pages_for_links(pages: DataFrame, links: DataFrame) -> DataFrame:
-    """Pages whose URL is in the link set (semi join; `html` is only
-    shuffled if the link set is too large to broadcast)."""
-    return pages.join(links.select("url").distinct(), "url", "left_semi")

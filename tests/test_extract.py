@@ -14,7 +14,9 @@ def live_base(i, price="450 000 zł", title="Flat", ident="ID: 123"):
     return (f"<html><head><title>{title} | site</title></head><body>"
             f'<div data-cy="ad_title"><h4>{title}</h4></div>'
             f'<div data-testid="ad-price-container"><h3>{price}</h3></div>'
-            f'<div id="mainContent"><section><p>Mokotów, Warszawa</p></section></div>'
+            '<div id="mainContent"><div><div>1</div><div><div>1</div><div>2</div><div><div>1</div><div><div>1</div><div><div>'
+            '<section><div><div><p>Mokotów, Warszawa</p><p>other</p></div></div></section>'
+            '</div></div></div></div></div></div></div>'
             f'<div data-testid="ad-footer-bar-section"><span>{ident}</span><span>x</span></div>'
             "</body></html>")
 
@@ -134,3 +136,24 @@ def test_offer_pages_latest_stored_version_wins(spark):
     rows = [(i, BASE + "a.html", live_base(i, price=f"{i} zł")) for i in range(1, 30)]
     out = X.offer_pages(links, pages(spark, rows), REFERENCE_PAGE_RULES).collect()
     assert len(out) == 1 and out[0].page_id == 29 and out[0].price == "29 zł"
+
+
+def test_fields_come_from_inside_their_element(spark):
+    """A similar offer further down is never taken for the offer's own field."""
+    rest = '<section><h3>999 zł similar offer</h3><h4>Other</h4></section></body></html>'
+    page = ('<html><head><title>T</title></head><body><div data-testid="ad-price-container"><b>ask</b></div>'
+            '<div data-testid="ad-inactive-msg"></div>'
+            '<div data-cy="ad_title"><div><i>x</i></div><div>y</div><h4>Own title</h4></div>' + rest)
+    r = parsed(spark, [(1, BASE + "a.html", page)])[1]
+    assert (r.status, r.price, r.offer_title) == ("live", "Not found", "Own title")
+
+
+def test_only_wanted_pages_are_parsed(spark):
+    from pyspark.sql import functions as F
+
+    rows = pages(spark, [(i, f"{BASE}{i}.html", live_base(i)) for i in range(20)] + [(50, f"{BASE}3.html", live_base(3))])
+    links = spark.createDataFrame([(f"{BASE}{i}.html", "-25") for i in (3, 4, 99)], "url string, category string")
+    assert sorted(r.page_id for r in X.wanted_pages(links, rows).collect()) == [4, 50]
+    assert X.wanted_pages(links, rows, limit=1).count() == 21  # too many to send: all are parsed where they lie
+    got = X.offer_pages(links, rows, REFERENCE_PAGE_RULES).select("url", F.coalesce("reason", "status").alias("r")).collect()
+    assert sorted((r.url[len(BASE):], r.r) for r in got) == [("3.html", "live"), ("4.html", "live"), ("99.html", "page missing")]

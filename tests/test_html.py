@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from offerframe.functions.html import (Selector, clean_html, element_text, select_found,
-                                       select_text)
+                                       select_text, unescape)
 
 
 def one(spark, html, expr_fn):
@@ -85,3 +85,40 @@ def test_prefix_selector_under_an_anchor(spark):
     sel = Selector("div", (("id", "a"),), child="span", text_prefix="ID")
     assert one(spark, html, lambda c: select_text(c, sel)) == "ID: 1"
     assert one(spark, "<p>none</p>", lambda c: select_found(c, Selector("p", text_prefix="ID"))) is False
+
+
+def _one(spark, html, column):
+    return spark.createDataFrame([(html,)], "html string").select(column(F.col("html")).alias("x")).first().x
+
+
+def test_own_body_counts_nested_elements(spark):
+    from offerframe.functions.html import own_body
+
+    sel = Selector("div", (("id", "a"),))
+    assert _one(spark, '<div id="a">1<div>2</div><div/>3</div>4</div>', lambda c: own_body(c, sel)) == "1<div>2</div><div/>3"
+    assert _one(spark, '<div id="a">1<div>2</div>3', lambda c: own_body(c, sel)) == "1<div>2</div>3"
+    assert _one(spark, "<div>1</div>", lambda c: own_body(c, sel)) is None
+    anything = Selector("*", (("id", "a"),))
+    assert _one(spark, '<p>0</p><section id="a"><section>1</section>2</section>3', lambda c: own_body(c, anything)) == \
+        "<section>1</section>2"
+
+
+def test_positional_path(spark):
+    sel = Selector("*", (("id", "m"),), path=(("div", 2), ("p", 1)))
+    html = '<main id="m"><section><div><p>no</p></div></section><div>1<br></div><div><span><p>no</p></span><p>yes</p></div></main>'
+    assert _one(spark, html, lambda c: select_text(c, sel)) == "yes"
+    assert _one(spark, html.replace("<p>yes</p>", ""), lambda c: select_text(c, sel)) is None
+    assert _one(spark, "<div>x</div>", lambda c: select_text(c, sel)) is None
+
+
+def test_child_is_searched_inside_its_element_only(spark):
+    sel = Selector("div", (("id", "a"),), child="h3")
+    html = '<div id="a"><b>x</b></div><h3>elsewhere</h3>'
+    assert _one(spark, html, lambda c: select_text(c, sel)) is None
+    assert _one(spark, html, lambda c: select_found(c, sel)) is False
+    assert _one(spark, '<div id="a"><div>n</div><h3>in</h3></div>', lambda c: select_text(c, sel)) == "in"
+
+
+def test_character_references(spark):
+    text = "&#243;&#xF3;&oacute; &#128512; &amp;#243; &#160;x &#0; &#xD800;&#9999999;"
+    assert _one(spark, text, unescape) == "óóó 😀 &#243; \xa0x \ufffd \ufffd\ufffd"

@@ -22,8 +22,14 @@ SLICE_BYTES = 1 << 20
 _SHIPPED: set[str] = set()
 
 
+# Texts are handed to Python in batches of at most this: it bounds what a batch takes in the
+# JVM's Arrow buffers and in the worker, however long the texts (the default is 64 MB).
+ARROW_BYTES = 4 << 20
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, once per application, so that they need no installation of it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     sc = spark.sparkContext
     if sc.applicationId not in _SHIPPED:
         _SHIPPED.add(sc.applicationId)

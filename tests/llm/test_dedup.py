@@ -213,3 +213,29 @@ def test_embeddings_match_brute_force(spark):
     assert got[9008]["component_id"] == 9007 and got[9007]["n_links"] == 1
     assert got[None]["n_links"] == 0
     assert embed_dedup.embedding_duplicates(df.limit(0)).count() == 0
+
+
+def test_crowded_embeddings_match_brute_force(spark):
+    """Different vectors at a mutual cosine of about 0.9, some of them with a near copy."""
+    ship(spark)
+    rng = np.random.default_rng(6)
+    axis = rng.normal(size=48)
+    axis /= np.linalg.norm(axis)
+    hot = 3 * axis + rng.normal(size=(1500, 48)) / np.sqrt(48)
+    spread = rng.normal(size=(1500, 48))
+    near = [hot[i] + 0.6 * rng.normal(size=48) / np.sqrt(48) for i in range(0, 1500, 5)]
+    x = np.concatenate([hot, spread, near]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r["vec_id"]: r for r in embed_dedup.embedding_duplicates(df, embed_dedup.Params(cosine=0.97, window=4, block=64)).collect()}
+    u = x.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    pairs = u @ u.T >= 0.97
+    np.fill_diagonal(pairs, False)
+    links = np.array([got[i]["n_links"] for i in range(len(x))])
+    assert pairs.sum() > 300 and (links <= pairs.sum(1)).all() and links.sum() >= 0.99 * pairs.sum()
+
+
+def test_equal_bits_of_keys():
+    a = np.array([0, -1, 1 << 62, 5, (1 << 54) - 1], np.int64)
+    b = np.array([0, 0, 0, 4, 0], np.int64)
+    assert embed_dedup.equal_bits(a, b).tolist() == [64, 0, 1, 63, 10]

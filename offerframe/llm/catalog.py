@@ -86,8 +86,8 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices of every document."""
     return (scan_licenses(table(spark, sf_dir, "documents"))
-            .select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score",
-                    F.size("matches").alias("n_matches")))
+            .select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", F.col("all_labels").alias("labels"),
+                    F.col("best_score").alias("score"), (F.size("matches") + F.size("passages")).alias("n_matches")))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,13 @@ B matches template T when at least `percent` % of T's distinct words are in B.
 A block is a line; a longer line is cut to overlapping windows of `window`
 words, so any passage of half a window lies whole in one of them.
 
+Notices are usually wrapped, and a template may be longer than half a window.
+So each template is also joined to passages of the whole text's word sequence,
+line feeds or not: windows of twice the template's words, one every template's
+length, so any passage of the template's length lies whole in one of them,
+however long the template.  A passage is cut to its first and last template
+word; those inside a line's matching block of the same template are no news.
+
 All tokens have one global order, rare first, by their frequency over all
 documents (one counting scan; only template words need counting, as no other
 word can be in an overlap).  Then, with need = ceil(percent |T| / 100):
@@ -129,11 +136,12 @@ class Matcher:
         order = np.lexsort((np.arange(len(frequencies)), frequencies))
         self.place = np.empty(len(order), np.int64)   # rare words first
         self.place[order] = np.arange(len(order))
-        self.templates, self.starters = [], {}
+        self.templates, self.lengths, self.starters = [], [], {}
         for k, (label, text) in enumerate(p.templates):
             own = np.unique(self.place[vocabulary.of(text)])
             need = -(-p.percent * len(own) // 100)
             self.templates.append((label, own, need))
+            self.lengths.append(len(words_of(text)))
             for place in own[:len(own) - need + 1].tolist():
                 self.starters.setdefault(place, []).append(k)
         self.is_starter = np.zeros(len(order) + 1, bool)
@@ -150,12 +158,13 @@ class Matcher:
         return [(line_first + s, min(line_first + s + self.p.window, line_last)) for s in sorted(starts)]
 
     def slice(self, data: np.ndarray, offs: np.ndarray):
-        """Per text: (words, base places, base labels, matches); a match is (label, template, first, last, containment)."""
+        """Per text: (words, base places and labels, matches, passages); both are (label, template, first, last, containment)."""
         starts, first, hashes = _words(data, offs)
         ids = self.vocabulary.ids(hashes)
         n = len(offs) - 1
         base: list[list] = [[] for _ in range(n)]
         matches: list[dict] = [{} for _ in range(n)]
+        passages: list[set] = [set() for _ in range(n)]
         text_of = lambda w: int(np.searchsorted(first, w, side="right")) - 1
         for phrase, label in self.phrases:
             hit = ids[:max(0, len(ids) - len(phrase) + 1)] == phrase[0]
@@ -182,8 +191,39 @@ class Matcher:
                             got = (label, k, block[0] - int(first[t]), block[1] - 1 - int(first[t]), share)
                             if share > matches[t].get((k, block[0]), got[:4] + (0,))[4]:
                                 matches[t][(k, block[0])] = got
+            for k in self.starters[int(self.place[ids[w]])]:
+                for block in self.windows(int(first[t]), int(first[t + 1]), w, self.lengths[k]):
+                    if (block, k, "text") not in seen:
+                        seen.add((block, k, "text"))
+                        got = self.passage(ids, block, k, int(first[t]))
+                        if got:
+                            passages[t].add(got)
         counts = np.diff(first).tolist()
-        return [(counts[t], base[t], sorted(matches[t].values())) for t in range(n)]
+        out = []
+        for t in range(n):
+            found = sorted(matches[t].values())
+            spans: dict[int, list] = {}
+            for m in found:
+                spans.setdefault(m[1], []).append((m[2], m[3]))
+            news = sorted(g for g in passages[t] if not any(a <= g[2] and g[3] <= b for a, b in spans.get(g[1], ())))
+            out.append((counts[t], base[t], found, news))
+        return out
+
+    @staticmethod
+    def windows(first: int, last: int, word: int, length: int):
+        """Windows of twice `length` words of the text [first, last), one every `length`, that hold `word`."""
+        k = (word - first) // length
+        return [(first + s * length, min(first + (s + 2) * length, last)) for s in ({max(0, k - 1), k})]
+
+    def passage(self, ids: np.ndarray, block: tuple, k: int, text: int):
+        """Match of template k in a window, cut to its first and last template word, or None."""
+        share = self.containment(ids[block[0]:block[1]], k)
+        if not share:
+            return None
+        label, own, _ = self.templates[k]
+        some = ids[block[0]:block[1]]
+        at = np.flatnonzero((some >= 0) & np.isin(self.place[some], own))
+        return label, k, block[0] - text + int(at[0]), block[0] - text + int(at[-1]), share
 
     def containment(self, ids: np.ndarray, k: int) -> float:
         """Share of template k's words in a block, 0 below the threshold."""
@@ -203,19 +243,24 @@ def vocabulary_numbers(place: np.ndarray, places) -> list[int]:
     return [int(number[x]) for x in places]
 
 
+_MATCHES = pa.list_(pa.struct([("label", pa.string()), ("template", pa.int32()), ("first_word", pa.int64()),
+                               ("last_word", pa.int64()), ("containment", pa.float64())]))
 _TYPES = pa.schema([
     ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()),
     ("last_word", pa.int64()), ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64()),
-    ("matches", pa.list_(pa.struct([("label", pa.string()), ("template", pa.int32()), ("first_word", pa.int64()),
-                                    ("last_word", pa.int64()), ("containment", pa.float64())])))])
+    ("matches", _MATCHES), ("passages", _MATCHES), ("all_labels", pa.string()), ("best_score", pa.float64())])
 _DDL = ("doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
-        "score double, matches array<struct<label: string, template: int, first_word: long, last_word: long, containment: double>>")
+        "score double, matches array<struct<label: string, template: int, first_word: long, last_word: long, containment: double>>, "
+        "passages array<struct<label: string, template: int, first_word: long, last_word: long, containment: double>>, "
+        "all_labels string, best_score double")
 
 
 def scan_licenses(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: words, base places and labels, all labels, score, and every matching block with its containment.
 
     score is the best containment of a matching block, else 0.5 where a base phrase stands, else 0.
+    `matches`, `labels` and `score` are those of single lines; `passages` are the matches that no line
+    holds, and `all_labels` and `best_score` are over both.
     """
     rows = id_text(docs, id_col, text_col)
     vocabulary = Vocabulary(params)
@@ -225,14 +270,17 @@ def scan_licenses(docs: DataFrame, params: Params = Params(), id_col: str = "doc
         for batch in batches:
             out = []
             for a, _, data, offs in text_slices(batch.column("text")):
-                for n, base, matches in matcher.slice(data, offs):
+                for n, base, matches, passages in matcher.slice(data, offs):
                     places = [w for w, _ in base]
                     labels = {label for _, label in base}
                     every = labels | {m[0] for m in matches}
                     out.append((n, len(base), min(places, default=None), max(places, default=None), ",".join(sorted(labels)),
                                 ",".join(sorted(every)), max((m[4] for m in matches), default=0.5 if base else 0.0),
-                                [dict(zip(("label", "template", "first_word", "last_word", "containment"), m)) for m in matches]))
-            columns = list(zip(*out)) if out else [[] for _ in range(8)]
+                                *([dict(zip(("label", "template", "first_word", "last_word", "containment"), m)) for m in some]
+                                  for some in (matches, passages)),
+                                ",".join(sorted(every | {m[0] for m in passages})),
+                                max((m[4] for m in matches + passages), default=0.5 if base else 0.0)))
+            columns = list(zip(*out)) if out else [[] for _ in range(len(_TYPES) - 1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id")] + [pa.array(c, f.type) for c, f in zip(columns, list(_TYPES)[1:])], schema=_TYPES)
 

@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import re
+import textwrap
 import zipfile
 
 import numpy as np
@@ -206,6 +207,32 @@ def test_license_scan_matches_brute_force(spark):
     assert licenses.scan_licenses(docs.limit(0)).count() == 0
 
 
+def test_wrapped_and_long_notices_match_brute_force(spark):
+    ship(spark)
+    long = ("long", " ".join(f"clause{i}" for i in range(300)))
+    p = licenses.Params(templates=(*licenses.TEMPLATES, long))
+    filler = " ".join(f"filler{i}" for i in range(130))
+    texts = [f"{filler}\n{textwrap.fill(t, 70 if len(t) > 70 else 12)}\n{filler}" for _, t in p.templates]
+    texts += [f"{filler} {long[1]} {filler}", f"{filler} {long[1]}", textwrap.fill(filler, 70), "All\n" + filler + " rights\nreserved"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(docs, p).collect()}
+    for i, text in enumerate(texts):
+        words, found = licenses.words_of(text), set()
+        for k, (label, template) in enumerate(p.templates):  # every passage of a template's length, line feeds or not
+            own, n = set(licenses.words_of(template)), len(licenses.words_of(template))
+            if any(100 * len(own & set(words[s:s + n])) >= p.percent * len(own) for s in range(max(1, len(words) - n + 1))):
+                found.add((label, k))
+        r = got[i]
+        every = r["matches"] + r["passages"]
+        assert found <= {(m["label"], m["template"]) for m in every}
+        assert {label for label, _ in found} <= set(r["all_labels"].split(","))
+        assert r["best_score"] == max((m["containment"] for m in every), default=0.5 if r["n_base"] else 0.0)
+        if i < len(p.templates):
+            span = (130, 130 + len(licenses.words_of(p.templates[i][1])) - 1)
+            assert (i, *span, 1.0) in {(m["template"], m["first_word"], m["last_word"], m["containment"]) for m in every}
+    assert [got[len(p.templates) + k]["all_labels"] for k in range(4)] == ["long", "long", "", ""]
+
+
 def test_word_frequencies_count_all_documents(spark):
     ship(spark)
     v = licenses.Vocabulary(licenses.Params())

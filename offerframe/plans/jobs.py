@@ -90,7 +90,7 @@ def rejects_path(table_root: str, version: int) -> str:
 
 
 def load_offer_map(spark: SparkSession, map_path: str, table_root: str,
-                   policy: str = "fill_unknown", layout: str | None = None,
+                   policy: str = "fill_unknown", layout: str | tuple[str, ...] | None = None,
                    bucketed: tuple[str, int] | None = None, tld_token: str = DEFAULT_TLD_TOKEN) -> int:
     """Read an offer map and merge it into the table (M2 or M3).
 

@@ -4,7 +4,7 @@ The original format is one indented JSON object per file.  One object is
 not splittable, so our sink writes JSON Lines where every line is itself a
 one-entry offer map; the reader accepts both (`layout="lines"` splits by
 line across tasks, `layout="object"` reads each legacy file whole in one
-task -- those files are one crawl each).
+task -- those files are one crawl each; found per file unless given).
 """
 
 from __future__ import annotations
@@ -32,19 +32,33 @@ FLAG = ("CASE WHEN lower(trim({0})) IN ('true', '1') THEN true "
         "WHEN lower(trim({0})) IN ('false', '0') THEN false END")  # a flag in any of its spellings
 
 
-def layout_of(spark: SparkSession, path: str) -> str:
-    """`lines` when the first filled line is an offer map of its own, else
-    `object` (one JSON object over many lines, read whole in one task: such a
-    file is one crawl; convert large ones once with `read` and `write`)."""
-    first = spark.read.text(path).filter(F.trim(F.col("value")) != "").limit(1)
-    row = first.select(F.from_json("value", OFFER_MAP).isNotNull().alias("ok")).first()
-    return "lines" if row is None or row["ok"] else "object"
+_FILE = "_metadata.file_path"
 
 
-def _raw(spark: SparkSession, path: str, layout: str | None) -> DataFrame:
-    if (layout or layout_of(spark, path)) == "object":
-        return spark.read.text(path, wholetext=True)
-    return spark.read.text(path).filter(F.trim(F.col("value")) != "")
+def layout_of(spark: SparkSession, path: str) -> str | tuple[str, ...]:
+    """`lines`, `object`, or the files of layout `object` where a map has both.
+
+    Decided per file over all its lines: a file is one JSON object over many
+    lines (read whole in one task: such a file is one crawl; convert large ones
+    once with `read` and `write`) when none of its lines is an offer map of its
+    own, so bad lines never decide for the good ones."""
+    lines = spark.read.text(path).filter(F.trim(F.col("value")) != "")
+    files = (lines.select(F.col(_FILE).alias("file"), F.from_json("value", OFFER_MAP).isNotNull().alias("ok"))
+             .groupBy("file").agg(F.max("ok").alias("ok")))
+    whole = files.filter(~F.col("ok")).select("file")
+    objects = tuple(sorted(r["file"] for r in whole.toLocalIterator()))  # a part of the listing the driver has anyway
+    if not objects:
+        return "lines"
+    return objects if files.filter("ok").limit(1).count() else "object"
+
+
+def _raw(spark: SparkSession, path: str, layout: str | tuple[str, ...] | None) -> DataFrame:
+    layout = layout or layout_of(spark, path)
+    lines = spark.read.text(path).filter(F.trim(F.col("value")) != "")
+    whole = spark.read.text(path, wholetext=True)
+    if isinstance(layout, tuple):  # Spark skips the files that such a filter rules out
+        return lines.filter(~F.col(_FILE).isin(*layout)).unionByName(whole.filter(F.col(_FILE).isin(*layout)))
+    return whole.filter(F.trim(F.col("value")) != "") if layout == "object" else lines
 
 
 def entries(maps: DataFrame, map_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -53,7 +67,7 @@ def entries(maps: DataFrame, map_col: str, keep: tuple[str, ...] = ()) -> DataFr
     return rows.withColumn("is_active", F.expr(FLAG.format("is_active")))
 
 
-def read_offer_map(spark: SparkSession, path: str, layout: str | None = None) -> DataFrame:
+def read_offer_map(spark: SparkSession, path: str, layout: str | tuple[str, ...] | None = None) -> DataFrame:
     """Rows (url, size_category, offer_id, price, offer_title, location,
     is_active); fields absent in the JSON are NULL.  The layout is found from
     the content unless it is given."""
@@ -67,12 +81,12 @@ def newest_offer_map_path(spark: SparkSession, root: str) -> str:
     return fs.newest(entries).path
 
 
-def read_newest_offer_map(spark: SparkSession, root: str, layout: str | None = None) -> tuple[str, DataFrame]:
+def read_newest_offer_map(spark: SparkSession, root: str, layout: str | tuple[str, ...] | None = None) -> tuple[str, DataFrame]:
     path = newest_offer_map_path(spark, root)
     return path, read_offer_map(spark, path, layout)
 
 
-def offer_map_rejects(spark: SparkSession, path: str, layout: str | None = None) -> DataFrame:
+def offer_map_rejects(spark: SparkSession, path: str, layout: str | tuple[str, ...] | None = None) -> DataFrame:
     """Input that `read_offer_map` cannot use -- lines (or whole files) that
     are not a JSON object of the offer-map shape -- with the raw text, so
     nothing is lost silently."""

@@ -160,3 +160,22 @@ def test_load_keeps_rejects_and_existing_rows(spark, tmp_root):
     assert sorted((r.raw or "", r.url or "", r.reason) for r in out) == [
         ("", "https://olx.pl/b", "no www. in url"), ("", "https://www.cheap.example.com/the/x", "no www. in url"),
         ("broken", "", "not an offer-map object")]
+
+
+def test_offer_map_with_a_corrupt_first_line_keeps_its_entries(spark, tmp_root):
+    """Part files that start with a bad line, and one indented object, under one path."""
+    path = os.path.join(tmp_root, "offers_202401010000")
+    os.makedirs(path)
+    for part in range(3):
+        with open(os.path.join(path, f"part-{part}.txt"), "w", encoding="utf-8") as f:
+            f.write(f'{{"cut off {part}": {{"size_c\n' if part != 1 else "")
+            f.writelines(json.dumps({f"https://www.olx.pl/u{part}-{k}": {"size_category": "-25"}}) + "\n" for k in range(4))
+    wanted = {f"https://www.olx.pl/u{part}-{k}" for part in range(3) for k in range(4)}
+    assert {r.url for r in OM.read_offer_map(spark, path).collect()} == wanted
+    assert sorted(r.raw[:10] for r in OM.offer_map_rejects(spark, path).collect()) == ['{"cut off ', '{"cut off ']
+    with open(os.path.join(path, "part-3 a.json"), "w", encoding="utf-8") as f:
+        json.dump({"https://www.olx.pl/o1": {"size_category": "150-"}, "https://www.olx.pl/o2": {"size_category": "-25"}}, f, indent=4)
+    assert sorted(r.url for r in OM.read_offer_map(spark, path).collect()) == sorted(wanted | {"https://www.olx.pl/o1", "https://www.olx.pl/o2"})
+    assert OM.offer_map_rejects(spark, path).count() == 2
+    jobs.load_offer_map(spark, path, os.path.join(tmp_root, "table"))
+    assert SN.read_snapshot(spark, os.path.join(tmp_root, "table")).count() == 14

@@ -215,14 +215,17 @@ def plan(histogram: dict[int, int], capacity: int) -> tuple[np.ndarray, int]:
 def pack(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of all documents with their place: sequence_id and offset."""
     spark = docs.sparkSession
-    cut = written(pieces(docs, params, id_col, text_col), "pieces")
+    cut = pieces(docs, params, id_col, text_col)
+    if params.keep_ids:  # a number of each piece that is written with it: ids may repeat or be NULL
+        cut = cut.withColumn("row", F.monotonically_increasing_id())
+    cut = written(cut, "pieces")
     # One row per length, `capacity` at most.
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     rows, _ = plan(counts, params.capacity)
     order = np.lexsort((rows[:, 1], rows[:, 0]))
     sent = spark.sparkContext.broadcast(rows[order])  # bounded by the capacity, not by the corpus
     ranked = rank_within(cut.drop("ids"), ["length"], ["doc_id", "piece", "start", "ids_crc32"])
-    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"] + (["row"] if params.keep_ids else [])
 
     def look_up(batches):
         rows = sent.value
@@ -237,8 +240,9 @@ def pack(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", tex
                 + [pa.array(own[:, 2] + nth // own[:, 4]), pa.array(own[:, 5] + nth % own[:, 4] * length)],
                 names=[*names, "sequence_id", "offset"])
 
-    ddl = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+    ddl = ("doc_id long, piece int, start long, length long, ids_crc32 long, " + ("row long, " if params.keep_ids else "")
+           + "sequence_id long, offset long")
     placed = ranked.select(*names, "rank").mapInArrow(look_up, ddl)
     if not params.keep_ids:
         return placed
-    return placed.join(cut.select("doc_id", "piece", "ids").dropDuplicates(["doc_id", "piece"]), ["doc_id", "piece"])
+    return placed.join(cut.select("row", "ids"), "row").drop("row")

@@ -91,3 +91,15 @@ def test_pack_returns_ids_on_request(spark):
     docs = spark.createDataFrame([(1, "one two three")], "doc_id long, text string")
     r = packing.pack(docs, packing.Params(keep_ids=True)).first()
     assert zlib.crc32(bytes(r["ids"])) == r["ids_crc32"]
+
+
+def test_kept_ids_are_those_of_the_row(spark):
+    """A doc_id that repeats with different texts, and NULL ids: every piece has its own ids."""
+    ship(spark)
+    rows = [(1, "alpha beta gamma"), (1, "other words stand here"), (1, "other words stand here"), (None, "no id"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    plain = packing.pack(docs, packing.Params(capacity=3)).collect()
+    got = packing.pack(docs, packing.Params(capacity=3, keep_ids=True)).collect()
+    key = lambda r: (r["doc_id"] is None, r["doc_id"], r["piece"], r["ids_crc32"])
+    assert sorted(map(key, got)) == sorted(map(key, plain))
+    assert all(zlib.crc32(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"] for r in got)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, mixing
+from . import chat, codebooks, mixing
 from .common import fold_of, table
 from .embed_dedup import embedding_duplicates
 from .jaccard import near_duplicates
@@ -90,6 +90,13 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("best_score").alias("score"), (F.size("matches") + F.size("passages")).alias("n_matches")))
 
 
+def op11_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code of every embedding under product codebooks learned by Lloyd rounds."""
+    coded, books = codebooks.compress(table(spark, sf_dir, "embeddings"))
+    return (codebooks.with_label_error(coded).drop("label")
+            .withColumn("codebooks_sha256", F.lit(codebooks.codebooks_digest(books))))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over `documents`."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -106,6 +113,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_chat_format": op9_chat_format,
     "op10_licenses": op10_licenses,
+    "op11_codebooks": op11_codebooks,
     "pipeline": pipeline,
 }
 
@@ -125,6 +133,7 @@ ORACLE: dict[str, str] = {
                    ELSE 19 + length(regexp_replace(role, '(\\|#|</)', '\\\1', 'g')) END)::BIGINT AS formatted_chars
         FROM t GROUP BY conv_id""",
     "op8_mixing": mixing.oracle_sql(mixing.Params()),
+    "op11_codebooks": codebooks.oracle_sql(codebooks.Params()),
     "op6_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, length(coalesce(text, '')) AS points,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, codebooks, mixing
+from . import chat, codebooks, mixing, resample
 from .common import fold_of, table
 from .embed_dedup import embedding_duplicates
 from .jaccard import near_duplicates
@@ -97,6 +97,12 @@ def op11_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("codebooks_sha256", F.lit(codebooks.codebooks_digest(books))))
 
 
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents drawn by importance towards the benchmark texts."""
+    return (resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+            .select("doc_id", "n_features", "weight", "score", "rank"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over `documents`."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -114,6 +120,7 @@ QUERIES = {
     "op9_chat_format": op9_chat_format,
     "op10_licenses": op10_licenses,
     "op11_codebooks": op11_codebooks,
+    "op12_resample": op12_resample,
     "pipeline": pipeline,
 }
 
@@ -133,6 +140,7 @@ ORACLE: dict[str, str] = {
                    ELSE 19 + length(regexp_replace(role, '(\\|#|</)', '\\\1', 'g')) END)::BIGINT AS formatted_chars
         FROM t GROUP BY conv_id""",
     "op8_mixing": mixing.oracle_sql(mixing.Params()),
+    "op12_resample": resample.oracle_sql(resample.Params()),
     "op11_codebooks": codebooks.oracle_sql(codebooks.Params()),
     "op6_exact_dedup": r"""
         WITH t AS (

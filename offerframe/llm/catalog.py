@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, codebooks, mixing, resample
+from . import chat, codebooks, mixing, resample, wordcodes
 from .common import fold_of, table
 from .embed_dedup import embedding_duplicates
 from .jaccard import near_duplicates
@@ -103,6 +103,15 @@ def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_features", "weight", "score", "rank"))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the text they decode to."""
+    encoded = wordcodes.encode(table(spark, sf_dir, "documents"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    encoded = encoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"))
+    decoded = wordcodes.decode(encoded, keep=("doc_id", "n_tokens", "ids_sha256"))
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over `documents`."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -121,6 +130,7 @@ QUERIES = {
     "op10_licenses": op10_licenses,
     "op11_codebooks": op11_codebooks,
     "op12_resample": op12_resample,
+    "op13_bpe": op13_bpe,
     "pipeline": pipeline,
 }
 

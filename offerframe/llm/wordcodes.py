@@ -1,21 +1,23 @@
 """BPE encoding and decoding through a table of distinct words.
 
 Encoding.  A task splits its texts at white space, which the tokenizer drops
-and never joins across, and writes blocks: every text as positions in the
-block's list of different words, and the list itself as rows (block, place,
-word).  The distinct words of all blocks form a table, in which every word is
-encoded once.  Joined back to the lists, it gives a block the ids of its words,
-and the positions put them in order.
-
-Decoding.  Ids are cut into runs after every piece that ends a word; blocks
-hold the different runs in the same way.  The table of distinct runs is joined,
-id by id, to the vocabulary's table (id, piece), and its texts are joined back
-by position.
-
-So a text crosses the network once, as compressed positions; a word crosses
-once per block that holds it, however often it occurs there.  A block holds
-about `block_bytes` of text, or one text that is longer, and is all that a task
-holds at a time.  The vocabulary's table is the only thing that every task gets.
+and never joins across, and cuts them into blocks.  A block is a list of its
+different words, dealt by hash into buckets, and every text as positions in that
+list.  The words of a bucket, from all blocks, meet in one task: its part of the
+table of distinct words, where every word is encoded once.  Their ids go back to
+the blocks, and the positions put them in order.
+
+So of a text only compressed positions cross the network, and a word crosses
+once per block that holds it, however often it occurs there; a word found
+everywhere is one of many in its bucket.  A block is about `block_bytes` of text,
+or one text that is longer, and is all that a task holds of the texts.  There
+are as many buckets as the table's size asks for, so that the distinct words of
+one, which a task holds, stay few however large the corpus.  Tasks that are run
+again must meet the same rows in the same order, as those of a stored table are.
+
+Decoding.  The vocabulary's table (id, piece) is bounded by its file, not by the
+documents, so every task gets it, and ids are joined to their pieces where they
+lie, a batch at a time.
 
 Defined results: NULL texts are empty texts, NULL id lists empty lists; both
 give no ids and the empty text.  Ids that the vocabulary does not have are left
@@ -27,6 +29,7 @@ columns named in `keep` come back with their row, whatever they hold.
 from __future__ import annotations
 
 import os
+import zlib
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -34,10 +37,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, written
+from .common import ship
 
 _SPACES = np.zeros(256, bool)
 _SPACES[list(b"\x20\x09\x0a\x0b\x0c\x0d")] = True
@@ -46,8 +49,9 @@ _SPACES[list(b"\x20\x09\x0a\x0b\x0c\x0d")] = True
 @dataclass(frozen=True)
 class Params:
     vocabulary: str = "word_bpe_49k.json"  # a file of public_tokenizers, or a path the executors can open
-    block_bytes: int = 8 << 20             # text, or ids, of a block
-    word_end: str = "</w>"                 # what a piece that ends a word ends with
+    block_bytes: int = 32 << 20            # text of a block
+    buckets: int | None = None             # of distinct words; None: one for every `bucket_bytes` of the table
+    bucket_bytes: int = 16 << 20
 
 
 @lru_cache(2)
@@ -63,22 +67,32 @@ def tokenizer(vocabulary: str):
     return coder
 
 
-# --- blocks -----------------------------------------------------------------------------
+# --- packing ------------------------------------------------------------------------------
 
-# unit rows: (block, place, unit); a block's own row has place -1, its kept columns in `head` and positions in `codes`
-_BLOCKS = "block long, place int, unit binary, head binary, sizes binary, codes binary"
-_BLOCK_TYPES = pa.schema([("block", pa.int64()), ("place", pa.int32()), ("unit", pa.binary()), ("head", pa.binary()),
-                          ("sizes", pa.binary()), ("codes", pa.binary())])
-_ZSTD = pa.Codec("zstd", compression_level=1)
+_ZSTD = pa.Codec("zstd", compression_level=3)
 
 
-def _packed(a: np.ndarray) -> bytes:
-    raw = a.tobytes()
+def pack(*parts: bytes) -> bytes:
+    """Byte strings as one compressed byte string."""
+    raw = b"".join([np.array([len(parts), *map(len, parts)], "<i8").tobytes(), *parts])
     return len(raw).to_bytes(8, "little") + _ZSTD.compress(raw, asbytes=True)
 
 
-def _unpacked(raw: bytes, kind) -> np.ndarray:
-    return np.frombuffer(_ZSTD.decompress(raw[8:], int.from_bytes(raw[:8], "little"), asbytes=True), kind)
+def unpack(packed: bytes) -> list[bytes]:
+    raw = _ZSTD.decompress(packed[8:], int.from_bytes(packed[:8], "little"), asbytes=True)
+    n = int.from_bytes(raw[:8], "little")
+    sizes = np.frombuffer(raw, "<i8", n, 8)
+    ends = 8 * (n + 1) + np.cumsum(sizes)
+    return [raw[e - s:e] for s, e in zip(sizes.tolist(), ends.tolist())]
+
+
+def planes(values: np.ndarray) -> bytes:
+    """32-bit numbers, all lowest bytes first, then all second ones ...: small numbers then compress well."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def from_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
 
 
 def _ipc(batch: pa.RecordBatch) -> bytes:
@@ -88,235 +102,230 @@ def _ipc(batch: pa.RecordBatch) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _word_units(column: pa.Array):
-    """Words of the texts -> (different words, position of every word, words per text)."""
-    raw, offs = _flat(column)
+# --- texts -> blocks ----------------------------------------------------------------------
+
+# A block's own row has bucket -1: kept columns in `head`, words per text and positions in `data`.
+# Its other rows hold the words of a bucket and, with each, its frequency class in the block.
+_ROWS = "dest long, block long, bucket int, head binary, data binary"
+_ROW_TYPES = pa.schema([("dest", pa.int64()), ("block", pa.int64()), ("bucket", pa.int32()), ("head", pa.binary()), ("data", pa.binary())])
+
+
+def split_words(column: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Texts (binary, NULL: empty) -> (different words, number of every word, words per text)."""
+    texts = [t or b"" for t in column.to_pylist()]
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    offs = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)]).astype(np.int64)
     inside = ~_SPACES[raw]
-    before = np.concatenate([[False], inside[:-1]])
+    before = np.concatenate([[False], inside[:-1]])[:len(raw)]
     before[offs[offs < len(raw)]] = False
     starts = np.flatnonzero(inside & ~before)
     sizes = np.diff(np.searchsorted(starts, offs))
-    # Each word with the white space behind it, end to end: no copy of the bytes is made.
-    edges = np.append(starts, len(raw)).astype(np.int32 if len(raw) < 2**31 else np.int64)
-    kind = pa.binary() if edges.dtype == np.int32 else pa.large_binary()
-    words = pa.Array.from_buffers(kind, len(starts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(raw))])
+    # Each word with the white space behind it, end to end: the bytes are used as they lie.
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts),
+                                  [None, pa.py_buffer(np.append(starts, len(raw)).astype(np.int64)), pa.py_buffer(raw)])
     coded = words.dictionary_encode()
     bare = [w.rstrip(b" \t\n\v\f\r") for w in coded.dictionary.to_pylist()]
-    units = list(dict.fromkeys(bare))
-    place = {w: k for k, w in enumerate(units)}
-    codes = np.array([place[w] for w in bare], np.int32)[coded.indices.to_numpy()] if units else np.zeros(0, np.int32)
-    return units, codes, sizes
-
-
-def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all texts end to end, and where each begins (n + 1 offsets)."""
-    parts = [b"" if t is None else t for t in column.cast(pa.large_binary()).to_pylist()]
-    raw = np.frombuffer(b"".join(parts), np.uint8)
-    return raw, np.concatenate([[0], np.cumsum([len(t) for t in parts], dtype=np.int64)]).astype(np.int64)
-
-
-def _run_units(ends_word: np.ndarray):
-    """Id lists -> (different runs of ids up to the end of a word, position of every run, runs per list)."""
-    def split(column: pa.Array):
-        flat = pc.fill_null(column.flatten(), -1).to_numpy().astype("<i4")
-        lists = pc.fill_null(pc.list_value_length(column), 0).to_numpy().astype(np.int64)
-        offs = np.concatenate([[0], np.cumsum(lists)])
-        last = np.zeros(len(flat), bool)
-        known = (flat >= 0) & (flat < len(ends_word))
-        last[known] = ends_word[flat[known]]
-        last[offs[1:][lists > 0] - 1] = True
-        edges = np.concatenate([[0], np.flatnonzero(last) + 1])
-        sizes = np.diff(np.searchsorted(edges[:-1], offs))
-        runs = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1,
-                                     [None, pa.py_buffer((4 * edges).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(flat))])
-        coded = runs.dictionary_encode()
-        return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int32), sizes
-
-    return split
-
-
-def _weight(column: pa.Array) -> np.ndarray:
-    """Bytes of each value."""
-    if pa.types.is_list(column.type) or pa.types.is_large_list(column.type):
-        return 4 * pc.fill_null(pc.list_value_length(column), 0).to_numpy().astype(np.int64)
-    return pc.fill_null(pc.binary_length(column), 0).to_numpy().astype(np.int64)
-
-
-def _to_blocks(split, keep: list[str], p: Params):
+    number = {w: k for k, w in enumerate(dict.fromkeys(bare))}
+    codes = np.array([number[w] for w in bare], np.int64)[coded.indices.to_numpy()] if bare else np.zeros(0, np.int64)
+    return list(number), codes, sizes
+
+
+def code_order(classes: np.ndarray) -> np.ndarray:
+    """Order of a block's words, given bucket by bucket: frequent classes first, which makes positions small numbers."""
+    return np.argsort(-classes.astype(np.int64), kind="stable")
+
+
+def block_rows(texts: pa.Array, heads: pa.RecordBatch, block: int, buckets: int):
+    """The rows of one block."""
+    words, codes, sizes = split_words(texts)
+    bucket = np.array([zlib.crc32(w) for w in words], np.int64) % buckets
+    classes = np.log2(np.bincount(codes, minlength=len(words)) + 1).astype(np.uint8)
+    by_bucket = np.argsort(bucket, kind="stable")
+    order = by_bucket[code_order(classes[by_bucket])]
+    position = np.empty(len(words), np.int64)
+    position[order] = np.arange(len(words))
+    dest, numbers, data = [block], [-1], [pack(sizes.astype("<i8").tobytes(), planes(position[codes] if len(words) else codes))]
+    cuts = np.flatnonzero(np.diff(bucket[by_bucket], prepend=-1)).tolist() + [len(words)]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        own = by_bucket[a:b]
+        dest.append(int(bucket[own[0]]))
+        numbers.append(dest[-1])
+        data.append(pack(classes[own].tobytes(), b" ".join([words[k] for k in own])))
+    head = [_ipc(heads)] + [None] * (len(dest) - 1)
+    for a in range(0, len(dest), 2000):
+        b = min(a + 2000, len(dest))
+        yield pa.RecordBatch.from_arrays([pa.array(dest[a:b], pa.int64()), pa.array([block] * (b - a), pa.int64()),
+                                          pa.array(numbers[a:b], pa.int32()), pa.array(head[a:b], pa.binary()),
+                                          pa.array(data[a:b], pa.binary())], schema=_ROW_TYPES)
+
+
+def _to_blocks(keep: list[str], buckets: int, p: Params):
     def run(batches):
         task, made, held, size = TaskContext.get().partitionId(), 0, [], 0
 
         def blocks():
-            nonlocal made
+            nonlocal made, held, size
             batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            units, codes, sizes = split(batch.column("value"))
-            # Frequent units get small positions, which compress well.
-            order = np.argsort(-np.bincount(codes, minlength=len(units)), kind="stable")
-            new = np.empty(len(units), np.int32)
-            new[order] = np.arange(len(units))
-            codes = new[codes] if len(units) else codes
-            block, made = task << 32 | made, made + 1
-            for a in range(0, len(units), 50_000):
-                some = [units[k] for k in order[a:a + 50_000]]
-                nulls = [pa.nulls(len(some), pa.binary())] * 3
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(some), block)), pa.array(np.arange(a, a + len(some), dtype=np.int32)),
-                     pa.array(some, pa.binary()), *nulls], schema=_BLOCK_TYPES)
-            codes = codes.astype("<u2" if len(units) <= 1 << 16 else "<u4")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([-1], pa.int32()), pa.nulls(1, pa.binary()),
-                 pa.array([_ipc(batch.select(keep))], pa.binary()), pa.array([_packed(sizes.astype("<i8"))], pa.binary()),
-                 pa.array([bytes([codes.itemsize]) + _packed(codes)], pa.binary())], schema=_BLOCK_TYPES)
+            yield from block_rows(batch.column("_text"), batch.select(keep), task << 32 | made, buckets)
+            made, held, size = made + 1, [], 0
 
         for batch in batches:
-            ends = np.cumsum(_weight(batch.column("value")))
+            ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("_text")), 0).to_numpy().astype(np.int64))
             at = 0
             while at < batch.num_rows:
-                room = p.block_bytes - size + (int(ends[at - 1]) if at else 0)
-                to = max(int(np.searchsorted(ends, room, side="right")), at if held else at + 1)
+                done = int(ends[at - 1]) if at else 0
+                to = int(np.searchsorted(ends, done + p.block_bytes - size, side="right"))
+                if to == at and not held:
+                    to = at + 1  # a longer text is a block of its own
                 if to > at:
                     held.append(batch.slice(at, to - at))
-                    size += int(ends[to - 1]) - (int(ends[at - 1]) if at else 0)
-                at = to
+                    size += int(ends[to - 1]) - done
+                    at = to
                 if at < batch.num_rows:
                     yield from blocks()
-                    held, size = [], 0
         if held:
             yield from blocks()
 
     return run
 
 
-def _from_blocks(keep, kind: pa.DataType, gather):
-    """Rows of whole blocks (a block's row first, its units by place) -> kept columns and the gathered value of each row."""
-    schema = pa.schema([*keep, ("value", kind)])
+# --- the table of distinct words ----------------------------------------------------------
 
-    def solve(row, coded):
-        head, sizes, codes = row
+def encode_words(batches, coder):
+    """Rows by bucket -> the same rows with ids in place of words; every word of a bucket is encoded once."""
+    narrow = coder.get_vocab_size(with_added_tokens=True) <= 1 << 16
+    table, bucket = {}, None
+    for batch in batches:
+        out = []
+        for number, data in zip(batch.column("bucket").to_pylist(), batch.column("data").to_pylist()):
+            if number < 0:
+                out.append(data)
+                continue
+            if number != bucket:
+                table, bucket = {}, number
+            classes, words = unpack(data)
+            words = words.split(b" ")
+            new = [w for w in dict.fromkeys(words) if w not in table]
+            for w, e in zip(new, coder.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)):
+                table[w] = np.array(e.ids, "<u2" if narrow else "<u4").tobytes()
+            ids = [table[w] for w in words]
+            counts = np.array([len(i) for i in ids]) // (2 if narrow else 4)
+            out.append(pack(classes, counts.astype("<u4").tobytes(), b"".join(ids)))
+        if out:
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("bucket"), batch.column("head"),
+                                              pa.array(out, pa.binary())], names=["block", "bucket", "head", "data"])
+
+
+# --- blocks -> ids ------------------------------------------------------------------------
+
+def _assemble(keep: pa.Schema, narrow: bool):
+    """Rows of whole blocks (its own row first, then its words by bucket) -> kept columns and ids of each text."""
+    schema = pa.schema([*keep, ("ids", pa.list_(pa.int32()))])
+    kind = "<u2" if narrow else "<u4"
+
+    def solve(head, data, parts):
+        sizes, codes = unpack(data)
+        sizes, codes = np.frombuffer(sizes, "<i8"), from_planes(codes)
+        classes = np.concatenate([np.frombuffer(c, np.uint8) for c, _, _ in parts] or [np.zeros(0, np.uint8)])
+        counts = np.concatenate([np.frombuffer(n, "<u4") for _, n, _ in parts] or [np.zeros(0, "<u4")])
+        raw = np.frombuffer(b"".join(i for _, _, i in parts), kind).astype("<i4").tobytes()
+        ends = 4 * np.cumsum(counts.astype(np.int64))
+        words = [raw[e - 4 * n:e] for n, e in zip(counts.tolist(), ends.tolist())]
+        words = [words[k] for k in code_order(classes)]
         with pa.ipc.open_stream(head) as stream:
-            heads = stream.read_all().combine_chunks()
-        sizes = _unpacked(sizes, "<i8")
-        codes = _unpacked(codes[1:], "<u2" if codes[0] == 2 else "<u4")
-        ends = np.cumsum(sizes)
-        for a in range(0, len(sizes), 256):
-            b = min(a + 256, len(sizes))
-            first = int(ends[a - 1]) if a else 0
-            values = [gather(coded, codes[e - n:e].tolist()) for n, e in zip(sizes[a:b].tolist(), ends[a:b].tolist())]
-            part = heads.slice(a, b - a).combine_chunks()
-            columns = [part.column(f.name).combine_chunks().cast(f.type) if part.num_rows else pa.nulls(0, f.type) for f in keep]
-            columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
-            yield pa.RecordBatch.from_arrays([*columns, values_of(values)], schema=schema)
-
-    def values_of(values):
-        if pa.types.is_list(kind):
-            flat = np.frombuffer(b"".join(values), "<i4")
-            offs = np.concatenate([[0], np.cumsum([len(v) // 4 for v in values])]).astype(np.int32)
-            return pa.ListArray.from_arrays(pa.array(offs), pa.array(flat, pa.int32()))
-        return pa.array([v.decode("utf-8", "replace") for v in values], pa.string())
+            heads = stream.read_all().combine_chunks().to_batches()
+        heads = heads[0] if heads else None
+        last = np.cumsum(sizes)
+        for a in range(0, len(sizes), 500):
+            b = min(a + 500, len(sizes))
+            texts = [b"".join([words[c] for c in codes[e - n:e].tolist()]) for n, e in zip(sizes[a:b].tolist(), last[a:b].tolist())]
+            offs = np.concatenate([[0], np.cumsum([len(t) // 4 for t in texts])]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(offs), pa.array(np.frombuffer(b"".join(texts), "<i4"), pa.int32()))
+            part = heads.slice(a, b - a) if heads is not None else None
+            columns = [part.column(k).cast(f.type) for k, f in enumerate(keep)]
+            yield pa.RecordBatch.from_arrays([*columns, ids], schema=schema)
 
     def run(batches):
-        row, block, coded = None, None, []
+        own, parts = None, []
         for batch in batches:
-            for number, place, unit, *own in zip(*(batch.column(c).to_pylist()
-                                                   for c in ("block", "place", "coded", "head", "sizes", "codes"))):
-                if place < 0:
-                    if row is not None:
-                        yield from solve(row, coded)
-                    row, block, coded = own, number, []
+            for bucket, head, data in zip(*(batch.column(c).to_pylist() for c in ("bucket", "head", "data"))):
+                if bucket < 0:
+                    if own is not None:
+                        yield from solve(*own, parts)
+                    own, parts = (head, data), []
                 else:
-                    assert number == block and place == len(coded)
-                    coded.append(unit)
-        if row is not None:
-            yield from solve(row, coded)
+                    parts.append(unpack(data))
+        if own is not None:
+            yield from solve(*own, parts)
 
     return run
 
 
-def _through_table(df: DataFrame, value: str, keep: list[str], split, table_of, kind: str, arrow_kind: pa.DataType,
-                   gather, out: str, p: Params) -> DataFrame:
-    """Cut `value` into units, map the distinct ones by `table_of` ((unit) -> (unit, coded)), and put the results together."""
-    rows = df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(value).alias("value"))
-    names = rows.columns[:-1]
-    types = pa.schema([(f.name, t.type) for f, t in zip(rows.schema.fields[:-1], _arrow_schema(rows.drop("value")))])
-    blocks = written(rows.mapInArrow(_to_blocks(split, names, p), _BLOCKS), "blocks")
-    units = blocks.where("place >= 0").select("block", "place", "unit")
-    table = table_of(units.select("unit").distinct())
-    none = F.lit(None).cast("binary")
-    coded = units.join(table, "unit", "left").select("block", "place", "coded", none.alias("head"), none.alias("sizes"),
-                                                     none.alias("codes"))
-    own = blocks.where("place < 0").select("block", "place", none.alias("coded"), "head", "sizes", "codes")
-    together = coded.unionAll(own).repartition("block").sortWithinPartitions("block", "place")
-    ddl = ", ".join([f"{n} {rows.schema[n].dataType.simpleString()}" for n in names] + [f"value {kind}"])
-    back = together.mapInArrow(_from_blocks(types, arrow_kind, gather), ddl)
-    return back.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], F.col("value").alias(out))
-
-
-def _arrow_schema(df: DataFrame) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    return to_arrow_schema(df.schema)
-
-
-# --- encoding ---------------------------------------------------------------------------
-
-def _encode_words(p: Params):
-    def run(batches):
-        coder = tokenizer(p.vocabulary)
-        for batch in batches:
-            words = [w.decode("utf-8", "replace") for w in batch.column("unit").to_pylist()]
-            ids = [np.array(e.ids, "<i4").tobytes() for e in coder.encode_batch_fast(words, add_special_tokens=False)]
-            yield pa.RecordBatch.from_arrays([batch.column("unit"), pa.array(ids, pa.binary())], names=["unit", "coded"])
-
-    return run
+def _buckets(df: DataFrame, p: Params) -> int:
+    """One bucket for every `bucket_bytes` of the table by Spark's own estimate, between 256 and 2**16."""
+    if p.buckets:
+        return p.buckets
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(256, min(1 << 16, size // p.bucket_bytes))
 
 
 def encode(docs: DataFrame, params: Params = Params(), text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
            ids_col: str = "ids") -> DataFrame:
     """The columns `keep` and the token ids of `text_col` (array of int) per row of `docs`."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
     ship(docs.sparkSession)
     p = params
-    texts = docs.select(*keep, F.col(text_col).cast("string").cast("binary").alias("_text"))
-    return _through_table(texts, "_text", list(keep), _word_units, lambda words: words.mapInArrow(_encode_words(p), "unit binary, coded binary"),
-                          "array<int>", pa.list_(pa.int32()), lambda coded, codes: b"".join([coded[c] for c in codes]), ids_col, p)
-
-
-# --- decoding ---------------------------------------------------------------------------
-
-def pieces(spark: SparkSession, p: Params) -> DataFrame:
-    """(id, piece) of the vocabulary: as many rows as it has pieces."""
+    names = [f"k{i}" for i in range(len(keep))]
+    rows = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)],
+                       F.lit(None).cast("boolean").alias("_row"),  # a block without kept columns still has its rows
+                       F.col(text_col).cast("string").cast("binary").alias("_text"))
+    heads = rows.drop("_text")
+    narrow = tokenizer(p.vocabulary).get_vocab_size(with_added_tokens=True) <= 1 << 16
+    blocks = rows.mapInArrow(_to_blocks(heads.columns, _buckets(docs, p), p), _ROWS)
+    coded = (blocks.repartition("dest").sortWithinPartitions("bucket", "block")
+             .mapInArrow(lambda batches: encode_words(batches, tokenizer(p.vocabulary)), "block long, bucket int, head binary, data binary"))
+    ddl = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in heads.schema.fields] + ["ids array<int>"])
+    back = (coded.repartition("block").sortWithinPartitions("block", "bucket")
+            .mapInArrow(_assemble(to_arrow_schema(heads.schema), narrow), ddl))
+    return back.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], F.col("ids").alias(ids_col))
+
+
+# --- decoding -----------------------------------------------------------------------------
+
+def pieces(p: Params) -> list[str | None]:
+    """The vocabulary's table: the piece of every id, as many as its file has (None where it skips an id)."""
     vocabulary = tokenizer(p.vocabulary).get_vocab(with_added_tokens=True)
-    table = pa.table({"id": pa.array(list(vocabulary.values()), pa.int32()), "piece": pa.array(list(vocabulary), pa.string())})
-    return spark.createDataFrame(table)
-
-
-def _ids_of(batches):
-    """Runs -> one row per id: (unit, at, id)."""
-    for batch in batches:
-        units = batch.column("unit")
-        sizes = pc.binary_length(units).to_numpy() // 4
-        at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        ids = np.frombuffer(b"".join(units.to_pylist()), "<i4")
-        yield pa.RecordBatch.from_arrays([units.take(pa.array(np.repeat(np.arange(len(units)), sizes))),
-                                          pa.array(at.astype(np.int32)), pa.array(ids)], names=["unit", "at", "id"])
-
-
-def _decode_runs(runs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Distinct runs -> (unit, coded): the pieces of their ids, in order, one space between; NULL without a known id."""
-    one = runs.mapInArrow(_ids_of, "unit binary, at int, id int")
-    # The vocabulary is bounded by its file (some ten thousand short pieces), not by the documents.
-    found = one.join(F.broadcast(vocabulary), "id")
-    whole = found.groupBy("unit").agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("p"))
-    return whole.select("unit", F.array_join("p.piece", " ").cast("binary").alias("coded"))
+    table: list[str | None] = [None] * (max(vocabulary.values(), default=-1) + 1)
+    for piece, k in vocabulary.items():
+        table[k] = piece
+    return table
 
 
 def decode(encoded: DataFrame, params: Params = Params(), ids_col: str = "ids", keep: tuple[str, ...] = ("doc_id",),
            text_col: str = "text") -> DataFrame:
-    """The columns `keep` and the text of the token ids `ids_col` (array of int) per row, special tokens included."""
-    spark, p = encoded.sparkSession, params
+    """The columns `keep` and the text of the token ids `ids_col` (array of int) per row: the ids' pieces, one space
+    between them, special tokens included."""
+    spark = encoded.sparkSession
     ship(spark)
-    vocabulary = tokenizer(p.vocabulary).get_vocab(with_added_tokens=True)
-    ends_word = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
-    ends_word[[k for piece, k in vocabulary.items() if piece.endswith(p.word_end)]] = True
-    lists = encoded.select(*keep, F.col(ids_col).cast("array<int>").alias("_ids"))
-    return _through_table(lists, "_ids", list(keep), _run_units(ends_word), lambda runs: _decode_runs(runs, pieces(spark, p)),
-                          "string", pa.string(),
-                          lambda coded, codes: b" ".join([t for c in codes if (t := coded[c]) is not None]), text_col, p)
+    sent = spark.sparkContext.broadcast(pieces(params))  # bounded by the vocabulary's file
+    names = [f"k{i}" for i in range(len(keep))]
+    rows = encoded.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], F.col(ids_col).cast("array<int>").alias("_ids"))
+
+    def run(batches):
+        table = sent.value
+        for batch in batches:
+            lists = batch.column("_ids")
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+            flat = pc.fill_null(lists.flatten(), -1).to_numpy()
+            known = (flat >= 0) & (flat < len(table))
+            found = [table[k] for k in np.where(known, flat, 0).tolist()]
+            if not known.all() or None in found:
+                found = [t if ok else None for t, ok in zip(found, known.tolist())]
+            ends = np.cumsum(sizes).tolist()
+            texts = [" ".join([t for t in found[e - n:e] if t is not None]) for n, e in zip(sizes.tolist(), ends)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*names, "_out"])
+
+    ddl = ", ".join([f"{n} {rows.schema[n].dataType.simpleString()}" for n in names] + ["_out string"])
+    out = rows.mapInArrow(run, ddl)
+    return out.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], F.col("_out").alias(text_col))

@@ -4,8 +4,9 @@ Alternating large-star and small-star steps (Kiveris et al., "Connected
 Components in MapReduce and Beyond", 2014): each step is a partial aggregate
 and an equi-join, so a vertex with very many links is split like any skewed
 join key, and no component is ever gathered in one task.  Before the first
-step every task contracts its own links to stars, which usually leaves two or
-three rounds.  Each round is written to the shared checkpoint folder.
+step the links are contracted to stars in tasks of about `TASK_LINKS` links, which
+usually leaves two or three rounds, and none where one such task holds all
+links that are left.  Each round is written to the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -18,6 +19,9 @@ from pyspark.sql import functions as F
 from .common import written
 
 
+TASK_LINKS = 1_000_000  # links (16 bytes each) that a task contracts at a time
+
+
 def local_components(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Vertices of the links (a[i], b[i]) and the smallest vertex reachable from each."""
     nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -53,7 +57,7 @@ def _contract(batches):
     for batch in batches:
         held.append((batch.column("a").to_numpy(), batch.column("b").to_numpy()))
         rows += batch.num_rows
-        if rows >= 1_000_000:
+        if rows >= TASK_LINKS:
             yield flush()
             held, rows = [], 0
     if rows:
@@ -65,7 +69,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     smallest vertex of its component.  Links with a NULL end are no links."""
     start = (links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
              .where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))))
-    now = written(start.mapInArrow(_contract, "a long, b long").distinct(), "links")
+    now = written(start.mapInArrow(_contract, "a long, b long"), "links")
+    tasks = -(-now.count() // TASK_LINKS)
+    if tasks <= 1:
+        return _membership(now.coalesce(1).mapInArrow(_contract, "a long, b long"))
+    now = written(now.repartition(tasks, "a").mapInArrow(_contract, "a long, b long").distinct(), "links")
     mark = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long"))).first()
     before = None
     while (state := tuple(mark(now))) != before:
@@ -81,6 +89,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                                  F.struct(F.col("a").alias("a"), F.col("m").alias("b"))))
         small = large.join(low, "a").select(ends.alias("e")).select("e.a", "e.b")
         now = written(small.where(F.col("a") != F.col("b")).distinct(), "links")
-    roots = now.select(F.col("b").alias("id")).distinct()
-    return (now.select(F.col("a").alias("id"), F.col("b").alias("component_id"))
+    return _membership(now)
+
+
+def _membership(stars: DataFrame) -> DataFrame:
+    """(id, component_id) of every end of the stars (vertex, smallest vertex of its component)."""
+    roots = stars.select(F.col("b").alias("id")).distinct()
+    return (stars.select(F.col("a").alias("id"), F.col("b").alias("component_id"))
             .unionByName(roots.select("id", F.col("id").alias("component_id"))))

@@ -19,13 +19,19 @@ count sketch over all documents; it steers the work only, any order is exact.
 2. These star links are filtered by size and point, verified, and joined to
    components.  A group of near copies thus costs its members, not its pairs.
 3. Prefix shingles whose documents are not all in one component yet are worked
-   off in blocks: equal shingle and size class, and in parts of `block` rows
-   against each other where a block is larger.  In a block an R-tree self-join
-   over coarse points (sums of neighbouring groups, a bound as well) yields the
-   pairs of different components, the full points sift them, and a pair that
-   shares several blocks is reported by the first of them.  Verified, they
-   complete the components: every linked pair has been either joined or
-   compared, whatever the size of a block.
+   off in blocks: equal shingle and size class, and in parts of at most `block`
+   rows and `block_shingles` shingles against each other where a block is
+   larger.  In a block an R-tree self-join over coarse points (sums of
+   neighbouring groups, a bound as well) finds the pairs of different components,
+   the full points sift them, and a pair that shares several blocks counts in
+   the first of them.  No pair leaves the task: the block names, for each
+   document that is in a pair, the group of documents its pairs connect it to.
+4. Groups of the same documents are worked off once.  Their whole texts meet, the
+   R-tree yields the pairs again, their sets are compared on the spot, and
+   documents united by a link are not compared any more.  What leaves the task is
+   a spanning forest of verified links, fewer rows than documents.  They complete
+   the components: every linked pair has been either joined or compared,
+   whatever the size of a block.
 
 Defined results: a document without words (or NULL text) has an empty set and
 links with nothing; with fewer words than a shingle, the whole sequence is its
@@ -45,7 +51,7 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 from .common import id_text, text_slices, written
-from .components import components
+from .components import components, local_components
 
 
 @dataclass(frozen=True)
@@ -56,7 +62,8 @@ class Params:
     boxes: int = 64          # coordinates of the R-tree's boxes: sums of groups / boxes neighbouring groups
     sketch_bits: int = 20    # counters of the frequency sketch: 2**bits
     held_keys: int = 2_000_000  # prefix shingles a task holds before it passes them on
-    block: int = 4096        # documents compared at once
+    block: int = 4096        # documents compared at once ...
+    block_shingles: int = 2_000_000  # ... and their shingles, if there is more than one document
     marks: int = 23          # documents in question are marked in a table of 2**marks bits
     listed: int = 16         # pairs of larger blocks are reported by one block only
     leaf: int = 32           # points of an R-tree leaf
@@ -110,38 +117,50 @@ def _scan(p: Params):
                     waiting, held = [], 0
         if waiting:
             sketch += np.bincount(np.concatenate(waiting), minlength=len(sketch))
-        parts = [(1, None, None, None, None, None, k, sketch[at:at + _SKETCH_PART].tobytes())
-                 for k, at in enumerate(range(0, len(sketch), _SKETCH_PART))]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*parts), _SCAN_TYPES)], schema=_SCAN_TYPES)
+        parts = [(1, None, None, None, None, None, k, raw) for k, raw in _used(sketch)]
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*parts), _SCAN_TYPES)], schema=_SCAN_TYPES)
 
     return run
 
 
-def _merged(kind, add):
-    """Rows (part, counts) of all tasks -> one row per part."""
-    def run(batches):
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts")):
-                row = np.frombuffer(counts.as_py(), kind)
-                total[part] = add(total[part], row) if part in total else row
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()),
-                                          pa.array([v.tobytes() for v in total.values()], pa.binary())],
-                                         names=["part", "counts"])
+def _used(table: np.ndarray):
+    """The counters of `table` that are not zero, as (part, bytes): a task sends what it has counted, not the whole table."""
+    used = np.flatnonzero(table)
+    parts = used // _SKETCH_PART
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(parts)) + 1, [len(used)]]) if len(used) else [0]
+    for f, t in zip(cuts[:-1], cuts[1:]):
+        own = used[f:t]
+        yield int(parts[f]), (own % _SKETCH_PART).astype("<u2").tobytes() + table[own].astype("<u4").tobytes()
 
-    return run
+
+def _merged(batches):
+    """Rows (part, counts) of all tasks -> one row per part."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
+            n = len(counts) // 6
+            own = total.setdefault(part, np.zeros(_SKETCH_PART, np.int64))
+            own[np.frombuffer(counts, "<u2", n)] += np.frombuffer(counts, "<u4", n, 2 * n)
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()),
+                                      pa.array([v.tobytes() for v in total.values()], pa.binary())],
+                                     names=["part", "counts"])
+
+
+def _summed(rows: DataFrame, size: int):
+    """The table of `size` counters that rows (part, counts) of all tasks add up to, part by part."""
+    sums = (rows.repartition(max(1, min(32, size // _SKETCH_PART)), "part").mapInArrow(_merged, "part int, counts binary"))
+    for r in sums.toLocalIterator():
+        yield r["part"] * _SKETCH_PART, np.frombuffer(r["counts"], np.int64)
 
 
 def frequency_classes(scanned: DataFrame, p: Params) -> np.ndarray:
     """Binary logarithm of every sketch counter: 2**sketch_bits bytes, whatever the corpus."""
-    parts = max(1, (1 << p.sketch_bits) // _SKETCH_PART)
-    sums = (scanned.where("kind = 1").select("part", "counts").repartition(parts, "part")
-            .mapInArrow(_merged(np.int64, np.add), "part int, counts binary"))
-    out = np.zeros(1 << p.sketch_bits, np.uint8)
-    for r in sums.toLocalIterator():
-        row = np.frombuffer(r["counts"], np.int64)
-        out[r["part"] * _SKETCH_PART:][:len(row)] = np.log2(row + 1).astype(np.uint8)
-    return out
+    size = 1 << p.sketch_bits
+    out = np.zeros(max(size, _SKETCH_PART), np.uint8)
+    for at, row in _summed(scanned.where("kind = 1").select("part", "counts"), size):
+        out[at:at + len(row)] = np.log2(row + 1).astype(np.uint8)
+    return out[:size]
 
 
 # --- scan 2: prefixes and star links ----------------------------------------------------
@@ -224,37 +243,35 @@ def _slots(ids: np.ndarray, p: Params) -> np.ndarray:
     return (tv.mix(ids.view(np.uint64)) >> np.uint64(64 - p.marks)).astype(np.int64)
 
 
-def marked(pairs: DataFrame, p: Params):
-    """A broadcast table of bits in which every document of `pairs` has its bit
+def marked(ids: DataFrame, p: Params):
+    """A broadcast table of bits in which every document of the columns of `ids` has its bit
     set: 2**marks bits whatever the corpus.  It only keeps other documents'
     texts and points out of the joins that follow; some may pass."""
     def run(batches):
-        bits = np.zeros(1 << p.marks, bool)
+        slots = [np.zeros(0, np.int64)]
         for batch in batches:
-            for c in ("a", "b"):
-                bits[_slots(batch.column(c).to_numpy(), p)] = True
-        raw = np.packbits(bits)
-        parts = [(k, raw[at:at + _SKETCH_PART].tobytes()) for k, at in enumerate(range(0, len(raw), _SKETCH_PART))]
+            slots += [_slots(batch.column(c).to_numpy(), p) for c in batch.schema.names]
+        slots = np.unique(np.concatenate(slots))
+        bits = np.zeros(int(slots[-1]) + 1 if len(slots) else 0, np.uint8)
+        bits[slots] = 1
+        parts = list(_used(bits))
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int32()),
                                           pa.array([r for _, r in parts], pa.binary())], names=["part", "counts"])
 
-    found = (pairs.select("a", "b").mapInArrow(run, "part int, counts binary")
-             .repartition(max(1, (1 << p.marks) // 8 // _SKETCH_PART), "part")
-             .mapInArrow(_merged(np.uint8, np.bitwise_or), "part int, counts binary"))
-    raw = np.zeros((1 << p.marks) // 8, np.uint8)
-    for r in found.toLocalIterator():
-        row = np.frombuffer(r["counts"], np.uint8)
-        raw[r["part"] * _SKETCH_PART:][:len(row)] = row
-    return pairs.sparkSession.sparkContext.broadcast(raw)
+    bits = np.zeros(max(1 << p.marks, _SKETCH_PART), bool)
+    for at, row in _summed(ids.mapInArrow(run, "part int, counts binary"), 1 << p.marks):
+        bits[at:at + len(row)] = row > 0
+    return ids.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
 
 def only_marked(df: DataFrame, marks, p: Params) -> DataFrame:
     """The rows of `df` whose doc_id has its bit set (rows without an id go)."""
     def run(batches):
-        bits = np.unpackbits(marks.value).astype(bool)
+        bits = marks.value
         for batch in batches:
             batch = batch.filter(batch.column("doc_id").is_valid())
-            yield batch.filter(pa.array(bits[_slots(batch.column("doc_id").to_numpy(), p)]))
+            slot = _slots(batch.column("doc_id").to_numpy(), p)
+            yield batch.filter(pa.array((bits[slot >> 3] >> (7 - (slot & 7)) & 1).astype(bool)))
 
     return df.mapInArrow(run, df.schema)
 
@@ -333,12 +350,35 @@ def tree_pairs(full: np.ndarray, n: np.ndarray, comp: np.ndarray, p: Params, lef
         yield at[keep], to[keep]
 
 
-def _block_pairs(p: Params):
-    """Rows of whole blocks, sorted by block -> pairs that the bound leaves.
+_GROUPED = "team long, doc_id long, comp long"
+_GROUPED_TYPES = pa.schema([("team", pa.int64()), ("doc_id", pa.int64()), ("comp", pa.int64())])
+
+
+def _runs(batches, column: str, load):
+    """The rows of each value of a sorted column, as lists of what `load` takes from a batch."""
+    held, last = [], None
+    for batch in batches:
+        own = batch.column(column).to_numpy()
+        cols = load(batch)
+        cuts = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1, [len(own)]])
+        for f, t in zip(cuts[:-1], cuts[1:]):
+            if t > f:
+                if held and own[f] != last:
+                    yield last, held
+                    held = []
+                held.append([c[f:t] for c in cols])
+                last = own[f]
+    if held:
+        yield last, held
+
+
+def _block_groups(p: Params):
+    """Rows of whole blocks, sorted by block -> for each document in a pair that the bound leaves, the team of
+    documents that such pairs connect it to.
 
     side 0 and 1 of a block are compared with each other, side 0 also with itself when `own`."""
 
-    def solve(rows):
+    def solve(block, rows):
         doc, n, comp, side, own, key, x = (np.concatenate([r[k] for r in rows]) for k in range(7))
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         found = list(tree_pairs(x, n, comp, p, left, right))
@@ -348,46 +388,92 @@ def _block_pairs(p: Params):
             return
         i, j = (np.concatenate([f[k] for f in found]) for k in (0, 1))
         keys = [k for r in rows for k in r[7]]
-        if keys[0]:  # a block of listed shingles: the smallest common one reports the pair
+        if keys[0]:  # a block of listed shingles: the pair counts in the smallest common one
             keys = {k: frozenset(keys[k]) for k in set(i.tolist()) | set(j.tolist())}
             first = np.array([min(keys[a] & keys[b]) == key[0] for a, b in zip(i.tolist(), j.tolist())], bool)
             i, j = i[first], j[first]
         if len(i):
-            yield np.maximum(doc[i], doc[j]), np.minimum(doc[i], doc[j])
+            at, low = local_components(i, j)
+            with np.errstate(over="ignore"):
+                team = tv.mix(np.uint64(np.int64(block)) ^ tv.mix(low.astype(np.uint64))).view(np.int64)
+            yield team, doc[at], comp[at]
+
+    def load(batch):
+        return ([batch.column(c).to_numpy() for c in ("doc_id", "n", "comp", "side", "own", "key")]
+                + [points(batch.column("point")), batch.column("keys").to_pylist()])
 
     def run(batches):
-        held, last, out, size = [], None, [], 0
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        for block, rows in _runs(batches, "block", load):
+            for found in solve(block, rows):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], schema=_GROUPED_TYPES)
 
-        def batch_of(out):
-            pairs = np.unique(np.stack([np.concatenate([o[k] for o in out]) for k in (0, 1)]), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], schema=schema)
+    return run
 
-        for batch in batches:
-            block = batch.column("block").to_numpy()
-            x = points(batch.column("point"))
-            cols = [batch.column(c).to_numpy() for c in ("doc_id", "n", "comp", "side", "own", "key")]
-            cols += [x, batch.column("keys").to_pylist()]
-            cuts = np.concatenate([[0], np.flatnonzero(block[1:] != block[:-1]) + 1, [len(block)]])
-            for f, t in zip(cuts[:-1], cuts[1:]):
-                if t == f:
-                    continue
-                if held and block[f] != last:
-                    out += list(solve(held))
-                    held = []
-                held.append([c[f:t] for c in cols])
-                last = block[f]
-            if sum(len(o[0]) for o in out) > 100_000:
-                yield batch_of(out)
-                out = []
-        if held:
-            out += list(solve(held))
-        if out:
-            yield batch_of(out)
+
+def linked_pairs(sets: list[np.ndarray], comp: np.ndarray, p: Params):
+    """Links (i, j) between sets of different components: enough of them to connect all that are linked."""
+    n = np.array([len(s) for s in sets], np.int64)
+    every, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(n)
+    own = [codes[e - k:e] for k, e in zip(n, ends)]
+    full = np.stack([np.minimum(np.bincount((s % np.uint64(p.groups)).astype(np.int64), minlength=p.groups), 255)
+                     for s in sets]).astype(np.uint8)
+    _, start = np.unique(comp, return_inverse=True)
+    root = np.arange(start.max() + 1)  # of each component, the one it is united with
+    here = np.zeros(len(every), bool)
+    some = np.flatnonzero(n > 0)
+    for left, right in tree_pairs(full, n, comp, p, some, some):
+        order = np.argsort(left, kind="stable")
+        left, right = left[order], right[order]
+        cuts = np.concatenate([[0], np.flatnonzero(left[1:] != left[:-1]) + 1, [len(left)]])
+        for f, t in zip(cuts[:-1], cuts[1:]):
+            if t == f:
+                continue
+            i, js = left[f], right[f:t]
+            js = js[root[start[js]] != root[start[i]]]
+            if not len(js):
+                continue
+            here[own[i]] = True
+            shared = np.add.reduceat(here[np.concatenate([own[j] for j in js])], np.cumsum(n[js]) - n[js], dtype=np.int64)
+            here[own[i]] = False
+            for j in js[100 * shared >= p.percent * (n[i] + n[js] - shared)].tolist():
+                a, b = root[start[i]], root[start[j]]
+                if a != b:
+                    root[root == b] = a
+                    yield i, j
+
+
+def _team_links(p: Params):
+    """Rows of whole teams (team, doc_id, comp, text), sorted by team -> verified links."""
+    def load(batch):
+        sets = []
+        for _, _, data, offs in text_slices(batch.column("text")):
+            sets += list(shingle_sets(data, offs, p.width))
+        return [batch.column("doc_id").to_numpy(), batch.column("comp").to_numpy(), sets]
+
+    def run(batches):
+        for _, rows in _runs(batches, "team", load):
+            doc, comp = (np.concatenate([r[k] for r in rows]) for k in (0, 1))
+            sets = [s for r in rows for s in r[2]]
+            links = list(linked_pairs(sets, comp, p))
+            if links:
+                i, j = np.array(links).T
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(doc[i], doc[j])), pa.array(np.minimum(doc[i], doc[j]))],
+                                                 names=["a", "b"])
 
     return run
 
 
+def team_links(teams: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
+    """Verified links inside the teams (team, doc_id, comp), teams of the same documents worked off once."""
+    alike = teams.groupBy("team").agg(F.count(F.lit(1)).alias("docs"), F.bit_xor(F.xxhash64("doc_id")).alias("x1"),
+                                      F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("x2"))
+    teams = teams.join(alike.groupBy("docs", "x1", "x2").agg(F.min("team").alias("team")).select("team"), "team", "left_semi")
+    texts = only_marked(docs, marked(teams.select("doc_id"), p), p)
+    return (teams.join(texts, "doc_id").select("team", "doc_id", "comp", "text").repartition("team")
+            .sortWithinPartitions("team").mapInArrow(_team_links(p), "a long, b long"))
+
+
 def _verify(p: Params):
     def run(batches):
         for batch in batches:
@@ -410,7 +496,7 @@ def _verify(p: Params):
 
 def verified(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
     """The pairs (a, b) whose whole texts reach the threshold."""
-    docs = only_marked(docs, marked(pairs, p), p)
+    docs = only_marked(docs, marked(pairs.select("a", "b"), p), p)
     text = lambda c: docs.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
     both = pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "text_a", "text_b")
     return both.mapInArrow(_verify(p), "a long, b long")
@@ -418,7 +504,7 @@ def verified(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
 
 def _possible(pairs: DataFrame, sizes: DataFrame, p: Params) -> DataFrame:
     """Pairs with sizes, points and signatures, without those that sizes or points rule out."""
-    sizes = only_marked(sizes, marked(pairs, p), p)
+    sizes = only_marked(sizes, marked(pairs.select("a", "b"), p), p)
     side = lambda c: sizes.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sig1").alias(f"s1_{c}"),
                                   F.col("sig2").alias(f"s2_{c}"), F.col("point").alias(f"p_{c}"))
     fits = (100 * F.least("n_a", "n_b") >= p.percent * F.greatest("n_a", "n_b")) & (F.col("n_a") > 0)
@@ -449,7 +535,7 @@ def _blocks(members: DataFrame, p: Params) -> DataFrame:
 
     A document belongs to the size class of its n (steps of 100 / percent) and
     visits the next class, whose members may be that much larger.  A block over
-    `block` rows is dealt into parts; every two parts meet in a block of their own.
+    `block` rows or `block_shingles` is dealt into parts; every two parts meet in a block of their own.
     """
     step = float(np.log(100.0 / p.percent))
     classed = members.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.lit(step) + F.lit(1e-9)))
@@ -457,9 +543,10 @@ def _blocks(members: DataFrame, p: Params) -> DataFrame:
                              F.struct((F.col("class") + 1).alias("class"), F.lit(1).alias("side"))))
     rows = classed.withColumn("at", both).select("key", "keys", "doc_id", "n", "comp", "point", "at.class", "at.side")
     sizes = (rows.groupBy("key", "class").agg(F.count(F.lit(1)).alias("rows"), F.sum(1 - F.col("side")).alias("home"),
-                                              F.min("comp").alias("c1"), F.max("comp").alias("c2"))
+                                              F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.sum("n").alias("shingles"))
              .where((F.col("home") > 0) & (F.col("c1") != F.col("c2")))
-             .select("key", "class", F.ceil(F.col("rows") / F.lit(p.block)).cast("int").alias("parts")))
+             .select("key", "class", F.greatest(F.ceil(F.col("rows") / F.lit(p.block)), F.least("rows", F.ceil(
+                 F.col("shingles") / F.lit(p.block_shingles)))).cast("int").alias("parts")))
     rows = rows.join(sizes, ["key", "class"]).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
     # Part i meets part j >= i in block (i, j): a row is in `parts` blocks.
     meets = F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(
@@ -510,8 +597,8 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), id_col: str = "d
             .join(groups.select(F.col("id").alias("doc_id"), F.col("component_id").alias("comp")), "doc_id", "left")
             .withColumn("comp", F.coalesce("comp", "doc_id")))
     blocks = _blocks(rows.where("n > 0"), p).repartition("block").sortWithinPartitions("block")
-    more = blocks.mapInArrow(_block_pairs(p), "a long, b long").distinct().join(first, ["a", "b"], "left_anti")
-    more = _links(written(more, "pairs"), sizes, known, p)
+    teams = written(blocks.mapInArrow(_block_groups(p), _GROUPED).dropDuplicates(["team", "doc_id"]), "teams")
+    more = team_links(teams, known, p)
     final = components(groups.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionByName(more))
     return (sizes.select("doc_id", F.col("n").alias("n_shingles"))
             .join(final.select(F.col("id").alias("doc_id"), "component_id"), "doc_id", "left")

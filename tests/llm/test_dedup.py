@@ -4,9 +4,11 @@ import random
 import re
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from offerframe.llm import components as components_module
 from offerframe.llm import embed_dedup, jaccard, trie_dedup
 from offerframe.llm.common import ship
 from offerframe.llm.components import components, local_components
@@ -166,10 +168,62 @@ def test_rtree_loses_no_pair(seed):
     assert got == want
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10_000))
+def test_links_of_a_team_connect_what_is_linked(seed):
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+    sets = []
+    for _ in range(30):
+        keep = base[rng.random(60) < rng.choice([0.8, 0.9, 0.95, 0.3])]
+        sets.append(np.unique(np.concatenate([keep, rng.integers(0, 1 << 63, rng.integers(0, 8), dtype=np.uint64)])))
+    comp = rng.integers(0, 20, 30)
+    p = jaccard.Params(leaf=3, groups=16, boxes=4)
+    links = list(jaccard.linked_pairs(sets, comp, p))
+    for i, j in links:
+        shared = len(np.intersect1d(sets[i], sets[j]))
+        assert 100 * shared >= 80 * (len(sets[i]) + len(sets[j]) - shared)
+    every = [(i, j) for i in range(30) for j in range(i) if (m := len(np.intersect1d(sets[i], sets[j])))
+             and 100 * m >= 80 * (len(sets[i]) + len(sets[j]) - m)]
+    same = [(i, j) for i in range(30) for j in range(i) if comp[i] == comp[j]]
+    assert reach(range(30), links + same) == reach(range(30), every + same)
+    assert len(links) < len(set(comp.tolist()))
+
+
+def test_rows_of_copies_below_the_threshold_grow_in_proportion(spark, monkeypatch):
+    ship(spark)
+    seen = {}
+    real = jaccard.written
+
+    def spy(df, name):
+        out = real(df, name)
+        seen[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "written", spy)
+    rng = random.Random(4)
+    base = [f"t{rng.randrange(5000)}" for _ in range(300)]
+    rows = {}
+    for n in (250, 1000):
+        texts = []
+        for i in range(n):
+            words = list(base)
+            for k in rng.sample(range(0, 300, 6), 5):
+                words[k] = f"own{i}x{k}"
+            texts.append((i, " ".join(words), "en", "src0"))
+        out = jaccard.near_duplicates(data.documents(spark, texts)).where("component_id <> doc_id").count()
+        assert out < n / 2  # most of them are near each other, but not near enough
+        rows[n] = seen["teams"], seen["pairs"]
+    for of in (0, 1):
+        assert rows[1000][of] <= 6 * max(rows[250][of], 250)  # four times the documents; all pairs would be 16 times as many
+
+
 # --- components -------------------------------------------------------------------------
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("task_links", [components_module.TASK_LINKS, 10])
+def test_components_of_chains_and_stars(spark, monkeypatch, task_links):
     ship(spark)
+    monkeypatch.setattr(components_module, "TASK_LINKS", task_links)
     links = [(i, i + 1) for i in range(100, 180)] + [(5, i) for i in range(200, 260)] + [(300, 300), (301, None)]
     df = spark.createDataFrame(links, "a long, b long").repartition(7)
     got = {r["id"]: r["component_id"] for r in components(df).collect()}

@@ -29,7 +29,6 @@ columns named in `keep` come back with their row, whatever they hold.
 from __future__ import annotations
 
 import os
-import zlib
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -40,7 +39,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import ship, text_bytes
+from .resample import crc_on
 
 _SPACES = np.zeros(256, bool)
 _SPACES[list(b"\x20\x09\x0a\x0b\x0c\x0d")] = True
@@ -49,7 +49,7 @@ _SPACES[list(b"\x20\x09\x0a\x0b\x0c\x0d")] = True
 @dataclass(frozen=True)
 class Params:
     vocabulary: str = "word_bpe_49k.json"  # a file of public_tokenizers, or a path the executors can open
-    block_bytes: int = 32 << 20            # text of a block
+    block_bytes: int = 16 << 20            # text of a block
     buckets: int | None = None             # of distinct words; None: one for every `bucket_bytes` of the table
     bucket_bytes: int = 16 << 20
 
@@ -110,24 +110,28 @@ _ROWS = "dest long, block long, bucket int, head binary, data binary"
 _ROW_TYPES = pa.schema([("dest", pa.int64()), ("block", pa.int64()), ("bucket", pa.int32()), ("head", pa.binary()), ("data", pa.binary())])
 
 
-def split_words(column: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Texts (binary, NULL: empty) -> (different words, number of every word, words per text)."""
-    texts = [t or b"" for t in column.to_pylist()]
-    raw = np.frombuffer(b"".join(texts), np.uint8)
-    offs = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)]).astype(np.int64)
+def split_words(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Texts (binary, NULL: empty) -> (different words, number of every word, words per text).
+
+    Works on the texts' own bytes; no word becomes a Python object."""
+    raw, offs = text_bytes(column)
     inside = ~_SPACES[raw]
-    before = np.concatenate([[False], inside[:-1]])[:len(raw)]
-    before[offs[offs < len(raw)]] = False
-    starts = np.flatnonzero(inside & ~before)
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    edges = offs[offs < len(raw)]
+    first[edges] = inside[edges]
+    starts = np.flatnonzero(first)
+    del inside, first
     sizes = np.diff(np.searchsorted(starts, offs))
     # Each word with the white space behind it, end to end: the bytes are used as they lie.
     words = pa.Array.from_buffers(pa.large_binary(), len(starts),
-                                  [None, pa.py_buffer(np.append(starts, len(raw)).astype(np.int64)), pa.py_buffer(raw)])
+                                  [None, pa.py_buffer(np.append(starts, len(raw))), pa.py_buffer(np.ascontiguousarray(raw))])
+    del starts
     coded = words.dictionary_encode()
-    bare = [w.rstrip(b" \t\n\v\f\r") for w in coded.dictionary.to_pylist()]
-    number = {w: k for k, w in enumerate(dict.fromkeys(bare))}
-    codes = np.array([number[w] for w in bare], np.int64)[coded.indices.to_numpy()] if bare else np.zeros(0, np.int64)
-    return list(number), codes, sizes
+    padded = coded.dictionary
+    texts = pa.Array.from_buffers(pa.large_string(), len(padded), padded.buffers(), offset=padded.offset)
+    bare = pc.ascii_rtrim_whitespace(texts).cast(pa.large_binary()).dictionary_encode()
+    return bare.dictionary, bare.indices.to_numpy()[coded.indices.to_numpy()], sizes
 
 
 def code_order(classes: np.ndarray) -> np.ndarray:
@@ -138,19 +142,21 @@ def code_order(classes: np.ndarray) -> np.ndarray:
 def block_rows(texts: pa.Array, heads: pa.RecordBatch, block: int, buckets: int):
     """The rows of one block."""
     words, codes, sizes = split_words(texts)
-    bucket = np.array([zlib.crc32(w) for w in words], np.int64) % buckets
+    raw, ends = text_bytes(words)
+    bucket = crc_on(raw, ends[:-1], ends[1:], np.zeros(len(words), np.uint32)) % np.uint32(buckets)
     classes = np.log2(np.bincount(codes, minlength=len(words)) + 1).astype(np.uint8)
-    by_bucket = np.argsort(bucket, kind="stable")
-    order = by_bucket[code_order(classes[by_bucket])]
-    position = np.empty(len(words), np.int64)
-    position[order] = np.arange(len(words))
-    dest, numbers, data = [block], [-1], [pack(sizes.astype("<i8").tobytes(), planes(position[codes] if len(words) else codes))]
-    cuts = np.flatnonzero(np.diff(bucket[by_bucket], prepend=-1)).tolist() + [len(words)]
+    by_bucket = np.argsort(bucket, kind="stable").astype(np.int32)
+    position = np.empty(len(words), np.int32)
+    position[by_bucket[code_order(classes[by_bucket])]] = np.arange(len(words), dtype=np.int32)
+    dest, numbers, data = [block], [-1], [pack(sizes.astype("<i8").tobytes(), planes(position[codes]))]
+    del codes, position
+    raw, ends = text_bytes(words.take(pa.array(by_bucket)))
+    bucket, classes = bucket[by_bucket].astype(np.int64), classes[by_bucket]
+    cuts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist() + [len(words)]
     for a, b in zip(cuts[:-1], cuts[1:]):
-        own = by_bucket[a:b]
-        dest.append(int(bucket[own[0]]))
+        dest.append(int(bucket[a]))
         numbers.append(dest[-1])
-        data.append(pack(classes[own].tobytes(), b" ".join([words[k] for k in own])))
+        data.append(pack(classes[a:b].tobytes(), planes(np.diff(ends[a:b + 1])), raw[ends[a]:ends[b]].tobytes()))
     head = [_ipc(heads)] + [None] * (len(dest) - 1)
     for a in range(0, len(dest), 2000):
         b = min(a + 2000, len(dest))
@@ -203,8 +209,9 @@ def encode_words(batches, coder):
                 continue
             if number != bucket:
                 table, bucket = {}, number
-            classes, words = unpack(data)
-            words = words.split(b" ")
+            classes, sizes, raw = unpack(data)
+            ends = np.cumsum(from_planes(sizes)).tolist()
+            words = [raw[a:e] for a, e in zip([0, *ends], ends)]
             new = [w for w in dict.fromkeys(words) if w not in table]
             for w, e in zip(new, coder.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)):
                 table[w] = np.array(e.ids, "<u2" if narrow else "<u4").tobytes()

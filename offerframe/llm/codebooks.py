@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.rank import sent_if_small
-from .common import ship, written
+from .common import lean, ship, written
 
 _LIMIT = 1 << 26  # squares of differences then fit 64 bits in any sum over a part
 
@@ -202,7 +202,7 @@ def _updated(book: np.ndarray, sums: DataFrame) -> np.ndarray:
     """The codebooks with every used entry replaced by the floored mean of its members."""
     new = book.copy()
     # One row per (position, entry): as many as the codebooks have entries.
-    for r in sums.repartition("position", "entry").mapInArrow(_added, _SUM).collect():
+    for r in sums.repartition("position", "entry").mapInArrow(lean(_added), _SUM).collect():
         new[r["position"], r["entry"]] = np.frombuffer(r["sums"], "<i8") // r["n"]
     return new
 
@@ -226,17 +226,17 @@ def train(base: DataFrame, p: Params) -> np.ndarray | None:
     books = [np.ascontiguousarray(start.transpose(1, 0, 2))]
     salts = 1 + base.count() // p.owner_rows
     owner = ["position", "entry", "salt"]
-    gens = [written(base.select("row", "vector").mapInArrow(_settle(books, p, salts), _MEMBER).repartition(*owner), "gen-0")]
-    books.append(_updated(books[0], gens[0].mapInArrow(_arrived, _SUM)))
+    gens = [written(base.select("row", "vector").mapInArrow(lean(_settle(books, p, salts)), _MEMBER).repartition(*owner), "gen-0")]
+    books.append(_updated(books[0], gens[0].mapInArrow(lean(_arrived), _SUM)))
     for r in range(1, p.rounds):
         members = gens[0]
         for gen in gens[1:]:
             members = members.unionAll(gen)
-        turn = written(members.mapInArrow(_move(books, p), _MEMBER + _SUMS), f"round-{r}")
+        turn = written(members.mapInArrow(lean(_move(books, p)), _MEMBER + _SUMS), f"round-{r}")
         movers = turn.where("n IS NULL").select("gen", *owner, "part")
         gens.append(written(movers.repartition(*owner), f"gen-{r}"))
         stayed = turn.where("n IS NOT NULL").select("position", "entry", "n", "sums")
-        books.append(_updated(books[-1], stayed.unionAll(gens[-1].mapInArrow(_arrived, _SUM))))
+        books.append(_updated(books[-1], stayed.unionAll(gens[-1].mapInArrow(lean(_arrived), _SUM))))
     return books[-1]
 
 
@@ -256,7 +256,7 @@ def encode(base: DataFrame, books: np.ndarray, p: Params) -> DataFrame:
                  pa.array(error)], names=["vec_id", "label", "code", "error"])
 
     kind = base.schema["label"].dataType.simpleString()
-    return base.select("vec_id", "label", "vector").mapInArrow(run, f"vec_id long, label {kind}, code string, error long")
+    return base.select("vec_id", "label", "vector").mapInArrow(lean(run), f"vec_id long, label {kind}, code string, error long")
 
 
 def compress(df: DataFrame, params: Params = Params(), id_col: str = "vec_id", vector_col: str = "embedding",

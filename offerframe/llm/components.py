@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import lean, written
 
 
 TASK_LINKS = 1_000_000  # links (16 bytes each) that a task contracts at a time
@@ -69,11 +69,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     smallest vertex of its component.  Links with a NULL end are no links."""
     start = (links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
              .where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))))
-    now = written(start.mapInArrow(_contract, "a long, b long"), "links")
+    now = written(start.mapInArrow(lean(_contract), "a long, b long"), "links")
     tasks = -(-now.count() // TASK_LINKS)
     if tasks <= 1:
-        return _membership(now.coalesce(1).mapInArrow(_contract, "a long, b long"))
-    now = written(now.repartition(tasks, "a").mapInArrow(_contract, "a long, b long").distinct(), "links")
+        return _membership(now.coalesce(1).mapInArrow(lean(_contract), "a long, b long"))
+    now = written(now.repartition(tasks, "a").mapInArrow(lean(_contract), "a long, b long").distinct(), "links")
     mark = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long"))).first()
     before = None
     while (state := tuple(mark(now))) != before:

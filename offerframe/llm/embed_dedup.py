@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.rank import rank_within
-from .common import written
+from .common import lean, written
 from .components import components, local_components
 
 
@@ -235,7 +235,7 @@ def _pass_links(reps: DataFrame, kind: str, p: Params) -> DataFrame:
     rest, links = reps.withColumn("sure", F.lit(0).cast("long")), None
     first, count = 0, passes_for(reps.count(), p)
     while True:
-        keyed = rest.mapInArrow(_keys(kind, range(first, first + count), p.seed),
+        keyed = rest.mapInArrow(lean(_keys(kind, range(first, first + count), p.seed)),
                                 "number int, dim int, key long, vec_id long, raw binary")
         order = rank_within(keyed, ["number", "dim"], ["key", "vec_id"])
         at, far = F.col("rank") - 1, p.window + 1
@@ -247,7 +247,7 @@ def _pass_links(reps: DataFrame, kind: str, p: Params) -> DataFrame:
                   .select(F.xxhash64("number", "dim", "nth").alias("block"), "rank", "vec_id", "raw", "key",
                           (F.col("home") == F.col("nth")).alias("own"))
                   .repartition("block").sortWithinPartitions("block", "rank"))
-        met = written(blocks.mapInArrow(_window_pairs(kind, p), "a long, b long, sure long"), "met")
+        met = written(blocks.mapInArrow(lean(_window_pairs(kind, p)), "a long, b long, sure long"), "met")
         found = met.where("b IS NOT NULL").select("a", "b")
         links = found if links is None else links.unionByName(found)
         gained = met.where("b IS NULL").groupBy(F.col("a").alias("vec_id")).agg(F.sum("sure").alias("gained"))
@@ -257,7 +257,7 @@ def _pass_links(reps: DataFrame, kind: str, p: Params) -> DataFrame:
         if not left:
             return links
         if left <= ROWS_PER_PASS * count:
-            every = _meetings(rest, "dim", p).mapInArrow(_block_pairs(kind, p), "a long, b long, sure long")
+            every = _meetings(rest, "dim", p).mapInArrow(lean(_block_pairs(kind, p)), "a long, b long, sure long")
             return links.unionByName(every.select("a", "b"))
 
 
@@ -297,7 +297,7 @@ def embedding_duplicates(vectors: DataFrame, params: Params = Params(), id_col:
     kind = "<f8" if double else "<f4"
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"),
                           F.col(vector_col).cast("array<double>" if double else "array<float>").alias("embedding"))
-    usable = rows.mapInArrow(_usable(kind), "vec_id long, dim int, raw binary")
+    usable = rows.mapInArrow(lean(_usable(kind)), "vec_id long, dim int, raw binary")
     usable = written(usable.withColumn("code", F.md5("raw")), "vectors")
     same = written(usable.groupBy("code").agg(F.min("vec_id").alias("rep"), F.countDistinct("vec_id").alias("weight")), "equal")
     reps = written(usable.join(same.select(F.col("rep").alias("vec_id"), "code", "weight"), ["vec_id", "code"])
@@ -309,7 +309,7 @@ def embedding_duplicates(vectors: DataFrame, params: Params = Params(), id_col:
     # All links inside each component.
     members = groups.withColumnRenamed("id", "vec_id").join(reps, "vec_id")
     blocks = _meetings(members, "component_id", p)
-    counts = blocks.mapInArrow(_count_links(kind, p), "vec_id long, links long").groupBy("vec_id").agg(F.sum("links").alias("links"))
+    counts = blocks.mapInArrow(lean(_count_links(kind, p)), "vec_id long, links long").groupBy("vec_id").agg(F.sum("links").alias("links"))
 
     # Representatives, then every vector equal to one.
     found = (same.join(counts.withColumnRenamed("vec_id", "rep"), "rep", "left")

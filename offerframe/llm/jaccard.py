@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import id_text, text_slices, written
+from .common import id_text, lean, text_slices, written
 from .components import components, local_components
 
 
@@ -63,7 +63,7 @@ class Params:
     sketch_bits: int = 20    # counters of the frequency sketch: 2**bits
     held_keys: int = 2_000_000  # prefix shingles a task holds before it passes them on
     block: int = 4096        # documents compared at once ...
-    block_shingles: int = 2_000_000  # ... and their shingles, if there is more than one document
+    block_shingles: int = 500_000  # ... and their shingles, if there is more than one document
     marks: int = 23          # documents in question are marked in a table of 2**marks bits
     listed: int = 16         # pairs of larger blocks are reported by one block only
     leaf: int = 32           # points of an R-tree leaf
@@ -149,7 +149,7 @@ def _merged(batches):
 
 def _summed(rows: DataFrame, size: int):
     """The table of `size` counters that rows (part, counts) of all tasks add up to, part by part."""
-    sums = (rows.repartition(max(1, min(32, size // _SKETCH_PART)), "part").mapInArrow(_merged, "part int, counts binary"))
+    sums = (rows.repartition(max(1, min(32, size // _SKETCH_PART)), "part").mapInArrow(lean(_merged), "part int, counts binary"))
     for r in sums.toLocalIterator():
         yield r["part"] * _SKETCH_PART, np.frombuffer(r["counts"], np.int64)
 
@@ -259,7 +259,7 @@ def marked(ids: DataFrame, p: Params):
                                           pa.array([r for _, r in parts], pa.binary())], names=["part", "counts"])
 
     bits = np.zeros(max(1 << p.marks, _SKETCH_PART), bool)
-    for at, row in _summed(ids.mapInArrow(run, "part int, counts binary"), 1 << p.marks):
+    for at, row in _summed(ids.mapInArrow(lean(run), "part int, counts binary"), 1 << p.marks):
         bits[at:at + len(row)] = row > 0
     return ids.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
@@ -273,7 +273,7 @@ def only_marked(df: DataFrame, marks, p: Params) -> DataFrame:
             slot = _slots(batch.column("doc_id").to_numpy(), p)
             yield batch.filter(pa.array((bits[slot >> 3] >> (7 - (slot & 7)) & 1).astype(bool)))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(lean(run), df.schema)
 
 
 # --- comparing --------------------------------------------------------------------------
@@ -471,7 +471,7 @@ def team_links(teams: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
     teams = teams.join(alike.groupBy("docs", "x1", "x2").agg(F.min("team").alias("team")).select("team"), "team", "left_semi")
     texts = only_marked(docs, marked(teams.select("doc_id"), p), p)
     return (teams.join(texts, "doc_id").select("team", "doc_id", "comp", "text").repartition("team")
-            .sortWithinPartitions("team").mapInArrow(_team_links(p), "a long, b long"))
+            .sortWithinPartitions("team").mapInArrow(lean(_team_links(p)), "a long, b long"))
 
 
 def _verify(p: Params):
@@ -499,7 +499,7 @@ def verified(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
     docs = only_marked(docs, marked(pairs.select("a", "b"), p), p)
     text = lambda c: docs.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
     both = pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(_verify(p), "a long, b long")
+    return both.mapInArrow(lean(_verify(p)), "a long, b long")
 
 
 def _possible(pairs: DataFrame, sizes: DataFrame, p: Params) -> DataFrame:
@@ -520,7 +520,7 @@ def _possible(pairs: DataFrame, sizes: DataFrame, p: Params) -> DataFrame:
     return (pairs.join(side("a"), "a").join(side("b"), "b").where(fits)
             .select("a", "b", ((F.col("s1_a") == F.col("s1_b")) & (F.col("s2_a") == F.col("s2_b"))
                                & (F.col("n_a") == F.col("n_b"))).alias("equal"), "n_a", "n_b", "p_a", "p_b")
-            .mapInArrow(run, "a long, b long, equal boolean"))
+            .mapInArrow(lean(run), "a long, b long, equal boolean"))
 
 
 def _links(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
@@ -566,13 +566,13 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), id_col: str = "d
     p = params
     every = id_text(docs, id_col, text_col)
     known = every.where("doc_id IS NOT NULL")
-    scanned = written(every.mapInArrow(_scan(p), _SCAN), "shingles")
+    scanned = written(every.mapInArrow(lean(_scan(p)), _SCAN), "shingles")
     sizes = scanned.where("kind = 0").select("doc_id", "n", "sig1", "sig2", "point")
     classes = docs.sparkSession.sparkContext.broadcast(frequency_classes(scanned, p))
     # The smallest documents of a key meet in one partition; links found already pass through, spread evenly.
     spread = F.when(F.col("b").isNull(), F.lit(0)).otherwise(F.xxhash64("a"))
-    stars = (known.mapInArrow(_prefixes(p, classes), _KEYED).repartition("key", spread)
-             .sortWithinPartitions("key", "a").mapInArrow(_stars, _KEYED))
+    stars = (known.mapInArrow(lean(_prefixes(p, classes)), _KEYED).repartition("key", spread)
+             .sortWithinPartitions("key", "a").mapInArrow(lean(_stars), _KEYED))
     stars = written(stars, "stars")
     first = written(stars.select("a", "b").distinct(), "pairs")
     links = _links(first, sizes, known, p)
@@ -597,7 +597,7 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), id_col: str = "d
             .join(groups.select(F.col("id").alias("doc_id"), F.col("component_id").alias("comp")), "doc_id", "left")
             .withColumn("comp", F.coalesce("comp", "doc_id")))
     blocks = _blocks(rows.where("n > 0"), p).repartition("block").sortWithinPartitions("block")
-    teams = written(blocks.mapInArrow(_block_groups(p), _GROUPED).dropDuplicates(["team", "doc_id"]), "teams")
+    teams = written(blocks.mapInArrow(lean(_block_groups(p)), _GROUPED).dropDuplicates(["team", "doc_id"]), "teams")
     more = team_links(teams, known, p)
     final = components(groups.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionByName(more))
     return (sizes.select("doc_id", F.col("n").alias("n_shingles"))

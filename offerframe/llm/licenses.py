@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import id_text, text_slices
+from .common import id_text, lean, text_slices
 
 # Phrases of the base and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -71,7 +71,6 @@ class Params:
     phrases: tuple = PHRASES
     percent: int = 90         # containment threshold, in hundredths
     window: int = 256         # words of a window of a long line
-    vocabulary: int = 100_000  # template words, at most
 
 
 def words_of(text: str) -> list[str]:
@@ -90,8 +89,6 @@ class Vocabulary:
 
     def __init__(self, p: Params):
         words = sorted({w for _, t in p.templates for w in words_of(t)} | {w for t, _ in p.phrases for w in words_of(t)})
-        if len(words) > p.vocabulary:
-            raise ValueError(f"more than {p.vocabulary} template words")
         hashes = hash_words(words)
         order = np.argsort(hashes)
         self.words, self.hashes = [words[i] for i in order], hashes[order]
@@ -121,7 +118,7 @@ def word_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
                 total += np.bincount(ids[ids >= 0], minlength=len(total))
         yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total)], names=["word", "n"])
 
-    found = (docs.select("text").mapInArrow(count, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    found = (docs.select("text").mapInArrow(lean(count), "word int, n long").groupBy("word").agg(F.sum("n").alias("n")))
     out = np.zeros(len(vocabulary.hashes), np.int64)
     for r in found.toLocalIterator():  # one row per template word
         out[r["word"]] = r["n"]
@@ -284,4 +281,4 @@ def scan_licenses(docs: DataFrame, params: Params = Params(), id_col: str = "doc
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id")] + [pa.array(c, f.type) for c, f in zip(columns, list(_TYPES)[1:])], schema=_TYPES)
 
-    return rows.mapInArrow(run, _DDL)
+    return rows.mapInArrow(lean(run), _DDL)

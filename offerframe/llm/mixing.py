@@ -23,7 +23,11 @@ DataFrame functions only.  Tokens are words [^\\x20\\x09-\\x0D]+.
 Defined results: documents without tokens (empty or NULL text) are never
 selected; NULL language or source count as ''; a node without a weight has
 weight 1, a weight of 0 excludes its leaves; copies of one doc_id share their
-place in the order and are taken or left together.  Other columns are not read.
+place in the order and are taken or left together (copies in another leaf are
+chosen there on their own).  Other columns are not read.
+
+A leaf's prefix ends at the first document that does not fit, so a leaf stays below
+its quota by less than that one document; this rest is not passed on.
 """
 
 from __future__ import annotations
@@ -136,8 +140,17 @@ def mixed(docs: DataFrame, p: Params = Params(max_epochs=1), id_col: str = "doc_
     """The rows of `docs`, all columns, that a mixture without repeats selects."""
     if p.max_epochs != 1:
         raise ValueError("a filter cannot repeat documents: use mix()")
-    chosen = mix(docs, p, id_col, **columns).select(F.col("doc_id").alias("_chosen")).distinct()
-    return docs.join(chosen, docs[id_col].eqNullSafe(chosen["_chosen"]), "left_semi")
+    # Rows of one leaf with one id are taken or left together, so leaf and id name what is chosen; rows without
+    # tokens are in no leaf.
+    names = {"text_col": "text", "lang_col": "lang", "source_col": "source", "domain": None, **columns}
+    chosen = mix(docs, p, id_col, **columns).select(F.col("doc_id").alias("_id"), *[F.col(c).alias(f"_{c}") for c in LEVELS]).distinct()
+    source = F.coalesce(docs[names["source_col"]].cast("string"), F.lit(""))
+    own = {"_lang": F.coalesce(docs[names["lang_col"]].cast("string"), F.lit("")), "_source": source,
+           "_domain": names["domain"] if names["domain"] is not None else domain_of(source)}
+    same = docs[id_col].cast("long").eqNullSafe(chosen["_id"])
+    for name, value in own.items():
+        same = same & value.eqNullSafe(chosen[name])
+    return docs.where(docs[names["text_col"]].cast("string").rlike(_WORD)).join(chosen, same, "left_semi")
 
 
 def oracle_sql(p: Params) -> str:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.rank import rank_within
-from .common import id_text, written
+from .common import drops_white_space, id_text, lean, written
 
 _REMEMBERED = 200_000
 
@@ -78,9 +78,10 @@ _WORD = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,!?;:#
 class WordCoder:
     """Text -> its token ids as little-endian 32-bit bytes.
 
-    The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its chunks one after the other; each chunk is encoded once
-    while it is remembered.  In a chunk of plain letters followed by marks the
+    A tokenizer that drops white space and never joins across it (`drops_white_space`
+    reads that from its definition) gives a text the ids of its chunks one after
+    the other; each chunk is encoded once while it is remembered.  Texts of any
+    other tokenizer are encoded whole.  In a chunk of plain letters followed by marks the
     tokenizer's own splitting parts the two, and its model is asked directly
     for the lower-cased word; all other chunks go through the whole tokenizer.
     """
@@ -95,7 +96,7 @@ class WordCoder:
         self.words = Remembered(self.word, _REMEMBERED)
         self.marks = Remembered(self.whole, 1000)
         self.chunks = Remembered(self.chunk, _REMEMBERED)
-        self.direct = "word_bpe_49k" in vocabulary  # the splitting above is that vocabulary's
+        self.apart = drops_white_space(self.coder)  # else a text is encoded as a whole
 
     def whole(self, chunk: str) -> bytes:
         return np.array(self.coder.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes() if chunk else b""
@@ -105,20 +106,28 @@ class WordCoder:
         return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
 
     def chunk(self, chunk: str) -> bytes:
-        parts = _WORD.fullmatch(chunk) if self.direct and len(chunk) < 100 else None
+        parts = _WORD.fullmatch(chunk) if len(chunk) < 100 else None
         if parts is None:
             return self.whole(chunk)
         word, marks = parts.groups()
         coded = self.words[word.lower()]
         return coded + self.marks[marks] if marks else coded
 
+    def forget(self) -> None:
+        """Give up what is remembered (at the end of a task: a waiting worker holds the tokenizer alone)."""
+        for held in (self.words, self.marks, self.chunks):
+            held.clear()
+            held.old = {}
+
     def text(self, text: str) -> bytes:
+        if not self.apart:
+            return self.whole(text)
         return b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 @lru_cache(1)
 def word_coder(vocabulary: str) -> WordCoder:
-    """One per Python worker, so that words stay remembered from task to task."""
+    """One per Python worker: the tokenizer's file is read once."""
     return WordCoder(vocabulary)
 
 
@@ -142,9 +151,10 @@ def pieces(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", t
                     out.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part), part)[:len(types)])
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out), types)], schema=schema)
+        coder.forget()
 
     ddl = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if params.keep_ids else "")
-    return id_text(docs, id_col, text_col).mapInArrow(run, ddl)
+    return id_text(docs, id_col, text_col).mapInArrow(lean(run), ddl)
 
 
 def plan(histogram: dict[int, int], capacity: int) -> tuple[np.ndarray, int]:
@@ -242,7 +252,7 @@ def pack(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", tex
 
     ddl = ("doc_id long, piece int, start long, length long, ids_crc32 long, " + ("row long, " if params.keep_ids else "")
            + "sequence_id long, offset long")
-    placed = ranked.select(*names, "rank").mapInArrow(look_up, ddl)
+    placed = ranked.select(*names, "rank").mapInArrow(lean(look_up), ddl)
     if not params.keep_ids:
         return placed
     return placed.join(cut.select("row", "ids"), "row").drop("row")

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import id_text, text_slices
+from .common import id_text, lean, text_slices
 
 
 @dataclass(frozen=True)
@@ -162,7 +162,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, p: Params,
                              pa.binary())], schema=_COUNTED)
 
     rows = []
-    for r in sample.select("label", "text").mapInArrow(count, "label int, buckets binary, counts binary").toLocalIterator():
+    for r in sample.select("label", "text").mapInArrow(lean(count), "label int, buckets binary, counts binary").toLocalIterator():
         b = np.frombuffer(r["buckets"], np.int32)
         wide = len(r["counts"]) == 4 * len(b)
         rows.append((b, np.frombuffer(r["counts"], np.uint32 if wide else np.uint16), r["label"]))
@@ -179,7 +179,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, usable: Column | None = No
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score(batch.column("text")))], schema=_SCORED)
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+    return id_text(docs, id_col, text_col).mapInArrow(lean(run), "doc_id long, score double")
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float, usable: Column | None = None,
@@ -193,7 +193,7 @@ def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float, usable: C
         for batch in batches:
             yield batch.filter(pa.array(score(batch.column(at)) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def _scorer(docs, labels, usable, params, id_col, text_col, label_col):

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ..operators.rank import rank_within
 from . import textvec as tv
-from .common import id_text, ship, text_slices, written
+from .common import id_text, lean, ship, text_slices, written
 
 
 @dataclass(frozen=True)
@@ -120,7 +120,7 @@ def bucket_counts(texts: DataFrame, p: Params) -> np.ndarray:
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["bucket", "n"])
 
-    sums = texts.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    sums = texts.select("text").mapInArrow(lean(run), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     out = np.zeros(p.buckets, np.int64)
     for r in sums.collect():  # one row per bucket
         out[r["bucket"]] = r["n"]
@@ -149,7 +149,7 @@ def weights(docs: DataFrame, gain: np.ndarray, p: Params) -> DataFrame:
                      pa.array(np.bincount(text, minlength=b - a).astype(np.int64)), pa.array(weight)],
                     names=["doc_id", "n_words", "n_features", "weight"])
 
-    return docs.mapInArrow(run, "doc_id long, n_words long, n_features long, weight long")
+    return docs.mapInArrow(lean(run), "doc_id long, n_words long, n_features long, weight long")
 
 
 def noise(p: Params):
@@ -234,7 +234,7 @@ def cutoff(keyed: DataFrame, wanted: int, p: Params) -> tuple | None:
     low = high = pivot = None
     table_rows = None
     while True:
-        sides = keyed.mapInArrow(_sides(low, high, pivot), _SIDE).collect()  # two rows per partition at most
+        sides = keyed.mapInArrow(lean(_sides(low, high, pivot)), _SIDE).collect()  # two rows per partition at most
         found = [[(r["n"], (r["k1"], r["k2"], r["k3"])) for r in sides if r["side"] == s] for s in (0, 1)]
         left, right = (sum(n for n, _ in f) for f in found)
         if wanted > left + right:

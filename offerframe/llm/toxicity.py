@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import id_text, text_slices
+from .common import id_text, lean, text_slices
 
 
 @dataclass(frozen=True)
@@ -170,7 +170,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, p: Params,
                 yield pa.RecordBatch.from_arrays([pa.array(label[a:b], pa.int32()), pa.array(got, pa.binary())],
                                                  names=["label", "terms"])
 
-    found = sample.select("label", "text").mapInArrow(collect_terms, "label int, terms binary").toLocalIterator()
+    found = sample.select("label", "text").mapInArrow(lean(collect_terms), "label int, terms binary").toLocalIterator()
     rows = [(np.frombuffer(r["terms"], np.int32), r["label"]) for r in found]
     rows.sort(key=lambda r: (len(r[0]), r[0].tobytes(), r[1]))  # the order of arrival must not matter
     return rows
@@ -191,4 +191,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = N
                 scores[a:b] = score_slice(data, offs, model, params)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], schema=_SCORED)
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+    return id_text(docs, id_col, text_col).mapInArrow(lean(run), "doc_id long, score double")

@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import lean, written
 
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 _NODE_BYTES = 400  # what a node costs besides its label
@@ -271,11 +271,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     rows = docs.select(row.alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"))
-    parts = written(rows.mapInArrow(_map_side(params), _PART), "trie")
+    parts = written(rows.mapInArrow(lean(_map_side(params)), _PART), "trie")
     owners = (parts.where("key IS NOT NULL")
               .select("rep", "n", "points", "best_doc", "best_row", "key", "length", "hash")
               .repartition("length", "hash").drop("length", "hash")
-              .mapInArrow(_reduce_side(params), "rep long, keep_id long, keep_row long, group_size long"))
+              .mapInArrow(lean(_reduce_side(params)), "rep long, keep_id long, keep_row long, group_size long"))
     members = parts.where("row IS NOT NULL").select("rep", "row", "doc_id", "sha")
     return (members.join(owners, "rep")
             .select("row", "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),

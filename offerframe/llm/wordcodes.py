@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, text_bytes
+from .common import drops_white_space, lean, ship, text_bytes
 from .resample import crc_on
 
 _SPACES = np.zeros(256, bool)
@@ -283,18 +283,20 @@ def encode(docs: DataFrame, params: Params = Params(), text_col: str = "text", k
 
     ship(docs.sparkSession)
     p = params
+    if not drops_white_space(tokenizer(p.vocabulary)):
+        raise ValueError("this tokenizer joins across white space: its words cannot be encoded apart")
     names = [f"k{i}" for i in range(len(keep))]
     rows = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)],
                        F.lit(None).cast("boolean").alias("_row"),  # a block without kept columns still has its rows
                        F.col(text_col).cast("string").cast("binary").alias("_text"))
     heads = rows.drop("_text")
     narrow = tokenizer(p.vocabulary).get_vocab_size(with_added_tokens=True) <= 1 << 16
-    blocks = rows.mapInArrow(_to_blocks(heads.columns, _buckets(docs, p), p), _ROWS)
+    blocks = rows.mapInArrow(lean(_to_blocks(heads.columns, _buckets(docs, p), p)), _ROWS)
     coded = (blocks.repartition("dest").sortWithinPartitions("bucket", "block")
-             .mapInArrow(lambda batches: encode_words(batches, tokenizer(p.vocabulary)), "block long, bucket int, head binary, data binary"))
+             .mapInArrow(lean(lambda batches: encode_words(batches, tokenizer(p.vocabulary))), "block long, bucket int, head binary, data binary"))
     ddl = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in heads.schema.fields] + ["ids array<int>"])
     back = (coded.repartition("block").sortWithinPartitions("block", "bucket")
-            .mapInArrow(_assemble(to_arrow_schema(heads.schema), narrow), ddl))
+            .mapInArrow(lean(_assemble(to_arrow_schema(heads.schema), narrow)), ddl))
     return back.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], F.col("ids").alias(ids_col))
 
 
@@ -334,5 +336,5 @@ def decode(encoded: DataFrame, params: Params = Params(), ids_col: str = "ids",
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*names, "_out"])
 
     ddl = ", ".join([f"{n} {rows.schema[n].dataType.simpleString()}" for n in names] + ["_out string"])
-    out = rows.mapInArrow(run, ddl)
+    out = rows.mapInArrow(lean(run), ddl)
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], F.col("_out").alias(text_col))

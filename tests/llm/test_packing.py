@@ -57,6 +57,18 @@ def test_word_coder_equals_the_tokenizer():
         assert np.frombuffer(coder.text(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_tokenizers_are_known_by_their_contents(tmp_path):
+    """Another tokenizer under the known name, and the known one under another name."""
+    for source, apart in (("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)):
+        path = f"{tmp_path}/{'word_bpe_49k.json' if not apart else 'other.json'}"
+        tokenizer = Tokenizer.from_file(public_tokenizers.path(source))
+        tokenizer.save(path)
+        coder = packing.WordCoder(path)
+        assert coder.apart is apart
+        for text in ("Two  words, and\nmore", " leading", ""):
+            assert np.frombuffer(coder.text(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_remembered_is_bounded_and_right():
     memory = packing.Remembered(lambda k: k * 2, 5)
     assert [memory[i % 13] for i in range(200)] == [(i % 13) * 2 for i in range(200)]

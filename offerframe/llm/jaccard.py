@@ -598,7 +598,8 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), id_col: str = "d
             .withColumn("comp", F.coalesce("comp", "doc_id")))
     blocks = _blocks(rows.where("n > 0"), p).repartition("block").sortWithinPartitions("block")
     teams = written(blocks.mapInArrow(lean(_block_groups(p)), _GROUPED).dropDuplicates(["team", "doc_id"]), "teams")
-    more = team_links(teams, known, p)
+    # Written before the next step in Python: two such steps in one stage would need twice the workers.
+    more = written(team_links(teams, known, p), "links")
     final = components(groups.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionByName(more))
     return (sizes.select("doc_id", F.col("n").alias("n_shingles"))
             .join(final.select(F.col("id").alias("doc_id"), "component_id"), "doc_id", "left")

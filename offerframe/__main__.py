@@ -51,7 +51,6 @@ def main(argv: list[str] | None = None) -> dict:
     ld.add_argument("--map", required=True)
     ld.add_argument("--table", required=True)
     ld.add_argument("--policy", default="fill_unknown", choices=["fill_unknown", "conditional"])
-    ld.add_argument("--layout", default=None, choices=["lines", "object"], help="found from the file if not given")
     an = sub.add_parser("analyse", help="counts, price box plots, completeness")
     an.add_argument("--table", required=True)
     an.add_argument("--out", required=True)
@@ -96,8 +95,7 @@ def main(argv: list[str] | None = None) -> dict:
                                   args.table, args.quarantine, bucketed=bucketed)
         result = {"map": out["map"], "version": out["version"], "counts": out["counts"], "parsed": out["parsed"]}
     elif args.cmd == "load":
-        version = jobs.load_offer_map(spark, args.map, args.table, args.policy, args.layout,
-                                      bucketed=bucketed)
+        version = jobs.load_offer_map(spark, args.map, args.table, args.policy, bucketed=bucketed)
         rejects = jobs.rejects_path(args.table, version)
         result = {"version": version, "rejects": rejects, "rejected": spark.read.parquet(rejects).count()}
     elif args.cmd == "analyse":

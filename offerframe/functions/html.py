@@ -6,14 +6,11 @@ regular expressions that run inside the JVM (`regexp_replace`,
 inside the subset shared by Java regex and RE2 (no look-around, no
 back-references) so the same text also runs in an SQL oracle.
 
-A selector with a child or a path first cuts the anchor element's own body
-(counting nested elements of the same name) and searches only there.
-
-Known limits of the approximation (tested in tests/test_html.py):
-* the body of a childless selector, and of a child, ends at the first closing
-  tag of the same name, so a nested element of that name cuts it short;
-* a `>` inside an attribute value ends the tag; an element that is never closed
-  reaches to the end of the page;
+Selectors of the site rules are answered from a page's elements
+(`operators.elements`).  The one-pattern form here (`select_inner`) serves where a
+tag name alone is asked for; its limits (tested in tests/test_html.py):
+* the body ends at the first closing tag of the same name, so a nested element
+  of that name cuts it short, and a `>` inside an attribute value ends the tag;
 * an unclosed `<script>` / `<style>` is kept as text;
 * text is the markup's text, not the browser's rendered text.
 """
@@ -118,8 +115,10 @@ class Selector:
     child       optional child tag whose text is wanted
     nth         1-based position of `child` (or of the element)
     text_prefix element text must start with this (tags may split it)
-    path        steps (tag, position) from the element down to the one wanted,
-                each the n-th child element of that name
+    path        steps (tag, position) from the element down to the one wanted, each to
+                the n-th child element of that name, or to any (position None)
+
+    `child` is any descendant; a single step of `path` is a child of the element.
     """
 
     tag: str
@@ -127,7 +126,7 @@ class Selector:
     child: str | None = None
     nth: int = 1
     text_prefix: str | None = None
-    path: tuple[tuple[str, int], ...] = field(default_factory=tuple)
+    path: tuple[tuple[str, int | None], ...] = field(default_factory=tuple)
 
 
 def _open_tag(tag: str, attrs=()) -> str:
@@ -155,141 +154,20 @@ def element_pattern(sel: Selector) -> str:
     return f"(?is){skip}{_open_tag(sel.tag, sel.attrs)}(.*?){_close_tag(sel.tag)}"
 
 
-def child_pattern(tag: str) -> str:
-    return f"(?is){_open_tag(tag)}(.*?){_close_tag(tag)}"
-
-
-def _bound(value: Column, use) -> Column:
-    """`use(value)` with the costly `value` computed once (a lambda's variable)."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
-def _joined(pieces: Column, tags: Column, first: Column, last: Column) -> Column:
-    """Markup from piece `first` to piece `last`: pieces and the tags between them."""
-    return F.array_join(F.transform(
-        F.sequence(first, last),
-        lambda i: F.concat(F.get(pieces, i), F.when(i < last, F.get(tags, i)).otherwise(F.lit("")))), "")
-
-
-def own_body(clean: Column, sel: Selector) -> Column:
-    """Inner markup of the first element with the selector's tag and
-    attributes, up to the closing tag that is its own; NULL when absent."""
-    name = "([a-zA-Z][a-zA-Z0-9]*)" if sel.tag == "*" else f"({regex_escape(sel.tag)})"
-    rest = F.regexp_extract_all(clean, F.lit("(?is)" + _open_tag(sel.tag, sel.attrs).replace(
-        "<[a-zA-Z][a-zA-Z0-9]*" if sel.tag == "*" else f"<{regex_escape(sel.tag)}", "<" + name, 1) + "(.*)"), F.lit(2))
-    tag = (F.regexp_extract(clean, "(?is)" + _open_tag(sel.tag, sel.attrs).replace(
-        "<[a-zA-Z][a-zA-Z0-9]*", "<" + name, 1), 1) if sel.tag == "*" else F.lit(regex_escape(sel.tag)))
-
-    def cut(s: Column) -> Column:
-        mark = F.concat(F.lit("(?is)</?"), s["tag"], F.lit("(?:[ \\t\\r\\n/][^>]*)?>"))
-        return _bound(F.struct(F.split(s["rest"], mark).alias("pieces"),
-                               F.regexp_extract_all(s["rest"], mark, F.lit(0)).alias("tags")), first_close)
-
-    def first_close(s: Column) -> Column:
-        step = lambda t: F.when(t.startswith("</"), -1).when(t.endswith("/>"), 0).otherwise(1)
-        end = F.aggregate(
-            s["tags"], F.struct(F.lit(0).alias("depth"), F.lit(0).alias("i"), F.lit(-1).alias("end")),
-            lambda a, t: F.struct(
-                (a["depth"] + step(t)).alias("depth"), (a["i"] + 1).alias("i"),
-                F.when((a["end"] < 0) & (a["depth"] + step(t) < 0), a["i"]).otherwise(a["end"]).alias("end")))["end"]
-        return _bound(end, lambda e: _joined(s["pieces"], s["tags"], F.lit(0),
-                                             F.when(e < 0, F.size(s["tags"])).otherwise(e)))
-
-    found = _bound(F.struct(tag.alias("tag"), F.get(rest, F.lit(0)).alias("rest")),
-                   lambda s: F.when(s["rest"].isNotNull(), cut(s)))
-    return found
-
-
 # --- fixed values: elements that have no closing tag --------------------------
 VOID_ELEMENTS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
-_TAG = r"(?is)<(/?[a-zA-Z][a-zA-Z0-9]*)(?:[ \t\r\n/][^>]*)?>"
-
-
-def path_body(body: Column, path: tuple[tuple[str, int], ...]) -> Column:
-    """Inner markup of the element a path of (tag, position) leads to, each
-    step to the n-th child element of that name; NULL when absent.
-
-    One walk over the tags: `step` counts the steps taken, `depth` the open
-    elements, so a child of the element reached lies at depth == step; leaving
-    that element before its step is found ends the search."""
-    void = F.lit("(?i)^<(?:" + "|".join(VOID_ELEMENTS) + r")[ \t\r\n/>]")
-    names, nths = F.array(*[F.lit(t.lower()) for t, _ in path]), F.array(*[F.lit(n) for _, n in path])
-    last = len(path)
-
-    def walk(a: Column, t: Column) -> Column:
-        close = t.startswith("</")
-        skip = F.rlike(t, void) | t.endswith("/>") | (close & (a["depth"] == 0))
-        hit = (~close & ~skip & (a["depth"] == a["step"])
-               & F.coalesce(F.get(names, a["step"]) == F.lower(F.regexp_extract(t, _TAG, 1)), F.lit(False)))
-        taken = hit & (a["seen"] + 1 == F.get(nths, a["step"]))
-        depth = F.when(skip, a["depth"]).when(close, a["depth"] - 1).otherwise(a["depth"] + 1)
-        left = close & ~skip & (a["begin"] < 0) & (a["depth"] <= a["step"])
-        return F.struct(
-            depth.alias("depth"), (a["i"] + 1).alias("i"),
-            F.when(taken, 0).when(hit, a["seen"] + 1).otherwise(a["seen"]).alias("seen"),
-            F.when(taken, a["step"] + 1).when(left, last + 1).otherwise(a["step"]).alias("step"),
-            F.when(taken & (a["step"] == last - 1), a["i"]).otherwise(a["begin"]).alias("begin"),
-            F.when((a["begin"] >= 0) & (a["end"] < 0) & close & (a["depth"] == last), a["i"]).otherwise(a["end"]).alias("end"))
-
-    def pick(s: Column) -> Column:
-        zero = F.struct(*[F.lit(v).alias(n) for n, v in (("depth", 0), ("i", 0), ("seen", 0), ("step", 0), ("begin", -1), ("end", -1))])
-        return _bound(F.aggregate(s["tags"], zero, walk), lambda a: F.when(a["begin"] >= 0, _joined(
-            s["pieces"], s["tags"], a["begin"] + 1, F.when(a["end"] < 0, F.size(s["tags"])).otherwise(a["end"]))))
-
-    return _bound(body, lambda b: _bound(F.struct(
-        F.split(b, _TAG).alias("pieces"), F.regexp_extract_all(b, F.lit(_TAG), F.lit(0)).alias("tags")), pick))
-
-
-def _bodies(clean: Column, sel: Selector) -> Column:
-    """Inner markup of every element of the selector's shape, in page order
-    (the text prefix is not checked here)."""
-    if sel.child is None:
-        pat = f"(?is){_open_tag(sel.tag, sel.attrs)}(.*?){_close_tag(sel.tag)}"
-        return F.regexp_extract_all(clean, F.lit(pat), F.lit(1))
-    return F.regexp_extract_all(own_body(clean, sel), F.lit(child_pattern(sel.child)), F.lit(1))
-
-
-def _prefixed(clean: Column, sel: Selector) -> Column:
-    """Bodies whose element text starts with the selector's text prefix.
-
-    Done with an array filter rather than a regex: the regex form needs a
-    repeated group to skip leading tags and spaces, and Java regex recurses
-    once per repetition -- a junk page with tens of thousands of spaces
-    there would overflow the stack and fail the task on every retry.
-    """
-    prefix = sel.text_prefix
-    return F.filter(_bodies(clean, sel),
-                    lambda b: F.coalesce(element_text(b), F.lit("")).startswith(prefix))
 
 
 def select_inner(clean: Column, sel: Selector) -> Column:
-    """Inner markup of the first element the selector matches ('' if none).
+    """Inner markup of the first element with the selector's tag and attributes ('' if none).
 
     One scan of the (large) cleaned page.  Keep the result in its own
     column before deriving text from it: `element_text` refers to its input
     twice, and a column reference is what stops the scan being repeated.
-    With a text prefix, `nth` counts the elements whose text has it.
     """
-    if sel.path:
-        return F.coalesce(path_body(own_body(clean, sel), sel.path), F.lit(""))
-    if sel.text_prefix is not None:
-        return F.coalesce(F.try_element_at(_prefixed(clean, sel), F.lit(sel.nth)), F.lit(""))
-    if sel.child is not None:
-        return F.coalesce(F.get(_bodies(clean, sel), F.lit(sel.nth - 1)), F.lit(""))
     return F.regexp_extract(clean, element_pattern(sel), 1)
 
 
-def select_found(clean: Column, sel: Selector) -> Column:
-    """Whether the selector matches at all."""
-    if sel.text_prefix is not None:
-        return F.size(_prefixed(clean, sel)) >= sel.nth
-    if sel.path:
-        return path_body(own_body(clean, sel), sel.path).isNotNull()
-    if sel.child is not None:
-        return F.coalesce(F.size(_bodies(clean, sel)) >= sel.nth, F.lit(False))
-    return clean.rlike(element_pattern(sel))
-
-
 def select_text(clean: Column, sel: Selector) -> Column:
     """Text of the first selected element, NULL when absent or empty.
 

@@ -1,8 +1,8 @@
 """Offer extraction from stored pages (P4-P13) with a quarantine.
 
-One projection over the page rows: clean the markup once, decide the page
+One chain over the page rows: number the page's elements once, decide the page
 state, route the URL to a site profile and pull the fields with the
-profile's selectors.  Every input page yields exactly one row: a record
+profile's selectors from the elements (`operators.elements`).  Every input page yields exactly one row: a record
 (`reason` NULL) or a quarantined row with its reason.  Nothing here
 shuffles; `html` is dropped as soon as the fields are out.
 
@@ -17,10 +17,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import Selector, clean_html, element_text, select_inner
+from ..functions.html import Selector
 from ..functions.text import split_after, website_from_url
 from ..profiles import PageRules
 from ..schema import ACTIVE_NO, NOT_FOUND, OFFER_COLUMNS, UNKNOWN
+from ..session import shared_dir
+from . import bloom
+from .elements import ELEMENT, ELEMENTS, fragment_text, select_element, with_elements
 from .merge import latest_per_key
 from .status import is_dead, is_expired, page_state
 
@@ -42,15 +45,15 @@ def route(url: Column, rules: PageRules) -> Column:
     return out if out is not None else F.lit(None).cast("string")
 
 
-def _by_site(site: Column, rules: PageRules, name: str, make) -> Column:
+def _by_site(site: Column, rules: PageRules, name: str, make, kind="string") -> Column:
     """CASE over the routed site: the value `make(rule)` of that site's rule
     for field `name` (NULL when the site has none)."""
     out = None
     for p in rules.profiles:
         rule = next((f for f in p.fields if f.name == name), None)
-        expr = make(rule) if rule is not None else F.lit(None).cast("string")
+        expr = make(rule) if rule is not None else F.lit(None).cast(kind)
         out = F.when(site == p.site, expr) if out is None else out.when(site == p.site, expr)
-    return out if out is not None else F.lit(None).cast("string")
+    return out if out is not None else F.lit(None).cast(kind)
 
 
 def parse_pages(pages: DataFrame, rules: PageRules, category: Column | None = None,
@@ -58,24 +61,22 @@ def parse_pages(pages: DataFrame, rules: PageRules, category: Column | None = No
     """(keep..., url, category, website, offer_id, price, offer_title,
     location, active, status, reason).
 
-    Staged projections: each regex over the page runs once per row, and a
-    field's regex runs only for the site the URL routes to and only on a
-    live page (CollapseProject keeps a costly column that is used twice in
-    its own projection instead of inlining it twice).
+    Staged projections: the page's elements are numbered once, and a field's
+    selector runs only for the site the URL routes to and only on a live page.
     """
     category = category if category is not None else F.lit(UNKNOWN)
     keep = list(keep)
-    s1 = pages.select(
-        *keep, "url", category.alias("category"),
-        clean_html(F.col(html_col)).alias("_clean"),
-        (F.col(html_col).isNull() | (F.trim(F.col(html_col)) == "")).alias("_empty"))
+    pages = pages.select(*keep, "url", category.alias("category"), F.col(html_col).alias("_html"))
+    els, html = F.col(ELEMENTS), F.col("_html")
+    s1 = with_elements(pages, "_html")
     s2 = s1.select(
         "*",
+        (html.isNull() | (F.trim(html) == "")).alias("_empty"),
         website_from_url(F.col("url"), rules.tld_token).alias("website"),
-        select_inner(F.col("_clean"), Selector("title")).alias("_title_raw"),
-        is_expired(F.col("_clean"), rules.expired).alias("_expired"),
+        select_element(els, html, Selector("title")).alias("_title_el"),
+        is_expired(els, html, rules.expired).alias("_expired"),
         route(F.col("url"), rules).alias("_site"))
-    s3 = s2.select("*", element_text(F.col("_title_raw")).alias("_title")).drop("_title_raw")
+    s3 = s2.select("*", fragment_text(html, F.col("_title_el")).alias("_title")).drop("_title_el")
     status = page_state(is_dead(F.col("_title"), rules.dead_title_markers), F.col("_expired"))
     reason = (F.when(F.col("_empty"), F.lit(EMPTY_PAGE))
                .when(F.col("website").isNull(), F.lit(NO_WEBSITE))
@@ -87,10 +88,10 @@ def parse_pages(pages: DataFrame, rules: PageRules, category: Column | None = No
 
     site, live = F.col("_site"), F.col("_live")
     s4 = s3.select("*", *[
-        F.when(live, _by_site(site, rules, n, lambda r: select_inner(F.col("_clean"), r.selector)))
-         .alias(f"_raw_{n}") for n in FIELDS]).drop("_clean")
-    s5 = s4.select("*", *[element_text(F.col(f"_raw_{n}")).alias(f"_txt_{n}") for n in FIELDS])
-    s5 = s5.drop(*[f"_raw_{n}" for n in FIELDS])
+        F.when(live, _by_site(site, rules, n, lambda r: select_element(els, html, r.selector), ELEMENT))
+         .alias(f"_el_{n}") for n in FIELDS]).drop(ELEMENTS)
+    s5 = s4.select("*", *[fragment_text(html, F.col(f"_el_{n}")).alias(f"_txt_{n}") for n in FIELDS])
+    s5 = s5.drop("_html", *[f"_el_{n}" for n in FIELDS])
 
     def piece(n):
         txt = F.col(f"_txt_{n}")
@@ -132,22 +133,21 @@ def quarantine_only(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("reason").isNotNull()).select("url", "reason")
 
 
-# Most wanted pages (url and id, about 150 bytes each) that are sent to every task.
-WANTED_LIMIT = 500_000
-
-
-def wanted_pages(links: DataFrame, pages: DataFrame, limit: int = WANTED_LIMIT) -> DataFrame:
-    """The pages worth parsing: of each url in the map the latest stored one.
+def wanted_pages(links: DataFrame, pages: DataFrame, params: bloom.Params = bloom.Params()) -> DataFrame:
+    """The pages worth parsing: of each url in the map the latest stored one, and few others.
 
-    Their list comes from narrow columns.  Up to `limit` of them it is sent to
-    the scan, and nothing else is parsed; a longer one would not fit there, and
-    then all pages are parsed where they lie rather than moved: the join of the
-    parsed records in `offer_pages` gives the same result."""
-    wanted = (pages.select("url", "page_id").join(links.select("url").distinct(), "url", "left_semi")
-              .groupBy("url").agg(F.max("page_id").alias("page_id")))
-    if wanted.limit(limit + 1).count() > limit:
-        return pages
-    return pages.join(F.broadcast(wanted), ["url", "page_id"], "left_semi")
+    Their keys come from narrow columns, are written once and counted; a Bloom
+    filter of that size goes to the scan, whatever their number, and pages are
+    probed where they lie, before anything is done with their html.  The join of
+    the parsed records in `offer_pages` is exact."""
+    spark = pages.sparkSession
+    keys = (pages.select("url", "page_id").join(links.select("url").distinct(), "url", "left_semi")
+            .groupBy("url").agg(F.max("page_id").alias("page_id")))
+    path = shared_dir(spark, "wanted-pages")
+    keys.write.parquet(path)
+    keys = spark.read.schema(keys.schema).parquet(path)
+    blocks = bloom.blocks_for(keys.count(), params)
+    return bloom.probe(pages, ["url", "page_id"], bloom.build(keys, ["url", "page_id"], blocks), blocks)
 
 
 def offer_pages(links: DataFrame, pages: DataFrame, rules: PageRules) -> DataFrame:
@@ -155,13 +155,15 @@ def offer_pages(links: DataFrame, pages: DataFrame, rules: PageRules) -> DataFra
     (narrow output, no `html` in any shuffle), then join the narrow records
     to the link map on url.  Links without a stored page are quarantined as
     `page missing`; pages that are not in the map are not returned; of a
-    URL stored several times the latest page (greatest `page_id`) counts."""
-    parsed = parse_pages(wanted_pages(links, pages.select("page_id", "url", "html")), rules, keep=("page_id",))
+    URL stored several times the latest page (greatest `page_id`, of equal ones
+    the greatest hash of the html) counts."""
+    stored = pages.select("page_id", "url", "html", F.xxhash64("html").alias("_copy"))
+    parsed = parse_pages(wanted_pages(links, stored), rules, keep=("page_id", "_copy"))
     parsed = parsed.drop("category")
     # One record per URL (the latest stored page) before the join: a URL
     # stored many times is collapsed map-side, so the join is one-to-one.
-    parsed = latest_per_key(parsed, "url", "page_id",
-                            columns=[c for c in parsed.columns if c != "url"])
+    parsed = latest_per_key(parsed, "url", ["page_id", "_copy"],
+                            columns=[c for c in parsed.columns if c not in ("url", "_copy")])
     joined = links.select("url", F.col("category").alias("_cat")).join(parsed, "url", "left")
     missing = F.col("page_id").isNull()
     ok = F.col("reason").isNull() & ~missing

@@ -4,8 +4,8 @@ Counts are partial aggregates.  Quartiles are exact (linear interpolation,
 the `percentile` / `quantile_cont` definition) but computed without giving
 a whole group to one task: rows are numbered inside their group with the
 range-partitioned `rank_within`, then only the (at most two) rows around
-each quartile position are kept.  `approx_quartiles` is the cheaper sketch
-(`percentile_approx`, bounded memory per group) for exploration.
+each quartile position are kept.  Quartiles from sketches that are kept up to
+date instead of rescanned are in `operators.sketches`.
 """
 
 from __future__ import annotations
@@ -72,34 +72,17 @@ def _quantiles_and_values(df, group_col, value_col, tiebreak, probs, num_partiti
     return g.select(*out), placed.select(group_col, value_col)
 
 
-def approx_quartiles(df: DataFrame, group_col: str, value_col: str,
-                     accuracy: int = 10000) -> DataFrame:
-    probs = [p for _, p in QUARTILES]
-    q = F.percentile_approx(F.col(value_col), probs, accuracy)
-    return (df.filter(F.col(value_col).isNotNull()).groupBy(group_col)
-            .agg(F.count(F.lit(1)).alias("n"), q.alias("_q"))
-            .select(group_col, "n", *[F.col("_q")[i].alias(name)
-                                      for i, (name, _) in enumerate(QUARTILES)]))
-
-
 def boxplot(df: DataFrame, group_col: str, value_col: str, tiebreak: str,
-            digits: int | None = 4, num_partitions: int | None = None,
-            exact: bool = True, accuracy: int = 10000) -> DataFrame:
+            digits: int | None = 4, num_partitions: int | None = None) -> DataFrame:
     """A4: box-plot data per group.
 
     n, q1, median, q3, iqr, whiskers (extreme values inside the 1.5 IQR
     fences), outlier counts below/above.  The quartile table (one row per
     group) is joined to the values once -- AQE broadcasts it when small --
-    and a single partial aggregate yields everything else.  `exact=False`
-    takes the quartiles from the bounded-memory sketch instead of ranking.
+    and a single partial aggregate yields everything else.
     """
     v = F.col(value_col)
-    if exact:
-        q, data = _quantiles_and_values(df, group_col, value_col, tiebreak, QUARTILES,
-                                        num_partitions)
-    else:
-        q = approx_quartiles(df, group_col, value_col, accuracy)
-        data = df.select(group_col, value_col).filter(v.isNotNull())
+    q, data = _quantiles_and_values(df, group_col, value_col, tiebreak, QUARTILES, num_partitions)
     data = data.filter(F.col(group_col).isNotNull())
     iqr = F.col("q3") - F.col("q1")
     lo_fence, hi_fence = F.col("q1") - WHISKER * iqr, F.col("q3") + WHISKER * iqr

@@ -7,8 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import Selector, clean_html, element_text, select_found, select_inner
+from ..functions.html import Selector
 from ..profiles import PageRules
+from .elements import ELEMENTS, fragment_text, has_element, select_element, with_elements
 
 
 def is_dead(title: Column, markers) -> Column:
@@ -19,9 +20,9 @@ def is_dead(title: Column, markers) -> Column:
     return reduce(lambda a, b: a | b, [t.contains(m) for m in markers])
 
 
-def is_expired(clean: Column, notice: Selector) -> Column:
+def is_expired(els: Column, html: Column, notice: Selector) -> Column:
     """The inactive-notice element is present, whatever its text."""
-    return select_found(clean, notice)
+    return has_element(els, html, notice)
 
 
 def page_state(dead: Column, expired: Column) -> Column:
@@ -34,11 +35,10 @@ def page_state(dead: Column, expired: Column) -> Column:
 def classify_pages(pages: DataFrame, rules: PageRules, keep=("page_id", "url"),
                    html_col: str = "html") -> DataFrame:
     """P1-P3 over pages: (keep..., title, is_dead, is_expired, status)."""
-    cleaned = pages.select(*keep, clean_html(F.col(html_col)).alias("_clean"))
-    staged = cleaned.select(
-        *keep,
-        select_inner(F.col("_clean"), Selector("title")).alias("_title_raw"),
-        is_expired(F.col("_clean"), rules.expired).alias("is_expired"))
-    flagged = staged.select(*keep, element_text(F.col("_title_raw")).alias("title"), "is_expired")
+    own = with_elements(pages.select(*keep, F.col(html_col).alias("_html")), "_html")
+    els, html = F.col(ELEMENTS), F.col("_html")
+    staged = own.select(*keep, "_html", select_element(els, html, Selector("title")).alias("_title"),
+                        is_expired(els, html, rules.expired).alias("is_expired"))
+    flagged = staged.select(*keep, fragment_text(html, F.col("_title")).alias("title"), "is_expired")
     flagged = flagged.withColumn("is_dead", is_dead(F.col("title"), rules.dead_title_markers))
     return flagged.withColumn("status", page_state(F.col("is_dead"), F.col("is_expired")))

@@ -16,14 +16,17 @@ from ..functions.codecs import get_bool, put_bool, snapshot_stamp
 from ..functions.html import Selector, clean_html, with_texts
 from ..functions.text import base_of_url, website_from_url
 from ..operators import bands as B
+from ..operators import changes as CH
 from ..operators import extract as X
 from ..operators import links as L
 from ..operators import merge as M
 from ..operators import quality as Q
+from ..operators import sketches as SK
 from ..operators import stats as A
 from ..operators import status as S
 from ..profiles import REFERENCE_LINK_RULES, REFERENCE_PAGE_RULES, SYNTHETIC_LINK_RULES, SYNTHETIC_PAGE_RULES
 from ..session import shared_dir
+from ..sources import buckets as BK
 from ..sources import linkfiles as LF
 from ..sources import offermap as OM
 from ..sources import snapshots as SN
@@ -316,15 +319,102 @@ def _page_files(spark, sf_dir) -> str:
     return folder
 
 
+def _run_page_stream(spark, folder: str, file_glob: str = "pages.parquet", max_files: int | None = None) -> str:
+    """Pages flow in as a file stream, are parsed and upserted batch by
+    batch; returns the table's folder once the stream has drained."""
+    root = shared_dir(spark, "page-stream")
+    query = ingest.ingest_pages(spark, folder.rstrip("/"), f"{root}/table", f"{root}/checkpoint", PAGE_RULES,
+                                lambda html: B.last_band(FX.page_slice(html)), file_glob=file_glob, max_files=max_files)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return f"{root}/table"
+
+
 def stream_offers(spark, sf_dir):
     """M9 over repeated urls, one file at a time: at least three batches."""
-    return ingest.run_page_stream(spark, f"{_page_files(spark, sf_dir)}/*", PAGE_RULES, file_glob="*.parquet",
-                                  max_files=1)[0]
+    return SN.read_snapshot(spark, _run_page_stream(spark, f"{_page_files(spark, sf_dir)}/*", "*.parquet", 1))
 
 
 def stream_quarantine(spark, sf_dir):
     """The pages that gave no offer in the stream, with the reason."""
-    return ingest.run_page_stream(spark, sf_dir, PAGE_RULES)[1]
+    rejects = ingest.rejects_root(_run_page_stream(spark, sf_dir))
+    return spark.read.schema("page_id long, url string, reason string").parquet(rejects).select("page_id", "url", "reason")
+
+
+def stream_counts(spark, sf_dir):
+    """P13 on M9: the counts that the batches of a page stream have stored."""
+    return ingest.stream_counts(spark, _run_page_stream(spark, sf_dir))
+
+
+def _rounds(spark, sf_dir):
+    """The base and two scrape rounds, each as the records of one merge."""
+    updates = FX.record_updates(spark, sf_dir)
+    yield FX.merge_base(spark, sf_dir).withColumn("seq", F.lit(0))
+    yield updates.where("seq = 1")
+    yield updates.where("seq = 2")
+
+
+def _merge_record(rows, records):
+    return M.upsert_overwrite(rows, records, "seq")
+
+
+def upsert_incremental(spark, sf_dir):
+    """M1 in three merges into a bucketed table, each rewriting the buckets it touches."""
+    root = shared_dir(spark, "offers-buckets")
+    for records in _rounds(spark, sf_dir):
+        BK.merge_into(spark, root, records, _merge_record)
+    return SN.read_snapshot(spark, root)
+
+
+def counts_incremental(spark, sf_dir):
+    """A1, A2, A7 after three merges, from the changes of each merge alone."""
+    root = shared_dir(spark, "offers-buckets")
+    counts = spark.createDataFrame([], CH.COUNTS)
+    for k, records in enumerate(_rounds(spark, sf_dir)):
+        merged = BK.merge_into(spark, root, records, _merge_record)
+        changes = CH.count_changes(CH.signed_images(CH.change_feed(merged.before, merged.after)))
+        counts = written(CH.add_counts(counts, changes), f"{root}/_counts/{k}")
+    return counts
+
+
+def price_quartiles_sketch(spark, sf_dir):
+    """A4 from sketches kept through three merges: is every quartile's true rank within 1 % of the wanted one?"""
+    root = shared_dir(spark, "offers-buckets")
+    sketches = spark.createDataFrame([], SK.SKETCHES)
+    for k, records in enumerate(_rounds(spark, sf_dir)):
+        base = BK.touched_base(spark, root, records)
+        merged = BK.write_merged(_merge_record(base.df, records), base)
+        sketches = written(SK.replace_touched(sketches, base.touched, merged.after, base.buckets), f"{root}/_sketches/{k}")
+    errors = SK.rank_errors(SK.quartiles(sketches), SN.read_snapshot(spark, root))
+    # A group of n values has ranks in steps of 1 / n.
+    near = lambda c: F.col(c) <= F.lit(0.01) + F.lit(1.0) / F.col("n")
+    return errors.select("category", "n", *[near(c).alias(f"{c}_near") for c in ("q1", "median", "q3")])
+
+
+def unique_keys(spark, sf_dir):
+    """Rows and repeated urls, seen by the write of the table itself (records of two rounds, not merged)."""
+    rows = FX.merge_base(spark, sf_dir).unionByName(FX.record_updates(spark, sf_dir).drop("seq"))
+    seen = BK.write_rows(rows, f"{shared_dir(spark, 'key-check')}/data", BK.BUCKETS)
+    return spark.createDataFrame([(seen["n_rows"], seen["n_repeated"], seen["first_repeated"])],
+                                 "n_rows long, n_repeated long, first_repeated string")
+
+
+def key_lookup_pruned(spark, sf_dir):
+    """M5 on a bucketed table: files without a key in their range are not read."""
+    root = shared_dir(spark, "offers-buckets")
+    offers = FX.whole_base(spark, sf_dir)
+    BK.merge_into(spark, root, offers, lambda rows, new: new)
+    return BK.lookup(spark, root, FX.lookup_keys(spark, sf_dir))
+
+
+def offer_map_object(spark, sf_dir):
+    """S2 on the original format: indented objects of many entries, in several files, with damaged entries; rows and rejects."""
+    root = shared_dir(spark, "offer-map-object")
+    FX.write_object_maps(spark, sf_dir, root)
+    found = OM.open_offer_map(spark, root)
+    rows = found.rows.select("url", F.col("size_category").alias("category"), "offer_title", F.lit(None).cast("string").alias("raw"))
+    return rows.unionByName(found.rejects.select("raw"), allowMissingColumns=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -364,6 +454,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "offer_map_roundtrip": offer_map_roundtrip,
     "stream_offers": stream_offers,
     "stream_quarantine": stream_quarantine,
+    "stream_counts": stream_counts,
+    "upsert_incremental": upsert_incremental,
+    "counts_incremental": counts_incremental,
+    "unique_keys": unique_keys,
+    "price_quartiles_sketch": price_quartiles_sketch,
+    "key_lookup_pruned": key_lookup_pruned,
+    "offer_map_object": offer_map_object,
     "listing_offers": listing_offers,
     "listing_links": listing_links,
     "extract_job": extract_job,

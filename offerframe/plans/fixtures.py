@@ -171,7 +171,9 @@ def status_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # One listing page per part, in the markup the original tool's rules expect; the
-# part's key chooses the case (see oracle.LISTING_OFFERS for what must come out).
+# part's key chooses the case (see oracle.LISTING_OFFERS for what must come out)
+# and how the markup is written: with a nested element of the wanted name before the
+# wanted child, an unquoted attribute, a `>` inside a value, the child in a second element only.
 _LISTING_URL = """concat(CASE WHEN kind IN (1, 7, 9) THEN 'https://www.otodom.pl/pl/oferta/'
     WHEN kind = 2 THEN 'https://www.other.pl/oferta/' WHEN kind = 3 THEN 'https://olx.pl/d/oferta/'
     ELSE 'https://www.olx.pl/d/oferta/' END, p_partkey, '.html')"""
@@ -184,10 +186,18 @@ _OLX = """concat('<html><head><title>', CASE WHEN kind = 4 THEN 'Archiwalne: ' E
     '</p><p>district</p></div></div><div><p>map</p></div></section></div></div></div></div></div></div></div>',
     CASE kind WHEN 5 THEN '<div data-testid="ad-inactive-msg"><div><h4>gone</h4></div></div>'
               WHEN 8 THEN '<div data-testid="ad-inactive-msg"></div>' ELSE '' END,
-    '<div data-cy="ad_title"><div><span>top</span></div><h4>',
+    CASE p_partkey % 5 WHEN 1 THEN '<div data-cy="ad_title"><div><h4>Old title</h4><div>x</div></div><h4>'
+                       WHEN 2 THEN '<div class=a data-cy=ad_title><div><span>top</span></div><h4>'
+                       ELSE '<div data-cy="ad_title"><div><span>top</span></div><h4>' END,
     CASE WHEN kind = 10 THEN concat('<b>', p_name, '</b> &amp; &quot;', n_name, '&quot; &#243;') ELSE p_name END, '</h4></div>',
-    CASE WHEN kind = 6 THEN '<div data-testid="ad-price-container"><b>ask</b></div>'
-         ELSE concat('<div data-testid="ad-price-container"><div>price</div><h3>', p_size, ' 000 zł</h3></div>') END,
+    CASE WHEN kind = 6 THEN concat('<div data-testid="ad-price-container">',
+                                   CASE WHEN p_partkey % 5 = 1 THEN '<div><h3>1 zł</h3></div>' ELSE '' END, '<b>ask</b></div>')
+         ELSE concat(CASE p_partkey % 5
+             WHEN 1 THEN '<div data-testid="ad-price-container"><div><h3>1 zł</h3></div>'
+             WHEN 2 THEN '<div data-testid=ad-price-container>'
+             WHEN 3 THEN '<div title="a > b" data-testid="ad-price-container"><div>price</div>'
+             WHEN 4 THEN '<div data-testid="ad-price-container"><b>from</b></div><div data-testid="ad-price-container"><div>price</div>'
+             ELSE '<div data-testid="ad-price-container"><div>price</div>' END, '<h3>', p_size, ' 000 zł</h3></div>') END,
     '<div data-testid="ad-footer-bar-section"><span>ID: ', p_partkey, '</span><span>seen</span></div>', '{similar}',
     '</body></html>')""".replace("{similar}", _SIMILAR)
 
@@ -222,6 +232,29 @@ def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(html.replace(" k,", " CAST(p_partkey AS STRING),")).alias("html"))
 
 
+def write_object_maps(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Offer maps in the original format below `root`: per brand and size group one indented JSON object of all its
+    parts, one folder each.  Titles hold braces, quotes, backslashes and line feeds, some values are nested or no
+    object, and the objects of one size group start with a damaged entry."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_brand")
+    part = part.withColumn("title", F.expr(OBJECT_TITLE)).withColumn("url", part_url())
+    entry = F.when(F.col("p_partkey") % 23 == 0, F.concat(F.to_json(F.struct("url")).substr(F.lit(8), F.length("url") + 2), F.lit(": 17"))).otherwise(F.concat(
+        F.lit('"'), "url", F.lit('": {\n        "size_category": "'), (F.col("p_size") * 5).cast("string"),
+        F.when(F.col("p_partkey") % 29 == 0, F.lit('",\n        "extra": {"a": [{"b": "}"}, 1]},\n        "offer_title": ')).otherwise(
+            F.lit('",\n        "offer_title": ')),
+        F.to_json(F.struct("title")).substr(F.lit(10), F.length(F.to_json(F.struct("title"))) - 10), F.lit("\n    }")))
+    groups = (part.withColumn("entry", F.concat(F.lit("\n    "), entry)).groupBy("p_brand", F.expr("p_size % 8").alias("g"))
+              .agg(F.array_sort(F.collect_list(F.struct("p_partkey", "entry"))).alias("e")))
+    damage = F.when(F.col("g") == 3, F.lit('\n    "https://www.cut.pl/d/x": {"size_category": "a\n},')).otherwise(F.lit(""))
+    text = F.concat(F.lit("{"), damage, F.array_join(F.transform("e", lambda x: x["entry"]), ","), F.lit("\n}"))
+    groups.select(text.alias("value"), "p_brand", "g").write.partitionBy("p_brand", "g").option("lineSep", "\n").text(root)
+
+
+# A title's text; as JSON it has escaped quotes, braces and backslashes.
+OBJECT_TITLE = """CASE p_partkey % 5 WHEN 0 THEN concat(p_name, ' {', p_size, '}') WHEN 1 THEN concat('"', p_name, '", "x": {')
+    WHEN 2 THEN concat(p_name, ' ', chr(92), '} ', chr(92)) WHEN 3 THEN concat(p_name, chr(10), '}{') ELSE p_name END"""
+
+
 def lookup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part a line item refers to, as offer URLs."""
     li = table(spark, sf_dir, "lineitem").select("l_partkey")

@@ -19,6 +19,7 @@ from ..operators import merge as M
 from ..operators import quality as Q
 from ..operators import stats as A
 from ..profiles import LinkRules, PageRules
+from ..sources import buckets as BK
 from ..sources import linkfiles as LF
 from ..sources import offermap as OM
 from ..sources import snapshots as SN
@@ -46,16 +47,18 @@ def discover_links(result_pages: DataFrame, rules: LinkRules, out_root: str, sta
     return {"links": list_path, "offers": map_path, "reconcile": check, "stamp": stamp}
 
 
-def _read_table(spark, table_root, bucketed):
+def _base(spark, table_root, records, bucketed):
+    """The rows of the current version that a merge of `records` can touch."""
     if bucketed:
-        return SN.read_bucketed(spark, table_root, bucketed[0])
-    return SN.read_snapshot(spark, table_root)
+        return SN.read_bucketed(spark, table_root, bucketed[0]), None
+    base = BK.touched_base(spark, table_root, records)
+    return base.df, base
 
 
-def _write_table(df, table_root, bucketed):
+def _write(merged, table_root, base, bucketed):
     if bucketed:
-        return SN.write_bucketed(df, table_root, bucketed[0], bucketed[1])
-    return SN.write_snapshot(df, table_root)
+        return SN.write_bucketed(merged, table_root, bucketed[0], bucketed[1])
+    return BK.write_merged(merged, base).version
 
 
 def extract_offers(spark: SparkSession, map_root: str, pages: DataFrame, rules: PageRules,
@@ -65,9 +68,10 @@ def extract_offers(spark: SparkSession, map_root: str, pages: DataFrame, rules:
 
     The parsed frame is written before it is split into offers and
     quarantine (a filter on extracted fields would repeat the cleaning).
-    `bucketed=(name, buckets)` keeps table versions bucketed by url (see
-    `sources.snapshots.write_bucketed`): the upsert then leaves the table
-    where it lies and shuffles only the new records.
+    Only the buckets that the offers fall into are read and rewritten (see
+    `sources.buckets`).  `bucketed=(name, buckets)` keeps table versions as catalog
+    tables bucketed by url instead (`sources.snapshots.write_bucketed`): the
+    upsert then leaves the table where it lies and shuffles only the new records.
     """
     map_path, offer_map = OM.read_newest_offer_map(spark, map_root)
     links = offer_map.select("url", F.col("size_category").alias("category"))
@@ -78,8 +82,8 @@ def extract_offers(spark: SparkSession, map_root: str, pages: DataFrame, rules:
     parsed.observe(counts, *X.parse_metrics()).write.mode("overwrite").parquet(work)
     parsed = spark.read.parquet(work)
     good = parsed.filter(F.col("reason").isNull())
-    base = _read_table(spark, table_root, bucketed)
-    version = _write_table(M.upsert_overwrite(base, good, "page_id"), table_root, bucketed)
+    rows, base = _base(spark, table_root, good, bucketed)
+    version = _write(M.upsert_overwrite(rows, good, "page_id"), table_root, base, bucketed)
     return {"map": map_path, "version": version, "parsed": work, "counts": counts.get,
             "quarantine": X.quarantine_only(parsed)}
 
@@ -90,22 +94,23 @@ def rejects_path(table_root: str, version: int) -> str:
 
 
 def load_offer_map(spark: SparkSession, map_path: str, table_root: str,
-                   policy: str = "fill_unknown", layout: str | tuple[str, ...] | None = None,
-                   bucketed: tuple[str, int] | None = None, tld_token: str = DEFAULT_TLD_TOKEN) -> int:
+                   policy: str = "fill_unknown", bucketed: tuple[str, int] | None = None,
+                   tld_token: str = DEFAULT_TLD_TOKEN) -> int:
     """Read an offer map and merge it into the table (M2 or M3).
 
-    Input the table cannot take -- lines that are no map, new urls without a
+    Input the table cannot take -- text that is no entry, new urls without a
     website -- is written to `rejects_path` (raw, url, reason).
     `bucketed=(name, buckets)` keeps versions as catalog tables bucketed by
     url, so the merge shuffles only the offer map, not the table."""
-    layout = layout or OM.layout_of(spark, map_path)
-    updates = OM.read_offer_map(spark, map_path, layout)
-    base = _read_table(spark, table_root, bucketed)
+    offer_map = OM.open_offer_map(spark, map_path)
+    rows, base = _base(spark, table_root, offer_map.rows, bucketed)
     merge = M.merge_fill_unknown if policy == "fill_unknown" else M.merge_conditional
-    version = _write_table(merge(base, updates, tld_token=tld_token).drop("change"), table_root, bucketed)
-    lines = OM.offer_map_rejects(spark, map_path, layout).select("raw", F.lit(None).cast("string").alias("url"), "reason")
-    keys = M.merge_rejects(base, updates, tld_token=tld_token).select(F.lit(None).cast("string").alias("raw"), "url", "reason")
-    lines.unionByName(keys).write.mode("overwrite").parquet(rejects_path(table_root, version))
+    merged = merge(rows, offer_map.rows, "seq", tld_token).drop("change")
+    version = _write(merged, table_root, base, bucketed)
+    texts = offer_map.rejects.select("raw", F.lit(None).cast("string").alias("url"), "reason")
+    keys = (M.merge_rejects(rows, offer_map.rows, "seq", tld_token)
+            .select(F.lit(None).cast("string").alias("raw"), "url", "reason"))
+    texts.unionByName(keys).write.mode("overwrite").parquet(rejects_path(table_root, version))
     return version
 
 

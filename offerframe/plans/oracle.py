@@ -347,6 +347,15 @@ SELECT q.g AS {g}, n, round(q1, 4) AS q1, round(median, 4) AS median, round(q3,
 FROM q JOIN w ON q.g = w.g"""
 
 
+# M1 after both rounds, as common table expressions that end in `done`.
+_DONE = f"""WITH {BANDS_CTE}, ov AS ({OFFERS_VIEW}), b0 AS ({BASE}), ru AS ({RECORD_UPDATES}),
+rl AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seq DESC) AS rn FROM ru) WHERE rn = 1),
+done AS (SELECT {_upsert_cols} FROM b0 b FULL OUTER JOIN rl u ON b.url = u.url)"""
+_COUNTED = ("category", "offer_id", "price", "offer_title", "location", "active")
+
+_TITLE = """CASE p_partkey % 5 WHEN 0 THEN p_name || ' {' || p_size || '}' WHEN 1 THEN '"' || p_name || '", "x": {'
+    WHEN 2 THEN p_name || ' ' || chr(92) || '} ' || chr(92) WHEN 3 THEN p_name || chr(10) || '}{' ELSE p_name END"""
+
 ORACLE: dict[str, str] = {
     "links_extracted": f"SELECT page_id, href FROM ({ANCHORS})",
     "links_absolute": LINKS_ABSOLUTE,
@@ -470,6 +479,34 @@ FROM m WHERE {website('url', _R.tld_token)} IS NOT NULL
 UNION ALL
 SELECT url, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'no www. in url'
 FROM m WHERE {website('url', _R.tld_token)} IS NULL""",
+    "upsert_incremental": f"{_DONE} SELECT * FROM done",
+    "counts_incremental": f"""{_DONE}
+SELECT 'category' AS measure, category AS value, count(*) AS n FROM done GROUP BY category
+UNION ALL SELECT 'website', website, count(*) FROM done GROUP BY website
+""" + "".join(f"""UNION ALL SELECT '{c}_present', website, count(*) FROM done WHERE {_present(c)} GROUP BY website
+""" for c in _COUNTED),
+    "price_quartiles_sketch": f"""{_DONE}, priced AS (SELECT category, {strict_number('price')} AS p FROM done)
+SELECT category, count(*) AS n, TRUE AS q1_near, TRUE AS median_near, TRUE AS q3_near FROM priced WHERE p IS NOT NULL GROUP BY category""",
+    "unique_keys": f"""
+WITH {BANDS_CTE}, ov AS ({OFFERS_VIEW}), b0 AS ({BASE}), ru AS ({RECORD_UPDATES}),
+u AS (SELECT url FROM b0 UNION ALL SELECT url FROM ru)
+SELECT count(*) AS n_rows, count(*) - count(DISTINCT url) AS n_repeated,
+       (SELECT min(url) FROM (SELECT url FROM u GROUP BY url HAVING count(*) > 1)) AS first_repeated FROM u""",
+    "key_lookup_pruned": f"""
+WITH {BANDS_CTE}, ov AS ({OFFERS_VIEW}), b0 AS ({WHOLE_BASE})
+SELECT * FROM b0 WHERE url IN (SELECT {_url('l_partkey')} FROM lineitem)""",
+    "offer_map_object": f"""
+SELECT {_url('p_partkey')} AS url, CAST(p_size * 5 AS VARCHAR) AS category, {_TITLE} AS offer_title, NULL AS raw
+FROM part WHERE p_partkey % 23 <> 0
+UNION ALL SELECT NULL, NULL, NULL, '"' || {_url('p_partkey')} || '": 17' FROM part WHERE p_partkey % 23 = 0
+UNION ALL SELECT NULL, NULL, NULL, '"https://www.cut.pl/d/x": {{"size_category": "a' || chr(10) || '}}'
+FROM (SELECT DISTINCT p_brand FROM part WHERE p_size % 8 = 3)""",
+    "stream_counts": f"""WITH {BANDS_CTE}, sp AS ({SLICED_PAGES}), po AS ({PAGE_OFFERS})
+SELECT count(*) AS pages, count(*) FILTER (WHERE reason IS NULL) AS offers,
+       count(*) FILTER (WHERE status = 'live') AS live, count(*) FILTER (WHERE status = 'dead') AS dead,
+       count(*) FILTER (WHERE status = 'expired') AS expired,
+       count(*) FILTER (WHERE reason IS NOT NULL) AS quarantined
+FROM po""",
     "listing_offers": LISTING_OFFERS,
     "listing_links": LISTING_LINKS,
     "extract_job": f"""

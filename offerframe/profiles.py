@@ -108,12 +108,12 @@ REFERENCE_BASE = SiteProfile(
     url_contains="https://www.olx.pl",
     fields=(
         FieldRule("offer_id",
-                  Selector("div", (("data-testid", "ad-footer-bar-section"),), child="span"),
+                  Selector("div", (("data-testid", "ad-footer-bar-section"),), path=(("span", 1),)),
                   post_split="ID: "),
-        FieldRule("price", Selector("div", (("data-testid", "ad-price-container"),), child="h3")),
-        FieldRule("offer_title", Selector("div", (("data-cy", "ad_title"),), child="h4")),
+        FieldRule("price", Selector("div", (("data-testid", "ad-price-container"),), path=(("h3", None),))),
+        FieldRule("offer_title", Selector("div", (("data-cy", "ad_title"),), path=(("h4", None),))),
         FieldRule("location", Selector("*", (("id", "mainContent"),), path=(
-            ("div", 1), ("div", 2), ("div", 3), ("div", 2), ("div", 2), ("div", 1), ("section", 1), ("div", 1), ("div", 1),
+            ("div", None), ("div", 2), ("div", 3), ("div", 2), ("div", 2), ("div", None), ("section", None), ("div", 1), ("div", None),
             ("p", 1)))),
     ),
 )

@@ -12,6 +12,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -65,6 +67,22 @@ def local_session(cores: int = 8, memory: str = "8g") -> SparkSession:
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, so that their Python workers need no installation of it."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        _SHIPPED.add(sc.applicationId)
+        root = Path(__file__).resolve().parent
+        name = Path(tempfile.mkdtemp(prefix="offerframe-code-"), f"{root.name}.zip")
+        with zipfile.ZipFile(name, "w") as out:
+            for file in sorted(root.rglob("*.py")):
+                out.write(file, file.relative_to(root.parent))
+        sc.addPyFile(str(name))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 

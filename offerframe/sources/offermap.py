@@ -1,21 +1,23 @@
 """Offer maps: `{url: {size_category, ...}}`.
 
-The original format is one indented JSON object per file.  One object is
-not splittable, so our sink writes JSON Lines where every line is itself a
-one-entry offer map; the reader accepts both (`layout="lines"` splits by
-line across tasks, `layout="object"` reads each legacy file whole in one
-task -- those files are one crawl each; found per file unless given).
+The original format is one indented JSON object per file; our sink writes JSON
+Lines where every line is itself a one-entry offer map.  The reader takes both, and
+anything between, without looking which it is: see `sources.jsonsplit`.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import OFFER_MAP
+from ..schema import OFFER_MAP_VALUE
 from . import fs
+from . import jsonsplit as JS
 
 PREFIX = "offers_"
+NO_ENTRY = "not an offer-map object"
 
 
 def write_offer_map(links: DataFrame, root: str, stamp: str, url_col: str = "url",
@@ -32,46 +34,38 @@ FLAG = ("CASE WHEN lower(trim({0})) IN ('true', '1') THEN true "
         "WHEN lower(trim({0})) IN ('false', '0') THEN false END")  # a flag in any of its spellings
 
 
-_FILE = "_metadata.file_path"
-
-
-def layout_of(spark: SparkSession, path: str) -> str | tuple[str, ...]:
-    """`lines`, `object`, or the files of layout `object` where a map has both.
+@dataclass(frozen=True)
+class OfferMap:
+    """What a set of map files holds: rows (seq, url, size_category, ..., is_active) and rejects (raw, reason)."""
 
-    Decided per file over all its lines: a file is one JSON object over many
-    lines (read whole in one task: such a file is one crawl; convert large ones
-    once with `read` and `write`) when none of its lines is an offer map of its
-    own, so bad lines never decide for the good ones."""
-    lines = spark.read.text(path).filter(F.trim(F.col("value")) != "")
-    files = (lines.select(F.col(_FILE).alias("file"), F.from_json("value", OFFER_MAP).isNotNull().alias("ok"))
-             .groupBy("file").agg(F.max("ok").alias("ok")))
-    whole = files.filter(~F.col("ok")).select("file")
-    objects = tuple(sorted(r["file"] for r in whole.toLocalIterator()))  # a part of the listing the driver has anyway
-    if not objects:
-        return "lines"
-    return objects if files.filter("ok").limit(1).count() else "object"
+    rows: DataFrame
+    rejects: DataFrame
 
 
-def _raw(spark: SparkSession, path: str, layout: str | tuple[str, ...] | None) -> DataFrame:
-    layout = layout or layout_of(spark, path)
-    lines = spark.read.text(path).filter(F.trim(F.col("value")) != "")
-    whole = spark.read.text(path, wholetext=True)
-    if isinstance(layout, tuple):  # Spark skips the files that such a filter rules out
-        return lines.filter(~F.col(_FILE).isin(*layout)).unionByName(whole.filter(F.col(_FILE).isin(*layout)))
-    return whole.filter(F.trim(F.col("value")) != "") if layout == "object" else lines
+def offer_map_of(raw: DataFrame, work: str | None = None) -> OfferMap:
+    """The offer map in the files behind `raw` (`jsonsplit.with_place`), batch or micro-batch."""
+    split = JS.split_map(raw, work)
+    # One entry mostly; a value that is no object comes together with the entry behind it.
+    raw = F.regexp_replace(F.expr("substring(body, 2, length(body) - 2)"), "\\s+$", "")  # without the map's own braces
+    texts = split.entries.select("seq", raw.alias("raw"), F.from_json("body", "map<string, string>").alias("_m"))
+    one = texts.select("seq", "raw", F.explode_outer("_m").alias("url", "text"))
+    one = one.withColumn("v", F.when(F.col("text").startswith("{"), F.from_json("text", OFFER_MAP_VALUE)))
+    rows = one.where(F.col("url").isNotNull() & F.col("v").isNotNull()).select("seq", "url", "v.*")
+    own = F.concat(F.lit('"'), F.col("url"), F.lit('": '), F.coalesce("text", F.lit("null")))
+    bad = one.where(F.col("url").isNull() | F.col("v").isNull()).select(F.coalesce(own, F.col("raw")).alias("raw"))
+    rejects = split.rejects.unionByName(bad).select("raw", F.lit(NO_ENTRY).alias("reason"))
+    return OfferMap(rows.withColumn("is_active", F.expr(FLAG.format("is_active"))), rejects)
 
 
-def entries(maps: DataFrame, map_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Map column -> rows (url, size_category, ..., is_active boolean)."""
-    rows = maps.select(*keep, F.explode(F.col(map_col)).alias("url", "v")).select(*keep, "url", "v.*")
-    return rows.withColumn("is_active", F.expr(FLAG.format("is_active")))
+def open_offer_map(spark: SparkSession, path: str) -> OfferMap:
+    """The map's files split among tasks wherever they can be, and read once."""
+    return offer_map_of(JS.read_raw(spark, path))
 
 
-def read_offer_map(spark: SparkSession, path: str, layout: str | tuple[str, ...] | None = None) -> DataFrame:
+def read_offer_map(spark: SparkSession, path: str) -> DataFrame:
     """Rows (url, size_category, offer_id, price, offer_title, location,
-    is_active); fields absent in the JSON are NULL.  The layout is found from
-    the content unless it is given."""
-    return entries(_raw(spark, path, layout).select(F.from_json(F.col("value"), OFFER_MAP).alias("_m")), "_m")
+    is_active); fields absent in the JSON are NULL."""
+    return open_offer_map(spark, path).rows.drop("seq")
 
 
 def newest_offer_map_path(spark: SparkSession, root: str) -> str:
@@ -81,16 +75,12 @@ def newest_offer_map_path(spark: SparkSession, root: str) -> str:
     return fs.newest(entries).path
 
 
-def read_newest_offer_map(spark: SparkSession, root: str, layout: str | tuple[str, ...] | None = None) -> tuple[str, DataFrame]:
+def read_newest_offer_map(spark: SparkSession, root: str) -> tuple[str, DataFrame]:
     path = newest_offer_map_path(spark, root)
-    return path, read_offer_map(spark, path, layout)
+    return path, read_offer_map(spark, path)
 
 
-def offer_map_rejects(spark: SparkSession, path: str, layout: str | tuple[str, ...] | None = None) -> DataFrame:
-    """Input that `read_offer_map` cannot use -- lines (or whole files) that
-    are not a JSON object of the offer-map shape -- with the raw text, so
-    nothing is lost silently."""
-    parsed = F.from_json(F.col("value"), OFFER_MAP)
-    return (_raw(spark, path, layout).select(F.col("value").alias("raw"), parsed.alias("_m"))
-            .filter(F.col("_m").isNull())
-            .select("raw", F.lit("not an offer-map object").alias("reason")))
+def offer_map_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Input that `read_offer_map` cannot use -- text that is no entry of an
+    offer map -- with the reason, so nothing is lost silently."""
+    return open_offer_map(spark, path).rejects

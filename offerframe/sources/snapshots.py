@@ -9,12 +9,16 @@ greatest one that has its file, and readers never see a half-written one.  Of
 two writers of one version the second fails (its write of the folder, or of
 the file) and can merge again into the new current version.
 
-The file holds the version's note: a stream puts its batch there, so a batch
-replayed after a failure is found to be applied already.
+The file is one line of JSON.  `notes` has the last batch of every stream that
+has written to the table; each version takes them over from the one before, so a
+batch replayed after a failure is found to be applied by reading one file, however
+old the table is.  `manifest` is there for a version kept in hash buckets (see
+`sources.buckets`): the files the version consists of, older ones among them.
 """
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,12 +46,20 @@ def current_version(spark: SparkSession, root: str) -> int | None:
     return done[-1] if done else None
 
 
-def version_with_note(spark: SparkSession, root: str, note: str) -> int | None:
-    """The version that carries `note`, newest first (a stream looks for its batch)."""
-    for n in reversed(finished_versions(spark, root)):
-        if fs.read_small_text(spark, f"{root.rstrip('/')}/{VERSIONS}/{version_name(n)}") == note:
-            return n
-    return None
+def version_info(spark: SparkSession, root: str, version: int | None) -> dict:
+    """What the file of a version says; {} for no version."""
+    if version is None:
+        return {}
+    text = fs.read_small_text(spark, f"{root.rstrip('/')}/{VERSIONS}/{version_name(version)}") or "{}"
+    if text.startswith("{"):
+        return json.loads(text)
+    stream, _, batch = text.rpartition("/")  # a file of an earlier layout: the note alone
+    return {"notes": {stream: int(batch)}}
+
+
+def last_batch(spark: SparkSession, root: str, stream: str) -> int:
+    """The last batch of `stream` that is in the table (-1: none)."""
+    return version_info(spark, root, current_version(spark, root)).get("notes", {}).get(stream, -1)
 
 
 def _next_version(spark: SparkSession, root: str) -> int:
@@ -56,8 +68,13 @@ def _next_version(spark: SparkSession, root: str) -> int:
     return max([0, *taken, *finished_versions(spark, root)]) + 1
 
 
-def _finish(spark: SparkSession, root: str, version: int, note: str) -> int:
-    fs.create_small_text(spark, f"{root}/{VERSIONS}/{version_name(version)}", note)
+def finish(spark: SparkSession, root: str, version: int, note: tuple[str, int] | None = None, **more) -> int:
+    """Make a version complete; `note` is (stream, batch).  Fails if it is complete already."""
+    root = root.rstrip("/")
+    notes = dict(version_info(spark, root, current_version(spark, root)).get("notes", {}))
+    if note:
+        notes[note[0]] = note[1]
+    fs.create_small_text(spark, f"{root}/{VERSIONS}/{version_name(version)}", json.dumps({"notes": notes, **more}))
     return version
 
 
@@ -86,7 +103,8 @@ def duplicate_keys(df: DataFrame, key: str = "url") -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
-def write_snapshot(df: DataFrame, root: str, check_keys: bool = False, note: str = "") -> int:
+def write_snapshot(df: DataFrame, root: str, check_keys: bool = False,
+                   note: tuple[str, int] | None = None) -> int:
     """Write `df` as the next version; returns its number."""
     spark = df.sparkSession
     root = root.rstrip("/")
@@ -97,7 +115,7 @@ def write_snapshot(df: DataFrame, root: str, check_keys: bool = False, note: str
     # Sorted by url inside each file (a local sort, no extra shuffle): row
     # group min/max statistics then let a key lookup skip most of a file.
     out.sortWithinPartitions("url").write.mode("errorifexists").parquet(f"{root}/{version_name(version)}")
-    return _finish(spark, root, version, note)
+    return finish(spark, root, version, note)
 
 
 def read_snapshot(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
@@ -108,9 +126,27 @@ def read_snapshot(spark: SparkSession, root: str, version: int | None = None) ->
         version = current_version(spark, root)
     if version is None:
         return spark.createDataFrame([], OFFERS)
+    manifest = version_info(spark, root, version).get("manifest")
+    if manifest:
+        return read_files(spark, root, [r["file"] for r in read_manifest(spark, root, manifest).select("file").collect()])
     return spark.read.schema(OFFERS).parquet(f"{root}/{version_name(version)}")
 
 
+# One row per file of a version: its bucket, its path below the table root, its rows and its first and last url.
+MANIFEST = "bucket int, file string, rows long, low string, high string"
+
+
+def read_manifest(spark: SparkSession, root: str, manifest: str) -> DataFrame:
+    return spark.read.schema(MANIFEST).parquet(f"{root.rstrip('/')}/{manifest}")
+
+
+def read_files(spark: SparkSession, root: str, files: list[str]) -> DataFrame:
+    """The offers in some files of a table (their names are what Spark's own scan keeps on the driver)."""
+    if not files:
+        return spark.createDataFrame([], OFFERS)
+    return spark.read.schema(OFFERS).parquet(*[f"{root.rstrip('/')}/{f}" for f in sorted(files)])
+
+
 def empty_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], OFFERS)
 
@@ -126,7 +162,8 @@ def bucketed_name(name: str, version: int) -> str:
     return f"{name}_{version_name(version)}"
 
 
-def write_bucketed(df: DataFrame, root: str, name: str, buckets: int, note: str = "") -> int:
+def write_bucketed(df: DataFrame, root: str, name: str, buckets: int,
+                   note: tuple[str, int] | None = None) -> int:
     """Write `df` as the next version of catalog table `name`, bucketed by
     url into `buckets` (match `spark.sql.shuffle.partitions`), data under
     `root`; finished like `write_snapshot`."""
@@ -136,7 +173,7 @@ def write_bucketed(df: DataFrame, root: str, name: str, buckets: int, note: str
     (conform(df).write.mode("errorifexists").bucketBy(buckets, "url").sortBy("url")
      .option("path", f"{root}/{version_name(version)}")
      .saveAsTable(bucketed_name(name, version)))
-    return _finish(spark, root, version, note)
+    return finish(spark, root, version, note)
 
 
 def read_bucketed(spark: SparkSession, root: str, name: str,

@@ -5,10 +5,11 @@ Here a file stream replaces the queues and `foreachBatch` runs the merge:
 
     new files -> micro-batch -> merge with the current version -> next version
 
-A batch builds on the table as it is, whoever wrote it last.  Each version
-notes the stream (its checkpoint) and batch it came from; a batch replayed
-after a failure is found in the notes and not applied twice, and the
-checkpoint records what was consumed, so a restart adds nothing.
+A batch builds on the table as it is, whoever wrote it last, and rewrites only
+the hash buckets its records fall into.  The newest version notes the last batch
+of every stream (its checkpoint); a batch replayed after a failure is found there
+and not applied twice, and the checkpoint records what was consumed, so a
+restart adds nothing.
 
 Records are applied in one order -- modification time and path of the file,
 then place in the file -- inside a batch as across batches, so the result does
@@ -24,18 +25,18 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import DEFAULT_TLD_TOKEN
 from ..operators import extract as X
 from ..operators import merge as M
-from ..operators.bands import last_band
-from ..plans import fixtures as FX
 from ..profiles import PageRules
-from ..schema import OFFER_MAP, PAGES
-from ..session import shared_dir
+from ..schema import PAGES
+from ..sources import buckets as BK
+from ..sources import jsonsplit as JS
 from ..sources import offermap as OM
 from ..sources import snapshots as SN
 
@@ -49,61 +50,68 @@ def rejects_root(table_root: str) -> str:
     return f"{table_root.rstrip('/')}/_rejects/stream"
 
 
-def _batch_writer(table_root: str, checkpoint: str, merge: Callable[[DataFrame, DataFrame, str], tuple],
+@dataclass(frozen=True)
+class Turn:
+    """A micro-batch ready to be merged: its records, what is rejected whatever the table holds, how the
+    records change the touched rows, and which of them those rows keep out."""
+
+    records: DataFrame
+    rejects: DataFrame
+    merge: Callable[[DataFrame], DataFrame]
+    kept_out: Callable[[DataFrame], DataFrame] | None = None
+
+
+def _batch_writer(table_root: str, checkpoint: str, prepare: Callable[[DataFrame, str, str], Turn],
                   bucketed: tuple[str, int] | None = None):
-    """`merge(base, batch, work)` -> (next version, rejects); applied once per batch.
+    """`prepare(batch, work folder, place)` -> Turn; applied once per batch.
 
-    With `bucketed=(name, n)` versions are catalog tables bucketed by url, so a
+    A batch reads and rewrites only the buckets its records fall into.  With
+    `bucketed=(name, n)` versions are catalog tables bucketed by url instead, so a
     merge shuffles only the micro-batch."""
     stream = stream_name(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        note = f"{stream}/{batch_id}"
-        if SN.version_with_note(spark, table_root, note) is not None:
+        if SN.last_batch(spark, table_root, stream) >= batch_id:
             return
-        base = SN.read_bucketed(spark, table_root, bucketed[0]) if bucketed else SN.read_snapshot(spark, table_root)
         place = f"stream={stream}/batch_id={batch_id}"
-        merged, rejects = merge(base, batch, f"{table_root.rstrip('/')}/_work/{place}")
+        turn = prepare(batch, f"{table_root.rstrip('/')}/_work/{place}", place)
+        base = None if bucketed else BK.touched_base(spark, table_root, turn.records)
+        rows = SN.read_bucketed(spark, table_root, bucketed[0]) if bucketed else base.df
+        rejects = turn.rejects if turn.kept_out is None else turn.rejects.unionByName(turn.kept_out(rows))
         # Rejects first: a batch that has its version has them too.
         rejects.write.mode("overwrite").parquet(f"{rejects_root(table_root)}/{place}")
         if bucketed:
-            SN.write_bucketed(merged, table_root, bucketed[0], bucketed[1], note=note)
+            SN.write_bucketed(turn.merge(rows), table_root, bucketed[0], bucketed[1], note=(stream, batch_id))
         else:
-            SN.write_snapshot(merged, table_root, note=note)
+            BK.write_merged(turn.merge(rows), base, note=(stream, batch_id))
     return write
 
 
-# Place of a record in the stream: file time, file, part of the file, place in the part.
+# Place of a page in the stream: file time, file, part of the file, place in the part.
 _ORDER = ("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start")
 
 
 def offer_map_stream(spark: SparkSession, source_dir: str, max_files: int | None = None) -> DataFrame:
-    """Offer-map files (JSON Lines, one entry per line) as a stream of
-    (raw line, its file's place); `max_files` bounds each micro-batch."""
-    reader = spark.readStream.format("text")
+    """Offer-map files, of any layout, as a stream of pieces with their
+    place (`sources.jsonsplit`); `max_files` bounds each micro-batch."""
+    reader = spark.readStream.format("text").option("lineSep", "}")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    raw = reader.load(source_dir)
-    return raw.filter(F.trim(F.col("value")) != "").select(F.col("value").alias("raw"), F.struct(*_ORDER).alias("file"))
+    return JS.with_place(reader.load(source_dir))
 
 
 def _map_merge(policy: str, tld_token: str):
     merge = {"fill_unknown": M.merge_fill_unknown, "conditional": M.merge_conditional}[policy]
+    none = F.lit(None).cast("string")
 
-    def run(base: DataFrame, batch: DataFrame, work: str) -> tuple:
-        # Written first: the line's place in its file must be the same for every use.
-        batch.withColumn("line", F.monotonically_increasing_id()).write.mode("overwrite").parquet(work)
-        lines = batch.sparkSession.read.parquet(work).select(
-            "raw", F.struct("file", "line").alias("seq"), F.from_json("raw", OFFER_MAP).alias("_m"))
-        updates = OM.entries(lines.filter(F.col("_m").isNotNull()), "_m", keep=("seq",))
-        bad = (lines.filter(F.col("_m").isNull())
-               .select("raw", F.lit(None).cast("string").alias("url"), F.lit("not an offer-map object").alias("reason")))
-        kept_out = (M.merge_rejects(base, updates, "seq", tld_token)
-                    .select(F.lit(None).cast("string").alias("raw"), "url", "reason"))
-        return merge(base, updates, "seq", tld_token).drop("change"), bad.unionByName(kept_out)
+    def prepare(batch: DataFrame, work: str, place: str) -> Turn:
+        found = OM.offer_map_of(batch, work)
+        return Turn(found.rows, found.rejects.select("raw", none.alias("url"), "reason"),
+                    lambda rows: merge(rows, found.rows, "seq", tld_token).drop("change"),
+                    lambda rows: M.merge_rejects(rows, found.rows, "seq", tld_token).select(none.alias("raw"), "url", "reason"))
 
-    return run
+    return prepare
 
 
 def _start(stream: DataFrame, write, checkpoint: str, once: bool):
@@ -132,43 +140,44 @@ def page_stream(spark: SparkSession, folder: str, file_glob: str | None = None,
     return reader.parquet(folder).select("*", F.struct(F.struct(*_ORDER).alias("file"), "_metadata.row_index").alias("seq"))
 
 
-def _page_merge(rules: PageRules, category: Callable[[Column], Column] | None):
-    def run(base: DataFrame, batch: DataFrame, work: str) -> tuple:
+COUNTS = "pages long, offers long, live long, dead long, expired long, quarantined long"
+
+
+def counts_root(table_root: str) -> str:
+    return f"{table_root.rstrip('/')}/_counts/stream"
+
+
+def _page_merge(rules: PageRules, category: Callable[[Column], Column] | None, table_root: str):
+    def prepare(batch: DataFrame, work: str, place: str) -> Turn:
         spark = batch.sparkSession
         tag = F.lit(None).cast("string") if category is None else category(F.col("html"))
         # Write the parsed batch before splitting it: a filter on extracted
         # fields would otherwise be pushed below the extraction and repeat
-        # the HTML cleaning.
-        X.parse_pages(batch, rules, category=tag, keep=("page_id", "seq")).write.mode("overwrite").parquet(work)
+        # the HTML cleaning.  P13: the counts come from the same pass.
+        counts = Observation("parse_counts")
+        parsed = X.parse_pages(batch, rules, category=tag, keep=("page_id", "seq"))
+        parsed.observe(counts, *X.parse_metrics()).write.mode("overwrite").parquet(work)
+        # Stored under the batch's own place: a batch that is run again replaces its counts.
+        (spark.createDataFrame([tuple(counts.get[c.split()[0]] for c in COUNTS.split(", "))], COUNTS)
+         .write.mode("overwrite").parquet(f"{counts_root(table_root)}/{place}"))
         parsed = spark.read.parquet(work)
-        rejects = parsed.filter(F.col("reason").isNotNull()).select("page_id", "url", "reason")
-        return M.upsert_overwrite(base, parsed.filter(F.col("reason").isNull()), "seq"), rejects
+        good = parsed.filter(F.col("reason").isNull())
+        return Turn(good, parsed.filter(F.col("reason").isNotNull()).select("page_id", "url", "reason"),
+                    lambda rows: M.upsert_overwrite(rows, good, "seq"))
 
-    return run
+    return prepare
+
+
+def stream_counts(spark: SparkSession, table_root: str) -> DataFrame:
+    """P13 on M9: result counts over all batches of all streams, one row."""
+    names = [c.split()[0] for c in COUNTS.split(", ")]
+    stored = spark.read.schema(COUNTS).parquet(counts_root(table_root))
+    return stored.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
 
 
 def ingest_pages(spark: SparkSession, folder: str, table_root: str, checkpoint: str, rules: PageRules,
                  category: Callable[[Column], Column] | None = None, once: bool = True,
                  file_glob: str | None = None, max_files: int | None = None):
     """Pages arriving in `folder` are parsed and upserted; pages that give no offer go to the rejects."""
-    write = _batch_writer(table_root, checkpoint, _page_merge(rules, category))
+    write = _batch_writer(table_root, checkpoint, _page_merge(rules, category, table_root))
     return _start(page_stream(spark, folder, file_glob, max_files), write, checkpoint, once)
-
-
-def _slice_category(html: Column) -> Column:
-    return last_band(FX.page_slice(html))
-
-
-def run_page_stream(spark: SparkSession, folder: str, rules: PageRules,
-                    category: Callable[[Column], Column] | None = _slice_category,
-                    file_glob: str | None = "pages.parquet", max_files: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Pages flow in as a file stream, are parsed and upserted batch by
-    batch; returns the final table and the rejects once the stream has drained."""
-    root = shared_dir(spark, "page-stream")
-    query = ingest_pages(spark, folder.rstrip("/"), f"{root}/table", f"{root}/checkpoint", rules, category,
-                         file_glob=file_glob, max_files=max_files)
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-    rejects = spark.read.schema("page_id long, url string, reason string").parquet(rejects_root(f"{root}/table"))
-    return SN.read_snapshot(spark, f"{root}/table"), rejects.select("page_id", "url", "reason")

@@ -80,13 +80,22 @@ def test_completeness(spark):
     assert rows[None].n_offers == 2 and rows[None].location_complete == 0.5
 
 
-def test_approx_boxplot_close_to_exact(spark):
-    rows = [(i, "g", float(i % 97)) for i in range(2000)]
-    df = spark.createDataFrame(rows, "id long, g string, x double")
-    ex = A.boxplot(df, "g", "x", "id").first()
-    ap = A.boxplot(df, "g", "x", "id", exact=False).first()
-    assert ex.n == ap.n == 2000
-    assert abs(ex.median - ap.median) <= 1.0 and abs(ex.q1 - ap.q1) <= 1.0
+def test_sketches_of_untouched_buckets_are_kept_and_merged(spark):
+    from offerframe.operators import sketches as SK
+
+    rows = [(f"u{i}", "g" if i % 3 else "h", str(float(i % 997))) for i in range(6000)]
+    df = spark.createDataFrame(rows, "url string, category string, price string")
+    kept = SK.sketch_prices(df, 8).cache()
+    errors = {r.category: (r.n, r.q1, r.median, r.q3) for r in SK.rank_errors(SK.quartiles(kept), df).collect()}
+    assert errors["g"][0] == 4000 and errors["h"][0] == 2000
+    assert all(e <= 0.01 for c in errors for e in errors[c][1:])
+    # Prices of two buckets change: only these are sketched again.
+    old = {(r.bucket, r.category): bytes(r.sketch) for r in kept.collect()}
+    moved = df.where(SK.bucket_of(F.col("url"), 8).isin(1, 5)).withColumn("price", F.lit("5000"))
+    new = SK.replace_touched(kept, (1, 5), moved, 8)
+    got = {(r.bucket, r.category): bytes(r.sketch) for r in new.collect()}
+    assert all(got[k] == old[k] for k in old if k[0] not in (1, 5)) and set(got) == set(old)
+    assert SK.quartiles(new).where("q3 > 700").count() == 2
 
 
 def test_outlier_rows_match_fences(spark):

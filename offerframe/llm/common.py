@@ -107,6 +107,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of steps whose result is written: it does so when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (id, text) of a frame: other columns, whatever their names, stay out."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

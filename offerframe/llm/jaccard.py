@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import id_text, lean, text_slices, written
+from .common import id_text, lean, release_shuffles, text_slices, written
 from .components import components, local_components
 
 
@@ -526,6 +526,7 @@ def _possible(pairs: DataFrame, sizes: DataFrame, p: Params) -> DataFrame:
 def _links(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
     """Verified links among `pairs`; sets with equal 128-bit signatures are equal."""
     possible = written(_possible(pairs, sizes, p), "possible")
+    release_shuffles(docs.sparkSession)
     open_pairs = possible.where("NOT equal").select("a", "b")
     return written(possible.where("equal").select("a", "b").unionByName(verified(open_pairs, docs, p)), "links")
 
@@ -575,8 +576,10 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), id_col: str = "d
              .sortWithinPartitions("key", "a").mapInArrow(lean(_stars), _KEYED))
     stars = written(stars, "stars")
     first = written(stars.select("a", "b").distinct(), "pairs")
+    release_shuffles(docs.sparkSession)
     links = _links(first, sizes, known, p)
     groups = written(components(links), "components")
+    release_shuffles(docs.sparkSession)
 
     # Shingles whose documents are not all in one component.
     member = lambda c: groups.select(F.col("id").alias(c), F.col("component_id").alias(f"comp_{c}"))
@@ -598,8 +601,11 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), id_col: str = "d
             .withColumn("comp", F.coalesce("comp", "doc_id")))
     blocks = _blocks(rows.where("n > 0"), p).repartition("block").sortWithinPartitions("block")
     teams = written(blocks.mapInArrow(lean(_block_groups(p)), _GROUPED).dropDuplicates(["team", "doc_id"]), "teams")
+    del blocks, lists, mixed, alike
+    release_shuffles(docs.sparkSession)
     # Written before the next step in Python: two such steps in one stage would need twice the workers.
     more = written(team_links(teams, known, p), "links")
+    release_shuffles(docs.sparkSession)
     final = components(groups.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionByName(more))
     return (sizes.select("doc_id", F.col("n").alias("n_shingles"))
             .join(final.select(F.col("id").alias("doc_id"), "component_id"), "doc_id", "left")

@@ -87,11 +87,11 @@ def _numeric(text: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    """Character references decoded, `&amp;` last, so nothing is decoded twice."""
-    text = F.when(text.contains("&#"), _numeric(text)).otherwise(text)
+    """Character references decoded, `&amp;` last, so nothing is decoded twice; texts without any are left alone."""
+    out = F.when(text.contains("&#"), _numeric(text)).otherwise(text)
     for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+        out = F.replace(out, F.lit(entity), F.lit(char))
+    return F.when(text.contains("&"), out).otherwise(text)
 
 
 def element_text(fragment: Column) -> Column:

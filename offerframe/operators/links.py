@@ -19,21 +19,18 @@ from ..functions.text import base_of_url
 from ..profiles import LinkRules
 
 _SP = r"[ \t\r\n\f]"
-# An anchor's tag up to the end of its href value: the attribute itself (not data-href), in any quoting.
-ANCHOR_PATTERN = (rf"""(?is)<a(?:{_SP}[^>]*?)?{_SP}href{_SP}*={_SP}*(?:"[^">]*"|'[^'>]*'|[^ \t\r\n\f>"']+)""")
-_BEFORE_VALUE = rf"(?is)^<a.*?{_SP}href{_SP}*={_SP}*"
-
-
-def anchor_hrefs(html: Column) -> Column:
-    """L1: every `href` of every anchor, in page order, on cleaned markup, entities decoded."""
-    tags = F.regexp_extract_all(clean_html(html), F.lit(ANCHOR_PATTERN), F.lit(0))
-    value = lambda t: F.regexp_replace(F.regexp_replace(t, _BEFORE_VALUE, ""), "^[\"']|[\"']$", "")
-    return F.transform(tags, lambda t: unescape(value(t)))
+# An anchor's tag up to the end of its href value, which is the group: the attribute itself (not data-href), in any quoting.
+ANCHOR_PATTERN = (rf"""(?is)<a(?:{_SP}[^>]*?)?{_SP}href{_SP}*={_SP}*("[^">]*"|'[^'>]*'|[^ \t\r\n\f>"']+)""")
 
 
 def extract_anchors(pages: DataFrame, keep=("page_id", "url"), html_col: str = "html") -> DataFrame:
-    """L1 as rows: one row per anchor, `href` next to the page columns."""
-    return pages.select(*keep, F.explode(anchor_hrefs(F.col(html_col))).alias("href"))
+    """L1 as rows: every `href` of every anchor on cleaned markup, entities
+    decoded, one row per anchor next to the page columns.
+
+    Quotes and entities are dealt with after the rows are made, in generated code, not inside an array."""
+    values = F.regexp_extract_all(clean_html(F.col(html_col)), F.lit(ANCHOR_PATTERN), F.lit(1))
+    rows = pages.select(*keep, F.explode(values).alias("_value"))
+    return rows.select(*keep, unescape(F.regexp_replace("_value", "^[\"']|[\"']$", "")).alias("href"))
 
 
 def offer_link(href: Column, page_url: Column, rules: LinkRules) -> Column:

@@ -583,10 +583,12 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), id_col: str = "d
 
     # Shingles whose documents are not all in one component.
     member = lambda c: groups.select(F.col("id").alias(c), F.col("component_id").alias(f"comp_{c}"))
-    mixed = (stars.join(member("a"), "a", "left").join(member("b"), "b", "left")
-             .where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("key").distinct())
+    apart = (first.join(member("a"), "a", "left").join(member("b"), "b", "left")
+             .where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b"))
+    mixed = stars.join(apart, ["a", "b"], "left_semi").select("key").distinct()
     rows = stars.join(mixed, "key", "left_semi")
-    rows = rows.select("key", F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    rows = written(rows.select("key", F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "mixed")
+    release_shuffles(docs.sparkSession)
     # Two documents have met in step 2; and of shingles with the same documents one is enough.
     alike = (rows.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.bit_xor(F.xxhash64("doc_id")).alias("x1"),
                                      F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("x2")).where("docs > 2"))
@@ -601,7 +603,7 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), id_col: str = "d
             .withColumn("comp", F.coalesce("comp", "doc_id")))
     blocks = _blocks(rows.where("n > 0"), p).repartition("block").sortWithinPartitions("block")
     teams = written(blocks.mapInArrow(lean(_block_groups(p)), _GROUPED).dropDuplicates(["team", "doc_id"]), "teams")
-    del blocks, lists, mixed, alike
+    del blocks, lists, alike
     release_shuffles(docs.sparkSession)
     # Written before the next step in Python: two such steps in one stage would need twice the workers.
     more = written(team_links(teams, known, p), "links")

@@ -2,16 +2,21 @@
 
     z = bias + sum_i w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j
 
-over the distinct terms of a document: its words and the first letters of its
-words (4 to 6), all hashed.  Linear weights alone cannot say that two terms
+over the distinct terms of a document: its words and the first bytes of its
+words (4 to 9), all hashed (words into the lower half of the buckets).  Linear weights alone cannot say that two terms
 are harmless apart and toxic together; the learned factor vectors v can.  The
 double sum is computed as (|sum_i v_i x_i|^2 - sum_i |v_i x_i|^2) / 2, linear
 in the number of terms.  x_i is 1 for each distinct term the document holds,
 however often and however long the document, so one insult in a long text
-weighs as much as in a short one.  A first fit under an L1 threshold finds the
-terms that lean towards a class by more than chance; only these get weights
-and factors, so the thousands of harmless words of a long text add no noise.  Terms in fewer than `least` training
-documents or more than the share `most` count nothing.
+weighs as much as in a short one.  Terms get a weight and factors if they say something, so
+that the thousands of harmless words of a long text add no noise: those that
+lean towards a class by more than chance by themselves (a first fit under an L1
+threshold), and words of which a pair does where neither word alone explains it
+(what the fit of the first ones leaves unexplained, summed over the documents
+that hold both words, for all pairs in blocks; `pair_rows` of the training rows
+are looked at).  So a balanced interaction is
+learned though neither term has a lean of its own.  Terms in fewer than `least`
+training documents or more than the share `most` count nothing.
 
 Learned by numpy stochastic gradient descent (per-coordinate steps, log loss) on a
 bounded sample of labelled rows (`Params.max_train`, smallest hash of the id);
@@ -41,12 +46,15 @@ from .common import id_text, lean, text_slices
 class Params:
     bits: int = 18             # hash buckets: 2**bits
     factors: int = 8
-    prefixes: tuple = (4, 5, 6)  # bytes
+    prefixes: tuple = (4, 5, 6, 7, 8, 9)  # bytes
     max_train: int = 8000      # labelled rows used for training, at most
     epochs: int = 5
     rate: float = 0.15
     l1: float = 2.0            # weights that lean less than this a pass stay zero
     noise: float = 4.0         # ... or less than this many standard deviations of chance
+    pair_noise: float = 7.0    # standard deviations of chance a pair of words must lean by
+    pair_rows: int = 3000      # training rows in which pairs are looked for, at most
+    block: int = 1024          # words of a block of pairs
     decay: float = 1e-3        # L2 on weights and factors
     least: int = 3             # training documents a term must be in
     most: float = 0.5          # share of training documents a term may be in
@@ -58,11 +66,11 @@ def terms(data: np.ndarray, offsets: np.ndarray, p: Params):
     data = tv.LOWER[data]
     starts, ends, first = tv.word_spans(data, offsets, tv.ALNUM)
     hashed = tv.ByteHash(data)
-    shift = np.uint64(64 - p.bits)
+    shift, half = np.uint64(65 - p.bits), 1 << (p.bits - 1)
     kinds = [(hashed.of(starts, ends) >> shift).astype(np.int32)]
     for k in p.prefixes:
         cut = np.minimum(starts + k, ends)
-        kinds.append((tv.mix(hashed.of(starts, cut) + np.uint64(k)) >> shift).astype(np.int32))
+        kinds.append((tv.mix(hashed.of(starts, cut) + np.uint64(k)) >> shift).astype(np.int32) + np.int32(half))
     stacked = np.stack(kinds)
     for i in range(len(offsets) - 1):
         yield np.unique(stacked[:, first[i]:first[i + 1]])
@@ -72,10 +80,11 @@ def terms(data: np.ndarray, offsets: np.ndarray, p: Params):
 class Model:
     bias: float
     weights: np.ndarray  # w_i of every bucket
-    factors: np.ndarray  # v_i of every bucket, zero where w_i is
+    factors: np.ndarray  # v_i of every bucket
+    used: np.ndarray     # buckets that have a weight and factors
 
     def logit(self, t: np.ndarray) -> float:
-        t = t[self.weights[t] != 0]
+        t = t[self.used[t]]
         v = self.factors[t]
         s = v.sum(0)
         return self.bias + float(self.weights[t].sum()) + 0.5 * float(s @ s - (v * v).sum())
@@ -108,17 +117,54 @@ def _leaning_terms(docs, held: np.ndarray, share: float, epochs: int, p: Params)
     return weight(np.arange(len(held))) != 0
 
 
-def train(rows: list[tuple[np.ndarray, int]], p: Params) -> Model:
-    size = 1 << p.bits
-    rng = np.random.default_rng(p.seed)
-    if len({y for _, y in rows}) < 2:
-        return Model(0.0, np.zeros(size, np.float32), np.zeros((size, p.factors), np.float32))
-    held = np.zeros(size, np.int32)
-    for t, _ in rows:
+def _interacting_words(docs, model: Model, p: Params) -> np.ndarray:
+    """Flags of the words of which a pair leans by more than chance in what `model` leaves unexplained.
+
+    z of a pair is the sum of the residuals of the documents that hold both words over the root of the sum of
+    their squares; it must pass the z of either word alone by `pair_noise`.  By the Cauchy-Schwarz inequality
+    z^2 is at most the number of these documents, so rarer words than pair_noise^2 need no look."""
+    found, held = np.zeros(1 << p.bits, bool), np.zeros(1 << p.bits, np.int32)
+    docs = [docs[i] for i in np.random.default_rng(p.seed).permutation(len(docs))[:p.pair_rows]]
+    for t, _ in docs:
         held[t] += 1
-    used = (held >= p.least) & (held <= p.most * len(rows))
-    share = sum(y for _, y in rows) / len(rows)
-    used &= _leaning_terms([(t[used[t]], y) for t, y in rows], held, share, p.epochs, p)
+    held[1 << (p.bits - 1):] = 0  # beginnings of words
+    seen = np.flatnonzero(held >= max(p.least, p.pair_noise ** 2))
+    if not len(seen):
+        return found
+    place = np.full(len(held), -1, np.int64)
+    place[seen] = np.arange(len(seen))
+    left = np.array([y - 1 / (1 + np.exp(-np.clip(model.logit(t), -30, 30))) for t, y in docs], np.float32)
+    at = [place[t] for t, _ in docs]
+    column = np.concatenate([a[a >= 0] for a in at])
+    row = np.repeat(np.arange(len(docs)), [(a >= 0).sum() for a in at])
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    own = np.abs(np.bincount(column, left[row], len(seen)))
+    own /= np.sqrt(np.maximum(np.bincount(column, left[row] ** 2, len(seen)), 1e-12))
+
+    def block(i):
+        a, b = np.searchsorted(column, [i, i + p.block])
+        out = np.zeros((len(docs), min(p.block, len(seen) - i)), np.float32)
+        out[row[a:b], column[a:b] - i] = 1
+        return out
+
+    for i in range(0, len(seen), p.block):
+        left_i = block(i).T
+        first, second = left_i * left, left_i * left ** 2
+        for j in range(i, len(seen), p.block):
+            other = block(j)
+            z = np.abs(first @ other) / np.sqrt(np.maximum(second @ other, 1e-12))
+            a, b = own[i:i + p.block, None], own[None, j:j + p.block]
+            good = z > p.pair_noise + np.maximum(a, b)
+            found[seen[i:i + p.block][good.any(1)]] = True
+            found[seen[j:j + p.block][good.any(0)]] = True
+    return found
+
+
+def _fit(rows, used: np.ndarray, share: float, p: Params) -> Model:
+    """Weights and factors of the used terms by stochastic gradient descent."""
+    size = len(used)
+    rng = np.random.default_rng(p.seed)
     docs = [(t[used[t]], y) for t, y in rows]
     w, gw = np.zeros(size), np.full(size, 1e-1)
     v, gv = rng.normal(0, 0.05, (size, p.factors)), np.full((size, p.factors), 1e-1)
@@ -142,7 +188,23 @@ def train(rows: list[tuple[np.ndarray, int]], p: Params) -> Model:
             bias -= p.rate * g / np.sqrt(gb)
     w[~used] = 0
     v[~used] = 0
-    return Model(bias, w.astype(np.float32), v.astype(np.float32))
+    return Model(bias, w.astype(np.float32), v.astype(np.float32), used)
+
+
+def train(rows: list[tuple[np.ndarray, int]], p: Params) -> Model:
+    size = 1 << p.bits
+    if len({y for _, y in rows}) < 2:
+        return Model(0.0, np.zeros(size, np.float32), np.zeros((size, p.factors), np.float32), np.zeros(size, bool))
+    held = np.zeros(size, np.int32)
+    for t, _ in rows:
+        held[t] += 1
+    bounded = (held >= p.least) & (held <= p.most * len(rows))
+    share = sum(y for _, y in rows) / len(rows)
+    docs = [(t[bounded[t]], y) for t, y in rows]
+    used = bounded & _leaning_terms(docs, held, share, p.epochs, p)
+    model = _fit(docs, used, share, p)
+    more = _interacting_words(docs, model, p) & ~used
+    return _fit(docs, used | more, share, p) if more.any() else model
 
 
 def score_slice(data: np.ndarray, offsets: np.ndarray, model: Model, p: Params) -> np.ndarray:

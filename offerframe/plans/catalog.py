@@ -24,6 +24,7 @@ from ..operators import quality as Q
 from ..operators import sketches as SK
 from ..operators import stats as A
 from ..operators import status as S
+from ..operators import tables as TB
 from ..profiles import REFERENCE_LINK_RULES, REFERENCE_PAGE_RULES, SYNTHETIC_LINK_RULES, SYNTHETIC_PAGE_RULES
 from ..session import shared_dir
 from ..sources import buckets as BK
@@ -140,6 +141,27 @@ def band_price_order(spark, sf_dir):
     return B.order_in_band(ov, "category", F.col("price_numeric"), "url")
 
 
+def range_assign_table(spark, sf_dir):
+    """Bands as a table, one per part around its price in cents; values are the prices per piece of all line items."""
+    low = F.floor(F.col("p_retailprice") * 100).cast("long")
+    bands = FX.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("long").alias("ord"), F.col("p_partkey").cast("string").alias("label"),
+        (low - F.col("p_size")).alias("lo"), (low + F.col("p_size")).alias("hi"))
+    items = FX.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
+    value = F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity"))
+    return (TB.last_from_table(items, value, bands)
+            .select("l_orderkey", "l_linenumber", "n_bands", "category"))
+
+
+def route_table(spark, sf_dir):
+    """Site rules as a table, one per customer: its number as a token, the greatest balance first; routed over page URLs."""
+    rules = FX.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("long").alias("ord"),
+        F.concat(F.lit("/"), F.col("c_custkey").cast("string")).alias("token"),
+        F.col("c_name").alias("site"))
+    return TB.route_from_table(_pages(spark, sf_dir).select("page_id", "url"), "url", rules)
+
+
 # --- merges -----------------------------------------------------------------
 
 def upsert_overwrite(spark, sf_dir):
@@ -432,6 +454,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "band_counts": band_counts,
     "band_last_wins": band_last_wins,
     "band_price_order": band_price_order,
+    "range_assign_table": range_assign_table,
+    "route_table": route_table,
     "upsert_overwrite": upsert_overwrite,
     "merge_fill_unknown": merge_fill_unknown,
     "merge_conditional": merge_conditional,

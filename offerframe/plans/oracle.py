@@ -388,6 +388,18 @@ WITH {BANDS_CTE}
 SELECT b.label AS category, count(*) AS n FROM part p JOIN bands b ON {band_match('p.p_size * 5')}
 GROUP BY b.label""",
     "band_last_wins": f"WITH {BANDS_CTE} SELECT p_partkey, {last_label('p_size * 5')} AS category FROM part",
+    "range_assign_table": """
+WITH bands AS (SELECT CAST(p_partkey AS BIGINT) AS ord, CAST(p_partkey AS VARCHAR) AS label,
+                      CAST(floor(p_retailprice * 100) AS BIGINT) - p_size AS lo,
+                      CAST(floor(p_retailprice * 100) AS BIGINT) + p_size AS hi FROM part),
+     items AS (SELECT l_orderkey, l_linenumber, row_number() OVER () AS line,
+                      CAST(floor(l_extendedprice * 100 / l_quantity) AS BIGINT) AS v FROM lineitem)
+SELECT any_value(l_orderkey) AS l_orderkey, any_value(l_linenumber) AS l_linenumber,
+       count(b.ord) AS n_bands, arg_max(b.label, b.ord) AS category
+FROM items LEFT JOIN bands b ON v >= b.lo AND v <= b.hi GROUP BY line""",
+    "route_table": """
+SELECT page_id, any_value(url) AS url, arg_min(c_name, c_custkey) AS site
+FROM pages LEFT JOIN customer ON contains(url, '/' || CAST(c_custkey AS VARCHAR)) GROUP BY page_id""",
     "band_price_order": f"""{_OVN}
 SELECT url, category, price_numeric,
        row_number() OVER (PARTITION BY category ORDER BY price_numeric ASC NULLS LAST, url) AS rank_in_band

@@ -36,6 +36,7 @@ from ..operators import merge as M
 from ..profiles import PageRules
 from ..schema import PAGES
 from ..sources import buckets as BK
+from ..sources import fs
 from ..sources import jsonsplit as JS
 from ..sources import offermap as OM
 from ..sources import snapshots as SN
@@ -168,10 +169,25 @@ def _page_merge(rules: PageRules, category: Callable[[Column], Column] | None, t
     return prepare
 
 
+def _stored(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """What the batches have written below `root`; no rows where no batch has been."""
+    if not fs.exists(spark, root):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(root)
+
+
+REJECTS = "page_id long, url string, reason string"
+
+
+def page_rejects(spark: SparkSession, table_root: str) -> DataFrame:
+    """The pages that gave no offer, over all batches of all streams of pages."""
+    return _stored(spark, rejects_root(table_root), REJECTS).select("page_id", "url", "reason")
+
+
 def stream_counts(spark: SparkSession, table_root: str) -> DataFrame:
     """P13 on M9: result counts over all batches of all streams, one row."""
     names = [c.split()[0] for c in COUNTS.split(", ")]
-    stored = spark.read.schema(COUNTS).parquet(counts_root(table_root))
+    stored = _stored(spark, counts_root(table_root), COUNTS)
     return stored.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
 
 

@@ -121,3 +121,26 @@ def test_result_does_not_depend_on_batches(spark, tmp_root):
                 ingest.ingest_offer_maps(spark, f"{root}/in", f"{root}/t", f"{root}/c", policy, max_files=size).awaitTermination()
                 got.append(sorted(SN.read_snapshot(spark, f"{root}/t").collect()))
             assert got[0] == got[1] == got[2], (policy, seed)
+
+
+def test_page_table_streams_as_file_and_as_folder(spark, tmp_root):
+    from offerframe.plans import catalog
+
+    page = "<html><head><title>t</title></head><body><h1>x</h1></body></html>"
+    pages = spark.createDataFrame([(k, f"https://{'www.' if k % 2 else ''}a{k}.example.com/en/{k}", page) for k in range(6)],
+                                  "page_id long, url string, html string")
+    pages.repartition(3).write.parquet(f"{tmp_root}/folder/pages.parquet")
+    pages.coalesce(1).write.parquet(f"{tmp_root}/one")
+    os.makedirs(f"{tmp_root}/file")
+    part = next(f for f in os.listdir(f"{tmp_root}/one") if f.endswith(".parquet"))
+    shutil.copy(f"{tmp_root}/one/{part}", f"{tmp_root}/file/pages.parquet")
+    for kind in ("folder", "file"):
+        counts = catalog.stream_counts(spark, f"{tmp_root}/{kind}").first()
+        assert counts.pages == 6 and counts.quarantined >= 3
+        refused = catalog.stream_quarantine(spark, f"{tmp_root}/{kind}").where("reason = 'no www. in url'")
+        assert sorted(r.page_id for r in refused.collect()) == [0, 2, 4]
+
+
+def test_a_stream_without_batches_has_counts_and_no_rejects(spark, tmp_root):
+    assert tuple(ingest.stream_counts(spark, f"{tmp_root}/t").first()) == (0,) * 6
+    assert ingest.page_rejects(spark, f"{tmp_root}/t").collect() == []

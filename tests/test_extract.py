@@ -175,3 +175,17 @@ def test_copies_of_a_page_give_one_record_whatever_their_order(spark):
     got = {X.offer_pages(links, pages(spark, order).repartition(n), REFERENCE_PAGE_RULES).first().price
            for order, n in ((rows, 1), (rows[::-1], 3), (rows[3:] + rows[:3], 2))}
     assert len(got) == 1
+
+
+def test_pages_made_of_narrow_rows_are_many_tasks(spark, tmp_root):
+    from offerframe.plans import catalog
+    from offerframe.plans import fixtures as FX
+
+    (spark.range(12_000).select(F.col("id").alias("p_partkey"), F.concat(F.lit("n"), "id").alias("p_name"), F.lit(3).alias("p_size"))
+     .coalesce(1).write.parquet(f"{tmp_root}/part.parquet"))
+    spark.range(25).select(F.col("id").alias("n_nationkey"), F.lit("PL").alias("n_name")).write.parquet(f"{tmp_root}/nation.parquet")
+    pages = FX.listing_pages(spark, tmp_root)
+    assert pages.select(F.spark_partition_id().alias("p")).distinct().count() >= 3
+    assert pages.select("page_id").distinct().count() == pages.count() == 12_000
+    offers = catalog.listing_offers(spark, tmp_root)
+    assert offers.select(F.spark_partition_id().alias("p")).distinct().count() >= 3 and offers.count() == 12_000

@@ -83,3 +83,30 @@ def test_plans_do_not_grow_with_the_rules(spark):
         [(i, f"/{i:05d}", f"s{i}") for i in range(n)], RULE))).splitlines()) for n in (3, 300)}
     assert len(sizes) == 1
     assert TB.route_from_table(urls, "url", spark.createDataFrame([], RULE)).first()["site"] is None
+
+
+def test_cells_do_not_grow_with_equal_bands(spark, monkeypatch):
+    sizes, send = [], TB.sent_if_small
+
+    def counted(df, name):
+        out = send(df, name)
+        sizes.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(TB, "sent_if_small", counted)
+    df = spark.range(0, 60).select(F.col("id").alias("v"))
+    for n in (1, 300):
+        bands = spark.createDataFrame([(k, f"b{k:03d}", 3, 52) for k in range(n)], BAND)
+        rows = TB.last_from_table(df, F.col("v"), bands).collect()
+        assert all((r["n_bands"], r["category"]) == ((n, f"b{n - 1:03d}") if 3 <= r["v"] <= 52 else (0, None)) for r in rows)
+    assert sizes[:len(sizes) // 2] == sizes[len(sizes) // 2:]
+
+
+def test_cells_of_wide_and_narrow_ranges(spark):
+    ends = [(0, 0), (0, 1), (7, 8), (7, 7), (5, 3), (-9, 9), (-(1 << 61), 1 << 61), (-(1 << 61), -3), ((1 << 61) - 1, 1 << 61), (1, 1 << 61)]
+    ends += [(-(1 << k), (1 << k) - 1) for k in range(1, 61, 7)] + [(1, 1 << k) for k in range(1, 61, 7)]
+    df = spark.createDataFrame(ends, "l long, r long")
+    for r in df.select("l", "r", TB._cells(F.col("l"), F.col("r")).alias("c")).collect():
+        parts = sorted((c["cell"] << c["level"], (c["cell"] + 1) << c["level"]) for c in r["c"])
+        assert all(a[1] == b[0] for a, b in zip(parts, parts[1:]))
+        assert (parts[0][0], parts[-1][1]) == (r["l"], r["r"]) if r["l"] < r["r"] else parts == []

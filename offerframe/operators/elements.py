@@ -25,6 +25,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,9 +97,22 @@ def number_elements(html: str) -> list[list]:
     return out
 
 
+_CHUNK_BYTES = 1 << 20  # pages numbered at a time: their elements are Python objects, many times as large
+
+
+def chunks(batch: pa.RecordBatch, html_col: str, limit: int = _CHUNK_BYTES):
+    """`batch` in slices of at most `limit` bytes of html; a longer page is a slice of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(html_col)), 0).to_numpy(zero_copy_only=False))
+    at, before = 0, 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield batch.slice(at, to - at)
+        at, before = to, int(ends[to - 1])
+
+
 def _numbered(html_col: str, out_type: pa.DataType):
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in chunks(whole, html_col)):
             flat, sizes = [], []
             for html in batch.column(html_col).to_pylist():
                 found = number_elements(html) if html else []

@@ -189,3 +189,21 @@ def test_pages_made_of_narrow_rows_are_many_tasks(spark, tmp_root):
     assert pages.select("page_id").distinct().count() == pages.count() == 12_000
     offers = catalog.listing_offers(spark, tmp_root)
     assert offers.select(F.spark_partition_id().alias("p")).distinct().count() >= 3 and offers.count() == 12_000
+
+
+def test_elements_are_numbered_in_bounded_chunks():
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import ArrayType
+
+    from offerframe.operators import elements as E
+
+    pages = ["<p>%d</p>" % k + "x" * (k % 7 * 40_000) for k in range(60)] + [None, "", "<b>" + "y" * (3 << 20) + "</b>"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(pages))), pa.array(pages)], names=["page_id", "html"])
+    sizes = [sum(len(h or "") for h in c.column("html").to_pylist()) for c in E.chunks(batch, "html")]
+    assert len(sizes) > 5 and all(s <= E._CHUNK_BYTES for s in sizes[:-1])
+    out = list(E._numbered("html", to_arrow_type(ArrayType(E.ELEMENT)))([batch, batch.slice(0, 0)]))
+    assert len(out) == len(sizes)
+    assert [h for b in out for h in b.column("html").to_pylist()] == pages
+    names = [[e["name"] for e in els] for b in out for els in b.column(E.ELEMENTS).to_pylist()]
+    assert names == [["p"]] * 60 + [[], [], ["b"]]

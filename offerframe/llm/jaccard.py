@@ -49,6 +49,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import bloom
 from . import textvec as tv
 from .common import id_text, lean, release_shuffles, text_slices, written
 from .components import components, local_components
@@ -615,7 +616,16 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), id_col: str = "d
 
 
 def near_dedup(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns, of which one document per component stays (rows with NULL ids stay)."""
+    """The rows of `docs`, all columns, of which one document per component stays (rows with NULL ids stay).
+
+    Texts stay where they lie: a Bloom filter over the ids that go is sent to the scan, and only rows that it
+    lets pass are shuffled for the exact join."""
+    release_shuffles(docs.sparkSession)  # of whatever made `docs`
     gone = (near_duplicates(docs, params, id_col, text_col).where("component_id <> doc_id")
             .select(F.col("doc_id").alias(id_col)).distinct())
-    return docs.join(gone, id_col, "left_anti")
+    gone = written(gone, "gone")
+    release_shuffles(docs.sparkSession)
+    blocks = bloom.blocks_for(gone.count())
+    keyed = docs.withColumn("_id", F.col(id_col).cast("long"))
+    asked, rest = bloom.split(keyed, ["_id"], bloom.build(gone, [id_col], blocks), blocks)
+    return rest.unionByName(asked.join(gone, id_col, "left_anti")).select(*docs.columns)

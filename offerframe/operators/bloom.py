@@ -45,12 +45,22 @@ def build(keys: DataFrame, cols: list[str], blocks: int) -> DataFrame:
     return one.groupBy("block").agg(*[F.bit_or(f"w{w}").alias(f"w{w}") for w in range(WORDS)])
 
 
-def probe(rows: DataFrame, cols: list[str], table: DataFrame, blocks: int) -> DataFrame:
-    """The rows whose key may be in the filter; all that are in it are among them."""
-    names = rows.columns
+def _marked(rows: DataFrame, cols: list[str], table: DataFrame, blocks: int, how: str) -> tuple[DataFrame, Column]:
+    """`rows` with the words of their block, and whether all bits of their key are set in them."""
     sent = F.broadcast(table.select(F.col("block").alias("_block"), *[F.col(f"w{w}").alias(f"_w{w}") for w in range(WORDS)]))
-    marked = rows.withColumn("_block", _block(cols, blocks))
     hit = F.lit(True)
     for w in range(WORDS):
         hit = hit & (F.getbit(F.col(f"_w{w}"), _bit(cols, w)) == 1)
-    return marked.join(sent, "_block").where(hit).select(*names)
+    return rows.withColumn("_block", _block(cols, blocks)).join(sent, "_block", how), hit
+
+
+def probe(rows: DataFrame, cols: list[str], table: DataFrame, blocks: int) -> DataFrame:
+    """The rows whose key may be in the filter; all that are in it are among them."""
+    marked, hit = _marked(rows, cols, table, blocks, "inner")
+    return marked.where(hit).select(*rows.columns)
+
+
+def split(rows: DataFrame, cols: list[str], table: DataFrame, blocks: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of `probe`, and all others, whose key is certainly not in the filter."""
+    marked, hit = _marked(rows, cols, table, blocks, "left")
+    return probe(rows, cols, table, blocks), marked.where(~F.coalesce(hit, F.lit(False))).select(*rows.columns)

@@ -293,3 +293,24 @@ def test_equal_bits_of_keys():
     a = np.array([0, -1, 1 << 62, 5, (1 << 54) - 1], np.int64)
     b = np.array([0, 0, 0, 4, 0], np.int64)
     assert embed_dedup.equal_bits(a, b).tolist() == [64, 0, 1, 63, 10]
+
+
+def test_near_dedup_shuffles_only_texts_that_may_go(spark, monkeypatch):
+    seen, split = [], jaccard.bloom.split
+
+    def counted(*args):
+        asked, rest = split(*args)
+        seen.append((asked.count(), rest.count()))
+        return asked, rest
+
+    monkeypatch.setattr(jaccard.bloom, "split", counted)
+    rows = [(k, " ".join(f"w{k}x{i}" for i in range(30)), k % 3) for k in range(200)]
+    rows += [(1000 + k, rows[k][1] + " end", 0) for k in range(10)] + [(1000, "of one id with a copy", 1), (None, rows[0][1], 2), (300, None, 0)]
+    for kind in ("long", "int"):
+        docs = spark.createDataFrame(rows, f"doc_id {kind}, text string, other int")
+        out = jaccard.near_dedup(docs)
+        assert out.schema == docs.schema
+        gone = {1000 + k for k in range(10)}
+        assert sorted(map(str, map(tuple, out.collect()))) == sorted(str(r) for r in rows if r[0] not in gone)
+        asked, rest = seen.pop()
+        assert asked + rest == len(rows) and 11 <= asked <= 60  # the rows of the ids that go, few others

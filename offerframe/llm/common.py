@@ -96,14 +96,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` written once as Parquet below spark.checkpoint.dir and read back.
+def written(df: DataFrame, name: str, **options) -> DataFrame:
+    """`df` written once as Parquet (with `options`) below spark.checkpoint.dir and read back.
 
     Used where several steps read one costly result: a lost executor then
     re-reads files that all executors share instead of repeating the work.
     """
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -60,6 +60,7 @@ class Params:
     width: int = 5           # words of a shingle
     percent: int = 80        # Jaccard threshold, in hundredths
     groups: int = 256        # coordinates of a point
+    fine: int = 2048         # coordinates of the fine point of a set of more than 2 * groups shingles
     boxes: int = 64          # coordinates of the R-tree's boxes: sums of groups / boxes neighbouring groups
     sketch_bits: int = 20    # counters of the frequency sketch: 2**bits
     held_keys: int = 2_000_000  # prefix shingles a task holds before it passes them on
@@ -79,6 +80,10 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int):
         yield np.unique(hashes[begin[i]:begin[i + 1]])
 
 
+def point_of(s: np.ndarray, groups: int) -> np.ndarray:
+    return np.minimum(np.bincount((s % np.uint64(groups)).astype(np.int64), minlength=groups), 255).astype(np.uint8)
+
+
 def needed(a, b, percent: int):
     """Shared shingles that sets of a and b shingles need at least, times 100 + percent."""
     return percent * (a + b)
@@ -86,14 +91,15 @@ def needed(a, b, percent: int):
 
 # --- scan 1: sketch, sizes, points, signatures ------------------------------------------
 
-_SCAN = "kind int, doc_id long, n long, sig1 long, sig2 long, point binary, part int, counts binary"
+_SCAN = "kind int, doc_id long, n long, sig1 long, sig2 long, point binary, fine binary, part int, counts binary"
 _SCAN_TYPES = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("sig1", pa.int64()),
-                         ("sig2", pa.int64()), ("point", pa.binary()), ("part", pa.int32()), ("counts", pa.binary())])
+                         ("sig2", pa.int64()), ("point", pa.binary()), ("fine", pa.binary()), ("part", pa.int32()),
+                         ("counts", pa.binary())])
 _SKETCH_PART = 1 << 16  # counters of one sketch row
 
 
 def _scan(p: Params):
-    shift, groups = np.uint64(64 - p.sketch_bits), np.uint64(p.groups)
+    shift = np.uint64(64 - p.sketch_bits)
 
     def run(batches):
         sketch, waiting, held = np.zeros(1 << p.sketch_bits, np.int64), [], 0
@@ -102,10 +108,10 @@ def _scan(p: Params):
             for a, _, data, offs in text_slices(batch.column("text")):
                 rows = []
                 for k, s in enumerate(shingle_sets(data, offs, p.width)):
-                    point = np.minimum(np.bincount((s % groups).astype(np.int64), minlength=p.groups), 255)
                     with np.errstate(over="ignore"):
                         sig = np.array([s.sum(dtype=np.uint64), tv.mix(s).sum(dtype=np.uint64)], np.uint64).view(np.int64)
-                    rows.append((ids[a + k], len(s), int(sig[0]), int(sig[1]), point.astype(np.uint8).tobytes()))
+                    rows.append((ids[a + k], len(s), int(sig[0]), int(sig[1]), point_of(s, p.groups).tobytes(),
+                                 point_of(s, p.fine).tobytes() if len(s) > 2 * p.groups else None))
                     waiting.append((s >> shift).astype(np.int64))
                     held += len(s)
                 columns = list(zip(*rows))
@@ -118,7 +124,7 @@ def _scan(p: Params):
                     waiting, held = [], 0
         if waiting:
             sketch += np.bincount(np.concatenate(waiting), minlength=len(sketch))
-        parts = [(1, None, None, None, None, None, k, raw) for k, raw in _used(sketch)]
+        parts = [(1, *[None] * 6, k, raw) for k, raw in _used(sketch)]
         if parts:
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*parts), _SCAN_TYPES)], schema=_SCAN_TYPES)
 
@@ -126,13 +132,31 @@ def _scan(p: Params):
 
 
 def _used(table: np.ndarray):
-    """The counters of `table` that are not zero, as (part, bytes): a task sends what it has counted, not the whole table."""
-    used = np.flatnonzero(table)
-    parts = used // _SKETCH_PART
-    cuts = np.concatenate([[0], np.flatnonzero(np.diff(parts)) + 1, [len(used)]]) if len(used) else [0]
-    for f, t in zip(cuts[:-1], cuts[1:]):
-        own = used[f:t]
-        yield int(parts[f]), (own % _SKETCH_PART).astype("<u2").tobytes() + table[own].astype("<u4").tobytes()
+    """The parts of `table` with counters that are not zero, as (part, bytes): a task sends what it has counted, not the
+    whole table.  Counters go by place (two bytes) and value (four); where many are used, all go as one byte each, and
+    what exceeds it by place and value."""
+    for k in range(-(-len(table) // _SKETCH_PART)):
+        own = table[k * _SKETCH_PART:(k + 1) * _SKETCH_PART]
+        used = np.flatnonzero(own)
+        if not len(used):
+            continue
+        bytewise, over = np.zeros(_SKETCH_PART, np.uint8), used[own[used] > 255]
+        values = own[used]
+        if 6 * len(used) > _SKETCH_PART + 6 * len(over):
+            bytewise[used] = np.minimum(values, 255)
+            used, values, head = over, own[over] - 255, bytewise.tobytes()
+        else:
+            head = b""
+        yield k, head + used.astype("<u2").tobytes() + values.astype("<u4").tobytes()
+
+
+def _add_used(total: np.ndarray, counts: bytes) -> None:
+    """Add the counters of a part that `_used` gave."""
+    at = _SKETCH_PART if len(counts) % 6 == _SKETCH_PART % 6 and len(counts) >= _SKETCH_PART else 0
+    if at:
+        total += np.frombuffer(counts, np.uint8, at)
+    n = (len(counts) - at) // 6
+    total[np.frombuffer(counts, "<u2", n, at)] += np.frombuffer(counts, "<u4", n, at + 2 * n)
 
 
 def _merged(batches):
@@ -140,9 +164,7 @@ def _merged(batches):
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
-            n = len(counts) // 6
-            own = total.setdefault(part, np.zeros(_SKETCH_PART, np.int64))
-            own[np.frombuffer(counts, "<u2", n)] += np.frombuffer(counts, "<u4", n, 2 * n)
+            _add_used(total.setdefault(part, np.zeros(_SKETCH_PART, np.int64)), counts)
     yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()),
                                       pa.array([v.tobytes() for v in total.values()], pa.binary())],
                                      names=["part", "counts"])
@@ -373,6 +395,14 @@ def _runs(batches, column: str, load):
         yield last, held
 
 
+def _teamed(name: int, i, j, doc, comp):
+    """(team, doc_id, comp) of the documents that the pairs (i, j) found in block or team `name` connect."""
+    at, low = local_components(i, j)
+    with np.errstate(over="ignore"):
+        team = tv.mix(np.uint64(np.int64(name)) ^ tv.mix(low.astype(np.uint64))).view(np.int64)
+    return team, doc[at], comp[at]
+
+
 def _block_groups(p: Params):
     """Rows of whole blocks, sorted by block -> for each document in a pair that the bound leaves, the team of
     documents that such pairs connect it to.
@@ -389,15 +419,12 @@ def _block_groups(p: Params):
             return
         i, j = (np.concatenate([f[k] for f in found]) for k in (0, 1))
         keys = [k for r in rows for k in r[7]]
-        if keys[0]:  # a block of listed shingles: the pair counts in the smallest common one
+        if keys[0]:  # a block of listed shingles, each with the document's smaller ones: the pair counts in the smallest common one
             keys = {k: frozenset(keys[k]) for k in set(i.tolist()) | set(j.tolist())}
             first = np.array([min(keys[a] & keys[b]) == key[0] for a, b in zip(i.tolist(), j.tolist())], bool)
             i, j = i[first], j[first]
         if len(i):
-            at, low = local_components(i, j)
-            with np.errstate(over="ignore"):
-                team = tv.mix(np.uint64(np.int64(block)) ^ tv.mix(low.astype(np.uint64))).view(np.int64)
-            yield team, doc[at], comp[at]
+            yield _teamed(block, i, j, doc, comp)
 
     def load(batch):
         return ([batch.column(c).to_numpy() for c in ("doc_id", "n", "comp", "side", "own", "key")]
@@ -417,8 +444,7 @@ def linked_pairs(sets: list[np.ndarray], comp: np.ndarray, p: Params):
     every, codes = np.unique(np.concatenate(sets), return_inverse=True)
     ends = np.cumsum(n)
     own = [codes[e - k:e] for k, e in zip(n, ends)]
-    full = np.stack([np.minimum(np.bincount((s % np.uint64(p.groups)).astype(np.int64), minlength=p.groups), 255)
-                     for s in sets]).astype(np.uint8)
+    full = np.stack([point_of(s, p.groups) for s in sets])
     _, start = np.unique(comp, return_inverse=True)
     root = np.arange(start.max() + 1)  # of each component, the one it is united with
     here = np.zeros(len(every), bool)
@@ -465,11 +491,49 @@ def _team_links(p: Params):
     return run
 
 
-def team_links(teams: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
-    """Verified links inside the teams (team, doc_id, comp), teams of the same documents worked off once."""
+def _sift(p: Params):
+    """Rows of whole teams (team, doc_id, comp, n, fine), sorted by team -> the teams that fine points leave of them.
+
+    A set without a fine point is bounded by the other's size alone."""
+    unknown = bytes([_FULL]) * p.fine
+
+    def load(batch):
+        fine = [f or unknown for f in batch.column("fine").to_pylist()]
+        return ([batch.column(c).to_numpy() for c in ("doc_id", "n", "comp")]
+                + [np.frombuffer(b"".join(fine), np.uint8).reshape(len(fine), -1)])
+
+    def run(batches):
+        for team, rows in _runs(batches, "team", load):
+            doc, n, comp, x = (np.concatenate([r[k] for r in rows]) for k in range(4))
+            every = np.arange(len(doc))
+            found = list(tree_pairs(x, n, comp, p, every, every))
+            i, j = (np.concatenate([np.zeros(0, np.int64), *[f[k] for f in found]]) for k in (0, 1))
+            if len(i):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in _teamed(team, i, j, doc, comp)], schema=_GROUPED_TYPES)
+
+    return run
+
+
+def sifted(teams: DataFrame, scanned: DataFrame, p: Params) -> DataFrame:
+    """The teams (team, doc_id, comp) without the documents that fine points rule out: texts of the others alone meet.
+
+    Points of few coordinates bound nothing where sets are large: two unrelated sets fill them alike."""
+    teams = _once(teams)
+    fine = only_marked(scanned.select("doc_id", "n", "fine"), marked(teams.select("doc_id"), p), p)
+    return (teams.join(fine, "doc_id").select("team", "doc_id", "comp", "n", "fine").repartition("team")
+            .sortWithinPartitions("team").mapInArrow(lean(_sift(p)), _GROUPED).dropDuplicates(["team", "doc_id"]))
+
+
+def _once(teams: DataFrame) -> DataFrame:
+    """Of teams of the same documents, one."""
     alike = teams.groupBy("team").agg(F.count(F.lit(1)).alias("docs"), F.bit_xor(F.xxhash64("doc_id")).alias("x1"),
                                       F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("x2"))
-    teams = teams.join(alike.groupBy("docs", "x1", "x2").agg(F.min("team").alias("team")).select("team"), "team", "left_semi")
+    return teams.join(alike.groupBy("docs", "x1", "x2").agg(F.min("team").alias("team")).select("team"), "team", "left_semi")
+
+
+def team_links(teams: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
+    """Verified links inside the teams (team, doc_id, comp), teams of the same documents worked off once."""
+    teams = _once(teams)
     texts = only_marked(docs, marked(teams.select("doc_id"), p), p)
     return (teams.join(texts, "doc_id").select("team", "doc_id", "comp", "text").repartition("team")
             .sortWithinPartitions("team").mapInArrow(lean(_team_links(p)), "a long, b long"))
@@ -533,7 +597,7 @@ def _links(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, p: Params) -> Da
 
 
 def _blocks(members: DataFrame, p: Params) -> DataFrame:
-    """(key, keys, doc_id, n, comp, point) -> rows of blocks to compare.
+    """(key, listed, doc_id, n, texts, comp) -> rows of blocks to compare; `texts` of a document are of size n.
 
     A document belongs to the size class of its n (steps of 100 / percent) and
     visits the next class, whose members may be that much larger.  A block over
@@ -543,9 +607,9 @@ def _blocks(members: DataFrame, p: Params) -> DataFrame:
     classed = members.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.lit(step) + F.lit(1e-9)))
     both = F.explode(F.array(F.struct(F.col("class").alias("class"), F.lit(0).alias("side")),
                              F.struct((F.col("class") + 1).alias("class"), F.lit(1).alias("side"))))
-    rows = classed.withColumn("at", both).select("key", "keys", "doc_id", "n", "comp", "point", "at.class", "at.side")
-    sizes = (rows.groupBy("key", "class").agg(F.count(F.lit(1)).alias("rows"), F.sum(1 - F.col("side")).alias("home"),
-                                              F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.sum("n").alias("shingles"))
+    rows = classed.withColumn("at", both).select("key", "listed", "doc_id", "n", "texts", "comp", "at.class", "at.side")
+    sizes = (rows.groupBy("key", "class").agg(F.sum("texts").alias("rows"), F.sum(1 - F.col("side")).alias("home"), F.min("comp").alias("c1"),
+                                              F.max("comp").alias("c2"), F.sum(F.col("n") * F.col("texts")).alias("shingles"))
              .where((F.col("home") > 0) & (F.col("c1") != F.col("c2")))
              .select("key", "class", F.greatest(F.ceil(F.col("rows") / F.lit(p.block)), F.least("rows", F.ceil(
                  F.col("shingles") / F.lit(p.block_shingles)))).cast("int").alias("parts")))
@@ -560,7 +624,7 @@ def _blocks(members: DataFrame, p: Params) -> DataFrame:
     return rows.select(
         F.xxhash64("key", "class", "meet.i", "meet.j").alias("block"), "doc_id", "n", "comp",
         F.when(across, (F.col("part") == F.col("meet.j")).cast("int")).otherwise(F.col("side")).alias("side"),
-        (~across).cast("int").alias("own"), "point", "key", "keys")
+        (~across).cast("int").alias("own"), "key", "listed")
 
 
 def near_duplicates(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -597,14 +661,22 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), id_col: str = "d
                    "blocks")
     # A document's own larger shingles, few of its prefix.
     lists = rows.where(F.col("docs") > p.listed).groupBy("doc_id").agg(F.collect_list("key").alias("all"))
-    rows = (rows.join(lists, "doc_id", "left")
-            .select("key", "doc_id", F.when(F.col("docs") > p.listed, F.col("all")).alias("keys"))
-            .join(sizes.select("doc_id", "n", "point"), "doc_id")
+    asked = only_marked(sizes, marked(rows.select("doc_id"), p), p).where("n > 0")
+    rows = (rows.select("key", "doc_id", (F.col("docs") > p.listed).alias("listed"))
+            .join(asked.groupBy("doc_id", "n").agg(F.count(F.lit(1)).alias("texts")), "doc_id")
             .join(groups.select(F.col("id").alias("doc_id"), F.col("component_id").alias("comp")), "doc_id", "left")
             .withColumn("comp", F.coalesce("comp", "doc_id")))
-    blocks = _blocks(rows.where("n > 0"), p).repartition("block").sortWithinPartitions("block")
+    # Blocks are found with narrow rows; points, and the listed shingles up to the block's own, join those that are left.
+    rows = written(_blocks(rows, p), "rows")
+    release_shuffles(docs.sparkSession)
+    blocks = (rows.join(asked.select("doc_id", "n", "point"), ["doc_id", "n"]).join(lists, "doc_id", "left")
+              .select("block", "doc_id", "n", "comp", "side", "own", "point", "key",
+                      F.when(F.col("listed"), F.filter("all", lambda k: k <= F.col("key"))).alias("keys"))
+              .repartition("block").sortWithinPartitions("block"))
     teams = written(blocks.mapInArrow(lean(_block_groups(p)), _GROUPED).dropDuplicates(["team", "doc_id"]), "teams")
-    del blocks, lists, alike
+    del blocks, rows, lists, alike
+    release_shuffles(docs.sparkSession)
+    teams = written(sifted(teams, scanned.where("kind = 0"), p), "sifted")
     release_shuffles(docs.sparkSession)
     # Written before the next step in Python: two such steps in one stage would need twice the workers.
     more = written(team_links(teams, known, p), "links")

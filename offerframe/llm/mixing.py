@@ -37,7 +37,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from ..operators import bloom
+from .common import release_shuffles, written
 
 LEVELS = ("domain", "lang", "source")
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -98,16 +99,25 @@ def budgets(leaves: DataFrame, p: Params) -> DataFrame:
     return out.select(*LEVELS, "tokens", F.floor(F.col("share") + F.lit(1e-6)).cast("long").alias("quota"))
 
 
-def mix(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        source_col: str = "source", domain: Column | None = None) -> DataFrame:
-    """The selected copies: doc_id, domain, lang, source, n_tokens, epoch (from 0)."""
+def worded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+           source_col: str = "source", domain: Column | None = None) -> DataFrame:
+    """The documents with tokens: doc_id, lang, source, domain, n_tokens."""
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
         F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
         (domain if domain is not None else domain_of(F.coalesce(F.col(source_col).cast("string"), F.lit("")))).alias("domain"),
         F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(_WORD)).cast("long").alias("n_tokens"))
     # Narrow rows; written once, because counts, buckets and the selection read them.
-    rows = written(rows.where("n_tokens > 0"), "tokens")
+    return written(rows.where("n_tokens > 0"), "tokens")
+
+
+def mix(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", **columns) -> DataFrame:
+    """The selected copies: doc_id, domain, lang, source, n_tokens, epoch (from 0)."""
+    return selected(worded(docs, id_col, **columns), p)
+
+
+def selected(rows: DataFrame, p: Params) -> DataFrame:
+    """The selected copies of `worded` rows: their columns and epoch."""
     quotas = written(budgets(rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")), p), "quotas")
     plan = quotas.where("quota > 0").select(
         *LEVELS, F.floor(F.col("quota") / F.col("tokens")).cast("int").alias("whole"),
@@ -137,20 +147,31 @@ def mix(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col:
 
 
 def mixed(docs: DataFrame, p: Params = Params(max_epochs=1), id_col: str = "doc_id", **columns) -> DataFrame:
-    """The rows of `docs`, all columns, that a mixture without repeats selects."""
+    """The rows of `docs`, all columns, that a mixture without repeats selects.
+
+    Texts stay where they lie: a Bloom filter over the leaves and ids that are not selected is sent to the scan, and
+    only rows that it lets pass are shuffled for the exact join."""
     if p.max_epochs != 1:
         raise ValueError("a filter cannot repeat documents: use mix()")
     # Rows of one leaf with one id are taken or left together, so leaf and id name what is chosen; rows without
     # tokens are in no leaf.
     names = {"text_col": "text", "lang_col": "lang", "source_col": "source", "domain": None, **columns}
-    chosen = mix(docs, p, id_col, **columns).select(F.col("doc_id").alias("_id"), *[F.col(c).alias(f"_{c}") for c in LEVELS]).distinct()
-    source = F.coalesce(docs[names["source_col"]].cast("string"), F.lit(""))
-    own = {"_lang": F.coalesce(docs[names["lang_col"]].cast("string"), F.lit("")), "_source": source,
-           "_domain": names["domain"] if names["domain"] is not None else domain_of(source)}
-    same = docs[id_col].cast("long").eqNullSafe(chosen["_id"])
-    for name, value in own.items():
-        same = same & value.eqNullSafe(chosen[name])
-    return docs.where(docs[names["text_col"]].cast("string").rlike(_WORD)).join(chosen, same, "left_semi")
+    source = F.coalesce(F.col(names["source_col"]).cast("string"), F.lit(""))
+    own = {"doc_id": F.col(id_col).cast("long"), "lang": F.coalesce(F.col(names["lang_col"]).cast("string"), F.lit("")),
+           "source": source, "domain": names["domain"] if names["domain"] is not None else domain_of(source)}
+    free = "_"
+    while any(c.startswith(free) for c in docs.columns):
+        free += "_"
+    keys = [free + c for c in own]
+    rows = worded(docs, id_col, **columns)
+    chosen = selected(rows, p).select(*own).toDF(*[f"c_{c}" for c in own])
+    same = F.lit(True)
+    for c in own:
+        same = same & rows[c].eqNullSafe(chosen[f"c_{c}"])
+    gone = written(rows.join(chosen, same, "left_anti").select(*own).distinct().toDF(*keys), "gone")
+    release_shuffles(docs.sparkSession)
+    keyed = docs.where(F.col(names["text_col"]).cast("string").rlike(_WORD)).withColumns({free + c: v for c, v in own.items()})
+    return bloom.without(keyed, gone, keys).select(*docs.columns)
 
 
 def oracle_sql(p: Params) -> str:

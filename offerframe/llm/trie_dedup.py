@@ -37,7 +37,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, written
+from ..operators import bloom
+from .common import lean, release_shuffles, written
+
+WHOLE_TEXTS = {"compression": "zstd"}  # of files that hold whole texts
 
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 _NODE_BYTES = 400  # what a node costs besides its label
@@ -271,7 +274,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     rows = docs.select(row.alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"))
-    parts = written(rows.mapInArrow(lean(_map_side(params)), _PART), "trie")
+    parts = written(rows.mapInArrow(lean(_map_side(params)), _PART), "trie", **WHOLE_TEXTS)
     owners = (parts.where("key IS NOT NULL")
               .select("rep", "n", "points", "best_doc", "best_row", "key", "length", "hash")
               .repartition("length", "hash").drop("length", "hash")
@@ -286,11 +289,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of `docs`, all columns, of which one per group of equal texts stays.
 
     The numbered rows are written first: numbers given twice could differ
-    (executors come and go, and with them the splits of a scan).
+    (executors come and go, and with them the splits of a scan).  Texts stay where
+    they lie: a Bloom filter over the numbers that go is sent to the scan, and only
+    rows that it lets pass are shuffled for the exact join.
     """
     number = "_row"
     while number in docs.columns:
         number += "_"
-    numbered = written(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
-    keep = exact_groups(numbered, id_col, text_col, params, number).where("kept").select(F.col("row").alias(number))
-    return numbered.join(keep, number, "left_semi").drop(number)
+    numbered = written(docs.withColumn(number, F.monotonically_increasing_id()), "numbered", **WHOLE_TEXTS)
+    # Every number has its row in the groups, so the rows that stay are those that do not go.
+    gone = written(exact_groups(numbered, id_col, text_col, params, number).where("NOT kept").select(F.col("row").alias(number)),
+                   "gone")
+    release_shuffles(docs.sparkSession)
+    return bloom.without(numbered, gone, [number]).drop(number)

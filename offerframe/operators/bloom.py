@@ -64,3 +64,14 @@ def split(rows: DataFrame, cols: list[str], table: DataFrame, blocks: int) -> tu
     """The rows of `probe`, and all others, whose key is certainly not in the filter."""
     marked, hit = _marked(rows, cols, table, blocks, "left")
     return probe(rows, cols, table, blocks), marked.where(~F.coalesce(hit, F.lit(False))).select(*rows.columns)
+
+
+def without(rows: DataFrame, gone: DataFrame, cols: list[str]) -> DataFrame:
+    """The rows whose key `cols` is not in `gone`, a table of distinct keys that is cheap to read twice (NULL equals
+    NULL in both).  Only rows that the filter lets pass are shuffled."""
+    blocks = blocks_for(gone.count())
+    asked, rest = split(rows, cols, build(gone, cols, blocks), blocks)
+    same = F.lit(True)
+    for c in cols:
+        same = same & asked[c].eqNullSafe(gone[c])
+    return rest.unionByName(asked.join(gone, same, "left_anti"))

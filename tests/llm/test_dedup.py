@@ -314,3 +314,73 @@ def test_near_dedup_shuffles_only_texts_that_may_go(spark, monkeypatch):
         assert sorted(map(str, map(tuple, out.collect()))) == sorted(str(r) for r in rows if r[0] not in gone)
         asked, rest = seen.pop()
         assert asked + rest == len(rows) and 11 <= asked <= 60  # the rows of the ids that go, few others
+
+
+def test_exact_dedup_shuffles_only_texts_that_may_go(spark, monkeypatch):
+    seen, split = [], trie_dedup.bloom.split
+
+    def counted(*args):
+        asked, rest = split(*args)
+        seen.append((asked.count(), rest.count()))
+        return asked, rest
+
+    monkeypatch.setattr(trie_dedup.bloom, "split", counted)
+    ship(spark)
+    rows = [(k, f"text number {k}", k % 3) for k in range(200)] + [(None, "no id", 0), (200, None, 0)]
+    copies = [(1000 + k, f"text  number {k} ", 5) for k in range(0, 200, 20)] + [(None, "no id", 0), (201, " ", 1), (7, "text number 7", 1)]
+    out = trie_dedup.exact_dedup(spark.createDataFrame(rows + copies, "doc_id long, text string, other int")).collect()
+    # The longer original stays, also of an equal pair without ids one, and of the equal rows of id 7 the first or second.
+    assert len(out) == len(rows)
+    assert {r["doc_id"] for r in out} == ({k for k in range(200) if k % 20} | {1000 + k for k in range(0, 200, 20)} | {None, 201})
+    asked, rest = seen.pop()
+    assert asked + rest == len(rows + copies) and len(copies) <= asked <= 60
+
+
+def test_counters_take_little_more_than_a_byte_each():
+    rng = np.random.default_rng(1)
+    size = 2 * jaccard._SKETCH_PART
+    full = rng.integers(0, 300, size)
+    few = np.zeros(size, np.int64)
+    few[[3, 70_000]] = 1, 1 << 30
+    for table, most in ((full, 2.0 * size), (few, 12), (full[:70_000], 2.0 * size), (few[:5], 6)):
+        parts = list(jaccard._used(table))
+        assert sum(len(raw) for _, raw in parts) <= most
+        total = np.zeros(size, np.int64)
+        for k, raw in parts * 2:
+            jaccard._add_used(total[k * jaccard._SKETCH_PART:(k + 1) * jaccard._SKETCH_PART], raw)
+        assert (total[:len(table)] == 2 * table).all() and not total[len(table):].any()
+
+
+def test_fine_points_keep_unrelated_large_sets_apart():
+    p = jaccard.Params()
+    rng = np.random.default_rng(2)
+    made = [np.unique(rng.integers(0, 1 << 63, 12_000, dtype=np.uint64)) for _ in range(4)]
+    made[1] = np.unique(np.concatenate([made[0][:11_000], rng.integers(0, 1 << 63, 800, dtype=np.uint64)]))
+    coarse = np.stack([jaccard.point_of(s, p.groups) for s in made])
+    n, every = np.array([len(s) for s in made]), np.arange(4)
+    pairs = sum(len(i) for i, _ in jaccard.tree_pairs(coarse, n, every, p, every, every))
+    assert pairs == 6  # the points alone leave them all
+    fine = [jaccard.point_of(s, p.fine).tobytes() for s in made]
+    columns = [[9] * 5, [*range(4), 3], [0, 1, 2, 3, 3], [*n.tolist(), int(n[3])], fine + [None]]
+    names = ["team", "doc_id", "comp", "n", "fine"]
+    types = [jaccard.pa.int64()] * 4 + [jaccard.pa.binary()]
+
+    def left(rows):
+        batch = jaccard.pa.RecordBatch.from_arrays([jaccard.pa.array([c[i] for i in rows], t) for c, t in zip(columns, types)], names=names)
+        return [sorted(b.column("doc_id").to_pylist()) for b in jaccard._sift(p)(iter([batch]))]
+
+    assert left([0, 1, 2, 3]) == [[0, 1]]
+    assert left([2, 3]) == []
+    assert left([2, 4]) == [[2, 3]]  # a set whose fine point is not known is not ruled out
+
+
+def test_blocks_are_found_with_narrow_rows(spark, monkeypatch):
+    ship(spark)
+    seen, real = {}, jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda df, name: seen.setdefault(name, []).append(df.columns) or real(df, name))
+    rows = _corpus(3, 60)
+    rows += [(i, t, "fr", s) for i, t, _, s in rows[:10]]  # ids that repeat
+    _, want = _brute(rows)
+    got = jaccard.near_duplicates(data.documents(spark, rows), jaccard.Params(listed=3, block=8)).collect()
+    assert len(got) == len(rows) and {(r["doc_id"], r["component_id"]) for r in got} == set(want.items())
+    assert not {"point", "keys"} & set(seen["rows"][0]) and seen["sifted"] == [["team", "doc_id", "comp"]]

@@ -72,3 +72,26 @@ def test_tokens_meet_the_weights(spark):
     p = mixing.Params(weights={"domain": {"web": 3, "books": 1}, "lang": {}, "source": {}}, budget=0.4, max_epochs=1)
     got = {r["domain"]: r["t"] for r in mixing.mix(docs, p).groupBy("domain").agg(F.sum("n_tokens").alias("t")).collect()}
     assert abs(got["web"] - 9600) <= 8 and abs(got["books"] - 3200) <= 8
+
+
+def test_filter_shuffles_only_texts_that_may_go(spark, monkeypatch):
+    seen, split = [], mixing.bloom.split
+
+    def counted(*args):
+        asked, rest = split(*args)
+        seen.append((asked.count(), rest.count()))
+        return asked, rest
+
+    monkeypatch.setattr(mixing.bloom, "split", counted)
+    p = mixing.Params(max_epochs=1)
+    rows = [(k if k % 10 else None, f"word {k} " * (1 + k % 4), [None, "en", "de"][k % 3], f"src{k % 4}", k) for k in range(400)]
+    rows += [(k, rows[k][1], "de", rows[k][3], -k) for k in range(1, 30)] + [(900, " ", "en", "src1", 0), (901, None, "en", "src1", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, _other int")
+    key = lambda r: (r["doc_id"], r["lang"] or "", r["source"])
+    want = {key(r) for r in mixing.mix(docs, p).collect()}
+    out = mixing.mixed(docs, p)
+    assert out.schema == docs.schema
+    stay = [r for r in docs.collect() if (r["text"] or "").strip() and key(r) in want]
+    assert sorted(map(str, out.collect())) == sorted(map(str, stay)) and 0 < len(stay) < len(rows) - 2
+    asked, rest = seen.pop()
+    assert asked + rest == len(rows) - 2 and len(rows) - 2 - len(stay) <= asked <= len(rows) // 2

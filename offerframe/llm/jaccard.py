@@ -41,7 +41,7 @@ ids link with nothing.  Other columns are not read.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -62,11 +62,15 @@ class Params:
     groups: int = 256        # coordinates of a point
     fine: int = 2048         # coordinates of the fine point of a set of more than 2 * groups shingles
     boxes: int = 64          # coordinates of the R-tree's boxes: sums of groups / boxes neighbouring groups
-    sketch_bits: int = 20    # counters of the frequency sketch: 2**bits
+    sketch_bits: int = 20    # counters of the frequency sketch: at least 2**bits, ...
+    counter_bytes: int = 48  # ... one for so many bytes of text ...
+    most_bits: int = 28      # ... and at most 2**bits (128 MB as classes)
     held_keys: int = 2_000_000  # prefix shingles a task holds before it passes them on
     block: int = 4096        # documents compared at once ...
     block_shingles: int = 500_000  # ... and their shingles, if there is more than one document
-    marks: int = 23          # documents in question are marked in a table of 2**marks bits
+    marks: int = 23          # documents in question are marked in a table of at least 2**marks bits, ...
+    mark_bits: int = 16      # ... so many for every document ...
+    most_marks: int = 30     # ... and at most 2**bits
     listed: int = 16         # pairs of larger blocks are reported by one block only
     leaf: int = 32           # points of an R-tree leaf
 
@@ -98,11 +102,26 @@ _SCAN_TYPES = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.
 _SKETCH_PART = 1 << 16  # counters of one sketch row
 
 
-def _scan(p: Params):
-    shift = np.uint64(64 - p.sketch_bits)
+def sketch_size(text_bytes: int, p: Params) -> int:
+    """Counters of the sketch: as many for each shingle whatever the corpus, or else rare shingles of a larger one can no
+    longer be told from frequent ones, and more documents meet in their prefixes."""
+    return min(max(1 << p.sketch_bits, text_bytes // p.counter_bytes), 1 << p.most_bits)
 
+
+def _counter(s: np.ndarray, size: int) -> np.ndarray:
+    """The counter of each shingle, by its upper half."""
+    return ((s >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)).astype(np.int32)
+
+
+def _scan(p: Params, size: int):
     def run(batches):
-        sketch, waiting, held = np.zeros(1 << p.sketch_bits, np.int64), [], 0
+        waiting, held = [], 0
+
+        def flush():
+            parts = [(1, *[None] * 6, k, raw) for k, raw in _packed(*np.unique(np.concatenate(waiting), return_counts=True))]
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*parts), _SCAN_TYPES)], schema=_SCAN_TYPES)
+
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             for a, _, data, offs in text_slices(batch.column("text")):
@@ -112,7 +131,7 @@ def _scan(p: Params):
                         sig = np.array([s.sum(dtype=np.uint64), tv.mix(s).sum(dtype=np.uint64)], np.uint64).view(np.int64)
                     rows.append((ids[a + k], len(s), int(sig[0]), int(sig[1]), point_of(s, p.groups).tobytes(),
                                  point_of(s, p.fine).tobytes() if len(s) > 2 * p.groups else None))
-                    waiting.append((s >> shift).astype(np.int64))
+                    waiting.append(_counter(s, size))
                     held += len(s)
                 columns = list(zip(*rows))
                 none = [None] * len(rows)
@@ -120,70 +139,95 @@ def _scan(p: Params):
                     [pa.array(c, t.type) for c, t in zip([[0] * len(rows), *columns, none, none], _SCAN_TYPES)],
                     schema=_SCAN_TYPES)
                 if held > 4_000_000:
-                    sketch += np.bincount(np.concatenate(waiting), minlength=len(sketch))
+                    yield from flush()
                     waiting, held = [], 0
-        if waiting:
-            sketch += np.bincount(np.concatenate(waiting), minlength=len(sketch))
-        parts = [(1, *[None] * 6, k, raw) for k, raw in _used(sketch)]
-        if parts:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*parts), _SCAN_TYPES)], schema=_SCAN_TYPES)
+        if held:
+            yield from flush()
 
     return run
 
 
 def _used(table: np.ndarray):
-    """The parts of `table` with counters that are not zero, as (part, bytes): a task sends what it has counted, not the
-    whole table.  Counters go by place (two bytes) and value (four); where many are used, all go as one byte each, and
-    what exceeds it by place and value."""
-    for k in range(-(-len(table) // _SKETCH_PART)):
-        own = table[k * _SKETCH_PART:(k + 1) * _SKETCH_PART]
-        used = np.flatnonzero(own)
-        if not len(used):
+    """The parts of `table` with counters that are not zero, as (part, bytes)."""
+    used = np.flatnonzero(table)
+    return _packed(used, table[used])
+
+
+def _packed(at: np.ndarray, counts: np.ndarray):
+    """Counters at ascending places `at`, as (part, bytes): a task sends what it has counted, not the whole table.
+
+    Few go by place (two bytes) and value (four).  Where that is more, the gaps between places (two planes of bytes) and
+    the values (one byte, four more where it is full) are compressed: about a byte each, however large the table."""
+    part = at // _SKETCH_PART
+    cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(at)]])
+    for f, t in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        if t == f:
             continue
-        bytewise, over = np.zeros(_SKETCH_PART, np.uint8), used[own[used] > 255]
-        values = own[used]
-        if 6 * len(used) > _SKETCH_PART + 6 * len(over):
-            bytewise[used] = np.minimum(values, 255)
-            used, values, head = over, own[over] - 255, bytewise.tobytes()
+        own, values = at[f:t] - part[f] * _SKETCH_PART, counts[f:t] - 1
+        gaps = np.diff(own, prepend=0)
+        low = np.minimum(values, 255)
+        body = b"".join(x.astype(kind).tobytes() for x, kind in
+                        ((gaps & 255, "u1"), (gaps >> 8, "u1"), (low, "u1"), (values[low == 255] - 255, "<u4")))
+        made = pa.compress(body, "zstd", asbytes=True)
+        if len(made) + 8 < 6 * len(own):
+            pad = (len(made) + 8) % 6 == 0  # other lengths than those of pairs of two and four bytes
+            yield int(part[f]), np.array([len(own), len(body)], "<u4").tobytes()[:7] + bytes([pad] * (1 + pad)) + made
         else:
-            head = b""
-        yield k, head + used.astype("<u2").tobytes() + values.astype("<u4").tobytes()
+            yield int(part[f]), own.astype("<u2").tobytes() + counts[f:t].astype("<u4").tobytes()
 
 
 def _add_used(total: np.ndarray, counts: bytes) -> None:
-    """Add the counters of a part that `_used` gave."""
-    at = _SKETCH_PART if len(counts) % 6 == _SKETCH_PART % 6 and len(counts) >= _SKETCH_PART else 0
-    if at:
-        total += np.frombuffer(counts, np.uint8, at)
-    n = (len(counts) - at) // 6
-    total[np.frombuffer(counts, "<u2", n, at)] += np.frombuffer(counts, "<u4", n, at + 2 * n)
+    """Add the counters of a part that `_packed` gave."""
+    if len(counts) % 6 == 0:
+        n = len(counts) // 6
+        total[np.frombuffer(counts, "<u2", n)] += np.frombuffer(counts, "<u4", n, 2 * n)
+        return
+    n, size = np.frombuffer(counts[:7] + b"\0", "<u4").tolist()
+    body = pa.decompress(counts[8 + counts[7]:], size, "zstd", asbytes=True)
+    gaps = np.frombuffer(body, "u1", n).astype(np.int64) | np.frombuffer(body, "u1", n, n).astype(np.int64) << 8
+    values = np.frombuffer(body, "u1", n, 2 * n).astype(np.int64)
+    values[values == 255] += np.frombuffer(body, "<u4", -1, 3 * n)
+    total[np.cumsum(gaps)] += values + 1
 
 
-def _merged(batches):
-    """Rows (part, counts) of all tasks -> one row per part."""
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
-            _add_used(total.setdefault(part, np.zeros(_SKETCH_PART, np.int64)), counts)
-    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()),
-                                      pa.array([v.tobytes() for v in total.values()], pa.binary())],
-                                     names=["part", "counts"])
+def _classes(counts: np.ndarray) -> bytes:
+    """Binary logarithm of every counter, 15 at most, two to a byte."""
+    c = np.minimum(np.log2(counts + 1), 15).astype(np.uint8)
+    return (c[::2] | c[1::2] << 4).tobytes()
+
 
+def _bits(counts: np.ndarray) -> bytes:
+    return np.packbits(counts > 0).tobytes()
 
-def _summed(rows: DataFrame, size: int):
-    """The table of `size` counters that rows (part, counts) of all tasks add up to, part by part."""
-    sums = (rows.repartition(max(1, min(32, size // _SKETCH_PART)), "part").mapInArrow(lean(_merged), "part int, counts binary"))
+
+def _merged(finish):
+    """Rows (part, counts) of all tasks -> one row per part: `finish` of its counters."""
+    def run(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
+                _add_used(total.setdefault(part, np.zeros(_SKETCH_PART, np.int64)), counts)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()),
+                                          pa.array([finish(v) for v in total.values()], pa.binary())],
+                                         names=["part", "counts"])
+
+    return run
+
+
+def _summed(rows: DataFrame, size: int, finish) -> np.ndarray:
+    """The table of `size` counters that rows (part, counts) of all tasks add up to: the bytes that `finish` makes of it."""
+    each = len(finish(np.zeros(_SKETCH_PART, np.int64)))
+    parts = -(-size // _SKETCH_PART)
+    out = np.zeros(parts * each, np.uint8)
+    sums = rows.repartition(min(32, parts), "part").mapInArrow(lean(_merged(finish)), "part int, counts binary")
     for r in sums.toLocalIterator():
-        yield r["part"] * _SKETCH_PART, np.frombuffer(r["counts"], np.int64)
+        out[r["part"] * each:(r["part"] + 1) * each] = np.frombuffer(r["counts"], np.uint8)
+    return out
 
 
-def frequency_classes(scanned: DataFrame, p: Params) -> np.ndarray:
-    """Binary logarithm of every sketch counter: 2**sketch_bits bytes, whatever the corpus."""
-    size = 1 << p.sketch_bits
-    out = np.zeros(max(size, _SKETCH_PART), np.uint8)
-    for at, row in _summed(scanned.where("kind = 1").select("part", "counts"), size):
-        out[at:at + len(row)] = np.log2(row + 1).astype(np.uint8)
-    return out[:size]
+def frequency_classes(scanned: DataFrame, size: int) -> np.ndarray:
+    """Classes of all counters of the sketch, half a byte each."""
+    return _summed(scanned.where("kind = 1").select("part", "counts"), size, _classes)
 
 
 # --- scan 2: prefixes and star links ----------------------------------------------------
@@ -197,12 +241,10 @@ def _keyed(key, a, b) -> pa.RecordBatch:
                                       schema=_KEYED_TYPES)
 
 
-def _prefixes(p: Params, classes):
+def _prefixes(p: Params, classes, counters: int):
     """Rows (key, document, NULL) for the smallest document per key, (key, document, smallest) for the others."""
-    shift = np.uint64(64 - p.sketch_bits)
-
     def run(batches):
-        table = classes.value.astype(np.uint64) << np.uint64(57)
+        table = classes.value
         keys, docs, held = [], [], 0
 
         def flush():
@@ -226,7 +268,9 @@ def _prefixes(p: Params, classes):
             for a, _, data, offs in text_slices(batch.column("text")):
                 for k, s in enumerate(shingle_sets(data, offs, p.width)):
                     if len(s):
-                        order = table[(s >> shift).astype(np.int64)] | (s >> np.uint64(7))
+                        at = _counter(s, counters)
+                        rank = (table[at >> 1] >> ((at & 1) << 2).astype(np.uint8) & 15).astype(np.uint64)
+                        order = rank << np.uint64(57) | s >> np.uint64(7)
                         size = len(s) + (-p.percent * len(s) // 100) + 1
                         keys.append(np.partition(order, size - 1)[:size])
                         docs.append(np.full(size, ids[a + k], np.int64))
@@ -268,23 +312,19 @@ def _slots(ids: np.ndarray, p: Params) -> np.ndarray:
 
 def marked(ids: DataFrame, p: Params):
     """A broadcast table of bits in which every document of the columns of `ids` has its bit
-    set: 2**marks bits whatever the corpus.  It only keeps other documents'
+    set: 2**marks bits.  It only keeps other documents'
     texts and points out of the joins that follow; some may pass."""
     def run(batches):
         slots = [np.zeros(0, np.int64)]
         for batch in batches:
             slots += [_slots(batch.column(c).to_numpy(), p) for c in batch.schema.names]
         slots = np.unique(np.concatenate(slots))
-        bits = np.zeros(int(slots[-1]) + 1 if len(slots) else 0, np.uint8)
-        bits[slots] = 1
-        parts = list(_used(bits))
+        parts = list(_packed(slots, np.ones(len(slots), np.int64)))
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int32()),
                                           pa.array([r for _, r in parts], pa.binary())], names=["part", "counts"])
 
-    bits = np.zeros(max(1 << p.marks, _SKETCH_PART), bool)
-    for at, row in _summed(ids.mapInArrow(lean(run), "part int, counts binary"), 1 << p.marks):
-        bits[at:at + len(row)] = row > 0
-    return ids.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    bits = _summed(ids.mapInArrow(lean(run), "part int, counts binary"), 1 << p.marks, _bits)
+    return ids.sparkSession.sparkContext.broadcast(bits)
 
 
 def only_marked(df: DataFrame, marks, p: Params) -> DataFrame:
@@ -632,12 +672,14 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), id_col: str = "d
     p = params
     every = id_text(docs, id_col, text_col)
     known = every.where("doc_id IS NOT NULL")
-    scanned = written(every.mapInArrow(lean(_scan(p)), _SCAN), "shingles")
+    size = sketch_size(every.agg(F.sum(F.octet_length("text"))).first()[0] or 0, p)
+    scanned = written(every.mapInArrow(lean(_scan(p, size)), _SCAN), "shingles")
     sizes = scanned.where("kind = 0").select("doc_id", "n", "sig1", "sig2", "point")
-    classes = docs.sparkSession.sparkContext.broadcast(frequency_classes(scanned, p))
+    p = replace(p, marks=min(max(p.marks, (p.mark_bits * sizes.count()).bit_length()), max(p.marks, p.most_marks)))
+    classes = docs.sparkSession.sparkContext.broadcast(frequency_classes(scanned, size))
     # The smallest documents of a key meet in one partition; links found already pass through, spread evenly.
     spread = F.when(F.col("b").isNull(), F.lit(0)).otherwise(F.xxhash64("a"))
-    stars = (known.mapInArrow(lean(_prefixes(p, classes)), _KEYED).repartition("key", spread)
+    stars = (known.mapInArrow(lean(_prefixes(p, classes, size)), _KEYED).repartition("key", spread)
              .sortWithinPartitions("key", "a").mapInArrow(lean(_stars), _KEYED))
     stars = written(stars, "stars")
     first = written(stars.select("a", "b").distinct(), "pairs")

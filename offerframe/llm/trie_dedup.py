@@ -6,17 +6,21 @@ no hash decides equality.  A terminal node stores the smallest identifier
 under the keeping order (here: most code points of the original text, then
 smallest id, then first row).
 
-1. Every task inserts its own rows into a trie of bounded size.  Copies inside
+1. The 64-bit hashes of all texts tell which texts may have an equal one: a
+   hash that occurs once belongs to a text that occurs once.  Those that occur
+   more often go into a Bloom filter.
+2. Every task inserts its own rows into a trie of bounded size.  Copies inside
    the task meet at one terminal node; per node only one representative with
    the text's bytes, its best owner and its count goes on.  A group of copies
    holding a third of all rows thus shrinks to one row per task (or per trie,
-   when the bound is reached) before anything is shuffled.
-2. Representatives are dealt out by text length and content hash and inserted
+   when the bound is reached) before anything is shuffled.  A representative
+   whose hash the filter does not let pass is its group alone and needs no text.
+3. The other representatives are dealt out by text length and content hash and inserted
    into the tries of their partition.  A trie over its memory bound spills by
    subtree: the largest first-level subtree goes to a temporary file of the
    task, later strings of that subtree follow it, and the file is worked off
    with a trie of its own, split at its strings' next differing byte.
-3. Every row gets its group's owner by an equi-join on the representative.
+4. Every row gets its group's owner by an equi-join on the representative.
 
 Defined results: NULL text counts as empty, empty texts are equal; ids may be
 NULL (sorted last) or repeat, of fully equal rows the first one stays; columns
@@ -200,6 +204,19 @@ _PART_TYPES = pa.schema([(c.split()[0], {"long": pa.int64(), "string": pa.string
                          for c in _PART.split(", ")])
 
 
+def _hash(sha: bytes) -> int:
+    return int.from_bytes(sha[:8], "big", signed=True)
+
+
+def _hashes(batches):
+    """The hash of every row's normalised text, NULL counting as empty."""
+    for batch in batches:
+        text = pc.fill_null(batch.column("text"), "")
+        raw = text.cast(pa.large_binary() if pa.types.is_large_string(text.type) else pa.binary())
+        found = [_hash(hashlib.sha256(normalised(t.as_py())).digest()) for t in raw]
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["hash"])
+
+
 def _map_side(params: Params):
     def run(batches):
         trie = Trie()
@@ -207,7 +224,7 @@ def _map_side(params: Params):
         def flush():
             out, size = [], 0
             for key, (rep, sha, owner, n) in trie.values():
-                out.append((rep, None, None, None, n, *owner, len(key), int.from_bytes(sha[:8], "big", signed=True), key))
+                out.append((rep, None, None, None, n, *owner, len(key), _hash(sha), key))
                 size += len(key)
                 if size > 8 << 20:
                     yield _batch(out)
@@ -274,13 +291,20 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     rows = docs.select(row.alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"))
-    parts = written(rows.mapInArrow(lean(_map_side(params)), _PART), "trie", **WHOLE_TEXTS)
+    twice = written(rows.select("text").mapInArrow(lean(_hashes), "hash long").groupBy("hash").count().where("count > 1")
+                    .select("hash"), "twice")
+    blocks = bloom.blocks_for(twice.count())
+    parts = bloom.flagged(rows.mapInArrow(lean(_map_side(params)), _PART), ["hash"], bloom.build(twice, ["hash"], blocks),
+                          blocks, "may")
+    parts = written(parts.select(*_PART_NAMES[:-1], F.when(F.col("may"), F.col("key")).alias("key")), "trie", **WHOLE_TEXTS)
     owners = (parts.where("key IS NOT NULL")
               .select("rep", "n", "points", "best_doc", "best_row", "key", "length", "hash")
               .repartition("length", "hash").drop("length", "hash")
               .mapInArrow(lean(_reduce_side(params)), "rep long, keep_id long, keep_row long, group_size long"))
+    alone = parts.where("row IS NULL AND key IS NULL").select(
+        "rep", F.col("best_doc").alias("keep_id"), F.col("best_row").alias("keep_row"), F.col("n").alias("group_size"))
     members = parts.where("row IS NOT NULL").select("rep", "row", "doc_id", "sha")
-    return (members.join(owners, "rep")
+    return (members.join(owners.unionByName(alone), "rep")
             .select("row", "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),
                     F.col("sha").alias("text_sha256")))
 

@@ -66,6 +66,12 @@ def split(rows: DataFrame, cols: list[str], table: DataFrame, blocks: int) -> tu
     return probe(rows, cols, table, blocks), marked.where(~F.coalesce(hit, F.lit(False))).select(*rows.columns)
 
 
+def flagged(rows: DataFrame, cols: list[str], table: DataFrame, blocks: int, name: str) -> DataFrame:
+    """All rows, with a column `name`: whether their key may be in the filter (a NULL key is not)."""
+    marked, hit = _marked(rows, cols, table, blocks, "left")
+    return marked.select(*rows.columns, F.coalesce(hit, F.lit(False)).alias(name))
+
+
 def without(rows: DataFrame, gone: DataFrame, cols: list[str]) -> DataFrame:
     """The rows whose key `cols` is not in `gone`, a table of distinct keys that is cheap to read twice (NULL equals
     NULL in both).  Only rows that the filter lets pass are shuffled."""

@@ -384,3 +384,52 @@ def test_blocks_are_found_with_narrow_rows(spark, monkeypatch):
     got = jaccard.near_duplicates(data.documents(spark, rows), jaccard.Params(listed=3, block=8)).collect()
     assert len(got) == len(rows) and {(r["doc_id"], r["component_id"]) for r in got} == set(want.items())
     assert not {"point", "keys"} & set(seen["rows"][0]) and seen["sifted"] == [["team", "doc_id", "comp"]]
+
+
+def test_only_texts_whose_hash_repeats_go_to_the_tries_of_partitions(spark, monkeypatch):
+    ship(spark)
+    seen, real = {}, trie_dedup.written
+    monkeypatch.setattr(trie_dedup, "written", lambda df, name, **o: seen.setdefault(name, real(df, name, **o)))
+    rows = [(k, f"text number {k} " + "x" * k, "en", "s") for k in range(300)] + [(None, "no id", "en", "s"), (None, None, "en", "s")]
+    copies = [(1000 + k, f"text number{k}" + "x" * k, "en", "s") for k in range(0, 300, 30)] + [(2000, " ", "en", "s"), (299, rows[299][1], "en", "s")]
+    docs = data.documents(spark, rows + copies).repartition(7)
+    got = trie_dedup.exact_groups(docs).collect()
+    assert sorted(((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got), key=str) == _exact(rows + copies)
+    keys = [r["key"] for r in seen["trie"].where("row IS NULL").select("key").collect()]
+    sent = [k for k in keys if k is not None]
+    assert len(set(sent)) >= len(copies) and len(sent) <= 60 < len(keys)
+
+
+def test_counters_grow_with_the_text_and_cost_no_more():
+    p = jaccard.Params()
+    assert jaccard.sketch_size(0, p) == 1 << p.sketch_bits
+    assert jaccard.sketch_size(40 << 40, p) == 1 << p.most_bits
+    # As many shingles share a counter in a small and in a large corpus.
+    assert jaccard.sketch_size(480 << 24, p) == 10 * jaccard.sketch_size(48 << 24, p)
+    rng = np.random.default_rng(3)
+    s = rng.integers(0, 1 << 63, 200_000, dtype=np.uint64) << np.uint64(1)
+    for size in (1 << 20, 3_000_001, 1 << 28):
+        at, counts = np.unique(jaccard._counter(s, size), return_counts=True)
+        assert at[0] >= 0 and at[-1] < size
+        parts = list(jaccard._packed(at, counts))
+        if size < 1 << 22:  # in large tables a part has too few of them here
+            assert sum(len(raw) for _, raw in parts) <= 1.7 * len(at)
+        total = np.zeros(-(-size // jaccard._SKETCH_PART) * jaccard._SKETCH_PART, np.int32) if size < 1 << 22 else None
+        for k, raw in parts if total is not None else ():
+            jaccard._add_used(total[k * jaccard._SKETCH_PART:(k + 1) * jaccard._SKETCH_PART], raw)
+        assert total is None or (total[at] == counts).all() and total.sum() == len(s)
+
+
+def test_tables_follow_the_corpus(spark, monkeypatch):
+    """Sketch and marks have room for the rows there are, whatever they begin with; links are the same."""
+    ship(spark)
+    tables, marks = [], []
+    classes, marked = jaccard.frequency_classes, jaccard.marked
+    monkeypatch.setattr(jaccard, "frequency_classes", lambda rows, size: tables.append(size) or classes(rows, size))
+    monkeypatch.setattr(jaccard, "marked", lambda ids, p: marks.append(p.marks) or marked(ids, p))
+    rows = _corpus(4, 60)
+    _, want = _brute(rows)
+    got = jaccard.near_duplicates(data.documents(spark, rows), jaccard.Params(sketch_bits=4, counter_bytes=2, marks=4)).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == set(want.items())
+    assert tables == [sum(len((r[1] or "").encode()) for r in rows) // 2]
+    assert marks and all(1 << m >= 16 * len(rows) for m in marks)

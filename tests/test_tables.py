@@ -95,6 +95,18 @@ def test_numbers_as_tokens_are_looked_up_whole(spark):
     assert "Contains(" not in _plan(got)  # a URL meets the tokens it holds, not all that begin alike
 
 
+def test_the_greatest_balance_is_the_first_rule(spark, tmp_root):
+    from offerframe.plans import catalog
+
+    customers = [(1, "c1", -5.0), (12, "c12", 80.5), (123, "c123", 80.5), (2, "c2", None), (23, "c23", -9.75), (3, "c3", None),
+                 (32, "c32", None), (7, "low", 1.0), (7, "high", 2.0), (None, "nobody", 1e9), (4, None, 1e6), (45, "c45", None)]
+    first = {"http://a/1234?b": "c12", "http://a/1": "c1", "http://a/23.html": "c23", "http://a/23/1": "c1", "http://a/32": "c3",
+             "http://a/2/32": "c2", "http://a/7": "high", "http://a/45": "c45", "http://a/4": None, "http://a/9": None, None: None}
+    spark.createDataFrame(customers, "c_custkey long, c_name string, c_acctbal double").write.parquet(f"{tmp_root}/customer.parquet")
+    spark.createDataFrame(list(enumerate(first)), "page_id long, url string").write.parquet(f"{tmp_root}/pages.parquet")
+    assert {r["url"]: r["site"] for r in catalog.route_table(spark, tmp_root).collect()} == first
+
+
 def test_cells_do_not_grow_with_equal_bands(spark, monkeypatch):
     sizes, send = [], TB.sent_if_small
 
